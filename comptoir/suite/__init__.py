@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse",)
+MODULES = ("warehouse", "scalars")
 
 
 def collect():

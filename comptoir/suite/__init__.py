@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "scalars")
+MODULES = ("warehouse", "scalars", "dashboard")
 
 
 def collect():

@@ -161,13 +161,13 @@ O["new_reviews"] = with_fx(
 def q_unprocessed_products(spark, sf):
     """Products whose details are not in the processed set (JN-04)."""
     p2 = fx(spark, sf, "fx_product_info2")
-    done = _reviews(spark, sf).filter(F.col("l_shipdate") >= F.lit("1998-06-01").cast("timestamp_ntz")).select("asin")
+    done = _reviews(spark, sf).filter(F.col("l_shipdate") >= F.lit("2001-09-01").cast("timestamp_ntz")).select("asin")
     return J.anti_join(p2, done, "asin").select("asin", "titre", "url")
 
 
 O["unprocessed_products"] = with_fx(
     "SELECT asin, titre, url FROM fx_product_info2 p WHERE NOT EXISTS (SELECT 1 FROM fx_reviews r "
-    "WHERE r.l_shipdate >= TIMESTAMP '1998-06-01' AND r.asin = p.asin)", "fx_product_info2", "fx_reviews")
+    "WHERE r.l_shipdate >= TIMESTAMP '2001-09-01' AND r.asin = p.asin)", "fx_product_info2", "fx_reviews")
 
 
 LISTING_ORDER = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]

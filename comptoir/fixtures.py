@@ -52,7 +52,7 @@ SELECT 'B' || lpad(CAST(l_partkey AS STRING), 9, '0') AS asin,
        ELSE 'Reviewed in NATION_' || CAST(l_suppkey % 25 AS STRING) || ' on ' || CAST(CAST(l_shipdate AS DATE) AS STRING) END AS date_text,
   CASE WHEN l_quantity > 40 THEN CAST(CAST(l_quantity AS BIGINT) AS STRING) || ' people found this helpful' ELSE 'One person found this helpful' END AS helpful_text,
   CASE l_returnflag WHEN 'R' THEN 'Negative' WHEN 'A' THEN 'Positive' ELSE 'Neutral' END AS sentiment,
-  l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey
+  l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey, l_returnflag, l_quantity
 FROM lineitem""",
     "fx_product_pages": f"""
 SELECT p_partkey AS page_id, 'https://shop.example/dp/' || {ASIN_OF_PARTKEY} || '/' AS url,

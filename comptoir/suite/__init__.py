@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "scalars", "dashboard", "tables")
+MODULES = ("warehouse", "scalars", "dashboard", "tables", "extraction")
 
 
 def collect():

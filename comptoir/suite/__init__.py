@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "scalars", "dashboard", "tables", "extraction")
+MODULES = ("warehouse", "scalars", "dashboard", "tables", "extraction", "text")
 
 
 def collect():

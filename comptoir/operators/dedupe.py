@@ -70,11 +70,13 @@ def upsert_by_key(existing: DataFrame, new: DataFrame, order_cols=(), keys=("pro
 
 
 def incremental_update(target: DataFrame, source: DataFrame, key: str = "product_id",
-                       ts_col: str | None = "last_updated", tie_break=()) -> DataFrame:
+                       ts_col: str | None = "last_updated", tie_break=(), prefer_source: bool = True) -> DataFrame:
     """Keep the newest row per key by timestamp (WIN-02).
 
     Timestamps are parsed leniently (bad text -> NULL, ranked last). Equal
-    timestamps: the source row wins, then ``tie_break`` columns (greatest).
+    timestamps: the source row wins, then ``tie_break`` columns (greatest);
+    ``prefer_source=False`` ranks by ``tie_break`` before the source flag, which
+    makes repeated merges independent of arrival order (used by the stream).
     Without a usable timestamp column the source simply wins (keep last).
     """
     for d, what in ((source, "source"), (target, "target")):
@@ -87,7 +89,8 @@ def incremental_update(target: DataFrame, source: DataFrame, key: str = "product
         t = t.withColumn(ts_col, to_timestamp_lenient(F.col(ts_col)))
         s = s.withColumn(ts_col, to_timestamp_lenient(F.col(ts_col)))
         both = t.unionByName(s, allowMissingColumns=True)
-        order = [F.col(ts_col).isNotNull(), F.col(ts_col), F.col(src)] + [F.col(c) for c in tie_break]
+        ties = [F.col(c) for c in tie_break]
+        order = [F.col(ts_col).isNotNull(), F.col(ts_col)] + ([F.col(src)] + ties if prefer_source else ties + [F.col(src)])
     else:
         both = t.unionByName(s, allowMissingColumns=True)
         order = [F.col(src)] + [F.col(c) for c in tie_break]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("warehouse", "scalars", "dashboard", "tables", "extraction", "text", "metrics")
+MODULES = ("warehouse", "scalars", "dashboard", "tables", "extraction", "text", "metrics", "io", "streams")
 
 
 def collect():

@@ -22,9 +22,14 @@ LISTING_SENTINELS = {
 LRM = "‎"
 
 
+# The whitespace set stripped from both ends (Java's \s class).
+WHITESPACE = " \t\n\r\x0b\x0c"
+
+
 def strip_ws(c) -> Column:
-    """Trim leading/trailing whitespace (spaces, tabs, newlines), like ``str.strip``."""
-    return F.regexp_replace(as_col(c), r"^\s+|\s+$", "")
+    """Trim leading/trailing whitespace (spaces, tabs, newlines, VT, FF), like
+    ``str.strip`` on ASCII text; a character-set trim, no regex."""
+    return F.trim(as_col(c), F.lit(WHITESPACE))
 
 
 def blank_to_null(c) -> Column:

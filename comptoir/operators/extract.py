@@ -90,6 +90,16 @@ def _opt(c: Column, pattern: str, group: int = 1) -> Column:
     return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
 
 
+def _match(c: Column, pattern: str) -> Column:
+    """Whole first match of ``pattern`` (never '' for our patterns) or NULL: one scan."""
+    return nullif_empty(F.regexp_extract(c, pattern, 0))
+
+
+def _group(m: Column, pattern: str, group: int = 1) -> Column:
+    """Capture group of a whole match from :func:`_match` (re-scans only the short match)."""
+    return F.when(m.isNotNull(), F.regexp_extract(m, pattern, group))
+
+
 def blocks(html, start_pattern: str) -> Column:
     """array<struct<tag, body>>: the opening tag of each block and the text up to the next one."""
     h = as_col(html)
@@ -216,26 +226,42 @@ def facets_flatten(nested: DataFrame) -> DataFrame:
 
 def extract_reviews(pages: DataFrame, asin=None, page_col: str = "page_id") -> DataFrame:
     """Review blocks (primary selector, else the fallback card selector) -> the nine
-    review fields with the reference's defaults, one row per block in page order."""
+    review fields with the reference's defaults, one row per block in page order.
+
+    Staged projections: each field's match is computed once per block and
+    kept as a column, so the later rules (defaults, date/location split) reuse
+    it instead of re-running the page regex inside every CASE branch.
+    """
     from ..functions.url import asin_from_url
     a = asin_from_url("url") if asin is None else as_col(asin)
     h = F.col("html")
     blk = F.when(h.contains(REVIEW_BLOCK), blocks(h, REVIEW_BLOCK)).otherwise(blocks(h, REVIEW_BLOCK_FALLBACK))
-    b = pages.select(F.col(page_col).alias("page"), a.alias("asin"), F.posexplode(blk).alias("pos", "blk"))
-    body = F.col("blk.body")
-    stars = _opt(body, REVIEW_STARS)
-    star_class = _opt(body, REVIEW_STAR_CLASS)
-    date_text = inner_text(_opt(body, REVIEW_DATE))
-    return b.select(
+    b = (pages.select(F.col(page_col).alias("page"), a.alias("asin"), F.posexplode(blk).alias("pos", "blk"))
+         .select("page", "pos", "asin", F.col("blk.body").alias("body")))
+    body = F.col("body")
+    m = b.select("page", "pos", "asin",
+                 _match(body, REVIEW_PROFILE).alias("m_profile"), _match(body, REVIEW_STARS).alias("m_stars"),
+                 _match(body, REVIEW_STAR_CLASS).alias("m_class"), _match(body, REVIEW_TITLE).alias("m_title"),
+                 _match(body, REVIEW_DATE).alias("m_date"), _match(body, REVIEW_BODY).alias("m_body"),
+                 _match(body, REVIEW_HELPFUL).alias("m_helpful"), body.contains(REVIEW_BADGE).alias("verified_purchase"))
+    t = m.select("page", "pos", "asin", "verified_purchase",
+                 strip_ws(unescape(_group(F.col("m_profile"), REVIEW_PROFILE))).alias("reviewer"),
+                 inner_text(_group(F.col("m_stars"), REVIEW_STARS)).alias("stars"),
+                 _group(F.col("m_class"), REVIEW_STAR_CLASS).alias("star_class"),
+                 inner_text(_group(F.col("m_title"), REVIEW_TITLE)).alias("title"),
+                 inner_text(_group(F.col("m_date"), REVIEW_DATE)).alias("date_text"),
+                 inner_text(_group(F.col("m_body"), REVIEW_BODY)).alias("comment"),
+                 inner_text(_group(F.col("m_helpful"), REVIEW_HELPFUL)).alias("helpful"))
+    return t.select(
         "page", "pos", "asin",
-        F.coalesce(strip_ws(unescape(_opt(body, REVIEW_PROFILE))), F.lit(DEFAULT_REVIEWER)).alias("reviewer"),
-        parse_rating(inner_text(stars), star_class).alias("rating"),
-        F.coalesce(inner_text(_opt(body, REVIEW_TITLE)), F.lit(DEFAULT_TITLE)).alias("title"),
-        review_date(date_text).alias("date"),
-        review_location(date_text).alias("location"),
-        body.contains(REVIEW_BADGE).alias("verified_purchase"),
-        F.coalesce(inner_text(_opt(body, REVIEW_BODY)), F.lit(DEFAULT_COMMENT)).alias("comment"),
-        helpful_votes(inner_text(_opt(body, REVIEW_HELPFUL))).alias("helpful_count"))
+        F.coalesce("reviewer", F.lit(DEFAULT_REVIEWER)).alias("reviewer"),
+        parse_rating("stars", "star_class").alias("rating"),
+        F.coalesce("title", F.lit(DEFAULT_TITLE)).alias("title"),
+        review_date("date_text").alias("date"),
+        review_location("date_text").alias("location"),
+        "verified_purchase",
+        F.coalesce("comment", F.lit(DEFAULT_COMMENT)).alias("comment"),
+        helpful_votes("helpful").alias("helpful_count"))
 
 
 def page_fields(pages: DataFrame) -> DataFrame:

@@ -43,6 +43,21 @@ def class_counts(seg: DataFrame) -> DataFrame:
     return seg.groupBy("classe").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
+def segment_class_counts(p1: DataFrame, p2: DataFrame, review: DataFrame,
+                         bands: DataFrame | None = None, strict: bool = False) -> DataFrame:
+    """Same numbers as ``class_counts(price_segmentation(...))`` without joining every
+    review: reviews are counted per asin first (map-side combine, so a product
+    holding a third of all reviews costs one row per map task), then the
+    per-product classes are joined to those counts and summed."""
+    spark = p1.sparkSession
+    bands = bands if bands is not None else price_bands(spark)
+    prod = (p1.select("asin").join(p2.select("asin", "prix"), "asin"))
+    classed = price_class_join(prod, bands, "prix", strict)
+    per_asin = review.groupBy("asin").agg(F.count(F.lit(1)).alias("__n"))
+    return (classed.join(per_asin, "asin").groupBy("classe")
+            .agg(F.sum("__n").cast("bigint").alias("n_rows")))
+
+
 def load_inputs(spark: SparkSession, sf_dir: str):
     from ..fixtures import fx
     return (fx(spark, sf_dir, "fx_product_info1"), fx(spark, sf_dir, "fx_product_info2"),

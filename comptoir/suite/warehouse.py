@@ -9,7 +9,7 @@ from ..functions.price import parse_price, parse_price_number, price_bands
 from ..functions.storage import storage_gb, storage_gb_1024
 from ..operators.joins import full_product_info, price_class_join
 from ..plans.segmentation import (class_counts, fix_processor, load_inputs, normalise_products,
-                                  price_segmentation)
+                                  price_segmentation, segment_class_counts)
 from ..sources import writers
 from . import sqlbits as S
 
@@ -18,11 +18,17 @@ O: dict = {}
 
 
 def q_price_segmentation(spark, sf):
+    return segment_class_counts(*load_inputs(spark, sf))
+
+
+def q_price_segmentation_rows(spark, sf):
+    """The same counts taken from the materialised product x review rows."""
     return class_counts(price_segmentation(*load_inputs(spark, sf)))
 
 
 O["price_segmentation"] = with_fx(
     f"WITH {S.SEG_CTES} SELECT classe, count(*) AS n_rows FROM seg GROUP BY classe", *S.SEG_FX)
+O["price_segmentation_rows"] = O["price_segmentation"]
 
 
 def q_full_product_info(spark, sf):

@@ -69,6 +69,15 @@ PRODUCT_PAGE_FIELDS = [
 ]
 LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
 
+# Attribute map of the configuration's category page (one row per
+# search-result block): name -> (where, pattern); where = 'tag' reads the block's
+# opening tag, 'body' its content.
+CATEGORY_PAGE_ATTRIBUTES = [
+    ("asin", "tag", r'data-asin="([^"]*)"'),
+    ("title", "body", r"<h2[^>]*>\s*<a [^>]*>\s*<span[^>]*>([^<]*)<"),
+    ("price", "body", r'class="a-price[^"]*"[^>]*>\s*<span class="a-offscreen">([^<]*)<'),
+]
+
 # Entities decoded in extracted text (as an HTML parser does).
 ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
 
@@ -299,3 +308,15 @@ def config_extract(pages: DataFrame, fields=PRODUCT_PAGE_FIELDS, keep=("page_id"
     out = pages.select(*keep, *cols)
     return out.withColumn("missing_required", F.array_compact(F.array(*required)) if required
                           else F.array().cast("array<string>"))
+
+
+def config_extract_blocks(pages: DataFrame, attributes=CATEGORY_PAGE_ATTRIBUTES, block=LISTING_BLOCK,
+                          page_col: str = "page_id") -> DataFrame:
+    """Declarative block extraction: every block matching ``block`` becomes a row and
+    each configured attribute one column (empty or missing -> NULL)."""
+    b = pages.select(F.col(page_col).alias("page"), F.posexplode(blocks("html", block)).alias("pos", "blk"))
+    cols = []
+    for name, where, pattern in attributes:
+        src = F.col("blk.tag") if where == "tag" else F.col("blk.body")
+        cols.append(nullif_empty(inner_text(_opt(src, pattern))).alias(name))
+    return b.select("page", "pos", *cols)

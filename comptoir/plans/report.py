@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._util import number_text
+from ..functions.text import bullet_list
 from ..functions.text import run_id as run_id_of
 from ..operators.aggregates import numeric_stats
 
@@ -77,3 +78,39 @@ def report_lines(stats: DataFrame) -> DataFrame:
     """Rendered report lines 'section.metric: value' ('N/A' for a missing value)."""
     return stats.select(F.concat(F.col("section"), F.lit("."), F.col("metric"), F.lit(": "),
                                  F.coalesce(F.col("value"), F.lit("N/A"))).alias("line"))
+
+
+def report_text(stats: DataFrame, categories: DataFrame, output_files: DataFrame,
+                title: str = "Scraping Report") -> DataFrame:
+    """The run's text report as one row ``text``: header, '- item' lists for the
+    categories scraped and the output files, product/price/review statistics with
+    'N/A' for missing values. ``categories`` (category) and ``output_files``
+    (path) are small run-level tables; all inputs are aggregated rows."""
+    def val(section, metric, default="N/A"):
+        return F.coalesce(F.max(F.when((F.col("section") == section) & (F.col("metric") == metric),
+                                       F.col("value"))), F.lit(default))
+    cat_counts = F.array_join(F.transform(
+        F.array_sort(F.collect_list(F.when(F.col("section") == "products.categories",
+                                           F.struct("metric", "value")))),
+        lambda e: F.concat(F.lit("  - "), e["metric"], F.lit(": "), e["value"])), "\n")
+    s = stats.agg(val("run", "run_id").alias("run_id"), val("run", "timestamp").alias("ts"),
+                  val("products", "total_products", "0").alias("tp"), cat_counts.alias("cats"),
+                  val("products.price_stats", "min").alias("pmin"), val("products.price_stats", "max").alias("pmax"),
+                  val("products.price_stats", "mean").alias("pmean"),
+                  val("products.price_stats", "median").alias("pmed"),
+                  val("reviews", "total_reviews", "0").alias("tr"), val("reviews", "average_rating").alias("ar"))
+    c = categories.agg(bullet_list(F.array_sort(F.collect_list("category"))).alias("scraped"))
+    o = output_files.agg(bullet_list(F.array_sort(F.collect_list("path"))).alias("files"))
+    row = s.select("*", c.scalar().alias("scraped"), o.scalar().alias("files"))
+    text = F.concat(
+        F.lit(title + "\n" + "=" * 20 + "\nRun ID: "), F.col("run_id"), F.lit("\nTimestamp: "), F.col("ts"),
+        F.lit("\n\nCategories Scraped:\n"), F.col("scraped"),
+        F.lit("\n\nProduct Statistics:\n" + "-" * 17 + "\nTotal Products: "), F.col("tp"),
+        F.lit("\nCategories: "), F.col("cats"),
+        F.lit("\n\nPrice Statistics:\n" + "-" * 15 + "\nMin Price: "), F.col("pmin"),
+        F.lit("\nMax Price: "), F.col("pmax"), F.lit("\nAverage Price: "), F.col("pmean"),
+        F.lit("\nMedian Price: "), F.col("pmed"),
+        F.lit("\n\nReview Statistics:\n" + "-" * 16 + "\nTotal Reviews: "), F.col("tr"),
+        F.lit("\nAverage Rating: "), F.col("ar"),
+        F.lit("\n\nOutput Files:\n" + "-" * 12 + "\n"), F.col("files"), F.lit("\n"))
+    return row.select(text.alias("text"))

@@ -74,6 +74,17 @@ O["max_page"] = with_fx(
     "UNION ALL SELECT p_partkey, greatest(1, p_size), true FROM part", "fx_product_pages")
 
 
+def q_config_extract_category(spark, sf):
+    """Category-page attribute map of the configuration applied to every result block."""
+    return X.config_extract_blocks(listing_pages(spark, sf))
+
+
+O["config_extract_category"] = (
+    f"SELECT p_partkey AS page, 0 AS pos, 'B' || {K_SQL} AS asin, CASE WHEN p_partkey % 7 = 0 THEN p_name || ' & co' "
+    "ELSE p_name END AS title, '£' || format('{:,.2f}', p_retailprice) AS price FROM part "
+    "UNION ALL SELECT p_partkey, 1, NULL, NULL, NULL FROM part UNION ALL SELECT p_partkey, 2, NULL, NULL, NULL FROM part")
+
+
 # ------------------------------------------------------------------------ specs
 def _spec_pages(spark, sf):
     fxp = fx(spark, sf, "fx_product_pages").select("page_id", "url", "html", F.lit("fx").alias("source"))

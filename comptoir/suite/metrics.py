@@ -187,6 +187,39 @@ def q_run_report(spark, sf):
 
 O["run_report"] = f"SELECT section || '.' || metric || ': ' || coalesce(value, 'N/A') AS line FROM ({STATS_SQL}) s"
 
+def q_run_report_text(spark, sf):
+    """Text report of the run: scraped categories and output files as '- item' lists."""
+    prods = _products(spark, sf)
+    cats = prods.select("category").filter(F.col("category").isNotNull()).distinct()
+    files = cats.select(F.concat(F.lit("data/products_"), F.col("category"), F.lit(".csv")).alias("path"))
+    return R.report_text(_stats(spark, sf), cats, files)
+
+
+def _report_sql():
+    def v(section, metric, default="'N/A'"):
+        return f"coalesce(max(CASE WHEN section = '{section}' AND metric = '{metric}' THEN value END), {default})"
+    nl = "chr(10)"
+    cat_rows = ("(SELECT DISTINCT {fix} AS category FROM fx_product_info1 p1 JOIN fx_product_info2 p2 ON p1.asin = p2.asin "
+                "WHERE {fix} IS NOT NULL)").format(fix=S.fix_processor("p1.processor_type"))
+    return with_fx(
+        f"WITH c AS {cat_rows}, "
+        f"scr AS (SELECT string_agg('- ' || category, {nl} ORDER BY category) AS scraped, "
+        f"string_agg('- data/products_' || category || '.csv', {nl} ORDER BY 'data/products_' || category || '.csv') AS files FROM c) "
+        f"SELECT 'Scraping Report' || {nl} || '{'=' * 20}' || {nl} || 'Run ID: ' || {v('run', 'run_id')} || {nl} || 'Timestamp: ' || {v('run', 'timestamp')} "
+        f"|| {nl} || {nl} || 'Categories Scraped:' || {nl} || (SELECT scraped FROM scr) "
+        f"|| {nl} || {nl} || 'Product Statistics:' || {nl} || '{'-' * 17}' || {nl} || 'Total Products: ' || {v('products', 'total_products', chr(39) + '0' + chr(39))} "
+        f"|| {nl} || 'Categories: ' || coalesce(string_agg(CASE WHEN section = 'products.categories' THEN '  - ' || metric || ': ' || value END, {nl} ORDER BY metric, value), '') "
+        f"|| {nl} || {nl} || 'Price Statistics:' || {nl} || '{'-' * 15}' || {nl} || 'Min Price: ' || {v('products.price_stats', 'min')} "
+        f"|| {nl} || 'Max Price: ' || {v('products.price_stats', 'max')} || {nl} || 'Average Price: ' || {v('products.price_stats', 'mean')} "
+        f"|| {nl} || 'Median Price: ' || {v('products.price_stats', 'median')} "
+        f"|| {nl} || {nl} || 'Review Statistics:' || {nl} || '{'-' * 16}' || {nl} || 'Total Reviews: ' || {v('reviews', 'total_reviews', chr(39) + '0' + chr(39))} "
+        f"|| {nl} || 'Average Rating: ' || {v('reviews', 'average_rating')} "
+        f"|| {nl} || {nl} || 'Output Files:' || {nl} || '{'-' * 12}' || {nl} || (SELECT files FROM scr) || {nl} AS text "
+        f"FROM ({STATS_SQL}) st", "fx_product_info1", "fx_product_info2")
+
+
+O["run_report_text"] = _report_sql()
+
 for _k, _v in list(globals().items()):
     if _k.startswith("q_"):
         Q[_k[2:]] = _v

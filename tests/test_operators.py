@@ -201,3 +201,11 @@ def test_missing_column_errors(spark):
     with pytest.raises(ValueError):
         C.rename_cols(df, {"zz": "y"})
     assert isinstance(pd.DataFrame(), pd.DataFrame)
+
+
+def test_tokens_with_lemma_table(spark):
+    docs = spark.createDataFrame([(1, "Les chats mangent vite")], "doc_id int, comment string")
+    lemmas = spark.createDataFrame([("chats", "chat", "NOUN"), ("mangent", "manger", "VERB"), ("vite", "vite", "ADV")],
+                                   "form string, lemma string, pos string")
+    out = TX.tokens_clean(docs, lemmas=lemmas)
+    assert rows(out, "token") == [("chat",), ("manger",)]

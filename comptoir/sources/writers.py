@@ -35,11 +35,12 @@ def export_json(df: DataFrame, path: str) -> str:
 def export_partitioned(df: DataFrame, path: str, partition_by, fmt: str = "parquet") -> str:
     """Keyed export (object-store layout ``key=value/part-*``).
 
-    Rows are first clustered by the partition keys so each task writes few
-    files; ``rebalance`` lets AQE split hot keys instead of one huge task.
+    Rows are clustered by the partition keys so each task writes few files.
+    The ``rebalance`` hint (not ``repartition``) lets AQE split a hot key's
+    partition into several tasks instead of one task writing a third of the data.
     """
     keys = [partition_by] if isinstance(partition_by, str) else list(partition_by)
-    (df.repartition(*[F.col(k) for k in keys])
+    (df.hint("rebalance", *keys)
      .write.mode("overwrite").partitionBy(*keys).format(fmt).save(path))
     return path
 

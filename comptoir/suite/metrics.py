@@ -97,8 +97,8 @@ def q_success_rate(spark, sf):
 
 _RATE = "CASE WHEN count(*) > 0 THEN round((1 - count_if(kind = 'error') / count(*)) * 100, 2) ELSE 0.0 END"
 O["success_rate"] = with_fx(
-    f"SELECT category, count(*) AS requests, count_if(kind = 'error') AS errors, {_RATE} AS success_rate FROM {FXM} GROUP BY category "
-    f"UNION ALL SELECT 'all', count(*), count_if(kind = 'error'), {_RATE} FROM {FXM}", FXM)
+    f"SELECT category, count(*) AS requests, CAST(count_if(kind = 'error') AS BIGINT) AS errors, {_RATE} AS success_rate FROM {FXM} GROUP BY category "
+    f"UNION ALL SELECT 'all', count(*), CAST(count_if(kind = 'error') AS BIGINT), {_RATE} FROM {FXM}", FXM)
 
 
 def q_alert_windows(spark, sf):
@@ -108,7 +108,7 @@ def q_alert_windows(spark, sf):
 
 O["alert_windows"] = with_fx(
     "SELECT window_start, requests, errors, error_rate_pct, alerts FROM (SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, "
-    "count(*) AS requests, count_if(kind = 'error') AS errors, round(count_if(kind = 'error') * 100.0 / count(*), 4) AS error_rate_pct, "
+    "count(*) AS requests, CAST(count_if(kind = 'error') AS BIGINT) AS errors, round(count_if(kind = 'error') * 100.0 / count(*), 4) AS error_rate_pct, "
     "concat_ws(',', CASE WHEN round(count_if(kind = 'error') * 100.0 / count(*), 4) > 5.0 THEN 'error_rate' END, "
     f"CASE WHEN count(*) < 100 THEN 'throughput' END) AS alerts FROM (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS w FROM {FXM}) t "
     "GROUP BY w) x WHERE alerts <> ''", FXM)

@@ -47,13 +47,16 @@ FACET_VALUE = r'<span class="a-size-base a-color-base">([^<]*)<'
 REVIEW_BLOCK = '<div data-hook="review"'
 REVIEW_BLOCK_FALLBACK = r'<div id="[^"]*-review-card"'
 REVIEW_PROFILE = r'<a class="a-profile"[^>]*>\s*<span class="a-profile-name">([^<]*)<'
-REVIEW_STARS = r'(?s)<i [^>]*data-hook="review-star-rating"[^>]*>(.*?)</i>'
+# Review fields are keyed by their data-hook attribute; the patterns start with
+# that attribute (a long literal, so the matcher skips ahead instead of trying
+# every '<'), then take the content up to the element's closing tag.
+REVIEW_STARS = r'(?s)data-hook="review-star-rating"[^>]*>(.*?)</i>'
 REVIEW_STAR_CLASS = r'class="([^"]*a-star-[^"]*)"'
-REVIEW_TITLE = r'(?s)<a [^>]*data-hook="review-title"[^>]*>(.*?)</a>'
-REVIEW_DATE = r'(?s)<span [^>]*data-hook="review-date"[^>]*>(.*?)</span>'
+REVIEW_TITLE = r'(?s)data-hook="review-title"[^>]*>(.*?)</a>'
+REVIEW_DATE = r'(?s)data-hook="review-date"[^>]*>(.*?)</span>'
 REVIEW_BADGE = 'data-hook="avp-badge"'
-REVIEW_BODY = r'(?s)<span [^>]*data-hook="review-body"[^>]*>(.*?)</span>'
-REVIEW_HELPFUL = r'(?s)<span [^>]*data-hook="helpful-vote-statement"[^>]*>(.*?)</span>'
+REVIEW_BODY = r'(?s)data-hook="review-body"[^>]*>(.*?)</span>'
+REVIEW_HELPFUL = r'(?s)data-hook="helpful-vote-statement"[^>]*>(.*?)</span>'
 PAGE_TITLE = r"(?s)<title[^>]*>(.*?)</title>"
 PAGE_H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
 PAGE_LINK = r'<a [^>]*href="([^"]*)"'
@@ -83,15 +86,19 @@ ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nb
 
 
 def unescape(c) -> Column:
+    """Decode the entities above; values without '&' pass through untouched."""
     x = as_col(c)
+    y = x
     for a, b in ENTITIES:
-        x = F.replace(x, F.lit(a), F.lit(b))
-    return x
+        y = F.replace(y, F.lit(a), F.lit(b))
+    return F.when(x.contains("&"), y).otherwise(x)
 
 
 def inner_text(c) -> Column:
     """Text content of an HTML fragment: tags removed, entities decoded, stripped."""
-    return strip_ws(unescape(F.regexp_replace(as_col(c), TAG, "")))
+    x = as_col(c)
+    no_tags = F.when(x.contains("<"), F.regexp_replace(x, TAG, "")).otherwise(x)
+    return strip_ws(unescape(no_tags))
 
 
 def _opt(c: Column, pattern: str, group: int = 1) -> Column:
@@ -100,8 +107,16 @@ def _opt(c: Column, pattern: str, group: int = 1) -> Column:
 
 
 def _match(c: Column, pattern: str) -> Column:
-    """Whole first match of ``pattern`` (never '' for our patterns) or NULL: one scan."""
-    return nullif_empty(F.regexp_extract(c, pattern, 0))
+    """Whole first match of ``pattern`` or NULL (``regexp_substr``: one scan, one call)."""
+    return F.regexp_substr(c, F.lit(pattern))
+
+
+def _content(m: Column, close: str) -> Column:
+    """Content of a whole match ``<attr...>(content)<close>`` of an attribute-first
+    pattern: after the first '>' (the tag's end, since the tag part is [^>]*)
+    and before the closing tag that ends the match. String functions, no regex."""
+    start = F.instr(m, ">") + 1
+    return F.when(m.isNotNull(), F.substring(m, start, F.length(m) - F.lit(len(close)) - start + 1))
 
 
 def _group(m: Column, pattern: str, group: int = 1) -> Column:
@@ -237,9 +252,10 @@ def extract_reviews(pages: DataFrame, asin=None, page_col: str = "page_id") -> D
     """Review blocks (primary selector, else the fallback card selector) -> the nine
     review fields with the reference's defaults, one row per block in page order.
 
-    Staged projections: each field's match is computed once per block and
-    kept as a column, so the later rules (defaults, date/location split) reuse
-    it instead of re-running the page regex inside every CASE branch.
+    Staged projections: each field's match is computed once per block and kept
+    as a column, so the later rules (defaults, date/location split) reuse it
+    instead of re-running the block regex inside every CASE branch. The
+    star-class fallback is only searched in blocks without a rating element.
     """
     from ..functions.url import asin_from_url
     a = asin_from_url("url") if asin is None else as_col(asin)
@@ -248,19 +264,20 @@ def extract_reviews(pages: DataFrame, asin=None, page_col: str = "page_id") -> D
     b = (pages.select(F.col(page_col).alias("page"), a.alias("asin"), F.posexplode(blk).alias("pos", "blk"))
          .select("page", "pos", "asin", F.col("blk.body").alias("body")))
     body = F.col("body")
-    m = b.select("page", "pos", "asin",
+    m = b.select("page", "pos", "asin", "body",
                  _match(body, REVIEW_PROFILE).alias("m_profile"), _match(body, REVIEW_STARS).alias("m_stars"),
-                 _match(body, REVIEW_STAR_CLASS).alias("m_class"), _match(body, REVIEW_TITLE).alias("m_title"),
-                 _match(body, REVIEW_DATE).alias("m_date"), _match(body, REVIEW_BODY).alias("m_body"),
-                 _match(body, REVIEW_HELPFUL).alias("m_helpful"), body.contains(REVIEW_BADGE).alias("verified_purchase"))
+                 _match(body, REVIEW_TITLE).alias("m_title"), _match(body, REVIEW_DATE).alias("m_date"),
+                 _match(body, REVIEW_BODY).alias("m_body"), _match(body, REVIEW_HELPFUL).alias("m_helpful"),
+                 body.contains(REVIEW_BADGE).alias("verified_purchase"))
+    profile_name = F.substring_index(F.substring_index(F.col("m_profile"), 'class="a-profile-name">', -1), "<", 1)
     t = m.select("page", "pos", "asin", "verified_purchase",
-                 strip_ws(unescape(_group(F.col("m_profile"), REVIEW_PROFILE))).alias("reviewer"),
-                 inner_text(_group(F.col("m_stars"), REVIEW_STARS)).alias("stars"),
-                 _group(F.col("m_class"), REVIEW_STAR_CLASS).alias("star_class"),
-                 inner_text(_group(F.col("m_title"), REVIEW_TITLE)).alias("title"),
-                 inner_text(_group(F.col("m_date"), REVIEW_DATE)).alias("date_text"),
-                 inner_text(_group(F.col("m_body"), REVIEW_BODY)).alias("comment"),
-                 inner_text(_group(F.col("m_helpful"), REVIEW_HELPFUL)).alias("helpful"))
+                 strip_ws(unescape(profile_name)).alias("reviewer"),
+                 inner_text(_content(F.col("m_stars"), "</i>")).alias("stars"),
+                 F.when(F.col("m_stars").isNull(), _opt(body, REVIEW_STAR_CLASS)).alias("star_class"),
+                 inner_text(_content(F.col("m_title"), "</a>")).alias("title"),
+                 inner_text(_content(F.col("m_date"), "</span>")).alias("date_text"),
+                 inner_text(_content(F.col("m_body"), "</span>")).alias("comment"),
+                 inner_text(_content(F.col("m_helpful"), "</span>")).alias("helpful"))
     return t.select(
         "page", "pos", "asin",
         F.coalesce("reviewer", F.lit(DEFAULT_REVIEWER)).alias("reviewer"),

@@ -62,9 +62,10 @@ def histogram(df: DataFrame, x: str, bins: int, weight=None) -> DataFrame:
     """
     v = F.col(x)
     data = df.filter(v.isNotNull())
-    # min / max as scalar subqueries: computed once, inlined into both plans.
-    lo = data.agg(F.min(x)).scalar()
-    hi = data.agg(F.max(x)).scalar()
+    # min and max in one scalar subquery; both references share it (subquery reuse),
+    # so the input is aggregated once for the bounds and once for the counts.
+    b = data.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    lo, hi = b["lo"], b["hi"]
     nb = F.when(hi == lo, F.lit(1)).otherwise(F.lit(bins))
     width = (hi - lo) / bins
     idx = F.when(hi == lo, F.lit(1)).otherwise(

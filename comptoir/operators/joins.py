@@ -49,21 +49,23 @@ def _checked_small(df: DataFrame, max_rows: int) -> bool:
 
 def range_join(df: DataFrame, value: Column, ranges: DataFrame, lo: str, hi: str,
                how: str = "left", max_broadcast_rows: int = 10_000,
-               bucket_width: float | None = None) -> DataFrame:
+               bucket_width: float | None = None, known_rows: int | None = None) -> DataFrame:
     """``df LEFT JOIN ranges ON value BETWEEN lo AND hi``.
 
     Small range tables (row count checked) are broadcast: a nested-loop join
     against a handful of rows, no shuffle of ``df``. Larger ones go through a
     bucketed equi-join: each range is expanded to the buckets it covers and
     the residual BETWEEN is applied per bucket, so both sides shuffle on the
-    bucket id instead of building a cross product.
+    bucket id instead of building a cross product. ``known_rows`` states the
+    size of a constant range table so the count job can be skipped.
     """
     if how not in ("left", "inner"):
         raise ValueError("range_join supports 'left' and 'inner'")
     v = "__rj_value"
     left = df.withColumn(v, value)
     cond_cols = [F.col(v) >= F.col(f"__r.{lo}"), F.col(v) <= F.col(f"__r.{hi}")]
-    if bucket_width is None and _checked_small(ranges, max_broadcast_rows):
+    small = (known_rows <= max_broadcast_rows) if known_rows is not None else None
+    if bucket_width is None and (small if small is not None else _checked_small(ranges, max_broadcast_rows)):
         r = F.broadcast(ranges.alias("__r"))
         out = left.alias("__l").join(r, cond_cols[0] & cond_cols[1], how)
         return out.select("__l.*", *[F.col(f"__r.{c}") for c in ranges.columns
@@ -80,13 +82,16 @@ def range_join(df: DataFrame, value: Column, ranges: DataFrame, lo: str, hi: str
                                  if c not in df.columns]).drop(v, b)
 
 
-def price_class_join(full: DataFrame, bands: DataFrame, price_col: str = "prix",
+def price_class_join(full: DataFrame, bands: DataFrame | None = None, price_col: str = "prix",
                      strict: bool = False) -> DataFrame:
-    """``f.*, c.classe`` with the band picked on the integer-rounded price."""
-    from ..functions.price import parse_price_number
+    """``f.*, c.classe`` with the band picked on the integer-rounded price.
+    ``bands=None`` uses the built-in three-row dimension (size known, no check)."""
+    from ..functions.price import PRICE_BANDS, parse_price_number, price_bands
+    known = len(PRICE_BANDS) if bands is None else None
+    bands = price_bands(full.sparkSession) if bands is None else bands
     value = parse_price_number(price_col, strict).cast("double")
     return range_join(full, value, bands.select("classe", "prix_min", "prix_max"),
-                      "prix_min", "prix_max", "left").drop("prix_min", "prix_max")
+                      "prix_min", "prix_max", "left", known_rows=known).drop("prix_min", "prix_max")
 
 
 def sentiment_left_join(products: DataFrame, sentiments: DataFrame, key: str = "asin",

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.price import price_bands
 from ..functions.storage import storage_gb
 from ..operators.joins import full_product_info, price_class_join
 
@@ -32,8 +31,6 @@ def normalise_products(full: DataFrame, strict: bool = False) -> DataFrame:
 def price_segmentation(p1: DataFrame, p2: DataFrame, review: DataFrame,
                        bands: DataFrame | None = None, strict: bool = False) -> DataFrame:
     """full_product_info_classe: product x review rows with normalised columns and classe."""
-    spark = p1.sparkSession
-    bands = bands if bands is not None else price_bands(spark)
     full = normalise_products(full_product_info(p1, p2, review), strict)
     return price_class_join(full, bands, "prix", strict)
 
@@ -49,8 +46,6 @@ def segment_class_counts(p1: DataFrame, p2: DataFrame, review: DataFrame,
     review: reviews are counted per asin first (map-side combine, so a product
     holding a third of all reviews costs one row per map task), then the
     per-product classes are joined to those counts and summed."""
-    spark = p1.sparkSession
-    bands = bands if bands is not None else price_bands(spark)
     prod = (p1.select("asin").join(p2.select("asin", "prix"), "asin"))
     classed = price_class_join(prod, bands, "prix", strict)
     per_asin = review.groupBy("asin").agg(F.count(F.lit(1)).alias("__n"))

@@ -158,7 +158,7 @@ O["parse_price_number"] = with_fx(
 def q_price_band_dim(spark, sf):
     """Band dimension joined to the product prices: products per band (SRC-08)."""
     p2 = fx(spark, sf, "fx_product_info2").select("asin", "prix")
-    banded = price_class_join(p2, price_bands(spark))
+    banded = price_class_join(p2)
     return (price_bands(spark).join(banded.groupBy("classe").agg(F.count(F.lit(1)).alias("n_products")),
                                     "classe", "left")
             .select("classe", "prix_min", "prix_max",

@@ -43,6 +43,12 @@ POSITIVE_ABOVE = 0.1
 NEGATIVE_BELOW = -0.1
 
 
+def _require(df: DataFrame, cols) -> None:
+    missing = [c for c in cols if c not in df.columns]
+    if missing:
+        raise ValueError(f"missing column(s) {missing}; has {df.columns}")
+
+
 def _checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
     """Broadcast hint only when the row count is within ``max_rows``."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
@@ -74,6 +80,7 @@ def tokens_clean(docs: DataFrame, text: str = "comment", keep=("doc_id",), stopw
     ``lemmas`` (form, lemma, pos) optionally maps tokens to lemmas and keeps
     only the parts of speech in ``pos_keep`` (tokens absent from it are dropped).
     """
+    _require(docs, [text, *keep])
     spark = docs.sparkSession
     sw = stopwords if stopwords is not None else stopword_table(spark)
     t = (docs.filter(F.col(text).isNotNull())
@@ -104,6 +111,7 @@ def polarity(docs: DataFrame, text: str = "comment", keep=("doc_id",), lexicon:
     one row before the shuffle, so no join back to the texts is needed.
     NULL text scores like the text 'nan' (no hits): 0.0.
     """
+    _require(docs, [text, *keep])
     spark = docs.sparkSession
     lx = lexicon if lexicon is not None else lexicon_table(spark)
     t = docs.select(*keep, F.explode_outer(tokens_of(F.coalesce(F.col(text), F.lit("nan")))).alias("token"))

@@ -250,6 +250,42 @@ O["extract_reviews"] = with_fx(
     "FROM r WHERE l_linenumber = 1", "fx_reviews")
 
 
+def q_review_ingest(spark, sf):
+    """New review pages -> drop pairs stored before 1996 -> first 50 per product."""
+    from ..plans.ingest import review_ingest
+    known = fx(spark, sf, "fx_reviews").filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
+    return review_ingest(review_pages(spark, sf), known, 50, page_col="page_key").select(
+        "page", "pos", "asin", "reviewer", "rating", "helpful_count")
+
+
+O["review_ingest"] = with_fx(
+    "WITH r AS (SELECT f.*, concat_ws('-', f.l_orderkey, f.l_linenumber, f.l_partkey, f.l_suppkey, "
+    "CAST(CAST(f.l_shipdate AS DATE) AS VARCHAR)) AS page FROM fx_reviews f), "
+    "ex AS (SELECT page, 0 AS pos, asin, CASE WHEN l_linenumber = 2 THEN 'Anonyme' ELSE reviewer END AS reviewer, "
+    r"coalesce(CAST(nullif(regexp_extract(rating_text, '(\d+\.\d+|\d+)', 1), '') AS DOUBLE), 0.0) AS rating, "
+    r"coalesce(TRY_CAST(nullif(regexp_extract(helpful_text, '(\d+)', 1), '') AS INTEGER), 0) AS helpful_count FROM r "
+    "UNION ALL SELECT page, 1, asin, 'Anonyme', 2.0, 0 FROM r WHERE l_linenumber = 1), "
+    "fresh AS (SELECT * FROM ex e WHERE NOT EXISTS (SELECT 1 FROM fx_reviews o WHERE o.l_shipdate < TIMESTAMP '1996-01-01' "
+    "AND o.asin = e.asin AND o.reviewer = e.reviewer)) "
+    "SELECT page, pos, asin, reviewer, rating, helpful_count FROM (SELECT *, row_number() OVER (PARTITION BY asin "
+    "ORDER BY page, pos) AS rn FROM fresh) t WHERE rn <= 50", "fx_reviews")
+
+
+def q_listing_ingest(spark, sf):
+    """Listing pages -> valid titles, ASINs not stored (pages <= 50 already scraped), first per ASIN."""
+    from ..plans.ingest import listing_ingest
+    known = fx(spark, sf, "fx_product_info2").filter(F.col("page").cast("int") <= 50).select("asin")
+    return listing_ingest(listing_pages(spark, sf), known).select("page", "pos", "asin", "titre", "prix")
+
+
+O["listing_ingest"] = with_fx(
+    "SELECT p_partkey AS page, 0 AS pos, 'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS asin, "
+    "CASE WHEN p_partkey % 7 = 0 THEN p_name || ' & co' ELSE p_name END AS titre, '£' || format('{:,.2f}', p_retailprice) AS prix "
+    "FROM part WHERE 'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') NOT IN (SELECT asin FROM fx_product_info2 WHERE CAST(page AS INTEGER) <= 50) "
+    "UNION ALL SELECT p_partkey, 1, 'C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X', p_brand, NULL FROM part",
+    "fx_product_info2")
+
+
 # ------------------------------------------------------------ declarative config
 def product_pages(spark, sf):
     p = table(spark, sf, "part")

@@ -207,3 +207,29 @@ def test_tokens_with_lemma_table(spark):
                                    "form string, lemma string, pos string")
     out = TX.tokens_clean(docs, lemmas=lemmas)
     assert rows(out, "token") == [("chat",), ("manger",)]
+
+
+def test_clean_compat_nan_text(spark):
+    df = spark.createDataFrame([(None, 1), ("", 2)], "s string, n int")
+    out = rows(C.clean_table(df, compat_nan_text=True))
+    assert out == [("", 2), ("nan", 1)]
+
+
+def test_text_column_gate(spark):
+    import pytest
+    docs = spark.createDataFrame([(1, "x")], "doc_id int, body string")
+    with pytest.raises(ValueError):
+        TX.tokens_clean(docs)
+    with pytest.raises(ValueError):
+        TX.polarity(docs)
+
+
+def test_review_ingest_cut_after_anti_join(spark):
+    from comptoir.plans.ingest import review_ingest
+    block = ('<div data-hook="review"><a class="a-profile"><span class="a-profile-name">{}</span></a>'
+             '<span data-hook="review-body">c</span></div>')
+    html = "".join(block.format(n) for n in ["old", "a", "b", "a"])
+    pages = spark.createDataFrame([(1, "https://x/dp/B000000001/", html)], "page_id long, url string, html string")
+    known = spark.createDataFrame([("B000000001", "old")], "asin string, reviewer string")
+    got = [(r.pos, r.reviewer) for r in review_ingest(pages, known, max_reviews=2).orderBy("pos").collect()]
+    assert got == [(1, "a"), (2, "b")]

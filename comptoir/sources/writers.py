@@ -32,6 +32,13 @@ def export_json(df: DataFrame, path: str) -> str:
     return path
 
 
+def export_json_document(doc: DataFrame, path: str) -> str:
+    """One JSON object per document row (nested structs and maps kept), e.g. the run
+    statistics document or one facets document per category page."""
+    doc.write.mode("overwrite").json(path)
+    return path
+
+
 def export_partitioned(df: DataFrame, path: str, partition_by, fmt: str = "parquet") -> str:
     """Keyed export (object-store layout ``key=value/part-*``).
 

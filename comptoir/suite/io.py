@@ -11,8 +11,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixtures import fx, table, with_fx
+from ..operators import extract as X
+from ..plans import report as R
 from ..sources import readers as RD
 from ..sources import writers as W
+from . import sqlbits as S
+from .extraction import FACETS_SQL, facet_pages
+from .metrics import _stats
 
 Q: dict = {}
 O: dict = {}
@@ -137,6 +142,26 @@ O["discover_files"] = ("SELECT 'csv' AS ext, count(*) AS rows, true AS found FRO
                        "UNION ALL SELECT 'json', count(*), true FROM customer")
 
 
+def q_export_facets_json(spark, sf):
+    """Nested facets documents (one per page) written as JSON, read back with their
+    schema and flattened: the rows must survive the trip."""
+    nested = X.facets_nested(X.extract_facets(facet_pages(spark, sf)))
+    path = W.export_json_document(nested, W.scratch_path(spark, "json/facets"))
+    back = RD.scan_json(spark, path, schema=nested.schema)
+    return X.facets_flatten(back)
+
+
+def q_export_statistics_json(spark, sf):
+    """Run statistics document written as JSON and read back (scalar leaves checked)."""
+    doc = R.run_statistics_doc(_stats(spark, sf))
+    path = W.export_json_document(doc, W.scratch_path(spark, "json/statistics"))
+    back = RD.scan_json(spark, path, schema=doc.schema)
+    return back.select(F.col("products.total_products").alias("total_products"),
+                       F.col("reviews.total_reviews").alias("total_reviews"),
+                       F.col("products.price_stats.median").alias("median_price"),
+                       F.size("reviews.rating_distribution").alias("n_ratings"), "run_id")
+
+
 def q_scan_reviews(spark, sf):
     r = fx(spark, sf, "fx_comments")
     path = W.scratch_path(spark, "reviews/comments")
@@ -146,6 +171,16 @@ def q_scan_reviews(spark, sf):
 
 O["scan_reviews"] = with_fx("SELECT asin, comment FROM fx_comments", "fx_comments")
 
+O["export_facets_json"] = f"SELECT page, category_name, item_pos, name, url, filter_key, filter_value FROM ({FACETS_SQL}) f"
+O["export_statistics_json"] = with_fx(
+    "SELECT (SELECT count(*) FROM fx_product_info1 p1 JOIN fx_product_info2 p2 ON p1.asin = p2.asin) AS total_products, "
+    "(SELECT count(*) FROM fx_reviews) AS total_reviews, "
+    f"(SELECT CAST({S.number_text('median(' + S.price_double('prix') + ')')} AS DOUBLE) FROM fx_product_info2) AS median_price, "
+    r"(SELECT CAST(count(DISTINCT coalesce(CAST(nullif(regexp_extract(rating_text, '(\d+\.\d+|\d+)', 1), '') AS DOUBLE), 0.0)) AS INTEGER) FROM fx_reviews) AS n_ratings, "
+    "(SELECT strftime(max(ts), '%Y%m%d_%H%M%S') FROM events) AS run_id",
+    "fx_product_info1", "fx_product_info2", "fx_reviews")
+
+
 for _k, _v in list(globals().items()):
     if _k.startswith("q_"):
         Q[_k[2:]] = _v

@@ -16,5 +16,5 @@ def nullif_empty(c: Column) -> Column:
 def number_text(x: Column) -> Column:
     """Shortest plain decimal text of a number: 1500.0 -> '1500', 512.5 -> '512.5',
     2.0E7 -> '20000000' (six decimals kept at most)."""
-    s = x.cast("decimal(38,6)").cast("string")
+    s = x.try_cast("decimal(38,6)").cast("string")  # out of range -> NULL, never an error
     return F.regexp_replace(s, r"\.?0+$", "")

@@ -26,4 +26,4 @@ def storage_gb_1024(c) -> Column:
     """Integer GB with TB x 1024, case-sensitive units: '2TB' -> 2048, '512 gb' -> NULL."""
     x = as_col(c)
     digits = nullif_empty(F.regexp_extract(x, r"[0-9]+", 0)).try_cast("bigint")
-    return F.when(x.like("%TB%"), digits * 1024).when(x.like("%GB%"), digits)
+    return F.when(x.like("%TB%"), F.try_multiply(digits, F.lit(1024))).when(x.like("%GB%"), digits)

@@ -18,7 +18,7 @@ def price_number(x: str) -> str:
 
 
 def number_text(x: str) -> str:
-    return f"regexp_replace(CAST(CAST({x} AS DECIMAL(38,6)) AS VARCHAR), '\\.?0+$', '')"
+    return f"regexp_replace(CAST(TRY_CAST({x} AS DECIMAL(38,6)) AS VARCHAR), '\\.?0+$', '')"
 
 
 def storage_gb(x: str) -> str:

@@ -105,3 +105,8 @@ def test_html_link_and_blank(spark):
 def test_run_id(spark):
     df = spark.sql("SELECT TIMESTAMP '2024-01-02 03:04:05' AS ts")
     assert df.select(TX.run_id("ts")).first()[0] == "20240102_030405"
+
+
+def test_lenient_storage_never_raises(spark):
+    assert one_col(spark, ["1e40TB", "99999999999999999999TB"], storage_gb) == [None, None]
+    assert one_col(spark, ["9999999999999999TB"], storage_gb_1024) == [None]

@@ -108,5 +108,5 @@ def test_run_id(spark):
 
 
 def test_lenient_storage_never_raises(spark):
-    assert one_col(spark, ["1e40TB", "99999999999999999999TB"], storage_gb) == [None, None]
+    assert one_col(spark, ["1e40TB", "99999999999999999999TB"], storage_gb) == [None, "99999999999999990000000 GB"]
     assert one_col(spark, ["9999999999999999TB"], storage_gb_1024) == [None]

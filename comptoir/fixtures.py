@@ -7,6 +7,8 @@ operators themselves are DataFrame code.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .session import prepare
@@ -71,13 +73,6 @@ SELECT doc_id, 'B' || lpad(CAST(doc_id % 200 AS STRING), 9, '0') AS asin,
   CASE WHEN doc_id % 37 = 0 THEN NULL ELSE text END AS comment FROM documents""",
 }
 
-# Views built on other views (order matters for WITH clauses).
-FX_DEPENDS = {
-    "fx_product_info1": (), "fx_product_info2": (), "fx_reviews": (),
-    "fx_product_pages": (), "fx_metric_samples": (), "fx_comments": (),
-}
-
-
 def with_fx(body: str, *names: str) -> str:
     """Prefix an oracle SQL body with the fixture views it needs as CTEs.
 
@@ -103,12 +98,16 @@ def register(spark: SparkSession, sf_dir: str, names=DRIVER_TABLES) -> None:
         table(spark, sf_dir, n).createOrReplaceTempView(n)
 
 
+_TABLE_REF = re.compile(r"\bFROM (part|lineitem|events|documents)\b")
+
+
 def fx(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture view as a DataFrame over the driver tables of ``sf_dir``.
 
-    The returned DataFrame is analysed immediately, so it keeps pointing at
-    ``sf_dir`` even if the temp views are later re-registered elsewhere.
+    The table names of the portable text are bound to DataFrames through
+    ``spark.sql(text, name=df)``, so no session-wide view is left behind.
     """
     prepare(spark)
-    register(spark, sf_dir, ("part", "lineitem", "events", "documents"))
-    return spark.sql(FX_SQL[name])
+    used = sorted(set(_TABLE_REF.findall(FX_SQL[name])))
+    text = _TABLE_REF.sub(lambda m: "FROM {" + m.group(1) + "}", FX_SQL[name].replace("{", "{{").replace("}", "}}"))
+    return spark.sql(text, **{t: table(spark, sf_dir, t) for t in used})

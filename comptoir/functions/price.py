@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..schemas import PRICE_CLASS
 from ._util import as_col
 
 # The price-band dimension (classe, prix_min, prix_max), in the
@@ -16,11 +17,7 @@ PRICE_BANDS = [
     ("Élevé", 1500.01, 1000000.0),
 ]
 
-BAND_SCHEMA = T.StructType([
-    T.StructField("classe", T.StringType()),
-    T.StructField("prix_min", T.DoubleType()),
-    T.StructField("prix_max", T.DoubleType()),
-])
+BAND_SCHEMA = PRICE_CLASS
 
 
 def _strip_currency(c: Column) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..fixtures import fx, table, with_fx
 from ..operators import extract as X
 from ..plans import report as R
+from ..schemas import PRODUCT_INFO2
 from ..sources import readers as RD
 from ..sources import writers as W
 from . import sqlbits as S
@@ -22,9 +23,8 @@ from .metrics import _stats
 Q: dict = {}
 O: dict = {}
 
-P2_COLS = ["asin", "nombre_avis", "prix", "page", "note", "url", "titre"]
-# Warehouse DDL of the second product table (positional CSV load).
-P2_DDL = T.StructType([T.StructField(c, T.StringType()) for c in P2_COLS])
+P2_DDL = PRODUCT_INFO2
+P2_COLS = P2_DDL.fieldNames()
 
 
 def q_sink_csv(spark, sf):

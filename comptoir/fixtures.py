@@ -89,7 +89,9 @@ def with_fx(body: str, *names: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one driver table (Parquet: column pruning and filter pushdown apply)."""
+    """Read one driver table (Parquet: column pruning and filter pushdown apply).
+    Applies the runtime settings first (UTC clock: NTZ -> TIMESTAMP casts stay exact)."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 

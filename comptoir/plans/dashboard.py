@@ -1,4 +1,4 @@
-"""Dashboard and recommender flows (viz): load, filters, panels, recommendation.
+"""Dashboard and recommender flows: load, filters, panels, recommendation.
 
 The dashboard frame of the reference is the segmented product x review table
 merged once more with the per-review sentiment file, so a product with n

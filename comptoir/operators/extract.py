@@ -270,14 +270,20 @@ def extract_reviews(pages: DataFrame, asin=None, page_col: str = "page_id") -> D
                  _match(body, REVIEW_BODY).alias("m_body"), _match(body, REVIEW_HELPFUL).alias("m_helpful"),
                  body.contains(REVIEW_BADGE).alias("verified_purchase"))
     profile_name = F.substring_index(F.substring_index(F.col("m_profile"), 'class="a-profile-name">', -1), "<", 1)
-    t = m.select("page", "pos", "asin", "verified_purchase",
-                 strip_ws(unescape(profile_name)).alias("reviewer"),
-                 inner_text(_content(F.col("m_stars"), "</i>")).alias("stars"),
-                 F.when(F.col("m_stars").isNull(), _opt(body, REVIEW_STAR_CLASS)).alias("star_class"),
-                 inner_text(_content(F.col("m_title"), "</a>")).alias("title"),
-                 inner_text(_content(F.col("m_date"), "</span>")).alias("date_text"),
-                 inner_text(_content(F.col("m_body"), "</span>")).alias("comment"),
-                 inner_text(_content(F.col("m_helpful"), "</span>")).alias("helpful"))
+    fields = {"stars": ("m_stars", "</i>"), "title": ("m_title", "</a>"), "date_text": ("m_date", "</span>"),
+              "comment": ("m_body", "</span>"), "helpful": ("m_helpful", "</span>")}
+    # Staged text clean-up (content -> tags removed -> entities decoded, trimmed): each
+    # stage reads the previous one's columns, so no step is re-evaluated per reference.
+    c = m.select("page", "pos", "asin", "verified_purchase", "body", "m_stars",
+                 profile_name.alias("reviewer"),
+                 *[_content(F.col(src), close).alias(name) for name, (src, close) in fields.items()])
+    c = c.select("page", "pos", "asin", "verified_purchase", "body", "m_stars", "reviewer",
+                 *[F.when(F.col(n).contains("<"), F.regexp_replace(F.col(n), TAG, "")).otherwise(F.col(n)).alias(n)
+                   for n in fields])
+    t = c.select("page", "pos", "asin", "verified_purchase",
+                 strip_ws(unescape("reviewer")).alias("reviewer"),
+                 *[strip_ws(unescape(n)).alias(n) for n in fields],
+                 F.when(F.col("m_stars").isNull(), _opt(F.col("body"), REVIEW_STAR_CLASS)).alias("star_class"))
     return t.select(
         "page", "pos", "asin",
         F.coalesce("reviewer", F.lit(DEFAULT_REVIEWER)).alias("reviewer"),

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import to_timestamp_lenient
 
-ROW = "__row"
+ROW = "__payload"
 
 
 def _keys(key) -> list[str]:

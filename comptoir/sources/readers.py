@@ -87,3 +87,19 @@ def discover_files(spark: SparkSession, root: str, extensions=("csv", "json")) -
     files = list_objects(spark, root)
     return (files.withColumn("ext", F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)))
             .withColumn("is_data", F.lower("name").rlike(pattern)))
+
+
+FILE_ORDER = ("__file", "__block", "__row")
+
+
+def with_file_order(scan: DataFrame) -> DataFrame:
+    """Add the physical row order of a file scan: (file path, split start, row id).
+
+    Must be applied directly on a file-source DataFrame, before any shuffle:
+    inside one split rows are read in file order and the row id grows with
+    them; the split start orders the splits of a file; the path orders files
+    (part files are numbered in write order).
+    """
+    return scan.select("*", F.col("_metadata.file_path").alias("__file"),
+                       F.col("_metadata.file_block_start").alias("__block"),
+                       F.monotonically_increasing_id().alias("__row"))

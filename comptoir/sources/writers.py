@@ -72,3 +72,21 @@ def write_report(report: DataFrame, path: str) -> str:
 def scratch_path(spark, name: str) -> str:
     shared_dir(spark)
     return new_subdir(spark, name)
+
+
+def deduplicate_file(spark, path: str, key, schema=None, fmt: str = "csv") -> str:
+    """Keep the last row per key in file order and write the result as a new
+    version next to the input (the input is left untouched). Returns the new path."""
+    from ..operators.dedupe import dedupe_keep_last
+    from .readers import FILE_ORDER, with_file_order
+    r = spark.read.format(fmt)
+    if fmt == "csv":
+        r = r.option("header", True).option("escape", '"').option("multiLine", True)
+    if schema is not None:
+        r = r.schema(schema)
+    scan = with_file_order(r.load(path))
+    out = dedupe_keep_last(scan, key, list(FILE_ORDER)).drop(*FILE_ORDER)
+    target = new_subdir(spark, "dedup")
+    w = out.write.mode("overwrite")
+    (w.option("header", True).csv(target) if fmt == "csv" else w.format(fmt).save(target))
+    return target

@@ -44,11 +44,28 @@ def q_dedupe_keep_last(spark, sf):
     return d.select("asin", "reviewer", "rating_text", *KEYS_OUT, _ship())
 
 
+def q_dedupe_csv_file(spark, sf):
+    """deduplicate a CSV table in place of the reference's file de-dup: keep the last
+    row per (asin, reviewer) in *file order* (rows written sorted, then read back)."""
+    from ..sources import writers as W
+    r = _reviews(spark, sf).select("asin", "reviewer", "rating_text", *KEYS_OUT, _ship(), *ORD[:1])
+    path = W.sink_csv(r.orderBy(*ORD).drop("l_shipdate"), W.scratch_path(spark, "csv/reviews_sorted"))
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("asin", "reviewer", "rating_text")]
+                          + [T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+                             T.StructField("l_partkey", T.LongType()), T.StructField("l_suppkey", T.LongType()),
+                             T.StructField("ship", T.StringType())])
+    out = W.deduplicate_file(spark, path, ["asin", "reviewer"], schema)
+    return spark.read.schema(schema).option("header", True).csv(out)
+
+
 O["dedupe_keep_last"] = with_fx(
     f"SELECT asin, reviewer, rating_text, {KEYS_OUT_SQL}, {SHIP_SQL} FROM (SELECT *, row_number() OVER "
     f"(PARTITION BY asin, reviewer ORDER BY {ORD_DESC_SQL}) AS rn FROM fx_reviews) t WHERE rn = 1", "fx_reviews")
 
 
+O["dedupe_csv_file"] = O["dedupe_keep_last"]
+
+
 def _batches(spark, sf):
     r = _reviews(spark, sf)
     b0 = r.filter(F.col("sentiment") == "Negative").select("asin", "reviewer", "rating_text", "sentiment", *ORD)

@@ -143,3 +143,21 @@ def test_window_alerts_append_mode(spark):
     got = [(str(r.window_start), r.requests, r.errors, r.alerts) for r in spark.read.parquet(out).collect()]
     # 00:00 window closed by the 05:00 event's watermark: 10/120 errors -> error_rate alert
     assert got == [("2024-01-01 00:00:00", 120, 10, "error_rate")]
+
+
+def test_file_order_survives_many_splits(spark):
+    """Keep-last in file order is exact even when files are cut into many small splits."""
+    from comptoir.operators.dedupe import dedupe_keep_last
+    n = 5000
+    df = spark.range(n).select((F.col("id") % 97).alias("k"), F.col("id").alias("v"))
+    path = new_subdir(spark, "order-csv")
+    df.orderBy("v").write.option("header", True).csv(path)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        scan = RD.with_file_order(spark.read.schema("k long, v long").option("header", True).csv(path))
+        assert scan.rdd.getNumPartitions() > 10
+        got = rows(dedupe_keep_last(scan, "k", list(RD.FILE_ORDER)), "k", "v")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(got) == [(k, max(v for v in range(n) if v % 97 == k)) for k in range(97)]

@@ -82,7 +82,8 @@ def _re_escape(s: str) -> str:
 
 
 def discover_files(spark: SparkSession, root: str, extensions=("csv", "json")) -> DataFrame:
-    """Recursive discovery of data files (case-insensitive extension) with totals per extension."""
+    """Recursive listing with the lower-cased extension and an ``is_data`` flag for the
+    wanted extensions (case-insensitive); count / filter it for the totals."""
     pattern = r"\.(" + "|".join(extensions) + r")$"
     files = list_objects(spark, root)
     return (files.withColumn("ext", F.lower(F.regexp_extract("name", r"\.([^.]+)$", 1)))

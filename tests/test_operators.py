@@ -233,3 +233,25 @@ def test_review_ingest_cut_after_anti_join(spark):
     known = spark.createDataFrame([("B000000001", "old")], "asin string, reviewer string")
     got = [(r.pos, r.reviewer) for r in review_ingest(pages, known, max_reviews=2).orderBy("pos").collect()]
     assert got == [(1, "a"), (2, "b")]
+
+
+def test_fix_processor_exact_case_insensitive(spark):
+    from comptoir.plans.segmentation import fix_processor
+    df = spark.createDataFrame([("aURES",), ("Aures",), ("xAures",), ("Aures ",), (None,)], "p string")
+    assert [r[0] for r in df.select(fix_processor("p")).collect()] == ["Autres", "Autres", "xAures", "Aures ", None]
+
+
+def test_median_exact_and_approx(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (3.0,), (10.0,)], "x double")
+    assert A.numeric_stats(df, "x").first().median == 2.5
+    assert A.numeric_stats(df, "x", exact_median=False).first().median == 2.0
+
+
+def test_recommend_order_nulls_last(spark):
+    from comptoir.plans.dashboard import recommend
+    dash = spark.createDataFrame(
+        [("a", "M", "t", None, "8", None, 4.5, "Bas", "Neutral", 1), ("b", "M", "t", None, "8", 10.0, 4.5, "Bas", "Neutral", 1),
+         ("c", "M", "t", None, "8", 5.0, 4.8, "Bas", "Neutral", 1), ("d", "M", "t", None, "8", 1.0, 3.9, "Bas", "Neutral", 1)],
+        "ASIN string, MANUFACTURER string, TITRE string, URL_INFO1 string, RAM string, PRIX double, NOTE double, "
+        "CLASSE string, sentiment string, n_rows long")
+    assert [r.ASIN for r in recommend(dash).collect()] == ["c", "b", "a"]

@@ -56,7 +56,8 @@ def scan_reviews(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
 def scan_pages(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Raw page corpus (page_id, url, html). ``fmt='text'`` reads one page per file."""
     if fmt == "text":
-        return (spark.read.option("wholetext", True).text(path)
+        # the argument, not .option(): text()'s own wholetext=False default would override it
+        return (spark.read.text(path, wholetext=True)
                 .select(F.col("_metadata.file_path").alias("url"), F.col("value").alias("html"))
                 .withColumn("page_id", F.xxhash64("url")))
     return spark.read.format(fmt).load(path)

@@ -161,3 +161,15 @@ def test_file_order_survives_many_splits(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted(got) == [(k, max(v for v in range(n) if v % 97 == k)) for k in range(97)]
+
+
+def test_scan_pages_one_page_per_file(spark):
+    path = new_subdir(spark, "html-files")
+    html = ["<html><title>a</title>\n<h1>x</h1></html>", "<html><title>b</title></html>", "<p>c</p>"]
+    spark.createDataFrame([(h,) for h in html], "value string").repartition(3).write.text(path)
+    pages = RD.scan_pages(spark, path, fmt="text")
+    got = sorted(r.html.rstrip("\n") for r in pages.collect())
+    assert got == sorted(html)
+    assert pages.select("page_id").distinct().count() == 3
+    titles = sorted(r.title for r in X.page_fields(pages).collect() if r.title)
+    assert titles == ["a", "b"]

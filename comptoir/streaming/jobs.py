@@ -71,8 +71,29 @@ def latest_version(spark: SparkSession, base: str) -> str | None:
     return best[1] if best else None
 
 
-def upsert_snapshot_batch(base: str, key: str, ts_col: str, tie_break=()):
-    """foreachBatch function: snapshot(v-1) + batch -> newest per key -> snapshot(v)."""
+def _versions(spark: SparkSession, base: str):
+    fs, p = _fs(spark, base)
+    if not fs.exists(p):
+        return fs, []
+    out = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("v="):
+            out.append((int(name[2:]), st.getPath()))
+    return fs, sorted(out)
+
+
+def prune_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
+    """Delete all but the newest ``keep`` snapshot versions (older readers of the
+    previous version stay valid while ``keep`` >= 2)."""
+    fs, vs = _versions(spark, base)
+    for _, path in vs[:-keep] if keep > 0 else []:
+        fs.delete(path, True)
+
+
+def upsert_snapshot_batch(base: str, key: str, ts_col: str, tie_break=(), keep_versions: int = 2):
+    """foreachBatch function: snapshot(v-1) + batch -> newest per key -> snapshot(v);
+    then only the newest ``keep_versions`` versions are kept."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = latest_version(spark, base)
@@ -87,6 +108,7 @@ def upsert_snapshot_batch(base: str, key: str, ts_col: str, tie_break=()):
             snap = spark.read.parquet(prev)
             merged = DD.incremental_update(snap, batch, key, ts_col, tie_break, prefer_source=False)
         merged.write.mode("overwrite").parquet(target)
+        prune_versions(spark, base, keep_versions)
     return run
 
 
@@ -112,12 +134,13 @@ def run_available(query_writer, checkpoint: str, timeout_s: int = 600):
     return q
 
 
-def complete_to_parquet(base: str):
+def complete_to_parquet(base: str, keep_versions: int = 2):
     """foreachBatch function for complete-mode results: each batch writes the whole
     result table as a new version ``base/v=<batch>``; readers take
     :func:`latest_version`, so a failed write never hides the previous result."""
     def run(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{base}/v={batch_id:012d}")
+        prune_versions(batch.sparkSession, base, keep_versions)
     return run
 
 

@@ -173,3 +173,18 @@ def test_scan_pages_one_page_per_file(spark):
     assert pages.select("page_id").distinct().count() == 3
     titles = sorted(r.title for r in X.page_fields(pages).collect() if r.title)
     assert titles == ["a", "b"]
+
+
+def test_snapshot_versions_are_pruned(spark):
+    df = spark.range(0, 400).select((F.col("id") % 50).alias("product_id"),
+                                    F.timestamp_seconds(F.col("id") * 60).alias("last_updated"), F.col("id").alias("v"))
+    src = new_subdir(spark, "snap-src")
+    df.repartition(6).write.parquet(src)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(src)
+    base = new_subdir(spark, "snap")
+    S.run_available(stream.writeStream.foreachBatch(S.upsert_snapshot_batch(base, "product_id", "last_updated", ["v"])),
+                    new_subdir(spark, "snap-ckpt"))
+    _, versions = S._versions(spark, base)
+    assert len(versions) == 2
+    snap = spark.read.parquet(S.latest_version(spark, base))
+    assert rows(snap, "product_id", "v") == rows(df.groupBy("product_id").agg(F.max("v").alias("v")))

@@ -1,22 +1,25 @@
 """De-duplication, merge, upsert and incremental update (WIN-01/02, SET-01..04, SRT-07).
 
 Spark rows have no file order, so "keep last" always takes explicit order
-columns (file number, row number, timestamp, ...). The winners are picked
-with ``max(struct(order..., row))`` per key: an aggregate with partial
-(map-side) combine, so a key holding a third of all rows is reduced inside
-each map task before the shuffle and never lands whole in one task.
+columns (file number, row number, timestamp, ...). The winner per key is
+``row_number() = 1`` over the order: Spark plans it with a *partial*
+WindowGroupLimit in every map task before the shuffle, so a key holding a
+third of all rows ships one row per map task and never lands whole in one
+task. Remaining payload columns break exact ties, so the pick is deterministic.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.text import to_timestamp_lenient
 
-ROW = "__payload"
+_ORDERABLE = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType,
+              T.TimestampNTZType, T.BinaryType)
 
 
 def _keys(key) -> list[str]:
@@ -24,14 +27,16 @@ def _keys(key) -> list[str]:
 
 
 def pick_per_key(df: DataFrame, key, order: list[Column], last: bool = True) -> DataFrame:
-    """One row per key: the greatest (``last``) or least by ``order``.
+    """One row per key: the greatest (``last``) or least by ``order``; NULL ranks lowest.
 
     NULL keys form one group (pandas ``drop_duplicates`` semantics).
     """
     keys = _keys(key)
-    packed = F.struct(*order, F.struct(*[F.col(c) for c in df.columns]).alias(ROW))
-    agg = F.max(packed) if last else F.min(packed)
-    return df.groupBy(*keys).agg(agg.alias("__m")).select(f"__m.{ROW}.*")
+    ties = [F.col(f.name) for f in df.schema.fields
+            if f.name not in keys and isinstance(f.dataType, _ORDERABLE)]
+    sort = [(c.desc_nulls_last() if last else c.asc_nulls_first()) for c in list(order) + ties]
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*sort)
+    return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 
 def dedupe_keep_last(df: DataFrame, key, order_cols) -> DataFrame:

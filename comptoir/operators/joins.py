@@ -125,17 +125,10 @@ def isin_filter(df: DataFrame, col, values) -> DataFrame:
 
 def first_per_key(df: DataFrame, key: str, order_cols) -> DataFrame:
     """In-batch first wins per non-null key; rows with NULL key are all kept (JN-07).
-
-    Implemented as min(struct(order, row)) per key: partial aggregation runs
-    before the shuffle, so a hot key costs one row per map task.
-    """
-    order_cols = list(order_cols)
-    payload = [c for c in df.columns]
+    Same plan as keep-last: partial top-1 per map task before the shuffle."""
+    from .dedupe import pick_per_key
     keyed = df.filter(F.col(key).isNotNull())
-    best = (keyed.groupBy(key)
-            .agg(F.min(F.struct(*[F.col(c) for c in order_cols],
-                                 F.struct(*payload).alias("__row"))).alias("__m"))
-            .select("__m.__row.*"))
+    best = pick_per_key(keyed, key, [F.col(c) for c in order_cols], last=False)
     return best.unionByName(df.filter(F.col(key).isNull()))
 
 

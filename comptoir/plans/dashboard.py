@@ -50,6 +50,7 @@ def dashboard_load(p1: DataFrame, p2: DataFrame, reviews: DataFrame, sentiments:
                    mode: str = "fanout", class_null_label: str = "nan") -> DataFrame:
     """The dashboard frame: ASIN, MANUFACTURER, TITRE, URL_INFO1, RAM, PRIX, NOTE, CLASSE,
     sentiment, n_rows (multiplicity). Rows without price or note are dropped."""
+    same_source = sentiments is None
     sentiments = reviews if sentiments is None else sentiments
     prod = product_table(p1, p2)
     base = (prod.select(F.col("asin").alias("ASIN"), F.col("manufacturer").alias("MANUFACTURER"),
@@ -61,7 +62,10 @@ def dashboard_load(p1: DataFrame, p2: DataFrame, reviews: DataFrame, sentiments:
     per_sent = (sentiments.groupBy(F.col("asin").alias("ASIN"), "sentiment")
                 .agg(F.count(F.lit(1)).alias("__c")))
     if mode == "fanout":
-        per_prod = reviews.groupBy(F.col("asin").alias("ASIN")).agg(F.count(F.lit(1)).alias("__k"))
+        # reviews per product: from the per-sentiment counts when both come from the same
+        # table (one scan and one shuffle of the review fact instead of two)
+        per_prod = (per_sent.groupBy("ASIN").agg(F.sum("__c").alias("__k")) if same_source
+                    else reviews.groupBy(F.col("asin").alias("ASIN")).agg(F.count(F.lit(1)).alias("__k")))
         d = base.join(per_prod, "ASIN").join(per_sent, "ASIN", "left")
         return (d.withColumn("sentiment", F.coalesce("sentiment", F.lit("Neutral")))
                 .withColumn(WEIGHT, (F.col("__k") * F.coalesce("__c", F.lit(1))).cast("bigint"))

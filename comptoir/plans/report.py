@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..functions._util import number_text
 from ..functions.text import bullet_list
 from ..functions.text import run_id as run_id_of
-from ..operators.aggregates import numeric_stats
 
 
 def _num(c) -> Column:
@@ -31,14 +30,22 @@ def _row(df: DataFrame, section: str, metric, value) -> DataFrame:
 
 def run_statistics(products: DataFrame, reviews: DataFrame, run_ts: Column | None = None,
                    price: str = "price", category: str = "category", rating: str = "rating") -> DataFrame:
-    """Long-form statistics of one run."""
-    ps = numeric_stats(products, price)
-    tot_p = products.agg(F.count(F.lit(1)).alias("n"))
+    """Long-form statistics of one run.
+
+    The review fact is aggregated once, by rating (map-side combined); the total,
+    the average and the distribution all come from that small table. Product
+    count and price statistics share one aggregate.
+    """
+    ps = products.agg(F.count(F.lit(1)).alias("n"), F.min(price).alias("min"), F.max(price).alias("max"),
+                      F.avg(price).alias("mean"), F.median(price).cast("double").alias("median"))
     cats = products.filter(F.col(category).isNotNull()).groupBy(category).agg(F.count(F.lit(1)).alias("n"))
-    rv = reviews.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.avg(rating), F.lit(0.0)).alias("avg"))
-    dist = reviews.filter(F.col(rating).isNotNull()).groupBy(rating).agg(F.count(F.lit(1)).alias("n"))
+    by_rating = reviews.groupBy(rating).agg(F.count(F.lit(1)).alias("n"))
+    rv = by_rating.agg(F.sum("n").alias("n"),
+                       F.coalesce(F.sum(F.col(rating) * F.col("n")) / F.sum(F.when(F.col(rating).isNotNull(), F.col("n"))),
+                                  F.lit(0.0)).alias("avg"))
+    dist = by_rating.filter(F.col(rating).isNotNull())
     parts = [
-        _row(tot_p, "products", "total_products", F.col("n")),
+        _row(ps, "products", "total_products", F.col("n")),
         _row(cats, "products.categories", F.col(category), F.col("n")),
         _row(ps, "products.price_stats", "min", _num("min")),
         _row(ps, "products.price_stats", "max", _num("max")),
@@ -49,7 +56,7 @@ def run_statistics(products: DataFrame, reviews: DataFrame, run_ts: Column | Non
         _row(dist, "reviews.rating_distribution", _num(rating), F.col("n")),
     ]
     if run_ts is not None:
-        one = tot_p.select(run_ts.alias("ts"))
+        one = ps.select(run_ts.alias("ts"))
         parts.append(_row(one, "run", "run_id", run_id_of(F.col("ts"))))
         parts.append(_row(one, "run", "timestamp", F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")))
     return reduce(DataFrame.unionByName, parts)

@@ -96,11 +96,18 @@ def rolling_last_n(log: DataFrame, n: int = HISTORY_SIZE, kind: str = "duration"
     return out.filter("__own").drop("__own")
 
 
-def success_rate(log: DataFrame, kind_error: str = "error", by=None) -> DataFrame:
-    """round((1 - errors / requests) * 100, 2), 0 when there is no request; optionally per group."""
+def success_rate(log: DataFrame, kind_error: str = "error", by=None, total_label: str | None = None) -> DataFrame:
+    """round((1 - errors / requests) * 100, 2), 0 when there is no request; optionally per
+    group. With ``total_label`` (one grouping column) the overall row is added by a rollup,
+    in the same pass, with the label in the group column."""
     keys = [by] if isinstance(by, str) else list(by or [])
-    g = log.groupBy(*keys).agg(F.count(F.lit(1)).alias("requests"),
-                               F.count_if(F.col("kind") == kind_error).alias("errors"))
+    aggs = [F.count(F.lit(1)).alias("requests"), F.count_if(F.col("kind") == kind_error).alias("errors")]
+    if total_label is not None and len(keys) == 1:
+        k = keys[0]
+        g = (log.rollup(k).agg(*aggs, F.grouping(k).alias("__total"))
+             .withColumn(k, F.when(F.col("__total") == 1, F.lit(total_label)).otherwise(F.col(k))).drop("__total"))
+    else:
+        g = log.groupBy(*keys).agg(*aggs)
     rate = F.when(F.col("requests") > 0, F.round((1 - F.col("errors") / F.col("requests")) * 100, 2)).otherwise(F.lit(0.0))
     return g.withColumn("success_rate", rate)
 

@@ -89,10 +89,7 @@ O["rolling_last_100"] = with_fx(
 
 
 def q_success_rate(spark, sf):
-    log = _log(spark, sf)
-    per = M.success_rate(log, by="category")
-    overall = M.success_rate(log).withColumn("category", F.lit("all"))
-    return per.unionByName(overall)
+    return M.success_rate(_log(spark, sf), by="category", total_label="all")
 
 
 _RATE = "CASE WHEN count(*) > 0 THEN round((1 - count_if(kind = 'error') / count(*)) * 100, 2) ELSE 0.0 END"

@@ -60,18 +60,19 @@ def histogram(df: DataFrame, x: str, bins: int, weight=None) -> DataFrame:
     Output: bin (1-based), lo, hi, count. The bin table is ``bins`` rows
     generated by Spark (bounded by the parameter), left-joined to the counts.
     """
+    # Weights are first summed per distinct value (map-side combined); the bounds
+    # subquery and the bin counts both read that table, and AQE reuses its shuffle,
+    # so the input is computed once.
+    vals = df.filter(F.col(x).isNotNull()).groupBy(x).agg(F.sum(_w(weight)).alias("__vw"))
     v = F.col(x)
-    data = df.filter(v.isNotNull())
-    # min and max in one scalar subquery; both references share it (subquery reuse),
-    # so the input is aggregated once for the bounds and once for the counts.
-    b = data.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    b = vals.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
     lo, hi = b["lo"], b["hi"]
     nb = F.when(hi == lo, F.lit(1)).otherwise(F.lit(bins))
     width = (hi - lo) / bins
     idx = F.when(hi == lo, F.lit(1)).otherwise(
         F.least(F.lit(bins), (F.floor((v - lo) / width) + 1).cast("int")))
-    counted = (data.select(idx.alias("bin"), _w(weight).alias("__w"))
-               .groupBy("bin").agg(F.sum("__w").cast("bigint").alias("count")))
+    counted = (vals.select(idx.alias("bin"), F.col("__vw"))
+               .groupBy("bin").agg(F.sum("__vw").cast("bigint").alias("count")))
     frame = (df.sparkSession.range(1, bins + 1).select(F.col("id").cast("int").alias("bin"))
              .filter(F.col("bin") <= nb)
              .select("bin", (lo + (F.col("bin") - 1) * (hi - lo) / nb).alias("lo"),

@@ -132,6 +132,12 @@ def blocks(html, start_pattern: str) -> Column:
     return F.arrays_zip(tags.alias("tag"), bodies.alias("body"))
 
 
+def block_bodies(html, start_pattern: str) -> Column:
+    """array<string>: the text after each block opener up to the next one (one split,
+    no second scan for the opening tags when they are not needed)."""
+    return F.slice(F.split(as_col(html), start_pattern), 2, 1 << 30)
+
+
 def _sentinel(c: Column, field: str, sentinels: bool) -> Column:
     return F.coalesce(c, F.lit(LISTING_SENTINELS[field])) if sentinels else c
 
@@ -260,9 +266,9 @@ def extract_reviews(pages: DataFrame, asin=None, page_col: str = "page_id") -> D
     from ..functions.url import asin_from_url
     a = asin_from_url("url") if asin is None else as_col(asin)
     h = F.col("html")
-    blk = F.when(h.contains(REVIEW_BLOCK), blocks(h, REVIEW_BLOCK)).otherwise(blocks(h, REVIEW_BLOCK_FALLBACK))
-    b = (pages.select(F.col(page_col).alias("page"), a.alias("asin"), F.posexplode(blk).alias("pos", "blk"))
-         .select("page", "pos", "asin", F.col("blk.body").alias("body")))
+    blk = F.when(h.contains(REVIEW_BLOCK), block_bodies(h, REVIEW_BLOCK)).otherwise(
+        block_bodies(h, REVIEW_BLOCK_FALLBACK))
+    b = pages.select(F.col(page_col).alias("page"), a.alias("asin"), F.posexplode(blk).alias("pos", "body"))
     body = F.col("body")
     m = b.select("page", "pos", "asin", "body",
                  _match(body, REVIEW_PROFILE).alias("m_profile"), _match(body, REVIEW_STARS).alias("m_stars"),

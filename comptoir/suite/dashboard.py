@@ -26,11 +26,13 @@ prod AS (SELECT p1.asin, p1.manufacturer, p1.ram_size, p1.url AS url_info1, p2.p
 banded AS (SELECT p.*, c.classe FROM prod p LEFT JOIN bands c
   ON CAST({S.price_number('p.prix')} AS DOUBLE) BETWEEN c.prix_min AND c.prix_max)"""
 
-DASH_CTE = PROD_CTE + f""",
+BASE_CTE = PROD_CTE + f""",
 base AS (SELECT asin AS "ASIN", manufacturer AS "MANUFACTURER", titre AS "TITRE", url_info1 AS "URL_INFO1",
   ram_size AS "RAM", {S.price_double('prix')} AS "PRIX",
   TRY_CAST(nullif(regexp_extract(note, '(\\d\\.\\d) out', 1), '') AS DOUBLE) AS "NOTE",
-  coalesce(classe, 'nan') AS "CLASSE" FROM banded),
+  coalesce(classe, 'nan') AS "CLASSE" FROM banded)"""
+
+DASH_CTE = BASE_CTE + """,
 kk AS (SELECT asin, count(*) AS k FROM fx_reviews GROUP BY asin),
 sc AS (SELECT asin, sentiment, count(*) AS c FROM fx_reviews GROUP BY asin, sentiment),
 dash AS (SELECT b.*, coalesce(sc.sentiment, 'Neutral') AS sentiment, CAST(kk.k * coalesce(sc.c, 1) AS BIGINT) AS n_rows
@@ -57,7 +59,7 @@ def q_dashboard_load_per_review(spark, sf):
 
 
 O["dashboard_load_per_review"] = with_fx(
-    f"WITH {DASH_CTE.split(',\nkk AS')[0]}, sc AS (SELECT asin, sentiment, count(*) AS c FROM fx_reviews GROUP BY asin, sentiment) "
+    f"WITH {BASE_CTE}, sc AS (SELECT asin, sentiment, count(*) AS c FROM fx_reviews GROUP BY asin, sentiment) "
     "SELECT b.*, coalesce(sc.sentiment, 'Neutral') AS sentiment, CAST(sc.c AS BIGINT) AS n_rows FROM base b "
     "JOIN sc ON b.\"ASIN\" = sc.asin WHERE b.\"PRIX\" IS NOT NULL AND b.\"NOTE\" IS NOT NULL", *FX)
 

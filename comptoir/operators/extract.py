@@ -144,24 +144,36 @@ def _sentinel(c: Column, field: str, sentinels: bool) -> Column:
 
 def extract_listing(pages: DataFrame, page_col: str = "page_id", host: str = DEFAULT_HOST,
                     sentinels: bool = False) -> DataFrame:
-    """Search-result blocks -> (page, pos, titre, url, prix, note, nombre_avis, image_url, asin)."""
+    """Search-result blocks -> (page, pos, titre, url, prix, note, nombre_avis, image_url, asin).
+
+    Each field pattern scans the block once (whole match kept as a column); the
+    capture group is then taken from that short match. The fallback title
+    pattern only runs for blocks without the primary title.
+    """
     b = pages.select(F.col(page_col).alias("page"), F.posexplode(blocks("html", LISTING_BLOCK)).alias("pos", "blk"))
     body, tag = F.col("blk.body"), F.col("blk.tag")
-    title = F.coalesce(nullif_empty(inner_text(_opt(body, LISTING_TITLE))),
-                       nullif_empty(inner_text(_opt(body, LISTING_TITLE_FALLBACK))))
-    href = _opt(body, LISTING_LINK)
-    url = F.concat(F.lit(f"https://{host}"), href)
-    asin = F.coalesce(nullif_empty(_opt(tag, DATA_ASIN)), nullif_empty(_opt(url, URL_ASIN)))
-    out = b.select(
-        "page", "pos",
-        _sentinel(title, "titre", sentinels).alias("titre"),
-        _sentinel(url, "url", sentinels).alias("url"),
-        _sentinel(nullif_empty(strip_ws(_opt(body, LISTING_PRICE))), "prix", sentinels).alias("prix"),
-        _sentinel(nullif_empty(strip_ws(_opt(body, LISTING_STARS))), "note", sentinels).alias("note"),
-        _sentinel(nullif_empty(strip_ws(_opt(body, LISTING_COUNT))), "nombre_avis", sentinels).alias("nombre_avis"),
-        _sentinel(_opt(body, LISTING_IMAGE), "image_url", sentinels).alias("image_url"),
-        _sentinel(asin, "asin", sentinels).alias("asin"))
-    return out
+    pats = {"m_title": LISTING_TITLE, "m_link": LISTING_LINK, "m_price": LISTING_PRICE,
+            "m_stars": LISTING_STARS, "m_count": LISTING_COUNT, "m_image": LISTING_IMAGE}
+    m = b.select("page", "pos", body.alias("body"), _match(tag, DATA_ASIN).alias("m_asin"),
+                 *[_match(body, p).alias(n) for n, p in pats.items()])
+
+    def g(name: str) -> Column:
+        return _group(F.col(name), pats[name])
+
+    title = F.coalesce(nullif_empty(inner_text(g("m_title"))),
+                       F.when(F.col("m_title").isNull(),
+                              nullif_empty(inner_text(_opt(F.col("body"), LISTING_TITLE_FALLBACK)))))
+    t = m.select("page", "pos", title.alias("titre"),
+                 F.concat(F.lit(f"https://{host}"), g("m_link")).alias("url"),
+                 nullif_empty(strip_ws(g("m_price"))).alias("prix"),
+                 nullif_empty(strip_ws(g("m_stars"))).alias("note"),
+                 nullif_empty(strip_ws(g("m_count"))).alias("nombre_avis"),
+                 g("m_image").alias("image_url"),
+                 nullif_empty(_group(F.col("m_asin"), DATA_ASIN)).alias("tag_asin"))
+    asin = F.coalesce(F.col("tag_asin"), nullif_empty(_opt(F.col("url"), URL_ASIN)))
+    return t.select("page", "pos", *[_sentinel(F.col(c), c, sentinels).alias(c)
+                                     for c in ("titre", "url", "prix", "note", "nombre_avis", "image_url")],
+                    _sentinel(asin, "asin", sentinels).alias("asin"))
 
 
 def max_page(html) -> Column:

@@ -39,6 +39,17 @@ def export_json_document(doc: DataFrame, path: str) -> str:
     return path
 
 
+def export_json_array(df: DataFrame, path: str, max_rows: int = 100_000) -> str:
+    """One JSON array document ``[{...}, ...]`` for a *bounded* result (top-k lists,
+    statistics): rows are gathered into one value, so the row count is checked
+    first and larger inputs are refused (write JSON Lines with :func:`export_json`)."""
+    if df.limit(max_rows + 1).count() > max_rows:
+        raise ValueError(f"export_json_array: more than {max_rows} rows; use export_json (JSON Lines)")
+    doc = df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
+    doc.write.mode("overwrite").text(path)
+    return path
+
+
 def export_partitioned(df: DataFrame, path: str, partition_by, fmt: str = "parquet") -> str:
     """Keyed export (object-store layout ``key=value/part-*``).
 

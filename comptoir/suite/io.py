@@ -19,6 +19,7 @@ from ..sources import writers as W
 from . import sqlbits as S
 from .extraction import FACETS_SQL, facet_pages
 from .metrics import _stats
+from .text import O as _TEXT_ORACLE
 
 Q: dict = {}
 O: dict = {}
@@ -162,6 +163,14 @@ def q_export_statistics_json(spark, sf):
                        F.size("reviews.rating_distribution").alias("n_ratings"), "run_id")
 
 
+def q_export_top_tokens_json(spark, sf):
+    """Word-cloud data (top 200 terms) exported as one JSON array document, read back."""
+    from ..operators import text as TX
+    top = TX.top_tokens(TX.tokens_clean(fx(spark, sf, "fx_comments")), 200)
+    path = W.export_json_array(top, W.scratch_path(spark, "json/top_tokens"))
+    return spark.read.schema(top.schema).option("multiLine", True).json(path)
+
+
 def q_scan_reviews(spark, sf):
     r = fx(spark, sf, "fx_comments")
     path = W.scratch_path(spark, "reviews/comments")
@@ -171,6 +180,7 @@ def q_scan_reviews(spark, sf):
 
 O["scan_reviews"] = with_fx("SELECT asin, comment FROM fx_comments", "fx_comments")
 
+O["export_top_tokens_json"] = _TEXT_ORACLE["top_tokens"]
 O["export_facets_json"] = f"SELECT page, category_name, item_pos, name, url, filter_key, filter_value FROM ({FACETS_SQL}) f"
 O["export_statistics_json"] = with_fx(
     "SELECT (SELECT count(*) FROM fx_product_info1 p1 JOIN fx_product_info2 p2 ON p1.asin = p2.asin) AS total_products, "

@@ -65,7 +65,9 @@ def histogram(df: DataFrame, x: str, bins: int, weight=None) -> DataFrame:
     # so the input is computed once.
     vals = df.filter(F.col(x).isNotNull()).groupBy(x).agg(F.sum(_w(weight)).alias("__vw"))
     v = F.col(x)
-    b = vals.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"))).scalar()
+    # (the subquery also reads the weight so its copy of ``vals`` is identical to the
+    # main query's and the shuffle can be reused)
+    b = vals.agg(F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.sum("__vw").alias("n"))).scalar()
     lo, hi = b["lo"], b["hi"]
     nb = F.when(hi == lo, F.lit(1)).otherwise(F.lit(bins))
     width = (hi - lo) / bins

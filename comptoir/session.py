@@ -47,18 +47,20 @@ def build(master: str | None = None, cores: int | None = None, app: str = "compt
     return prepare(spark)
 
 
+SHARED_DIR_KEY = "comptoir.sharedDir"
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for written tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (what the cluster names). Only when it is
-    unset — local runs and tests — a fresh scratch folder is created and set.
+    Read from ``spark.checkpoint.dir`` (what the cluster names; a static setting).
+    Only when it is unset — local runs and tests — a scratch folder is created
+    once per session and remembered under a runtime key of our own.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = spark.sparkContext.getCheckpointDir()
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_DIR_KEY, None)
     if not d:
         d = tempfile.mkdtemp(prefix="comptoir-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.conf.set(SHARED_DIR_KEY, d)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")

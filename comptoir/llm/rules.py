@@ -151,7 +151,8 @@ def judge(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES)
 def keep(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """The rows of ``docs`` that pass, with the columns of ``docs``."""
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), F.col(text).alias("_judged"))
-    return judge(packed, "_judged", rules).where("kept").select("_doc.*")
+    # Not a filter: the optimizer would push it below the projections and so repeat their expressions.
+    return judge(packed, "_judged", rules).select(F.inline(F.when(F.col("kept"), F.array("_doc"))))
 
 
 def _sql(s: str) -> str:

@@ -108,8 +108,8 @@ def _op8_sql() -> str:
     return f"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT doc_id, text, regexp_extract_all(text, '{_W}+') AS words,
-             list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '{_W}')) AS lines FROM t),
-g AS (SELECT *, CASE WHEN len(words) >= 8 THEN list_transform(range(1, len(words) - 6), i -> array_to_string(words[i:i + 7], ' ')) ELSE [] END AS windows FROM w),
+             list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_W}')) AS lines FROM t),
+g AS (SELECT *, CASE WHEN len(words) >= 8 THEN list_transform(range(1, len(words) - 6), lambda i: array_to_string(words[i:i + 7], ' ')) ELSE [] END AS windows FROM w),
 e AS (SELECT doc_id, unnest(windows) AS win, unnest(range(0, len(windows))) AS pos FROM g),
 d AS (SELECT doc_id, pos, count(*) OVER (PARTITION BY doc_id, win) AS n FROM e),
 c AS (SELECT doc_id, pos, lead(pos) OVER (PARTITION BY doc_id ORDER BY pos) AS nxt FROM d WHERE n > 1),
@@ -118,9 +118,9 @@ m AS (SELECT w.doc_id, len(words) AS n_words, length(array_to_string(words, ''))
              length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
              length(text) - length(regexp_replace(text, '[!?]', '', 'g')) AS marks,
              len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat, 0) AS n_repeat_words,
-             len(list_filter(words, x -> x IN ({_STOPS}))) AS stops,
-             len(list_filter(lines, x -> ends_with(rtrim(x), '...') OR ends_with(rtrim(x), '…'))) AS ellipsis,
-             len(list_filter(lines, x -> regexp_matches(ltrim(x), '^[-*•]'))) AS bullets
+             len(list_filter(words, lambda x: x IN ({_STOPS}))) AS stops,
+             len(list_filter(lines, lambda x: ends_with(rtrim(x), '...') OR ends_with(rtrim(x), '…'))) AS ellipsis,
+             len(list_filter(lines, lambda x: regexp_matches(ltrim(x), '^[-*•]'))) AS bullets
       FROM w LEFT JOIN r ON w.doc_id = r.doc_id),
 s AS (SELECT *, CASE WHEN n_words > 0 THEN word_chars::DOUBLE / n_words ELSE 0 END AS mean_word_chars,
              CASE WHEN n_words > 0 THEN n_symbols::DOUBLE / n_words ELSE 0 END AS symbols_per_word,

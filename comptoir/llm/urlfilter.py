@@ -95,8 +95,8 @@ def _passes(key: Column, level: Level) -> Column:
     words = level.words.scalar()
     ok = F.lit(True)
     for at in _places(key, level.seed, level.hashes, level.bits):
-        bit = F.shiftright(F.get(words, (at / 64).cast("int")), (at % 64).cast("int")).bitwiseAND(F.lit(1).cast("long"))
-        ok = ok & (bit == 1)
+        word = F.get(words, F.floor(at / 64).cast("int"))
+        ok = ok & (F.call_function("bit_get", word, (at % 64).cast("int")) == 1)
     return ok
 
 

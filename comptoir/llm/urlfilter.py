@@ -7,7 +7,7 @@ level that rejects a key tells its side, so the answer is exact for every key
 of the universe.
 
 Level 1 is sized so that the false positives are about as many as the listed
-keys, later levels halve what passes. The whole cascade then takes about
+keys, later levels let a tenth pass. The whole cascade then takes about
 ``1.44 * log2(universe / listed) + 5`` bits per listed key, whatever the
 number of rows; it travels as scalar subqueries, one array of 64-bit words a
 level. A list of 10 million keys in a universe of 10 billion takes 24 MB.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from comptoir.llm._util import stage
 
 MAX_LISTED = 50_000_000
+LATER = 0.1  # false-positive rate of the levels after the first
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -129,7 +130,7 @@ class Cascade:
             level = _level(side, *_bits(n, p), seed=len(levels) + 1)
             levels.append(level)
             wrong = stage(other.where(_passes(F.col("key"), level)), "false-positives")
-            side, other, n, p = wrong, side, wrong.count(), 0.5
+            side, other, n, p = wrong, side, wrong.count(), LATER
         return cls(levels)
 
     def contains(self, key: Column) -> Column:

@@ -31,7 +31,7 @@ KINDS = {
     "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{1,20}[0-9]{10}\b",
     "phone": r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])|(?<![0-9+])\+[2-9][0-9]{7,14}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])",
+    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 
@@ -238,7 +238,7 @@ def _kind(m: Column) -> Column:
     """The kind of a match of PATTERN, by its form."""
     forms = {"email": "@", "date": r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$", "ipv4": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$",
              "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9]*[0-9]{10}$", "ssn": "^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
-             "card": "^[0-9](?:[ -]?[0-9]){12,18}$", "phone": r"^[+(]?[0-9][0-9() .+-]{8,}$"}
+             "card": "^(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4,6}[ -][0-9 -]+)$", "phone": r"^[+(]?[0-9][0-9() .+-]{8,}$"}
     out = F.lit("secret")
     for kind, form in reversed(forms.items()):
         out = F.when(m.rlike(form), F.lit(kind)).otherwise(out)

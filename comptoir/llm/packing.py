@@ -17,6 +17,7 @@ import base64
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -157,22 +158,17 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], length: str = "leng
     ranked = salted.withColumn("_in", F.row_number().over(Window.partitionBy(length, "_block").orderBy(*order)))
     ranked = ranked.join(before, (F.col(length) == F.col("_len")) & (F.col("_block") == F.col("_blk")))
     ranked = ranked.select(*pieces.columns, (F.col("_before") + F.col("_in") - 1).alias("_rank"))
-    names = pieces.columns
-    where = names.index(length)
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # Only length and rank go to Python; the rest of a row stays where it is.
+    @F.pandas_udf("sequence_id long, offset long")
+    def place(size: pd.Series, rank: pd.Series) -> pd.DataFrame:
         key, use, first, off = lookup
-        for b in batches:
-            size = b.column(where).to_numpy(zero_copy_only=False).astype(np.int64)
-            rank = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
-            k = np.searchsorted(key, (size << 44) + rank, side="right") - 1
-            nth = rank - (key[k] & ((1 << 44) - 1))
-            yield pa.RecordBatch.from_arrays(
-                [*b.columns[:-1], pa.array(first[k] + nth // use[k]), pa.array(off[k] + nth % use[k] * size)],
-                names=[*names, "sequence_id", "offset"])
+        size, rank = size.to_numpy(np.int64), rank.to_numpy(np.int64)
+        k = np.searchsorted(key, (size << 44) + rank, side="right") - 1
+        nth = rank - (key[k] & ((1 << 44) - 1))
+        return pd.DataFrame({"sequence_id": first[k] + nth // use[k], "offset": off[k] + nth % use[k] * size})
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
-    return ranked.mapInArrow(run, f"{schema}, sequence_id long, offset long")
+    return ranked.withColumn("_place", place(length, "_rank")).select(*pieces.columns, "_place.sequence_id", "_place.offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text: str = "text",

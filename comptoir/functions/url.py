@@ -19,7 +19,7 @@ ASIN_PATTERNS = [
 # Facet filter pair pattern and the base query of the category page.
 FACET_PAIR_PATTERN = r"([p|n]_[^:,]+):([^,]+)"
 BASE_RH = "n%3A429886031"
-DEFAULT_HOST = "www.amazon.co.uk"
+DEFAULT_HOST = "shop.example"
 
 
 def asin_from_url(c) -> Column:

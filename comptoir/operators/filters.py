@@ -11,7 +11,7 @@ from ..functions.text import LISTING_SENTINELS
 # Page texts that mark a blocked (CAPTCHA / robot check) response.
 BLOCK_CAPTCHA = "captcha"
 BLOCK_ROBOT = "robot check"
-BLOCK_MESSAGE = "To discuss automated access to Amazon data please contact"
+BLOCK_MESSAGE = r"To discuss automated access to \w+ data"
 MAX_REDIRECTS = 2
 
 # Validation rules of the configuration.
@@ -54,13 +54,13 @@ def detail_candidates(df: DataFrame) -> DataFrame:
     return df.filter(F.col("asin").isNotNull() & F.col("url").isNotNull())
 
 
-def is_blocked(html, status=None, n_redirects=None, url=None) -> Column:
+def is_blocked(html, status=None, n_redirects=None, url=None, message: str = BLOCK_MESSAGE) -> Column:
     """Blocked-page predicate (FLT-09): CAPTCHA text on a 200 page, robot check,
-    the automated-access message, more than two redirects, or 'captcha' in the URL."""
+    the automated-access message (a pattern), more than two redirects, or 'captcha' in the URL."""
     h = as_col(html)
     low = F.lower(h)
     st = F.lit(200) if status is None else as_col(status)
-    cond = ((st == 200) & low.contains(BLOCK_CAPTCHA)) | low.contains(BLOCK_ROBOT) | h.contains(BLOCK_MESSAGE)
+    cond = ((st == 200) & low.contains(BLOCK_CAPTCHA)) | low.contains(BLOCK_ROBOT) | h.rlike(message)
     if n_redirects is not None:
         cond = cond | (F.coalesce(as_col(n_redirects), F.lit(0)) > MAX_REDIRECTS)
     if url is not None:

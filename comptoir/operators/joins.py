@@ -108,12 +108,13 @@ def anti_join(df: DataFrame, known: DataFrame, keys) -> DataFrame:
     keys = [keys] if isinstance(keys, str) else list(keys)
     require_columns(df, keys, "input")
     require_columns(known, keys, "known keys")
-    return df.join(known.select(*keys), keys, "left_anti")
+    # distinct: copies of a hot known key are combined in the map tasks
+    return df.join(known.select(*keys).distinct(), keys, "left_anti")
 
 
 def semi_filter(df: DataFrame, allowed: DataFrame, key: str) -> DataFrame:
     """Membership filter as a left-semi join (scales to large value lists)."""
-    return df.join(allowed.select(key), key, "left_semi")
+    return df.join(allowed.select(key).distinct(), key, "left_semi")
 
 
 def isin_filter(df: DataFrame, col, values) -> DataFrame:

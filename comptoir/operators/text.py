@@ -49,11 +49,6 @@ def _require(df: DataFrame, cols) -> None:
         raise ValueError(f"missing column(s) {missing}; has {df.columns}")
 
 
-def _checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast hint only when the row count is within ``max_rows``."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def stopword_table(spark: SparkSession, words=None) -> DataFrame:
     words = DEFAULT_STOPWORDS if words is None else list(words)
     return spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "token string")
@@ -85,11 +80,11 @@ def tokens_clean(docs: DataFrame, text: str = "comment", keep=("doc_id",), stopw
     sw = stopwords if stopwords is not None else stopword_table(spark)
     t = (docs.filter(F.col(text).isNotNull())
          .select(*keep, F.posexplode(tokens_of(text)).alias("pos", "token")))
-    t = t.join(_checked_broadcast(sw.select("token").distinct()), "token", "left_anti")
+    t = t.join(sw.select("token").distinct(), "token", "left_anti")
     if lemmas is not None:
         lx = lemmas.filter(F.col("pos").isin(list(pos_keep))).select(
             F.col("form").alias("token"), F.col("lemma"))
-        t = t.join(_checked_broadcast(lx), "token").withColumn("token", F.col("lemma")).drop("lemma")
+        t = t.join(lx, "token").withColumn("token", F.col("lemma")).drop("lemma")
     return t.select(*keep, "pos", "token")
 
 
@@ -115,7 +110,7 @@ def polarity(docs: DataFrame, text: str = "comment", keep=("doc_id",), lexicon:
     spark = docs.sparkSession
     lx = lexicon if lexicon is not None else lexicon_table(spark)
     t = docs.select(*keep, F.explode_outer(tokens_of(F.coalesce(F.col(text), F.lit("nan")))).alias("token"))
-    scored = t.join(_checked_broadcast(lx.select("token", "valence")), "token", "left")
+    scored = t.join(lx.select("token", "valence"), "token", "left")
     return scored.groupBy(*keep).agg(F.coalesce(F.avg("valence"), F.lit(0.0)).alias("polarity"))
 
 

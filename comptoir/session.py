@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -54,11 +55,14 @@ def shared_dir(spark: SparkSession) -> str:
     """Folder shared by all executors for written tables and checkpoints.
 
     Read from ``spark.checkpoint.dir`` (what the cluster names; a static setting).
-    Only when it is unset — local runs and tests — a scratch folder is created
-    once per session and remembered under a runtime key of our own.
+    Only when it is unset in a local session (else it is an error) a scratch folder is
+    created once per session and remembered under a runtime key of our own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SHARED_DIR_KEY, None)
     if not d:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir is unset and the master is {master}: name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="comptoir-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set(SHARED_DIR_KEY, d)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -55,10 +55,10 @@ def q_extract_listing(spark, sf):
 
 O["extract_listing"] = (
     f"SELECT p_partkey AS page, 0 AS pos, CASE WHEN p_partkey % 7 = 0 THEN p_name || ' & co' ELSE p_name END AS titre, "
-    f"'https://www.amazon.co.uk/dp/B' || {K_SQL} || '/ref=sr_1' AS url, '£' || format('{{:,.2f}}', p_retailprice) AS prix, "
+    f"'https://shop.example/dp/B' || {K_SQL} || '/ref=sr_1' AS url, '£' || format('{{:,.2f}}', p_retailprice) AS prix, "
     "CAST(p_partkey % 5 + 1 AS VARCHAR) || '.' || CAST(p_partkey % 10 AS VARCHAR) || ' out of 5 stars' AS note, "
     f"CAST(p_size AS VARCHAR) AS nombre_avis, 'https://img.example/' || {K_SQL} || '.jpg' AS image_url, 'B' || {K_SQL} AS asin FROM part "
-    "UNION ALL SELECT p_partkey, 1, p_brand, 'https://www.amazon.co.uk/dp/C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X/', "
+    "UNION ALL SELECT p_partkey, 1, p_brand, 'https://shop.example/dp/C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X/', "
     "NULL, NULL, NULL, NULL, 'C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X' FROM part "
     "UNION ALL SELECT p_partkey, 2, NULL, NULL, NULL, NULL, NULL, NULL, NULL FROM part")
 
@@ -145,9 +145,9 @@ def q_blocked_pages(spark, sf):
 
 O["blocked_pages"] = with_fx(
     "SELECT page_id, 'fx' AS source, (contains(lower(html), 'captcha') OR contains(lower(html), 'robot check') OR "
-    "contains(html, 'To discuss automated access to Amazon data please contact') OR contains(lower(url), 'captcha')) AS blocked "
+    "regexp_matches(html, 'To discuss automated access to \\w+ data') OR contains(lower(url), 'captcha')) AS blocked "
     "FROM fx_product_pages UNION ALL SELECT page_id, 'web', (contains(lower(html), 'captcha') OR contains(lower(html), 'robot check') OR "
-    "contains(html, 'To discuss automated access to Amazon data please contact') OR contains(lower(url), 'captcha')) FROM pages",
+    "regexp_matches(html, 'To discuss automated access to \\w+ data') OR contains(lower(url), 'captcha')) FROM pages",
     "fx_product_pages")
 
 
@@ -173,10 +173,10 @@ def facet_pages(spark, sf):
 
 FACETS_SQL = (
     "SELECT p_partkey AS page, 0 AS section_pos, 'Brand' AS category_name, 0 AS item_pos, p_brand AS name, "
-    "'https://www.amazon.co.uk/s?rh=n%3A429886031%2Cp_89%3A' || replace(p_brand, '#', '') || '&dc' AS url, 'p_89' AS filter_key, "
+    "'https://shop.example/s?rh=n%3A429886031%2Cp_89%3A' || replace(p_brand, '#', '') || '&dc' AS url, 'p_89' AS filter_key, "
     "replace(p_brand, '#', '') AS filter_value FROM part UNION ALL "
-    "SELECT p_partkey, 0, 'Brand', 1, 'Other', 'https://www.amazon.co.uk/s?k=' || CAST(p_partkey AS VARCHAR), NULL, NULL FROM part UNION ALL "
-    "SELECT p_partkey, 1, 'Size', 0, CAST(p_size AS VARCHAR) || ' in', 'https://www.amazon.co.uk/s?rh=n%3A429886031%2Cp_n_size%3A' || "
+    "SELECT p_partkey, 0, 'Brand', 1, 'Other', 'https://shop.example/s?k=' || CAST(p_partkey AS VARCHAR), NULL, NULL FROM part UNION ALL "
+    "SELECT p_partkey, 1, 'Size', 0, CAST(p_size AS VARCHAR) || ' in', 'https://shop.example/s?rh=n%3A429886031%2Cp_n_size%3A' || "
     "CAST(p_size AS VARCHAR), 'p_n_size', CAST(p_size AS VARCHAR) FROM part")
 
 

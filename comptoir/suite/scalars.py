@@ -66,8 +66,8 @@ def q_build_url(spark, sf):
 
 
 O["build_url"] = (
-    "SELECT p_partkey, 'https://www.amazon.co.uk/s?k=' || replace(p_name, ' ', '+') || '&page=' || "
-    "CAST(p_size AS VARCHAR) AS url, 'https://www.amazon.co.uk/dp/B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') "
+    "SELECT p_partkey, 'https://shop.example/s?k=' || replace(p_name, ' ', '+') || '&page=' || "
+    "CAST(p_size AS VARCHAR) AS url, 'https://shop.example/dp/B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') "
     "AS product_url FROM part")
 
 
@@ -207,19 +207,19 @@ O["metric_summary"] = with_fx(
 def q_facet_filter_parse(spark, sf):
     """Facet link URLs built from part -> (filter_key, filter_value), first new pair."""
     part = table(spark, sf, "part")
-    u = F.concat(F.lit("https://www.amazon.co.uk/s?i=computers&rh=n%3A429886031%2Cp_89%3A"),
+    u = F.concat(F.lit("https://shop.example/s?i=computers&rh=n%3A429886031%2Cp_89%3A"),
                  F.replace(F.col("p_brand"), F.lit("#"), F.lit("")), F.lit("%2Cp_n_size%3A"),
                  F.col("p_size").cast("string"),
                  F.when(F.col("p_partkey") % 3 == 0, F.lit("&rh=p_1%3Ax")).otherwise(F.lit("")),
                  F.lit("&s=popularity-rank"))
-    url = F.when(F.col("p_partkey") % 11 == 0, F.lit("https://www.amazon.co.uk/s?k=laptop")).otherwise(u)
+    url = F.when(F.col("p_partkey") % 11 == 0, F.lit("https://shop.example/s?k=laptop")).otherwise(u)
     f = U.facet_filter(url)
     return part.select("p_partkey", f["filter_key"].alias("filter_key"), f["filter_value"].alias("filter_value"))
 
 
 O["facet_filter_parse"] = (
-    "WITH u AS (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'https://www.amazon.co.uk/s?k=laptop' ELSE "
-    "'https://www.amazon.co.uk/s?i=computers&rh=n%3A429886031%2Cp_89%3A' || replace(p_brand, '#', '') || "
+    "WITH u AS (SELECT p_partkey, CASE WHEN p_partkey % 11 = 0 THEN 'https://shop.example/s?k=laptop' ELSE "
+    "'https://shop.example/s?i=computers&rh=n%3A429886031%2Cp_89%3A' || replace(p_brand, '#', '') || "
     "'%2Cp_n_size%3A' || CAST(p_size AS VARCHAR) || CASE WHEN p_partkey % 3 = 0 THEN '&rh=p_1%3Ax' ELSE '' END "
     "|| '&s=popularity-rank' END AS url FROM part), "
     "r AS (SELECT p_partkey, CASE WHEN url LIKE '%rh=%' THEN replace(replace(split_part(split_part(url, 'rh=', 2), '&', 1), '%3A', ':'), '%2C', ',') END AS rh FROM u) "

@@ -29,8 +29,8 @@ REVIEW_PAGE = (
 def test_facet_page(spark):
     pages = spark.createDataFrame([(1, FACET_PAGE)], "page_id long, html string")
     got = rows(X.extract_facets(pages), "category_name", "name", "url", "filter_key", "filter_value")
-    assert got == [("Brand", "Acme", "https://www.amazon.co.uk/s?rh=n%3A429886031%2Cp_89%3AAcme&x=1", "p_89", "Acme"),
-                   ("Brand", "Other", "https://www.amazon.co.uk/s?k=z", None, None)]
+    assert got == [("Brand", "Acme", "https://shop.example/s?rh=n%3A429886031%2Cp_89%3AAcme&x=1", "p_89", "Acme"),
+                   ("Brand", "Other", "https://shop.example/s?k=z", None, None)]
     nested = X.facets_nested(X.extract_facets(pages))
     assert rows(X.facets_flatten(nested), "category_name", "name") == [("Brand", "Acme"), ("Brand", "Other")]
 

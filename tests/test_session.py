@@ -1,5 +1,7 @@
 """Shared-folder resolution: the session's spark.checkpoint.dir wins; nothing local when it is set."""
 
+import pytest
+
 from comptoir.session import RUNTIME_CONF, new_subdir, prepare, shared_dir
 
 
@@ -30,8 +32,8 @@ class _Conf:
 
 
 class _Ctx:
-    def __init__(self):
-        self.dir = None
+    def __init__(self, master):
+        self.master, self.dir = master, None
 
     def getCheckpointDir(self):
         return self.dir
@@ -41,8 +43,8 @@ class _Ctx:
 
 
 class _Session:
-    def __init__(self, values):
-        self.conf, self.sparkContext = _Conf(values), _Ctx()
+    def __init__(self, values, master="local[4]"):
+        self.conf, self.sparkContext = _Conf(values), _Ctx(master)
 
 
 def test_shared_dir_fallback_when_unset():
@@ -53,6 +55,12 @@ def test_shared_dir_fallback_when_unset():
     assert "spark.checkpoint.dir" not in s.conf.values
 
 
+def test_no_machine_local_folder_on_a_cluster():
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_dir(_Session({}, master))
+
+
 def test_shared_dir_never_overrides_cluster_setting():
     s = _Session({"spark.checkpoint.dir": "hdfs://nn/shared/ckpt"})
     assert shared_dir(s) == "hdfs://nn/shared/ckpt"

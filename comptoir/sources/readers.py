@@ -20,19 +20,26 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def scan_csv_schema(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Fixed schema, positional columns, header skipped, optional '"' enclosure."""
-    return (spark.read.schema(schema).option("header", True).option("enforceSchema", True)
-            .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
+#: One set of CSV options for readers and writers: quotes are doubled, padding is kept.
+CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"',
+               "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def scan_csv_schema(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
+    """Fixed schema, positional columns, header skipped, optional '"' enclosure.
+    ``multi_line`` reads values with line breaks; files are then not split."""
+    return (spark.read.schema(schema).options(**CSV_OPTIONS).option("enforceSchema", True)
+            .option("multiLine", multi_line).csv(path))
 
 
 def scan_csv_infer(spark: SparkSession, path: str, default_schema: T.StructType | None = None,
-                   infer: bool = True) -> DataFrame:
-    """Header + inferred types; a missing path gives an empty table of ``default_schema``."""
+                   infer: bool = True, multi_line: bool = False) -> DataFrame:
+    """Header + inferred types; a missing path, or files without even a header, give an
+    empty table of ``default_schema``. ``infer=False`` keeps strings and saves the inference pass."""
     if not path_exists(spark, path):
         return empty(spark, default_schema or T.StructType([]))
-    return (spark.read.option("header", True).option("inferSchema", infer)
-            .option("quote", '"').option("escape", '"').option("multiLine", True).csv(path))
+    df = spark.read.options(**CSV_OPTIONS).option("inferSchema", infer).option("multiLine", multi_line).csv(path)
+    return df if df.columns else empty(spark, default_schema or T.StructType([]))
 
 
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
@@ -46,10 +53,10 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | None = None
     return r.json(path)
 
 
-def scan_reviews(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def scan_reviews(spark: SparkSession, path: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
     """Review table (asin, comment, ...) from Parquet or CSV."""
     if fmt == "csv":
-        return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+        return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
     return spark.read.format(fmt).load(path)
 
 
@@ -99,9 +106,12 @@ def with_file_order(scan: DataFrame) -> DataFrame:
 
     Must be applied directly on a file-source DataFrame, before any shuffle:
     inside one split rows are read in file order and the row id grows with
-    them; the split start orders the splits of a file; the path orders files
-    (part files are numbered in write order).
+    them; the split start orders the splits of a file; files are ordered by
+    folder, then part number (as a number: part-100000 follows part-99999), then path.
     """
-    return scan.select("*", F.col("_metadata.file_path").alias("__file"),
+    path = F.col("_metadata.file_path")
+    part = F.regexp_extract(path, r"part-(\d+)[^/]*$", 1).try_cast("long")
+    return scan.select("*", F.struct(F.regexp_extract(path, "^(.*)/", 1).alias("folder"), part.alias("part"),
+                                     path.alias("path")).alias("__file"),
                        F.col("_metadata.file_block_start").alias("__block"),
                        F.monotonically_increasing_id().alias("__row"))

@@ -9,11 +9,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import new_subdir, shared_dir
+from .readers import CSV_OPTIONS
 
 
 def sink_csv(df: DataFrame, path: str) -> str:
-    """Overwrite with header, UTF-8."""
-    df.write.mode("overwrite").option("header", True).option("encoding", "UTF-8").csv(path)
+    """Overwrite with header, UTF-8; quotes doubled, padding kept."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -22,7 +23,7 @@ def sink_append(df: DataFrame, path: str, columns) -> str:
     cols = list(columns)
     out = df.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in df.columns
                       else F.lit("").alias(c) for c in cols])
-    out.write.mode("append").option("header", True).csv(path)
+    out.write.mode("append").options(**CSV_OPTIONS).csv(path)
     return path
 
 
@@ -85,19 +86,19 @@ def scratch_path(spark, name: str) -> str:
     return new_subdir(spark, name)
 
 
-def deduplicate_file(spark, path: str, key, schema=None, fmt: str = "csv") -> str:
+def deduplicate_file(spark, path: str, key, schema=None, fmt: str = "csv", multi_line: bool = False) -> str:
     """Keep the last row per key in file order and write the result as a new
     version next to the input (the input is left untouched). Returns the new path."""
     from ..operators.dedupe import dedupe_keep_last
     from .readers import FILE_ORDER, with_file_order
     r = spark.read.format(fmt)
     if fmt == "csv":
-        r = r.option("header", True).option("escape", '"').option("multiLine", True)
+        r = r.options(**CSV_OPTIONS).option("multiLine", multi_line)
     if schema is not None:
         r = r.schema(schema)
     scan = with_file_order(r.load(path))
     out = dedupe_keep_last(scan, key, list(FILE_ORDER)).drop(*FILE_ORDER)
     target = new_subdir(spark, "dedup")
     w = out.write.mode("overwrite")
-    (w.option("header", True).csv(target) if fmt == "csv" else w.format(fmt).save(target))
+    (w.options(**CSV_OPTIONS).csv(target) if fmt == "csv" else w.format(fmt).save(target))
     return target

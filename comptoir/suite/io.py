@@ -85,7 +85,7 @@ def q_sink_append(spark, sf):
     W.sink_append(r.filter(F.col("sentiment") == "Negative").select("asin", "reviewer", "rating_text"), path, APPEND_COLS)
     W.sink_append(r.filter(F.col("sentiment") != "Negative"), path, APPEND_COLS)
     schema = T.StructType([T.StructField(c, T.StringType()) for c in APPEND_COLS])
-    return (spark.read.schema(schema).option("header", True).csv(path)
+    return (spark.read.schema(schema).options(**RD.CSV_OPTIONS).csv(path)
             .select(*[F.coalesce(F.col(c), F.lit("")).alias(c) for c in APPEND_COLS]))
 
 

@@ -7,16 +7,26 @@ replacing the reference's in-process counters and deques.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Size of the rolling sample buffer.
 HISTORY_SIZE = 100
 
 
+# Kinds that are a state, not a request; and kinds that are no increments.
+NOT_REQUESTS = ("gauge", "counter")
+NOT_COUNTERS = ("gauge", "duration")
+
+
+def _is_request() -> Column:
+    return ~F.coalesce(F.col("kind").isin(*NOT_REQUESTS), F.lit(False))
+
+
 def counters(log: DataFrame) -> DataFrame:
-    """All-time counter per name: number of increments and their summed value."""
-    return log.groupBy("name").agg(F.count(F.lit(1)).alias("increments"),
+    """All-time counter per name: number of increments and their summed value
+    (gauge readings and durations are no increments)."""
+    return log.filter(~F.coalesce(F.col("kind").isin(*NOT_COUNTERS), F.lit(False))).groupBy("name").agg(F.count(F.lit(1)).alias("increments"),
                                    F.round(F.sum("value"), 6).alias("total"))
 
 
@@ -29,10 +39,10 @@ def gauges(log: DataFrame, kind: str = "gauge") -> DataFrame:
 
 
 def error_counts(log: DataFrame, kind: str = "error", type_col: str = "category") -> DataFrame:
-    """Errors per type plus a 'total' row (rollup over the type)."""
+    """Errors per type plus a 'total' row (rollup over the type); errors without a type have a NULL row."""
     e = log.filter(F.col("kind") == kind)
-    r = e.rollup(type_col).agg(F.count(F.lit(1)).alias("n"))
-    return r.select(F.coalesce(F.col(type_col), F.lit("total")).alias("error_type"), "n")
+    r = e.rollup(type_col).agg(F.count(F.lit(1)).alias("n"), F.grouping(type_col).alias("__total"))
+    return r.select(F.when(F.col("__total") == 1, F.lit("total")).otherwise(F.col(type_col)).alias("error_type"), "n")
 
 
 def _duration_stats(df: DataFrame, keys=()) -> DataFrame:
@@ -78,8 +88,11 @@ def rolling_last_n(log: DataFrame, n: int = HISTORY_SIZE, kind: str = "duration"
     counts = d.groupBy("category", "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
     before = (F.sum("__cnt").over(Window.partitionBy("category").orderBy("__chunk")
                                   .rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = counts.select("category", "__chunk", F.coalesce(before, F.lit(0)).alias("__off"))
-    ranked = (d.join(offsets, ["category", "__chunk"])
+    offsets = counts.select(F.col("category").alias("__cat"), F.col("__chunk").alias("__chk"),
+                            F.coalesce(before, F.lit(0)).alias("__off"))
+    # null-safe: samples without a category or a time are ranked like any other
+    ranked = (d.join(offsets, F.col("category").eqNullSafe(F.col("__cat")) & F.col("__chunk").eqNullSafe(F.col("__chk")))
+              .drop("__cat", "__chk")
               .withColumn("__rank", F.col("__off") + F.row_number().over(
                   Window.partitionBy("category", "__chunk").orderBy("ts", "event_id")))
               .withColumn("__block", F.floor((F.col("__rank") - 1) / n)))
@@ -97,11 +110,11 @@ def rolling_last_n(log: DataFrame, n: int = HISTORY_SIZE, kind: str = "duration"
 
 
 def success_rate(log: DataFrame, kind_error: str = "error", by=None, total_label: str | None = None) -> DataFrame:
-    """round((1 - errors / requests) * 100, 2), 0 when there is no request; optionally per
-    group. With ``total_label`` (one grouping column) the overall row is added by a rollup,
+    """round((1 - errors / requests) * 100, 2), 0 when there is no request; gauge readings and
+    counter increments are no requests. Optionally per group. With ``total_label`` (one grouping column) the overall row is added by a rollup,
     in the same pass, with the label in the group column."""
     keys = [by] if isinstance(by, str) else list(by or [])
-    aggs = [F.count(F.lit(1)).alias("requests"), F.count_if(F.col("kind") == kind_error).alias("errors")]
+    aggs = [F.count_if(_is_request()).alias("requests"), F.count_if(F.col("kind") == kind_error).alias("errors")]
     if total_label is not None and len(keys) == 1:
         k = keys[0]
         g = (log.rollup(k).agg(*aggs, F.grouping(k).alias("__total"))
@@ -117,10 +130,11 @@ def windowed_rates(log: DataFrame, duration: str = "1 hour", kind_error: str = "
     A TIMESTAMP ``ts`` is used as is, so a watermark defined on it still applies."""
     ts = F.col("ts") if dict(log.dtypes).get("ts") == "timestamp" else F.col("ts").cast("timestamp")
     w = F.window(ts, duration)
-    g = log.groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("requests"),
+    g = log.groupBy(w.alias("w")).agg(F.count_if(_is_request()).alias("requests"),
                                       F.count_if(F.col("kind") == kind_error).alias("errors"))
     return g.select(F.col("w.start").alias("window_start"), "requests", "errors",
-                    F.round(F.col("errors") * 100.0 / F.col("requests"), 4).alias("error_rate_pct"))
+                    F.when(F.col("requests") > 0, F.round(F.col("errors") * 100.0 / F.col("requests"), 4))
+                    .otherwise(F.lit(0.0)).alias("error_rate_pct"))
 
 
 # Alert thresholds of the configuration.

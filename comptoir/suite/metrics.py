@@ -35,7 +35,7 @@ def q_metric_counters(spark, sf):
 
 
 O["metric_counters"] = with_fx(
-    f"SELECT name, count(*) AS increments, round(sum(value), 6) AS total FROM {FXM} GROUP BY name", FXM)
+    f"SELECT name, count(*) AS increments, round(sum(value), 6) AS total FROM {FXM} WHERE kind = 'error' GROUP BY name", FXM)
 
 
 def q_metric_gauges(spark, sf):
@@ -53,7 +53,7 @@ def q_metric_errors(spark, sf):
 
 
 O["metric_errors"] = with_fx(
-    f"SELECT coalesce(category, 'total') AS error_type, count(*) AS n FROM {FXM} WHERE kind = 'error' GROUP BY ROLLUP (category)", FXM)
+    f"SELECT CASE WHEN grouping(category) = 1 THEN 'total' ELSE category END AS error_type, count(*) AS n FROM {FXM} WHERE kind = 'error' GROUP BY ROLLUP (category)", FXM)
 
 
 def q_request_stats(spark, sf):
@@ -92,10 +92,11 @@ def q_success_rate(spark, sf):
     return M.success_rate(_log(spark, sf), by="category", total_label="all")
 
 
-_RATE = "CASE WHEN count(*) > 0 THEN round((1 - count_if(kind = 'error') / count(*)) * 100, 2) ELSE 0.0 END"
+_REQUESTS = "CAST(count_if(kind <> 'gauge') AS BIGINT)"
+_RATE = "CASE WHEN count_if(kind <> 'gauge') > 0 THEN round((1 - count_if(kind = 'error') / count_if(kind <> 'gauge')) * 100, 2) ELSE 0.0 END"
 O["success_rate"] = with_fx(
-    f"SELECT category, count(*) AS requests, CAST(count_if(kind = 'error') AS BIGINT) AS errors, {_RATE} AS success_rate FROM {FXM} GROUP BY category "
-    f"UNION ALL SELECT 'all', count(*), CAST(count_if(kind = 'error') AS BIGINT), {_RATE} FROM {FXM}", FXM)
+    f"SELECT category, {_REQUESTS} AS requests, CAST(count_if(kind = 'error') AS BIGINT) AS errors, {_RATE} AS success_rate FROM {FXM} GROUP BY category "
+    f"UNION ALL SELECT 'all', {_REQUESTS}, CAST(count_if(kind = 'error') AS BIGINT), {_RATE} FROM {FXM}", FXM)
 
 
 def q_alert_windows(spark, sf):
@@ -104,11 +105,12 @@ def q_alert_windows(spark, sf):
 
 
 O["alert_windows"] = with_fx(
-    "SELECT window_start, requests, errors, error_rate_pct, alerts FROM (SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, "
-    "count(*) AS requests, CAST(count_if(kind = 'error') AS BIGINT) AS errors, round(count_if(kind = 'error') * 100.0 / count(*), 4) AS error_rate_pct, "
-    "concat_ws(',', CASE WHEN round(count_if(kind = 'error') * 100.0 / count(*), 4) > 5.0 THEN 'error_rate' END, "
-    f"CASE WHEN count(*) < 100 THEN 'throughput' END) AS alerts FROM (SELECT *, time_bucket(INTERVAL '1 hour', ts) AS w FROM {FXM}) t "
-    "GROUP BY w) x WHERE alerts <> ''", FXM)
+    "SELECT window_start, requests, errors, error_rate_pct, concat_ws(',', CASE WHEN error_rate_pct > 5.0 THEN 'error_rate' END, "
+    "CASE WHEN requests < 100 THEN 'throughput' END) AS alerts FROM (SELECT window_start, requests, errors, "
+    "CASE WHEN requests > 0 THEN round(errors * 100.0 / requests, 4) ELSE 0.0 END AS error_rate_pct FROM ("
+    f"SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, {_REQUESTS} AS requests, "
+    f"CAST(count_if(kind = 'error') AS BIGINT) AS errors FROM {FXM} GROUP BY 1) c) x "
+    "WHERE error_rate_pct > 5.0 OR requests < 100", FXM)
 
 
 def _products(spark, sf):

@@ -128,9 +128,11 @@ def class_sentiment_report(p1: DataFrame, p2: DataFrame, reviews: DataFrame) ->
     """Reviews per (product, price class, sentiment), most reviewed first (JN-08, AGG-09).
 
     Reviews are counted per (asin, sentiment) before meeting the product
-    dimension; products without review keep one row with count 0.
+    dimension; products without review keep one row with count 0, products
+    without a price class have none.
     """
     prod = product_table(p1, p2).select("asin", "titre", "prix", F.col("classe").alias("gamme_prix"))
+    prod = prod.filter(F.col("gamme_prix").isNotNull())  # the band join is inner
     per = reviews.groupBy("asin", "sentiment").agg(F.count("asin").alias("nombre_avis"))
     return (prod.join(per, "asin", "left")
             .withColumn("nombre_avis", F.coalesce("nombre_avis", F.lit(0)).cast("bigint"))

@@ -220,7 +220,7 @@ def q_class_sentiment_report(spark, sf):
 O["class_sentiment_report"] = with_fx(
     f"WITH {PROD_CTE} SELECT b.asin, b.titre, b.prix, b.classe AS gamme_prix, r.sentiment, "
     "CAST(count(r.asin) AS BIGINT) AS nombre_avis FROM banded b LEFT JOIN fx_reviews r ON b.asin = r.asin "
-    "GROUP BY 1, 2, 3, 4, 5 ORDER BY nombre_avis DESC", *FX)
+    "WHERE b.classe IS NOT NULL GROUP BY 1, 2, 3, 4, 5 ORDER BY nombre_avis DESC", *FX)
 
 
 def q_sentiment_left_join(spark, sf):

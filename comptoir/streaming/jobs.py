@@ -9,7 +9,7 @@
 
 Checkpoints and outputs live under the shared folder (``spark.checkpoint.dir``),
 so a restarted query resumes from its last committed batch; a batch that is
-replayed rewrites its own snapshot version, which makes the sink idempotent.
+replayed is merged again into the newest version, with the same result.
 """
 
 from __future__ import annotations
@@ -55,7 +55,7 @@ def _fs(spark: SparkSession, path: str):
 
 
 def latest_version(spark: SparkSession, base: str) -> str | None:
-    """Path of the newest committed snapshot version under ``base`` (``v=<batch>``
+    """Path of the newest committed snapshot version under ``base`` (``v=<n>``
     folders holding a ``_SUCCESS`` marker), or None."""
     fs, p = _fs(spark, base)
     if not fs.exists(p):
@@ -91,16 +91,20 @@ def prune_versions(spark: SparkSession, base: str, keep: int = 2) -> None:
         fs.delete(path, True)
 
 
+def next_version(spark: SparkSession, base: str) -> str:
+    """Path of the version after the newest committed one. Versions count on by themselves:
+    batch ids start at 0 again with every new checkpoint."""
+    newest = latest_version(spark, base)
+    return f"{base}/v={int(newest.rstrip('/').rsplit('v=', 1)[1]) + 1 if newest else 0:012d}"
+
+
 def upsert_snapshot_batch(base: str, key: str, ts_col: str, tie_break=(), keep_versions: int = 2):
-    """foreachBatch function: snapshot(v-1) + batch -> newest per key -> snapshot(v);
-    then only the newest ``keep_versions`` versions are kept."""
+    """foreachBatch function: newest snapshot + batch -> newest per key -> next version;
+    then only the newest ``keep_versions`` versions are kept. A batch that is replayed
+    is merged again, which changes nothing: its rows are in the snapshot or older."""
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        prev = latest_version(spark, base)
-        target = f"{base}/v={batch_id:012d}"
-        if prev is not None and prev.rstrip("/").endswith(f"v={batch_id:012d}"):
-            # replay of an already committed batch: start from the version before it
-            prev = _previous(spark, base, batch_id)
+        prev, target = latest_version(spark, base), next_version(spark, base)
         if prev is None:
             merged = DD.pick_per_key(batch, key, [F.col(ts_col).isNotNull(), F.col(ts_col)] +
                                      [F.col(c) for c in tie_break])
@@ -112,16 +116,6 @@ def upsert_snapshot_batch(base: str, key: str, ts_col: str, tie_break=(), keep_v
     return run
 
 
-def _previous(spark, base, batch_id):
-    fs, p = _fs(spark, base)
-    cands = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith("v=") and int(name[2:]) < batch_id:
-            cands.append((int(name[2:]), st.getPath().toString()))
-    return max(cands)[1] if cands else None
-
-
 def run_available(query_writer, checkpoint: str):
     """Start a writer with trigger(availableNow) and wait, however long, until it has
     drained the source; a failure of the query is raised."""
@@ -132,10 +126,10 @@ def run_available(query_writer, checkpoint: str):
 
 def complete_to_parquet(base: str, keep_versions: int = 2):
     """foreachBatch function for complete-mode results: each batch writes the whole
-    result table as a new version ``base/v=<batch>``; readers take
+    result table as the next version ``base/v=<n>``; readers take
     :func:`latest_version`, so a failed write never hides the previous result."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/v={batch_id:012d}")
+        batch.write.mode("overwrite").parquet(next_version(batch.sparkSession, base))
         prune_versions(batch.sparkSession, base, keep_versions)
     return run
 

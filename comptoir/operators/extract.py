@@ -27,36 +27,36 @@ from ..functions.url import DEFAULT_HOST, facet_filter
 LISTING_BLOCK = r'<div [^>]*data-component-type="s-search-result"[^>]*>'
 LISTING_TITLE = r'class="a-size-base-plus a-color-base a-text-normal"[^>]*>([^<]*)<'
 LISTING_TITLE_FALLBACK = r'<a [^>]*class="[^"]*a-link-normal[^"]*"[^>]*>[^<]*<span [^>]*class="[^"]*a-text-normal[^"]*"[^>]*>([^<]*)<'
-LISTING_LINK = r'<a [^>]*class="[^"]*a-link-normal[^"]*"[^>]*href="([^"]*)"'
+LISTING_LINK = r'<a (?=[^>]*class="[^"]*a-link-normal)[^>]*href="([^"]*)"[^>]*>'
 LISTING_PRICE = r'class="a-price[^"]*"[^>]*>\s*<span class="a-offscreen">([^<]*)<'
 LISTING_STARS = r'class="[^"]*a-icon-star-small[^"]*"[^>]*>(?:\s*<span[^>]*>)?([^<]*)<'
 LISTING_COUNT = r'class="[^"]*a-size-small[^"]*"[^>]*>\s*<a [^>]*class="[^"]*a-link-normal[^"]*"[^>]*>([^<]*)<'
-LISTING_IMAGE = r'<img [^>]*class="s-image"[^>]*src="([^"]*)"'
+LISTING_IMAGE = r'<img (?=[^>]*class="[^"]*\bs-image\b)[^>]*\bsrc="([^"]*)"[^>]*>'
 DATA_ASIN = r'data-asin="([^"]*)"'
 URL_ASIN = r"/dp/([A-Z0-9]{10})/"
-PAGINATION_DISABLED = r'<span class="s-pagination-item" aria-disabled="true">([^<]*)<'
-SPEC_TABLE = r'(?s)<table id="productDetails_techSpec_section_1"[^>]*>(.*?)</table>'
+PAGINATION_DISABLED = r'<span (?=[^>]*class="[^"]*\bs-pagination-item\b)(?=[^>]*aria-disabled="true")[^>]*>([^<]*)<'
+SPEC_TABLE = r'(?s)<table [^>]*id="productDetails_techSpec_section_1"[^>]*>(.*?)</table>'
 TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
 TH_CELL = r"(?s)<th[^>]*>(.*?)</th>"
 TD_CELL = r"(?s)<td[^>]*>(.*?)</td>"
 FACET_TITLE = '<span class="a-size-base a-color-base puis-bold-weight-text">'
 FACET_LIST = r'(?s)<ul class="a-unordered-list[^"]*"[^>]*>(.*?)</ul>'
 FACET_ITEM = '<span class="a-list-item">'
-FACET_LINK = r'<a class="a-link-normal s-navigation-item"[^>]*href="([^"]*)"[^>]*>'
+FACET_LINK = r'(?s)<a (?=[^>]*class="[^"]*\bs-navigation-item\b)[^>]*href="([^"]*)"[^>]*>'
 FACET_VALUE = r'<span class="a-size-base a-color-base">([^<]*)<'
-REVIEW_BLOCK = '<div data-hook="review"'
-REVIEW_BLOCK_FALLBACK = r'<div id="[^"]*-review-card"'
-REVIEW_PROFILE = r'<a class="a-profile"[^>]*>\s*<span class="a-profile-name">([^<]*)<'
+REVIEW_BLOCK = r'<div [^>]*data-hook="review"[^>]*>'
+REVIEW_BLOCK_FALLBACK = r'<div [^>]*id="[^"]*-review-card"[^>]*>'
+REVIEW_PROFILE = r'class="[^"]*\ba-profile-name\b[^"]*"[^>]*>([^<]*)<'
 # Review fields are keyed by their data-hook attribute; the patterns start with
 # that attribute (a long literal, so the matcher skips ahead instead of trying
 # every '<'), then take the content up to the element's closing tag.
 REVIEW_STARS = r'(?s)data-hook="review-star-rating"[^>]*>(.*?)</i>'
 REVIEW_STAR_CLASS = r'class="([^"]*a-star-[^"]*)"'
-REVIEW_TITLE = r'(?s)data-hook="review-title"[^>]*>(.*?)</a>'
-REVIEW_DATE = r'(?s)data-hook="review-date"[^>]*>(.*?)</span>'
+REVIEW_TITLE = r'(?s)<a [^>]*data-hook="review-title"[^>]*>(.*?)</a>'
+REVIEW_DATE = r'data-hook="review-date"[^>]*>'
 REVIEW_BADGE = 'data-hook="avp-badge"'
-REVIEW_BODY = r'(?s)data-hook="review-body"[^>]*>(.*?)</span>'
-REVIEW_HELPFUL = r'(?s)data-hook="helpful-vote-statement"[^>]*>(.*?)</span>'
+REVIEW_BODY = r'data-hook="review-body"[^>]*>'
+REVIEW_HELPFUL = r'data-hook="helpful-vote-statement"[^>]*>'
 PAGE_TITLE = r"(?s)<title[^>]*>(.*?)</title>"
 PAGE_H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
 PAGE_LINK = r'<a [^>]*href="([^"]*)"'
@@ -82,16 +82,16 @@ CATEGORY_PAGE_ATTRIBUTES = [
 ]
 
 # Entities decoded in extracted text (as an HTML parser does).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&pound;", "£"),
+            ("&euro;", "€"), ("&amp;", "&")]
 
 
 def unescape(c) -> Column:
-    """Decode the entities above; values without '&' pass through untouched."""
-    x = as_col(c)
-    y = x
+    """Decode the entities above."""
+    y = as_col(c)  # named once: the expression is inlined into filters and must stay small
     for a, b in ENTITIES:
         y = F.replace(y, F.lit(a), F.lit(b))
-    return F.when(x.contains("&"), y).otherwise(x)
+    return y
 
 
 def inner_text(c) -> Column:
@@ -124,18 +124,43 @@ def _group(m: Column, pattern: str, group: int = 1) -> Column:
     return F.when(m.isNotNull(), F.regexp_extract(m, pattern, group))
 
 
+def element(rest: Column, tag: str) -> Column:
+    """Content of an element from the text after its opening tag: up to the closing tag
+    that balances it, nested elements of the same kind included; all of ``rest`` when
+    none does. One split and one pass over its pieces."""
+    opening, close = f"<{tag}", f"</{tag}>"
+    state = F.struct(F.lit("").alias("text"), F.lit(1).alias("open"))
+
+    def step(acc: Column, piece: Column) -> Column:
+        left = acc["open"] + F.regexp_count(piece, F.lit(opening + r"[\s>]")) - 1
+        more = F.struct(F.concat(acc["text"], F.when(acc["text"] == "", F.lit("")).otherwise(F.lit(close)), piece).alias("text"), left.alias("open"))
+        return F.when(acc["open"] <= 0, acc).otherwise(more)
+
+    simple = F.substring_index(rest, close, 1)
+    return F.when(~simple.rlike(opening + r"[\s>]"), simple).otherwise(
+        F.aggregate(F.split(rest, close), state, step, lambda s: s["text"]))
+
+
+def after(c: Column, pattern: str) -> Column:
+    """Text after the first match of ``pattern``, or NULL."""
+    at = F.regexp_instr(c, F.lit(pattern))
+    m = F.regexp_substr(c, F.lit(pattern))
+    return F.when(m.isNotNull(), F.substring(c, at + F.length(m), F.length(c)))
+
+
 def blocks(html, start_pattern: str) -> Column:
-    """array<struct<tag, body>>: the opening tag of each block and the text up to the next one."""
+    """array<struct<tag, body>>: the opening tag of each ``div`` block and its content, up to
+    its closing tag or the next block."""
     h = as_col(html)
     tags = F.regexp_extract_all(h, F.lit(start_pattern), F.lit(0))
-    bodies = F.slice(F.split(h, start_pattern), 2, 1 << 30)
+    bodies = block_bodies(h, start_pattern)
     return F.arrays_zip(tags.alias("tag"), bodies.alias("body"))
 
 
 def block_bodies(html, start_pattern: str) -> Column:
-    """array<string>: the text after each block opener up to the next one (one split,
-    no second scan for the opening tags when they are not needed)."""
-    return F.slice(F.split(as_col(html), start_pattern), 2, 1 << 30)
+    """array<string>: the content of each ``div`` block, up to its closing tag or the next
+    block opener (one split, no second scan for the opening tags when they are not needed)."""
+    return F.transform(F.slice(F.split(as_col(html), start_pattern), 2, 1 << 30), lambda b: element(b, "div"))
 
 
 def _sentinel(c: Column, field: str, sentinels: bool) -> Column:
@@ -164,13 +189,14 @@ def extract_listing(pages: DataFrame, page_col: str = "page_id", host: str = DEF
                        F.when(F.col("m_title").isNull(),
                               nullif_empty(inner_text(_opt(F.col("body"), LISTING_TITLE_FALLBACK)))))
     t = m.select("page", "pos", title.alias("titre"),
-                 F.concat(F.lit(f"https://{host}"), g("m_link")).alias("url"),
-                 nullif_empty(strip_ws(g("m_price"))).alias("prix"),
+                 F.concat(F.lit(f"https://{host}"), unescape(g("m_link"))).alias("url"),
+                 nullif_empty(strip_ws(unescape(g("m_price")))).alias("prix"),
                  nullif_empty(strip_ws(g("m_stars"))).alias("note"),
                  nullif_empty(strip_ws(g("m_count"))).alias("nombre_avis"),
                  g("m_image").alias("image_url"),
-                 nullif_empty(_group(F.col("m_asin"), DATA_ASIN)).alias("tag_asin"))
-    asin = F.coalesce(F.col("tag_asin"), nullif_empty(_opt(F.col("url"), URL_ASIN)))
+                 _group(F.col("m_asin"), DATA_ASIN).alias("tag_asin"), F.col("m_link").alias("link"))
+    # an empty attribute is no ASIN; the URL is only asked when the attribute is missing
+    asin = F.when(F.col("tag_asin").isNull(), nullif_empty(F.regexp_extract("link", URL_ASIN, 1))).otherwise(nullif_empty("tag_asin"))
     return t.select("page", "pos", *[_sentinel(F.col(c), c, sentinels).alias(c)
                                      for c in ("titre", "url", "prix", "note", "nombre_avis", "image_url")],
                     _sentinel(asin, "asin", sentinels).alias("asin"))
@@ -239,7 +265,7 @@ def extract_facets(pages: DataFrame, page_col: str = "page_id", host: str = DEFA
     val = _opt(after_link, FACET_VALUE)
     rows = items.select("page", "section_pos", "category_name", "item_pos",
                         strip_ws(unescape(val)).alias("name"),
-                        F.concat(F.lit(f"https://{host}"), link).alias("url"))
+                        F.concat(F.lit(f"https://{host}"), unescape(link)).alias("url"))
     rows = rows.filter(F.col("url").isNotNull() & F.col("name").isNotNull())
     f = facet_filter(F.col("url"))
     return rows.select("*", f["filter_key"].alias("filter_key"), f["filter_value"].alias("filter_value"))
@@ -255,6 +281,8 @@ def facets_nested(flat: DataFrame) -> DataFrame:
                              F.transform("vals", lambda v: v.dropFields("item_pos")).alias("vals"))
     return (per_sec.groupBy("page")
             .agg(F.array_sort(F.collect_list(F.struct("section_pos", "category_name", "vals"))).alias("s"))
+            # a repeated section title keeps its last section
+            .select("page", F.filter("s", lambda x, i: ~F.exists(F.slice("s", i + 2, F.size("s")), lambda y: y["category_name"] == x["category_name"])).alias("s"))
             .select("page", F.map_from_entries(F.transform("s", lambda x: F.struct(x["category_name"], x["vals"])))
                     .alias("filters")))
 
@@ -278,23 +306,24 @@ def extract_reviews(pages: DataFrame, asin=None, page_col: str = "page_id") -> D
     from ..functions.url import asin_from_url
     a = asin_from_url("url") if asin is None else as_col(asin)
     h = F.col("html")
-    blk = F.when(h.contains(REVIEW_BLOCK), block_bodies(h, REVIEW_BLOCK)).otherwise(
+    blk = F.when(h.rlike(REVIEW_BLOCK), block_bodies(h, REVIEW_BLOCK)).otherwise(
         block_bodies(h, REVIEW_BLOCK_FALLBACK))
     b = pages.select(F.col(page_col).alias("page"), a.alias("asin"), F.posexplode(blk).alias("pos", "body"))
     body = F.col("body")
     m = b.select("page", "pos", "asin", "body",
                  _match(body, REVIEW_PROFILE).alias("m_profile"), _match(body, REVIEW_STARS).alias("m_stars"),
-                 _match(body, REVIEW_TITLE).alias("m_title"), _match(body, REVIEW_DATE).alias("m_date"),
-                 _match(body, REVIEW_BODY).alias("m_body"), _match(body, REVIEW_HELPFUL).alias("m_helpful"),
+                 _match(body, REVIEW_TITLE).alias("m_title"), after(body, REVIEW_DATE).alias("a_date"),
+                 after(body, REVIEW_BODY).alias("a_body"), after(body, REVIEW_HELPFUL).alias("a_helpful"),
                  body.contains(REVIEW_BADGE).alias("verified_purchase"))
-    profile_name = F.substring_index(F.substring_index(F.col("m_profile"), 'class="a-profile-name">', -1), "<", 1)
-    fields = {"stars": ("m_stars", "</i>"), "title": ("m_title", "</a>"), "date_text": ("m_date", "</span>"),
-              "comment": ("m_body", "</span>"), "helpful": ("m_helpful", "</span>")}
+    profile_name = _content(F.col("m_profile"), "<")
+    fields = {"stars": _content(F.col("m_stars"), "</i>"), "title": _content(F.col("m_title"), "</a>"),
+              "date_text": element(F.col("a_date"), "span"), "comment": element(F.col("a_body"), "span"),
+              "helpful": element(F.col("a_helpful"), "span")}
     # Staged text clean-up (content -> tags removed -> entities decoded, trimmed): each
     # stage reads the previous one's columns, so no step is re-evaluated per reference.
     c = m.select("page", "pos", "asin", "verified_purchase", "body", "m_stars",
                  profile_name.alias("reviewer"),
-                 *[_content(F.col(src), close).alias(name) for name, (src, close) in fields.items()])
+                 *[c.alias(name) for name, c in fields.items()])
     c = c.select("page", "pos", "asin", "verified_purchase", "body", "m_stars", "reviewer",
                  *[F.when(F.col(n).contains("<"), F.regexp_replace(F.col(n), TAG, "")).otherwise(F.col(n)).alias(n)
                    for n in fields])

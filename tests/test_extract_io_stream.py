@@ -199,3 +199,70 @@ def test_json_array_export_is_bounded(spark):
     assert sorted(json.loads(text), key=lambda d: d["id"]) == [{"id": 0, "v": 0}, {"id": 1, "v": 2}, {"id": 2, "v": 4}]
     with pytest.raises(ValueError):
         W.export_json_array(spark.range(50), new_subdir(spark, "arr2"), max_rows=10)
+
+
+def test_extraction_on_other_markup(spark):
+    """Attribute order, extra classes, wrappers, nested spans, line breaks, entities and a widget after the last block."""
+    from comptoir.operators import extract as X
+    review = ('<div id="r1" data-hook="review" class="x"><a href="/p" class="a-profile"><div class="w"><span class="a-profile-name big"> Ann </span></div></a>'
+              '<a href="/t" data-hook="review-title"><span>Good</span></a><span data-hook="review-date">Reviewed in <span>France</span> on 3 May 2024</span>'
+              '<span data-hook="review-body"><span>first half</span><br/><span>second half</span></span></div>'
+              '<span data-hook="helpful-vote-statement">9 people</span>')
+    r = X.extract_reviews(spark.createDataFrame([("p", "https://shop.example/dp/B000000001/", review)], "page_id string, url string, html string")).collect()
+    assert [(x.reviewer, x.title, x.comment, x.location, x.date, x.helpful_count) for x in r] == [
+        ("Ann", "Good", "first halfsecond half", "France", "3 May 2024", 0)]
+    span = X.extract_reviews(spark.createDataFrame([("p", "u", '<div data-hook="review"><span data-hook="review-title">x</span></div>')],
+                                                   "page_id string, url string, html string")).first()
+    assert span.title == "Sans titre"
+    listing = ('<div data-asin="" class="a" data-component-type="s-search-result"><div><a href="/dp/B000000009/?a=1&amp;b=2" class="z a-link-normal">'
+               '<span class="a-size-base-plus a-color-base a-text-normal">T</span></a></div></div>'
+               '<div><span class="a-price"><span class="a-offscreen">&pound;99.00</span></span></div>'
+               '<span aria-disabled="true" class="s-pagination-item s-pagination-disabled">20</span>')
+    pages = spark.createDataFrame([(1, listing)], "page_id int, html string")
+    x = X.extract_listing(pages, host="shop.example").first()
+    assert (x.titre, x.url, x.prix, x.asin) == ("T", "https://shop.example/dp/B000000009/?a=1&b=2", None, None)
+    assert pages.select(X.max_page("html")).first()[0] == 20
+    facets = "".join(f'<span class="a-size-base a-color-base puis-bold-weight-text">S</span><ul class="a-unordered-list"><span class="a-list-item">'
+                     f'<a href="/s?rh=p_{k}%3A1" class="a-link-normal s-navigation-item">\n<span class="a-size-base a-color-base">v{k}</span></a></span></ul>' for k in (1, 2))
+    flat = X.extract_facets(spark.createDataFrame([(1, facets)], "page_id int, html string"), host="shop.example")
+    assert flat.count() == 2
+    nested = X.facets_nested(flat).first().filters
+    assert [v.name for v in nested["S"]] == ["v2"]
+
+
+def test_csv_round_trip_keeps_quotes_padding_and_line_breaks(spark, tmp_path):
+    from comptoir.sources import readers, writers
+    data = [('a "q", b', "  pad "), ("x\ny", "\\"), (",", '"')]
+    df = spark.createDataFrame(data, "a string, b string")
+    path = writers.sink_csv(df, str(tmp_path / "t"))
+    assert sorted(map(tuple, readers.scan_csv_schema(spark, path, df.schema, multi_line=True).collect())) == sorted(data)
+    one = writers.sink_csv(df.filter("a not like '%\n%'"), str(tmp_path / "u"))
+    assert sorted(map(tuple, readers.scan_csv_schema(spark, one, df.schema).collect())) == sorted([data[0], data[2]])
+
+
+def test_snapshot_goes_on_after_a_new_checkpoint(spark, tmp_path):
+    from comptoir.streaming import jobs
+    base = str(tmp_path / "snap")
+    rows = [spark.createDataFrame([(k, k)], "k int, ts int") for k in range(1, 5)]
+    for batch_id, batch in [(5, rows[0]), (6, rows[1]), (0, rows[2]), (0, rows[2]), (1, rows[3])]:
+        jobs.upsert_snapshot_batch(base, "k", "ts")(batch, batch_id)
+    assert sorted(r.k for r in jobs.read_latest(spark, base).collect()) == [1, 2, 3, 4]
+
+
+def test_part_files_are_ordered_by_number(spark, tmp_path):
+    import pathlib
+    from comptoir.operators.dedupe import dedupe_keep_last
+    from comptoir.sources import readers
+    for n, v in (("part-99999-x.csv", "old"), ("part-100000-x.csv", "new")):
+        pathlib.Path(tmp_path, n).write_text(f"k,v\n1,{v}\n")
+    scan = readers.with_file_order(spark.read.option("header", True).csv(str(tmp_path)))
+    assert dedupe_keep_last(scan, "k", list(readers.FILE_ORDER)).first().v == "new"
+
+
+def test_metrics_with_gauges_and_missing_categories(spark):
+    from comptoir.operators import metrics as M
+    log = spark.createDataFrame([("error", None), ("error", "a"), ("duration", None), ("gauge", "a")], "kind string, category string")
+    assert M.success_rate(log).first().asDict() == {"requests": 3, "errors": 2, "success_rate": 33.33}
+    assert sorted(((r.error_type or ""), r.n) for r in M.error_counts(log).collect()) == [("", 1), ("a", 1), ("total", 2)]
+    one = spark.createDataFrame([(1, "2024-01-01 00:00:00", "duration", None, 2.0)], "event_id int, ts string, kind string, category string, value double")
+    assert M.rolling_last_n(one.withColumn("ts", F.col("ts").cast("timestamp"))).count() == 1

@@ -15,7 +15,9 @@ no rows.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -119,18 +121,19 @@ class LabelModel:
 
 def features(data: bytes, m: dict[str, float]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed (place, value): words and shapes by log count, measures by rank."""
-    words = data.split()
-    names = [b"w:" + w for w in data.lower().split()] + [b"s:" + _squeeze(w) for w in data.translate(_SHAPE).split()]
-    at = np.fromiter(map(zlib.crc32, names), np.int64, len(names)) & ((1 << BITS) - 1)
-    place, count = np.unique(at, return_counts=True)
-    value = np.log1p(count)
+    # Distinct words and shapes are hashed once, with their counts.
+    counts = [*((b"w:" + w, n) for w, n in Counter(data.lower().split()).items()),
+              *((b"s:" + _squeeze(w), n) for w, n in Counter(data.translate(_SHAPE).split()).items())]
+    at = np.fromiter((zlib.crc32(name) for name, _ in counts), np.int64, len(counts)) & ((1 << BITS) - 1)
+    place, which = np.unique(at, return_inverse=True)
+    value = np.log1p(np.bincount(which, weights=[n for _, n in counts], minlength=len(place)))
     value /= max(1e-9, np.sqrt((value ** 2).sum()))
     coarse = [f"{k}:{int(min(20, x * 20)) if k not in ('n', 'length') else int(np.log2(x + 1))}".encode() for k, x in m.items()]
     extra = np.array([zlib.crc32(c) & ((1 << BITS) - 1) for c in coarse], np.int64)
-    del words
     return np.concatenate([place, extra]), np.concatenate([value, np.full(len(extra), 0.5)])
 
 
+@lru_cache(maxsize=1 << 14)
 def _squeeze(shape: bytes) -> bytes:
     return bytes(c for i, c in enumerate(shape) if i == 0 or shape[i - 1] != c) if len(shape) < 64 else b"long"
 

@@ -280,6 +280,14 @@ def test_packing_edges(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def test_added_tokens_are_matched_in_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t, made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.public_encoder()
+    for text in ("a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext", " <|endoftext|>  <|im_end|>"):
+        assert np.frombuffer(made.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 # -- warc -----------------------------------------------------------------
 
 def test_members_are_found_from_any_byte():

@@ -33,7 +33,8 @@ RANK_BLOCK = 500_000
 class Encoder:
     """Byte-level BPE with the ids of a ``tokenizers`` file, from the rank file of
     the same vocabulary (several times faster). The file's added tokens are matched
-    in texts, as ``tokenizers`` does."""
+    in texts, as ``tokenizers`` does. A text on which the fast encoder fails (about
+    a million white-space characters in a row) is encoded whole by ``tokenizers``."""
 
     def __init__(self, rank_file: str, pattern: str, tokenizer_file: str):
         import tiktoken
@@ -42,10 +43,24 @@ class Encoder:
         with open(tokenizer_file, encoding="utf-8") as f:
             added = {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
         self.bpe = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=added)
+        self.tokenizer_file, self.whole = tokenizer_file, None
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit numbers."""
-        return np.array(self.bpe.encode(text, allowed_special="all"), "<u4").tobytes()
+        try:
+            ids = self.bpe.encode(text, allowed_special="all")
+        except BaseException as e:
+            # The regex engine's stack ran out: a ValueError, or a panic, which is no Exception.
+            if not isinstance(e, ValueError) and type(e).__name__ != "PanicException":
+                raise
+            ids = self._tokenizer().encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes()
+
+    def _tokenizer(self):
+        if self.whole is None:
+            from tokenizers import Tokenizer
+            self.whole = Tokenizer.from_file(self.tokenizer_file)
+        return self.whole
 
 
 def public_encoder() -> Encoder:

@@ -288,6 +288,15 @@ def test_added_tokens_are_matched_in_texts():
         assert np.frombuffer(made.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
 
 
+def test_a_million_white_space_characters_are_encoded():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    t, made = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.public_encoder()
+    for text in (" " * 1_000_000, "\n" * 1_000_000, "a" + " \n" * 500_000 + "<|endoftext|> b"):
+        assert np.frombuffer(made.encode(text), "<u4").tolist() == t.encode(text, add_special_tokens=False).ids
+    assert np.frombuffer(made.encode("one two"), "<u4").tolist() == t.encode("one two", add_special_tokens=False).ids
+
+
 # -- warc -----------------------------------------------------------------
 
 def test_members_are_found_from_any_byte():

@@ -6,8 +6,10 @@ in symbols (a word is repeated while the walk's coin for word and step says so;
 the first ``2n`` of them are sampled), which turns edit distance into Hamming distance. Each repetition has
 its own walk and samples a few positions; windows and items with the same
 sampled bits (hashes of the symbols) are candidates, and an exact edit
-distance over words decides. Repetitions are so many that a passage at the
-edit limit is found with the target recall; exact passages always are.
+distance over words decides. The repetitions suffice for items of fewer than
+``LONG`` words (a recall of 0.97 or more at the edit limit); insertions and
+deletions take the walks of longer items apart, so every window of those that is
+in reach (next paragraph) is verified. Exact passages are always found.
 
 Windows that cannot match are not embedded: an alignment with at most ``k``
 edits keeps at least ``n - 2 - 3k`` of the item's three-word runs, so a window
@@ -36,6 +38,7 @@ from comptoir.llm._util import rows
 BLOCK_BYTES = 8_000_000  # items sent to the tasks at a time
 EDIT_RATE = 0.15  # edits per word of the item, rounded down
 SAMPLED, REPEATS = 4, 40
+LONG = 60  # items of so many words are verified wherever they are in reach, without the walks
 RUN = 3
 STRIDE = 4096  # windows embedded at a time
 
@@ -157,16 +160,19 @@ class Index:
         nearest stretch of each item that a text holds."""
         get = self.number.get
         seqs: dict[int, np.ndarray] = {}
+        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        tried: dict[tuple[int, int], list[tuple[int, int]]] = {}
         wanted: dict[int, dict[int, dict[int, np.ndarray]]] = {}  # window length -> text -> item -> starts
         for t, text in enumerate(texts):
             split = words(text)
             seq = np.fromiter(map(get, split, repeat(0)), np.int64, len(split))
             for k, starts in self._windows(seq):
-                wanted.setdefault(len(self.seqs[k]), {}).setdefault(t, {})[k] = starts
                 # Unknown words differ from each other and from every item's.
                 seqs[t] = np.where(seq == 0, -2 - np.arange(len(seq)), seq)
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
-        tried: dict[tuple[int, int], list[tuple[int, int]]] = {}
+                if len(self.seqs[k]) >= LONG and self.least[k] > 0:
+                    self._verify(t, k, set(starts.tolist()), seqs[t], best, tried)
+                else:
+                    wanted.setdefault(len(self.seqs[k]), {}).setdefault(t, {})[k] = starts
         for n, of_text in wanted.items():
             for g, tables in enumerate(self.tables[n]):
                 open_ = {t: [x for k, x in of.items() if best.get((t, k), (1,))[0] > 0 and (g == 0 or self.limit[k] > 0)] for t, of in of_text.items()}

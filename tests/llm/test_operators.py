@@ -171,6 +171,22 @@ def test_decontamination_edges(spark):
     assert decontam.contamination(d, bench.limit(0)).count() == 0
 
 
+def test_long_items_are_found_at_the_edit_limit():
+    r = random.Random(22)
+    for n in (59, 60, 100, 150, 300):
+        w = [f"w{r.randrange(2000)}" for _ in range(n)]
+        index, texts = decontam.Index([(1, " ".join(w))]), []
+        for kind in ("insert", "delete", "mixed") * 10:
+            v = list(w)
+            for _ in range(int(0.15 * n)):
+                act = r.choice(("insert", "delete", "swap")) if kind == "mixed" else kind
+                at = r.randrange(len(v))
+                v[at:at + (act != "insert")] = [] if act == "delete" else ["zzz"]
+            texts.append(" ".join([*r.choices("abcdef", k=r.randint(0, 80)), *v, *r.choices("abcdef", k=r.randint(0, 80))]))
+        found = {t for t, *_ in index.search(texts)}
+        assert len(found) == len(texts) if n >= decontam.LONG else len(found) >= 0.9 * len(texts)
+
+
 # -- pii ------------------------------------------------------------------
 
 def py_permute(x, y, a, b, key, tag):

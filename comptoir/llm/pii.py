@@ -22,16 +22,42 @@ from pyspark.sql import functions as F
 
 ROUNDS = 8
 
+# Countries by the length of their IBANs.
+IBAN = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+        23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+        28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
+
+
+def _iban_form(n: int, countries: str) -> str:
+    """Compact, or in groups of four and a rest."""
+    fours, rest = divmod(n - 4, 4)
+    groups = f"(?:[ -][A-Z0-9]{{4}}){{{fours}}}" + (f"[ -][A-Z0-9]{{{rest}}}" if rest else "")
+    return f"(?:{countries.replace(' ', '|')})[0-9]{{2}}(?:[A-Z0-9]{{{n - 4}}}|{groups})"
+
+
+IBAN_FORM = f"(?:[A-Z]{{2}}[0-9]{{2}}[A-Z0-9]{{1,20}}[0-9]{{10}}|{'|'.join(_iban_form(n, c) for n, c in IBAN.items())})"
+
+# Groups of card numbers. The odd ones end where no other number goes on.
+CARD_ODD = ((4, 4, 4, 4, 3), (4, 4, 4, 4, 2), (4, 4, 4, 4, 1), (4, 4, 4, 3), (4, 4, 4, 2), (4, 4, 4, 1), (4, 4, 5), (4, 6, 4), (4, 5, 6), (4, 3, 3, 3), (6, 13), (6, 10))
+
+
+def _groups(*sizes: int) -> str:
+    return "[ -]".join(f"[0-9]{{{n}}}" for n in sizes)
+
+
+CARD_FORM = f"(?:[0-9]{{13,19}}|(?:{'|'.join(_groups(*g) for g in CARD_ODD)})(?![ ./-]?[0-9])|{_groups(4, 4, 4, 4)}|{_groups(4, 6, 5)})"
+
 # Patterns by kind, tried in this order at each place.
 KINDS = {
     "email": r"[A-Za-z0-9](?:[A-Za-z0-9._%+-]{0,62}[A-Za-z0-9_%+-])?@(?:[A-Za-z0-9](?:[A-Za-z0-9-]{0,61}[A-Za-z0-9])?\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
     "secret": r"\bAKIA[0-9A-Z]{16}\b|(?<=\bpassword=)[^\s\"'&;]{6,}|(?<=\b(?:token|secret|api_key) = \")[^\"\s]{16,}(?=\")",
-    "date": r"(?<![0-9.,/-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9/-])|(?<![0-9.,/-])[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9/-])",
+    "date": r"(?<![0-9/-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![0-9/-])|(?<![0-9/-])(?<![0-9]\.)[0-9]{2}[./][0-9]{2}[./][0-9]{4}(?![0-9/-])",
     "ipv4": r"(?<![0-9.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?![0-9]|\.[0-9])",
-    "iban": r"\b[A-Z]{2}[0-9]{2}[A-Z0-9]{1,20}[0-9]{10}\b",
-    "phone": r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])|(?<![0-9+])\+[2-9][0-9]{7,14}(?![0-9])",
+    "iban": r"\b(?=[A-Z]{2}[0-9]{2}[A-Z0-9 -])" + IBAN_FORM + r"\b",
+    "phone": r"(?<![0-9+])(?:\+?1[ .-]?)?(?:\([2-9][0-9]{2}\) ?|[2-9][0-9]{2}[ .-])[2-9][0-9]{2}[ .-][0-9]{4}(?![0-9])"
+             r"|(?<![0-9+])\+[2-9](?:(?:[ .-]?\((?=[0-9]{1,4}\))|\)[ .-]?|[ .-](?=[0-9]{2}|[0-9][ .-][0-9]{2}))?[0-9]){7,14}(?![0-9])",
     "ssn": r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])",
-    "card": r"(?<![0-9])(?:[0-9]{13,19}|[0-9]{4}(?:[ -][0-9]{4}){3}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9])",
+    "card": "(?<![0-9])" + CARD_FORM + "(?![0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 
@@ -137,13 +163,20 @@ def _luhn(digits: Column, double_last: bool) -> Column:
 
 
 def _card(m: Column, key: Column) -> Column:
-    """13 to 19 digits with a right check digit: the first digit stays, the check digit is made anew."""
+    """13 to 19 digits with a right check digit: the first digit stays, the check digit
+    is made anew. Of grouped digits that are none, the longest groups from the first
+    that are one; what follows stays."""
     def of(d: Column) -> Column:
         n = F.length(d)
         body = F.concat(_sub(d, 1, 1), _halves(_sub(d, 2, n - 2), n - 2, key, "card"))
-        full = _let(body, lambda b: F.concat(b, F.pmod(-_luhn(b, True), F.lit(10)).cast("string")))
-        return F.when((_luhn(d, False) == 0) & ~d.rlike("^0+$"), _let(full, lambda f: _refill(m, f)))
-    return _let(_digits(m), of)
+        return _let(body, lambda b: F.concat(b, F.pmod(-_luhn(b, True), F.lit(10)).cast("string")))
+
+    def right(c: Column) -> Column:
+        return _let(_digits(c), lambda d: (F.length(d) >= 13) & (_luhn(d, False) == 0) & ~d.rlike("^0+$"))
+
+    ends = F.filter(F.sequence(F.length(m), F.lit(13), F.lit(-1)), lambda e: (e == F.length(m)) | _sub(m, e + 1, 1).rlike("[ -]"))
+    best = F.get(F.filter(F.transform(ends, lambda e: _sub(m, 1, e)), right), 0)
+    return _let(best, lambda c: F.when(c.isNotNull(), F.concat(_refill(c, _let(_digits(c), of)), F.substring(m, F.length(c) + 1, F.length(m)))))
 
 
 def _phone(m: Column, key: Column) -> Column:
@@ -180,11 +213,25 @@ def _mod97(s: Column) -> Column:
 
 
 def _iban(m: Column, key: Column) -> Column:
-    """Country and all but the last ten digits stay; the check digits are made anew."""
-    n = F.length(m)
-    body = F.concat(_sub(m, 5, n - 14), _halves(_sub(m, n - 9, 10), F.lit(10), key, "iban"))
-    full = _let(body, lambda b: F.concat(_sub(m, 1, 2), _pad(98 - _mod97(F.concat(b, _sub(m, 1, 2), F.lit("00"))), F.lit(2)), b))
-    return F.when(_mod97(F.concat(F.substring(m, F.lit(5), n), _sub(m, 1, 4))) == 1, full)
+    """Country, letters and all but the last ten digits stay; the check digits are made anew.
+    With fewer than two digits, digits and letters are moved within their class."""
+    def of(c: Column) -> Column:
+        rest = F.substring(c, F.lit(5), F.length(c))
+        digits = _digits(rest)
+
+        def last(d: Column) -> Column:
+            k = F.least(F.length(d), F.lit(10))
+            return F.concat(_sub(d, 1, F.length(d) - k), _halves(F.substring(d, F.length(d) - k + 1, k), k, key, "iban"))
+        body = F.when(F.length(digits) >= 2, _let(digits, lambda d: _refill(rest, last(d)))).otherwise(scramble(rest, key, "iban"))
+        full = _let(body, lambda b: F.concat(_sub(c, 1, 2), _pad(98 - _mod97(F.concat(b, _sub(c, 1, 2), F.lit("00"))), F.lit(2)), b))
+        return F.when(_mod97(F.concat(rest, _sub(c, 1, 4))) == 1, _let(full, lambda f: _layout(m, f)))
+    return _let(F.regexp_replace(m, "[ -]", ""), of)
+
+
+def _layout(m: Column, s: Column) -> Column:
+    """``s`` with the separators of ``m``."""
+    return F.array_join(F.transform(F.split(m, ""), lambda c, i: F.when(c.rlike("^[A-Z0-9]$"), _sub(s, F.length(
+        F.regexp_replace(_sub(m, 1, i + 1), "[ -]", "")), 1)).otherwise(c)), "")
 
 
 def _ipv4(m: Column, key: Column) -> Column:
@@ -237,8 +284,8 @@ def _secret(m: Column, key: Column) -> Column:
 def _kind(m: Column) -> Column:
     """The kind of a match of PATTERN, by its form."""
     forms = {"email": "@", "date": r"^(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}[./][0-9]{2}[./][0-9]{4})$", "ipv4": r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$",
-             "iban": r"^[A-Z]{2}[0-9]{2}[A-Z0-9]*[0-9]{10}$", "ssn": "^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
-             "card": "^(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4,6}[ -][0-9 -]+)$", "phone": r"^[+(]?[0-9][0-9() .+-]{8,}$"}
+             "iban": f"^{IBAN_FORM}$", "ssn": "^[0-9]{3}-[0-9]{2}-[0-9]{4}$",
+             "card": f"^{CARD_FORM}$", "phone": r"^(?:[+(]?[0-9][0-9() .+-]{8,}|\+[2-9][0-9() .-]{7,})$"}
     out = F.lit("secret")
     for kind, form in reversed(forms.items()):
         out = F.when(m.rlike(form), F.lit(kind)).otherwise(out)

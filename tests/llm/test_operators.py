@@ -246,6 +246,30 @@ def test_pseudonyms_keep_format_and_link(masked):
     assert masked[6].text is None and masked[7].text == "" and masked[6].pii == []
 
 
+WRITTEN = [("GB82 WEST 1234 5698 7654 32", "iban"), ("GB82WEST12345698765432", "iban"), ("FR1420041010050500013M02606", "iban"), ("MT84MALT011000012345MTLCAST001S", "iban"),
+           ("BE68 5390 0754 7034", "iban"), ("NO93 8601 1117 947", "iban"), ("+44 20 7946 0958", "phone"), ("+49 30 901820", "phone"), ("+33 1 23 45 67 89", "phone"),
+           ("+44 (0)20 7946 0958", "phone"), ("3056 930902 5904", "card"), ("4222 222 222 222", "card"), ("4785-3805-9239-1139", "card"), ("371449635398431", "card"), ("3714 496353 98431", "card")]
+
+
+def test_usual_written_forms_are_found(spark):
+    rows = [(i, f"see {v} NEXT word") for i, (v, _) in enumerate(WRITTEN)]
+    rows += [(100, "a,1990-01-02,b"), (101, "7,1990-01-02,8"), (102, "Born.31.12.1999, or"), (103, "GB82 WEST 1234 5698 7654 33 x 3056 930902 5905 x 1.31.12.1999"),
+             (104, "4785 3805 9239 1139 988-555-2485"), (105, "4785 3805 9239 1139 12.10.2020"), (106, "4785 3805 9239 1139 556 x"), (107, "+44 20 7946 0958 8.8.8.8")]
+    got = {r.doc_id: r for r in pii.pseudonymise(docs(spark, rows, clash=False), "key").collect()}
+    for i, (v, kind) in enumerate(WRITTEN):
+        new = got[i].text[4:-10]
+        assert [x.kind for x in got[i].pii] == [kind] and new != v and got[i].text == f"see {new} NEXT word", v
+        assert re.sub("[0-9]", "0", new) == re.sub("[0-9]", "0", v)
+        if kind == "iban":
+            c = new.replace(" ", "")
+            assert int("".join(str(int(x, 36)) for x in c[4:] + c[:4])) % 97 == 1
+        assert kind != "card" or luhn(new)
+    assert got[0].text[4:-10].replace(" ", "") == got[1].text[4:-10]
+    kinds = {i: [x.kind for x in got[i].pii] for i in range(100, 108)}
+    assert kinds == {100: ["date"], 101: ["date"], 102: ["date"], 103: [], 104: ["card", "phone"], 105: ["card", "date"], 106: ["card"], 107: ["phone", "ipv4"]}
+    assert re.fullmatch(r"a,\d{4}-\d\d-\d\d,b", got[100].text) and got[103].text == rows[-5][1] and got[106].text.endswith(" 556 x")
+
+
 # -- packing --------------------------------------------------------------
 
 def test_plan_covers_everything_and_fills_bins():

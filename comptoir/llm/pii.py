@@ -11,8 +11,8 @@ A value is a pair (x, y) out of Z_a x Z_b. Rounds add to one half a keyed hash
 cycle walking. The rounds are run, the first half is rotated by a keyed
 non-zero amount, and the rounds are undone; so no value is its own pseudonym.
 
-Everything is SQL expressions. Texts without a digit or ``@`` are passed
-through after one scan; null texts stay null. Values that fail validation stay.
+Everything is SQL expressions. Texts without a digit, ``@`` or the words before
+a credential are passed through after one scan; null texts stay null. Values that fail validation stay.
 """
 
 from __future__ import annotations
@@ -60,6 +60,8 @@ KINDS = {
     "card": "(?<![0-9])" + CARD_FORM + "(?![0-9])",
 }
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
+# Held by every text that PATTERN matches anything in.
+FIRST = r"[0-9@]|password=|AKIA|(?:token|secret|api_key) = \""
 
 
 def _let(value: Column, f) -> Column:
@@ -307,7 +309,7 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", mark: str | None
     none. Other columns stay; an input column named ``mark`` is replaced."""
     k = F.lit(key)
     d = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col(text).alias("_text"))
-    found = F.when(F.col("_text").rlike("[0-9@]|password="), F.regexp_extract_all(F.col("_text"), F.lit(PATTERN), F.lit(0)))
+    found = F.when(F.col("_text").rlike(FIRST), F.regexp_extract_all(F.col("_text"), F.lit(PATTERN), F.lit(0)))
     d = d.withColumn("_found", F.coalesce(found, F.array().cast("array<string>")))
     d = d.withColumn("_new", F.transform("_found", lambda m: F.struct(
         m.alias("old"), _let(_kind(m), lambda kind: F.struct(kind.alias("kind"), pseudonym(kind, m, k).alias("value"))).alias("p"))))

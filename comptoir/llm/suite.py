@@ -10,13 +10,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from comptoir.llm import decontam, langid, packing, pii, quality, rules, simhash, toxicity, urlfilter, warc
+from comptoir.llm import colloc, decontam, langid, packing, pii, quality, rules, search, sharding, simhash, toxicity, urlfilter, warc
 from comptoir.llm._util import held_out, table
 
 CAPACITY = 1024
 SIMHASH = {"shingle": 3, "radius": 2}
 PII_KEY = "corpus-pseudonyms-1"
 WARC_SPLIT = 4 << 20
+SHARDS = 24
 
 URL_RULES = [
     urlfilter.UrlRule("com", "/", "allow"),
@@ -88,6 +89,20 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY).select("doc_id", "text", "pii")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.Index.build(table(spark, sf_dir, "documents"))
+    return search.search(index, table(spark, sf_dir, "benchmark"), top=10)
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shard(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return colloc.collocations(table(spark, sf_dir, "documents"), least=100, top=2000)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -95,7 +110,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_best_fit_packing, op2_warc, op3_decontamination, op4_url_filter, op5_toxicity, op6_quality_classifier,
-    op7_language_id, op8_quality_rules, op9_simhash, op10_pii, pipeline)}
+    op7_language_id, op8_quality_rules, op9_simhash, op10_pii, op11_ranked_search, op12_sharding, op13_collocations, pipeline)}
 
 _W = r"[^\x20\x09-\x0D]"
 _STOPS = ", ".join(repr(x) for x in sorted({x for lang in rules.STOP_WORDS for w in lang.split() for x in (w, w.capitalize())}))
@@ -135,6 +150,10 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 """
 
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
 O: dict[str, str] = {
     "op2_warc": """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
@@ -156,4 +175,35 @@ SELECT h.page_id, host, path, rule, coalesce(rverdict, CASE WHEN regexp_matches(
 FROM h LEFT JOIN m ON h.page_id = m.page_id
 """,
     "op8_quality_rules": _op8_sql(),
+    "op11_ranked_search": rf"""
+WITH t AS (SELECT doc_id, row_number() OVER () AS d, regexp_extract_all({_LOWER.format('text')}, '{_TERM}') AS ts FROM documents),
+s AS (SELECT count(*)::HUGEINT AS big_n, sum(len(ts))::HUGEINT AS big_l FROM t WHERE len(ts) > 0),
+q AS (SELECT item_id, row_number() OVER () AS qi, unnest(regexp_extract_all({_LOWER.format('text')}, '{_TERM}')) AS term FROM benchmark),
+o AS (SELECT d, term, count(*) AS tf FROM (SELECT d, unnest(ts) AS term FROM t) x WHERE term IN (SELECT term FROM q) GROUP BY d, term),
+f AS (SELECT term, count(*) AS df FROM o GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM f, s),
+m AS (SELECT d, doc_id, (25 + (75 * len(ts)::HUGEINT * big_n) // big_l)::BIGINT AS m FROM t, s WHERE len(ts) > 0),
+r AS (SELECT qi, item_id, d, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+      FROM q JOIN w USING (term) JOIN o USING (term) JOIN m USING (d) GROUP BY qi, item_id, d),
+k AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY qi ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM r JOIN m USING (d) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= 10
+""",
+    "op13_collocations": rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+n AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+      FROM w, range(1, 6) x(k) WHERE len(ws) >= k),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, f AS a FROM f WHERE k > 1),
+u AS (SELECT lang, k, phrase, a, j, array_to_string(ws[1:j], ' ') AS p1, array_to_string(ws[j + 1:], ' ') AS p2 FROM c, range(1, 5) x(j) WHERE j < k),
+s AS (SELECT u.*, x.f AS l, y.f AS r, n, (1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS score
+      FROM u JOIN f x ON x.lang = u.lang AND x.phrase = p1 JOIN f y ON y.lang = u.lang AND y.phrase = p2 JOIN n ON n.lang = u.lang),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+i AS (SELECT lang, array_to_string(ws[b0:b0 + sz - 1], ' ') AS phrase, max(a) AS around
+      FROM c, range(2, 5) x(sz), range(1, 5) y(b0) WHERE sz < k AND b0 + sz - 1 <= k GROUP BY ALL),
+z AS (SELECT b.*, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
+      FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE around IS NULL OR 100 * around < 100 * a)
+SELECT lang, rank::INTEGER AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM z WHERE rank <= 2000
+""",
 }

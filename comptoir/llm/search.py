@@ -26,38 +26,38 @@ tables give empty results. Columns not named are not read.
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from comptoir.llm._util import rows, stage
+from comptoir.llm._util import as_bytes, rows, stage
 
-TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
-LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-HASHES = 3  # rows set for a term and level
-PER_ENTRY = 6  # rows of a signature for each term and level of its fullest document
+# In bytes: ASCII that is no letter or digit becomes a blank, A-Z lower case, all else stays.
+_TERM = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c < 128 else c for c in range(256))
+HASHES = 4  # rows set for a term and level
+PER_ENTRY = 12  # rows of a signature for each term and level of its fullest document
 BLOCK = 2048  # documents of a block at most
-BLOCK_BITS = 1 << 26  # bits of a signature at most (wider ones hold fewer documents, one at least)
+BLOCK_BITS = 1 << 25  # bits of a signature at most (wider ones hold fewer documents, one at least)
 BLOCK_TERMS = 1 << 20  # terms listed in a block at most (or one document's)
 KNOWN = 1 << 18  # terms whose places a task remembers
 QUERY_TERMS = 1 << 13  # distinct terms of the queries answered together
 FIRST = 32  # one block in so many is searched first
 
 
-def terms(text: str | None) -> list[str]:
-    return TERM.findall(text.translate(LOWER)) if text else []
+def terms(text: bytes | None) -> list[bytes]:
+    return text.translate(_TERM).split() if text else []
 
 
-def places(term: str) -> tuple[int, int]:
+def places(term: bytes) -> tuple[int, int]:
     """Two 32-bit hashes; row i of level v is (a + (i + HASHES * v) * b) mod height."""
-    h = xxhash.xxh64_intdigest(term.encode("utf-8", "surrogatepass"), 7)
+    h = xxhash.xxh64_intdigest(term, 7)
     return h & 0xFFFFFFFF, (h >> 32) | 1
 
 
@@ -70,70 +70,85 @@ def _rows_of(ab: np.ndarray, level: np.ndarray, height: int) -> np.ndarray:
 # -- index ---------------------------------------------------------------------
 
 _BLOCK = ("height int, width int, ids array<{id}>, lengths array<long>, bits binary, "
-          "ends array<int>, words array<string>, numbers array<int>, df array<struct<term:string,n:long>>")
+          "ends array<int>, terms array<int>, numbers array<int>, words array<binary>, df array<long>")
+
+
+class _Numbers(dict):
+    """Terms numbered as they come."""
+
+    def __missing__(self, term: bytes) -> int:
+        n = self[term] = len(self)
+        return n
 
 
 class _Open:
-    """Documents of one length class, collected for a block."""
+    """Documents of one length class, collected for a block: ids, and each one's
+    terms (numbers in the block's vocabulary) with occurrences."""
 
     def __init__(self) -> None:
+        self.vocabulary = _Numbers()
         self.ids: list = []
-        self.counts: list[Counter] = []
-        self.entries: list[int] = []
-        self.terms = 0
+        self.terms: list[np.ndarray] = []
+        self.numbers: list[np.ndarray] = []
+        self.listed = self.widest = 0
+
+    def add(self, i, c: Counter, numbers: np.ndarray, entries: int) -> None:
+        self.ids.append(i)
+        self.terms.append(np.fromiter(map(self.vocabulary.__getitem__, c), np.int32, len(c)))
+        self.numbers.append(numbers)
+        self.listed += len(c)
+        self.widest = max(self.widest, entries)
+
+    def height(self) -> int:
+        return 1 << (self.widest * PER_ENTRY - 1).bit_length()
 
     def full(self) -> bool:
-        widest = max(self.entries) * PER_ENTRY
-        return len(self.ids) >= BLOCK or self.terms >= BLOCK_TERMS or (1 << widest.bit_length()) * (len(self.ids) + 8) > BLOCK_BITS
+        return len(self.ids) >= BLOCK or self.listed >= BLOCK_TERMS or self.height() * (len(self.ids) + 8) > BLOCK_BITS
 
 
-def _close(o: _Open, place: dict[str, tuple[int, int]]) -> tuple:
-    height = 1 << (max(max(o.entries), 1) * PER_ENTRY - 1).bit_length()
-    width = -(-len(o.ids) // 8)
-    words = [w for c in o.counts for w in c]
-    numbers = np.array([n for c in o.counts for n in c.values()], np.int64)
-    sizes = np.array([len(c) for c in o.counts])
+def _close(o: _Open, place: dict[bytes, tuple[int, int]]) -> tuple:
+    height, width = o.height(), -(-len(o.ids) // 8)
+    term, numbers = np.concatenate(o.terms), np.concatenate(o.numbers)
+    sizes = np.fromiter(map(len, o.terms), np.int64, len(o.terms))
     doc = np.repeat(np.arange(len(o.ids)), sizes)
-    for w in words:
+    ab = np.zeros((len(o.vocabulary), 2), np.uint64)
+    for w, i in o.vocabulary.items():
         if w not in place:
             if len(place) >= KNOWN:
                 place.clear()
             place[w] = places(w)
-    ab = np.array([place.get(w) or places(w) for w in words], np.uint64).reshape(-1, 2)
-    matrix = np.zeros((height, width), np.uint8)
+        ab[i] = place[w]
+    matrix = np.zeros((height, len(o.ids)), np.uint8)
     level = 0
-    alive = np.arange(len(words))
+    alive = np.arange(len(term))
     while len(alive):
-        r = _rows_of(ab[alive], np.full(len(alive), level), height)
-        d = doc[alive]
-        np.bitwise_or.at(matrix, (r, (d >> 3)[:, None]), (1 << (d & 7)).astype(np.uint8)[:, None])
+        r = _rows_of(ab[term[alive]], np.full(len(alive), level), height)
+        matrix[r, doc[alive][:, None]] = 1
         level += 1
         alive = alive[numbers[alive] >= 1 << level]
-    df = Counter(words)
-    return (height, width, o.ids, [sum(c.values()) for c in o.counts], matrix.tobytes(), np.cumsum(sizes).tolist(), words, numbers.tolist(),
-            [{"term": t, "n": n} for t, n in df.items()])
+    lengths = np.bincount(doc, weights=numbers, minlength=len(o.ids)).astype(np.int64)
+    return (height, width, o.ids, lengths, np.packbits(matrix, axis=1, bitorder="little").tobytes(), np.cumsum(sizes), term, numbers, list(o.vocabulary),
+            np.bincount(term, minlength=len(o.vocabulary)))
 
 
 def _index(kinds: list[pa.DataType], names: list[str]):
-    """(id, text) -> blocks."""
+    """(id, text in bytes) -> blocks."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, _Open] = {}
-        place: dict[str, tuple[int, int]] = {}
+        place: dict[bytes, tuple[int, int]] = {}
 
         def give(o: _Open) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(_close(o, place), kinds, strict=True)], names=names)
 
         for b in rows(batches):
-            for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                c = Counter(terms(t))
+            for i, t in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                c = Counter(terms(t.as_py()))
                 if not c:
                     continue  # no term: no score, and not counted
-                entries = sum(n.bit_length() for n in c.values())
+                numbers = np.fromiter(c.values(), np.int64, len(c))
+                entries = int(np.frexp(numbers)[1].sum())  # a level for each binary digit
                 o = held.setdefault(entries.bit_length(), _Open())
-                o.ids.append(i)
-                o.counts.append(c)
-                o.entries.append(entries)
-                o.terms += len(c)
+                o.add(i, c, numbers, entries)
                 if o.full():
                     yield give(held.pop(entries.bit_length()))
         for o in held.values():
@@ -153,13 +168,13 @@ class Index:
 
     @staticmethod
     def build(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Index:
-        d = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text"))
+        d = docs.select(F.col(f"`{id_col}`").alias("id"), as_bytes(f"`{text}`").alias("text"))
         schema = _BLOCK.format(id=d.schema["id"].dataType.simpleString())
         from pyspark.sql.pandas.types import to_arrow_schema
         arrow = to_arrow_schema(d.sparkSession.createDataFrame([], schema).schema)
         blocks = stage(d.mapInArrow(_index(list(arrow.types), list(arrow.names)), schema), "blocks")
         total = blocks.agg(F.sum(F.size("ids")).cast("long"), F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()
-        df = blocks.select(F.explode("df").alias("x")).groupBy("x.term").agg(F.sum("x.n").alias("n"))
+        df = blocks.select(F.explode(F.arrays_zip("words", "df")).alias("x")).groupBy(F.col("x.words").alias("term")).agg(F.sum("x.df").alias("n"))
         return Index(blocks, stage(df, "term-documents"), total[0] or 0, total[1] or 0)
 
 
@@ -170,7 +185,7 @@ class Index:
 class _Asked:
     """Queries answered together: ``words`` with weights, and each query's words and repeats."""
 
-    words: list[str]
+    words: list[bytes]
     weight: np.ndarray
     places: np.ndarray
     items: list[tuple[np.ndarray, np.ndarray]]
@@ -213,7 +228,7 @@ def _search(asked: _Asked, top: int, docs: int, length: int, kind: pa.DataType):
     """Blocks -> (item, id, score): for each query the best of the task's documents,
     and all that tie with the last of them."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = {w: i for i, w in enumerate(asked.words)}
+        wanted = pa.array(asked.words, pa.binary())
         weight = asked.weight.astype(np.int64)
         best: list[list[tuple[int, bool, object]]] = [[] for _ in asked.items]  # (-score, no id, id), sorted
         floor = asked.least.copy()
@@ -223,7 +238,8 @@ def _search(asked: _Asked, top: int, docs: int, length: int, kind: pa.DataType):
             m = 25 + (75 * n * docs) // length
             bound = _bounds(asked, height, width, len(n), np.frombuffer(b.column(4)[0].as_buffer(), np.uint8), m)
             ends = b.column(5)[0].values.to_numpy(zero_copy_only=False)
-            words, numbers = b.column(6)[0].values, b.column(7)[0].values.to_numpy(zero_copy_only=False)
+            term, numbers = (b.column(i)[0].values.to_numpy(zero_copy_only=False) for i in (6, 7))
+            number = pc.fill_null(pc.index_in(b.column(8)[0].values, value_set=wanted), -1).to_numpy(zero_copy_only=False)
             exact: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by document: the query words in it, sorted, and their parts
             for q, (which, times) in enumerate(asked.items):
                 upper = times @ bound[which]
@@ -233,10 +249,9 @@ def _search(asked: _Asked, top: int, docs: int, length: int, kind: pa.DataType):
                         break
                     if d not in exact:
                         lo = int(ends[d - 1]) if d else 0
-                        found = [(number[w], k) for k, w in enumerate(words.slice(lo, int(ends[d]) - lo).to_pylist()) if w in number]
-                        found.sort()
-                        at = np.array([x[0] for x in found], np.int64)
-                        tf = numbers[[lo + x[1] for x in found]].astype(np.int64) if found else np.zeros(0, np.int64)
+                        at = number[term[lo:ends[d]]]
+                        order = np.argsort(at)[np.count_nonzero(at < 0):]
+                        at, tf = at[order], numbers[lo:ends[d]][order].astype(np.int64)
                         exact[d] = at, weight[at] * _share(tf, np.int64(m[d]))
                     at, part = exact[d]
                     if not len(at):
@@ -259,13 +274,13 @@ def _search(asked: _Asked, top: int, docs: int, length: int, kind: pa.DataType):
     return run
 
 
-def _ask(index: Index, group: list[list[str]]) -> _Asked:
+def _ask(index: Index, group: list[list[bytes]]) -> _Asked:
     """Queries as words with weights; words in no document are left out."""
     spark = index.df.sparkSession
     wanted = sorted({t for x in group for t in x})
     if wanted:
-        seen = spark.createDataFrame([(w,) for w in wanted], "term string").join(index.df, "term").collect()  # at most the words asked for
-    df = {r.term: r.n for r in seen} if wanted else {}
+        seen = spark.createDataFrame([(w,) for w in wanted], "term binary").join(index.df, "term").collect()  # at most the words asked for
+    df = {bytes(r.term): r.n for r in seen} if wanted else {}
     words = [w for w in wanted if w in df]
     number = {w: i for i, w in enumerate(words)}
     weight = np.array([math.floor(1000 * math.log((2 * index.docs + 2) / (2 * df[w] + 1))) for w in words], np.float64)
@@ -276,11 +291,11 @@ def _ask(index: Index, group: list[list[str]]) -> _Asked:
     return _Asked(words, weight, np.array([places(w) for w in words], np.uint64).reshape(-1, 2), items, np.zeros(len(group), np.int64))
 
 
-def _groups(queries: DataFrame, id_col: str, text: str) -> Iterator[tuple[list, list[list[str]]]]:
+def _groups(queries: DataFrame, id_col: str, text: str) -> Iterator[tuple[list, list[list[bytes]]]]:
     """Queries in groups of at most QUERY_TERMS terms (or one query), one after another."""
     ids, lists, n = [], [], 0
-    for r in queries.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").cast("string").alias("text")).toLocalIterator():
-        found = terms(r.text)
+    for r in queries.select(F.col(f"`{id_col}`").alias("id"), as_bytes(f"`{text}`").alias("text")).toLocalIterator():
+        found = terms(bytes(r.text))
         if lists and n + len(found) > QUERY_TERMS:
             yield ids, lists
             ids, lists, n = [], [], 0
@@ -301,7 +316,7 @@ def search(index: Index, queries: DataFrame, top: int = 10, query_id: str = "ite
     arrow = to_arrow_type(kind)
     shape = f"item int, id {kind.simpleString()}, score long"
     by = Window.partitionBy("item").orderBy(F.desc("score"), F.col("id").asc_nulls_last())
-    read = index.blocks.select("height", "width", "ids", "lengths", "bits", "ends", "words", "numbers")
+    read = index.blocks.select("height", "width", "ids", "lengths", "bits", "ends", "terms", "numbers", "words")
     out = None
     for ids, lists in _groups(queries, query_id, text):
         asked = _ask(index, lists)

@@ -69,8 +69,15 @@ FROM part""",
 SELECT event_id, ts, CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'signup' THEN 'gauge' ELSE 'duration' END AS kind,
   event_type AS name, 'cat' || CAST(user_id % 4 AS STRING) AS category, value FROM events""",
     "fx_comments": """
-SELECT doc_id, 'B' || lpad(CAST(doc_id % 200 AS STRING), 9, '0') AS asin,
-  CASE WHEN doc_id % 37 = 0 THEN NULL ELSE text END AS comment FROM documents""",
+SELECT doc_id, 'B' || lpad(CAST(CAST(floor(doc_id / 5) AS BIGINT) AS STRING), 9, '0') AS asin,
+  text || CASE doc_id % 8 WHEN 0 THEN ' Not good.' WHEN 1 THEN ' A very good laptop, never slow' WHEN 2 THEN ' terrible and broken'
+    WHEN 3 THEN ' pas vraiment mauvais' WHEN 4 THEN ' not in any way good' WHEN 5 THEN ' extremely slow, extremely slow, slightly nice' ELSE '' END AS comment
+FROM documents""",
+    "fx_lemmas": """
+SELECT form, lemma, CASE length(form) % 4 WHEN 0 THEN 'NOUN' WHEN 1 THEN 'ADJ' WHEN 2 THEN 'VERB' ELSE 'ADV' END AS pos FROM
+  (SELECT DISTINCT lang AS form, lang AS lemma FROM documents UNION ALL
+   SELECT 'laptop', 'computer' UNION ALL SELECT 'slow', 'slow' UNION ALL SELECT 'nice', 'nice' UNION ALL SELECT 'way', 'way' UNION ALL
+   SELECT 'broken', 'break' UNION ALL SELECT 'good', 'good' UNION ALL SELECT 'mauvais', 'mauvais') w""",
 }
 
 def with_fx(body: str, *names: str) -> str:

@@ -1,15 +1,13 @@
 """Page-extraction jobs: pages DataFrame -> rows (EXT-01..07, FLT-09).
 
-Each job is a projection over the page corpus: blocks are cut with
-``split`` on the block's opening tag, ``posexplode`` yields one row per
-block in page order, and fields are filled with ``regexp_extract``. All of
-it is JVM-native (whole-stage codegen, no Python worker), partitions with
-the pages and needs no shuffle. Patterns use ``[^<]*`` / ``[^>]*`` classes,
-so matching stays linear in the page size.
-
-A general CSS engine is not attempted; the fixed selectors of the reference
-are expressed as the patterns below. Missing fields are NULL (canonical);
-``sentinels=True`` writes the reference's placeholder texts instead.
+Each job is a projection over the page corpus. Pages are brought to canonical
+markup first, so quotes, the order of attributes, further classes and wrappers
+make no difference; blocks and fields are then found by selectors (see
+``markup``), and ``posexplode`` yields one row per block in page order. All of it
+is JVM-native, partitions with the pages and needs no shuffle.
+
+Missing fields are NULL (canonical); ``sentinels=True`` writes the reference's
+placeholder texts instead.
 """
 
 from __future__ import annotations
@@ -18,185 +16,89 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions._util import as_col, nullif_empty
-from ..functions.review import (DEFAULT_COMMENT, DEFAULT_REVIEWER, DEFAULT_TITLE, helpful_votes,
-                                parse_rating, review_date, review_location)
-from ..functions.text import LISTING_SENTINELS, clean_spec_text, strip_ws
+from ..functions.review import (DATE_LOCATION, DEFAULT_COMMENT, DEFAULT_DATE, DEFAULT_LOCATION, DEFAULT_REVIEWER, DEFAULT_TITLE,
+                                helpful_votes, parse_rating)
+from ..functions.text import LISTING_SENTINELS, clean_spec_text
 from ..functions.url import DEFAULT_HOST, facet_filter
-
-# Block and field patterns for the reference's selectors.
-LISTING_BLOCK = r'<div [^>]*data-component-type="s-search-result"[^>]*>'
-LISTING_TITLE = r'class="a-size-base-plus a-color-base a-text-normal"[^>]*>([^<]*)<'
-LISTING_TITLE_FALLBACK = r'<a [^>]*class="[^"]*a-link-normal[^"]*"[^>]*>[^<]*<span [^>]*class="[^"]*a-text-normal[^"]*"[^>]*>([^<]*)<'
-LISTING_LINK = r'<a (?=[^>]*class="[^"]*a-link-normal)[^>]*href="([^"]*)"[^>]*>'
-LISTING_PRICE = r'class="a-price[^"]*"[^>]*>\s*<span class="a-offscreen">([^<]*)<'
-LISTING_STARS = r'class="[^"]*a-icon-star-small[^"]*"[^>]*>(?:\s*<span[^>]*>)?([^<]*)<'
-LISTING_COUNT = r'class="[^"]*a-size-small[^"]*"[^>]*>\s*<a [^>]*class="[^"]*a-link-normal[^"]*"[^>]*>([^<]*)<'
-LISTING_IMAGE = r'<img (?=[^>]*class="[^"]*\bs-image\b)[^>]*\bsrc="([^"]*)"[^>]*>'
-DATA_ASIN = r'data-asin="([^"]*)"'
+from .markup import (all_elements, attribute, canonical, element, elements, first_body, first_tag, first_text, inner_text, let,
+                     selector, with_texts)
+
+# Selectors of the page jobs.
+LISTING_BLOCK = "div[data-component-type='s-search-result']"
+LISTING_TITLE = ".a-size-base-plus.a-color-base.a-text-normal"
+LISTING_TITLE_FALLBACK = ".a-link-normal .a-text-normal"
+LISTING_LINK = ".a-link-normal"
+LISTING_PRICE = ".a-price .a-offscreen"
+LISTING_STARS = ".a-icon-star-small"
+LISTING_COUNT = ".a-size-small .a-link-normal"
+LISTING_IMAGE = "img.s-image"
 URL_ASIN = r"/dp/([A-Z0-9]{10})/"
-PAGINATION_DISABLED = r'<span (?=[^>]*class="[^"]*\bs-pagination-item\b)(?=[^>]*aria-disabled="true")[^>]*>([^<]*)<'
-SPEC_TABLE = r'(?s)<table [^>]*id="productDetails_techSpec_section_1"[^>]*>(.*?)</table>'
-TABLE_ROW = r"(?s)<tr[^>]*>(.*?)</tr>"
-TH_CELL = r"(?s)<th[^>]*>(.*?)</th>"
-TD_CELL = r"(?s)<td[^>]*>(.*?)</td>"
-FACET_TITLE = '<span class="a-size-base a-color-base puis-bold-weight-text">'
-FACET_LIST = r'(?s)<ul class="a-unordered-list[^"]*"[^>]*>(.*?)</ul>'
-FACET_ITEM = '<span class="a-list-item">'
-FACET_LINK = r'(?s)<a (?=[^>]*class="[^"]*\bs-navigation-item\b)[^>]*href="([^"]*)"[^>]*>'
-FACET_VALUE = r'<span class="a-size-base a-color-base">([^<]*)<'
-REVIEW_BLOCK = r'<div [^>]*data-hook="review"[^>]*>'
-REVIEW_BLOCK_FALLBACK = r'<div [^>]*id="[^"]*-review-card"[^>]*>'
-REVIEW_PROFILE = r'class="[^"]*\ba-profile-name\b[^"]*"[^>]*>([^<]*)<'
-# Review fields are keyed by their data-hook attribute; the patterns start with
-# that attribute (a long literal, so the matcher skips ahead instead of trying
-# every '<'), then take the content up to the element's closing tag.
-REVIEW_STARS = r'(?s)data-hook="review-star-rating"[^>]*>(.*?)</i>'
-REVIEW_STAR_CLASS = r'class="([^"]*a-star-[^"]*)"'
-REVIEW_TITLE = r'(?s)<a [^>]*data-hook="review-title"[^>]*>(.*?)</a>'
-REVIEW_DATE = r'data-hook="review-date"[^>]*>'
-REVIEW_BADGE = 'data-hook="avp-badge"'
-REVIEW_BODY = r'data-hook="review-body"[^>]*>'
-REVIEW_HELPFUL = r'data-hook="helpful-vote-statement"[^>]*>'
-PAGE_TITLE = r"(?s)<title[^>]*>(.*?)</title>"
-PAGE_H1 = r"(?s)<h1[^>]*>(.*?)</h1>"
-PAGE_LINK = r'<a [^>]*href="([^"]*)"'
-TAG = r"<[^>]+>"
+PAGINATION_DISABLED = ".s-pagination-item[aria-disabled='true']"
+SPEC_TABLE = "table#productDetails_techSpec_section_1"
+FACET_TITLE = "span.a-size-base.a-color-base.puis-bold-weight-text"
+FACET_LIST = "ul.a-unordered-list"
+FACET_ITEM = "span.a-list-item"
+FACET_LINK = "a.a-link-normal.s-navigation-item"
+FACET_VALUE = "span.a-size-base.a-color-base"
+REVIEW_BLOCK = "div[data-hook='review']"
+REVIEW_BLOCK_FALLBACK = "div[id$='-review-card']"
+REVIEW_PROFILE = "a.a-profile span.a-profile-name"
+REVIEW_STARS = "i[data-hook='review-star-rating']"
+REVIEW_STAR_CLASS = "[class*='a-star-']"
+REVIEW_TITLE = "a[data-hook='review-title']"
+REVIEW_DATE = "span[data-hook='review-date']"
+REVIEW_BADGE = "span[data-hook='avp-badge']"
+REVIEW_BODY = "span[data-hook='review-body']"
+REVIEW_HELPFUL = "span[data-hook='helpful-vote-statement']"
+PAGE_TITLE = "title"
+PAGE_H1 = "h1"
+PAGE_LINK = "a[href]"
 
 # Field mappings of the configuration's product page
-# (name, selector pattern, type, value regex, required).
+# (name, selector, type, value regex, required).
 PRODUCT_PAGE_FIELDS = [
-    ("title", r'<span id="productTitle"[^>]*>([^<]*)<', "text", None, True),
-    ("price", r'<span class="a-price-whole"[^>]*>([^<]*)<', "text", r"\d+\.?\d*", False),
-    ("rating", r'<i class="[^"]*a-icon-star[^"]*"[^>]*>\s*<span class="a-icon-alt">([^<]*)<', "text", r"(\d\.\d) out", False),
-    ("features", r'(?s)<div id="feature-bullets"[^>]*>\s*<ul[^>]*>(.*?)</ul>', "list", None, False),
-]
-LIST_ITEM = r"(?s)<li[^>]*>(.*?)</li>"
-
-# Attribute map of the configuration's category page (one row per
-# search-result block): name -> (where, pattern); where = 'tag' reads the block's
-# opening tag, 'body' its content.
-CATEGORY_PAGE_ATTRIBUTES = [
-    ("asin", "tag", r'data-asin="([^"]*)"'),
-    ("title", "body", r"<h2[^>]*>\s*<a [^>]*>\s*<span[^>]*>([^<]*)<"),
-    ("price", "body", r'class="a-price[^"]*"[^>]*>\s*<span class="a-offscreen">([^<]*)<'),
+    ("title", "span#productTitle", "text", None, True),
+    ("price", "span.a-price-whole", "text", r"\d+\.?\d*", False),
+    ("rating", "i.a-icon-star span.a-icon-alt", "text", r"(\d\.\d) out", False),
+    ("features", "div#feature-bullets ul li", "list", None, False),
 ]
 
-# Entities decoded in extracted text (as an HTML parser does).
-ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&pound;", "£"),
-            ("&euro;", "€"), ("&amp;", "&")]
-
-
-def unescape(c) -> Column:
-    """Decode the entities above."""
-    y = as_col(c)  # named once: the expression is inlined into filters and must stay small
-    for a, b in ENTITIES:
-        y = F.replace(y, F.lit(a), F.lit(b))
-    return y
-
-
-def inner_text(c) -> Column:
-    """Text content of an HTML fragment: tags removed, entities decoded, stripped."""
-    x = as_col(c)
-    no_tags = F.when(x.contains("<"), F.regexp_replace(x, TAG, "")).otherwise(x)
-    return strip_ws(unescape(no_tags))
-
-
-def _opt(c: Column, pattern: str, group: int = 1) -> Column:
-    """First match of ``pattern`` or NULL when there is none."""
-    return F.when(c.rlike(pattern), F.regexp_extract(c, pattern, group))
-
-
-def _match(c: Column, pattern: str) -> Column:
-    """Whole first match of ``pattern`` or NULL (``regexp_substr``: one scan, one call)."""
-    return F.regexp_substr(c, F.lit(pattern))
-
-
-def _content(m: Column, close: str) -> Column:
-    """Content of a whole match ``<attr...>(content)<close>`` of an attribute-first
-    pattern: after the first '>' (the tag's end, since the tag part is [^>]*)
-    and before the closing tag that ends the match. String functions, no regex."""
-    start = F.instr(m, ">") + 1
-    return F.when(m.isNotNull(), F.substring(m, start, F.length(m) - F.lit(len(close)) - start + 1))
-
-
-def _group(m: Column, pattern: str, group: int = 1) -> Column:
-    """Capture group of a whole match from :func:`_match` (re-scans only the short match)."""
-    return F.when(m.isNotNull(), F.regexp_extract(m, pattern, group))
-
-
-def element(rest: Column, tag: str) -> Column:
-    """Content of an element from the text after its opening tag: up to the closing tag
-    that balances it, nested elements of the same kind included; all of ``rest`` when
-    none does. One split and one pass over its pieces."""
-    opening, close = f"<{tag}", f"</{tag}>"
-    state = F.struct(F.lit("").alias("text"), F.lit(1).alias("open"))
+# Block and attribute map of the configuration's category page. A name that begins with
+# 'data-' is an attribute of the block itself, anything else a selector inside it.
+CATEGORY_PAGE_BLOCK = "div[data-component-type='s-search-result']"
+CATEGORY_PAGE_ATTRIBUTES = [("asin", "data-asin"), ("title", "h2 a span"), ("price", ".a-price .a-offscreen")]
 
-    def step(acc: Column, piece: Column) -> Column:
-        left = acc["open"] + F.regexp_count(piece, F.lit(opening + r"[\s>]")) - 1
-        more = F.struct(F.concat(acc["text"], F.when(acc["text"] == "", F.lit("")).otherwise(F.lit(close)), piece).alias("text"), left.alias("open"))
-        return F.when(acc["open"] <= 0, acc).otherwise(more)
-
-    simple = F.substring_index(rest, close, 1)
-    return F.when(~simple.rlike(opening + r"[\s>]"), simple).otherwise(
-        F.aggregate(F.split(rest, close), state, step, lambda s: s["text"]))
-
-
-def after(c: Column, pattern: str) -> Column:
-    """Text after the first match of ``pattern``, or NULL."""
-    at = F.regexp_instr(c, F.lit(pattern))
-    m = F.regexp_substr(c, F.lit(pattern))
-    return F.when(m.isNotNull(), F.substring(c, at + F.length(m), F.length(c)))
-
-
-def blocks(html, start_pattern: str) -> Column:
-    """array<struct<tag, body>>: the opening tag of each ``div`` block and its content, up to
-    its closing tag or the next block."""
-    h = as_col(html)
-    tags = F.regexp_extract_all(h, F.lit(start_pattern), F.lit(0))
-    bodies = block_bodies(h, start_pattern)
-    return F.arrays_zip(tags.alias("tag"), bodies.alias("body"))
-
-
-def block_bodies(html, start_pattern: str) -> Column:
-    """array<string>: the content of each ``div`` block, up to its closing tag or the next
-    block opener (one split, no second scan for the opening tags when they are not needed)."""
-    return F.transform(F.slice(F.split(as_col(html), start_pattern), 2, 1 << 30), lambda b: element(b, "div"))
+# Pagination of the configuration's search results.
+NEXT_PAGE = "li.a-last a"
+MAX_PAGES = 10
 
 
 def _sentinel(c: Column, field: str, sentinels: bool) -> Column:
     return F.coalesce(c, F.lit(LISTING_SENTINELS[field])) if sentinels else c
 
 
+def _blocks(pages: DataFrame, sel: str, page_col: str, *keep: Column) -> DataFrame:
+    """(page, keep..., pos, tag, body): one row per block of a canonical page, in page order."""
+    h = pages.select(F.col(page_col).alias("page"), *keep, canonical("html").alias("html"))
+    b = h.select(*[c for c in h.columns if c != "html"], F.posexplode(all_elements("html", sel)).alias("pos", "blk"))
+    return b.select(*[c for c in b.columns if c != "blk"], "blk.tag", "blk.body")
+
+
 def extract_listing(pages: DataFrame, page_col: str = "page_id", host: str = DEFAULT_HOST,
                     sentinels: bool = False) -> DataFrame:
-    """Search-result blocks -> (page, pos, titre, url, prix, note, nombre_avis, image_url, asin).
-
-    Each field pattern scans the block once (whole match kept as a column); the
-    capture group is then taken from that short match. The fallback title
-    pattern only runs for blocks without the primary title.
-    """
-    b = pages.select(F.col(page_col).alias("page"), F.posexplode(blocks("html", LISTING_BLOCK)).alias("pos", "blk"))
-    body, tag = F.col("blk.body"), F.col("blk.tag")
-    pats = {"m_title": LISTING_TITLE, "m_link": LISTING_LINK, "m_price": LISTING_PRICE,
-            "m_stars": LISTING_STARS, "m_count": LISTING_COUNT, "m_image": LISTING_IMAGE}
-    m = b.select("page", "pos", body.alias("body"), _match(tag, DATA_ASIN).alias("m_asin"),
-                 *[_match(body, p).alias(n) for n, p in pats.items()])
-
-    def g(name: str) -> Column:
-        return _group(F.col(name), pats[name])
-
-    title = F.coalesce(nullif_empty(inner_text(g("m_title"))),
-                       F.when(F.col("m_title").isNull(),
-                              nullif_empty(inner_text(_opt(F.col("body"), LISTING_TITLE_FALLBACK)))))
-    t = m.select("page", "pos", title.alias("titre"),
-                 F.concat(F.lit(f"https://{host}"), unescape(g("m_link"))).alias("url"),
-                 nullif_empty(strip_ws(unescape(g("m_price")))).alias("prix"),
-                 nullif_empty(strip_ws(g("m_stars"))).alias("note"),
-                 nullif_empty(strip_ws(g("m_count"))).alias("nombre_avis"),
-                 g("m_image").alias("image_url"),
-                 _group(F.col("m_asin"), DATA_ASIN).alias("tag_asin"), F.col("m_link").alias("link"))
+    """Search-result blocks -> (page, pos, titre, url, prix, note, nombre_avis, image_url, asin)."""
+    b = _blocks(pages, LISTING_BLOCK, page_col)
+    body = F.col("body")
+    t = with_texts(b, "body", {"titre": LISTING_TITLE, "prix": LISTING_PRICE, "note": LISTING_STARS, "nombre_avis": LISTING_COUNT})
+    # the second title selector is only asked where the first finds no element
+    other = F.when(F.col("titre").isNull(), first_text(body, LISTING_TITLE_FALLBACK))
+    href = attribute(first_tag(body, LISTING_LINK), "href")
+    t = t.select("page", "pos", F.coalesce("titre", other).alias("titre"), F.concat(F.lit(f"https://{host}"), href).alias("url"),
+                 "prix", "note", "nombre_avis", attribute(first_tag(body, LISTING_IMAGE), "src").alias("image_url"),
+                 attribute("tag", "data-asin").alias("tag_asin"))
+    t = t.withColumns({c: nullif_empty(F.col(c)) for c in ("titre", "prix", "note", "nombre_avis")})
     # an empty attribute is no ASIN; the URL is only asked when the attribute is missing
-    asin = F.when(F.col("tag_asin").isNull(), nullif_empty(F.regexp_extract("link", URL_ASIN, 1))).otherwise(nullif_empty("tag_asin"))
+    asin = F.when(F.col("tag_asin").isNull(), nullif_empty(F.regexp_extract("url", URL_ASIN, 1))).otherwise(nullif_empty("tag_asin"))
     return t.select("page", "pos", *[_sentinel(F.col(c), c, sentinels).alias(c)
                                      for c in ("titre", "url", "prix", "note", "nombre_avis", "image_url")],
                     _sentinel(asin, "asin", sentinels).alias("asin"))
@@ -204,20 +106,19 @@ def extract_listing(pages: DataFrame, page_col: str = "page_id", host: str = DEF
 
 def max_page(html) -> Column:
     """Largest number among disabled pagination items, at least 1; non-numbers skipped."""
-    nums = F.transform(F.regexp_extract_all(as_col(html), F.lit(PAGINATION_DISABLED), F.lit(1)),
-                       lambda t: strip_ws(t).try_cast("int"))
+    nums = F.transform(all_elements(canonical(html), PAGINATION_DISABLED), lambda e: inner_text(e["body"]).try_cast("int"))
     return F.greatest(F.lit(1), F.coalesce(F.array_max(nums), F.lit(1)))
 
 
 def spec_entries(html) -> Column:
     """array<struct<spec_key, spec_value>> of the tech-spec table, in row order;
     rows lacking a th or td are skipped; empty when there is no table."""
-    table = F.regexp_extract(as_col(html), SPEC_TABLE, 1)
-    rows = F.regexp_extract_all(table, F.lit(TABLE_ROW), F.lit(1))
-    cells = F.transform(rows, lambda r: F.struct(
-        F.when(r.rlike(TH_CELL), clean_spec_text(inner_text(F.regexp_extract(r, TH_CELL, 1)))).alias("spec_key"),
-        F.when(r.rlike(TD_CELL), clean_spec_text(inner_text(F.regexp_extract(r, TD_CELL, 1)))).alias("spec_value")))
-    return F.filter(cells, lambda e: e["spec_key"].isNotNull() & e["spec_value"].isNotNull())
+    table = first_body(canonical(html), SPEC_TABLE)
+    cells = F.transform(elements(table, selector("tr")[0]), lambda r: F.struct(
+        clean_spec_text(first_text(r["body"], "th")).alias("spec_key"),
+        clean_spec_text(first_text(r["body"], "td")).alias("spec_value")))
+    found = F.filter(cells, lambda e: e["spec_key"].isNotNull() & e["spec_value"].isNotNull())
+    return F.coalesce(found, F.array().cast("array<struct<spec_key:string,spec_value:string>>"))
 
 
 def extract_specs(pages: DataFrame, asin=None, titre=None) -> DataFrame:
@@ -244,31 +145,55 @@ def spec_map(html) -> Column:
 
 def spec_pivot(specs: DataFrame, keys, key_col: str = "asin") -> DataFrame:
     """Wide table: one column per spec header in ``keys`` (explicit list, so no
-    extra job to discover values); last value per header wins."""
+    extra job to discover values); the last value per header wins, in the order of
+    page (its URL) and row."""
     return (specs.filter(F.col("spec_key").isNotNull())
             .groupBy(key_col).pivot("spec_key", list(keys))
-            .agg(F.max_by("spec_value", "pos")))
+            .agg(F.max_by("spec_value", F.struct("url", "pos", "spec_value"))))
+
+
+def facet_sections(html, host: str = DEFAULT_HOST) -> Column:
+    """array<struct<category_name, items>> of a page's facet sections in page order; an item is
+    (item_pos, name, url, filter_key, filter_value). Links without a value span are skipped."""
+    title, item = selector(FACET_TITLE)[0], selector(FACET_ITEM)[0]
+    kind = "array<struct<item_pos:int,name:string,url:string,filter_key:string,filter_value:string>>"
+
+    def value(e: Column, i: Column) -> Column:
+        href = attribute(first_tag(e["body"], FACET_LINK), "href")
+        name = first_text(first_body(e["body"], FACET_LINK), FACET_VALUE)
+        return let(F.concat(F.lit(f"https://{host}"), href), lambda url: let(facet_filter(url), lambda f: F.struct(
+            i.alias("item_pos"), name.alias("name"), url.alias("url"),
+            f["filter_key"].alias("filter_key"), f["filter_value"].alias("filter_value"))))
+
+    def section(chunk: Column) -> Column:
+        items = F.filter(F.transform(elements(first_body(chunk, FACET_LIST), item), value),
+                         lambda v: v["url"].isNotNull() & v["name"].isNotNull())
+        return F.struct(inner_text(element(chunk, "span")).alias("category_name"),
+                        F.coalesce(items, F.array().cast(kind)).alias("items"))
+
+    return F.transform(F.slice(F.split(canonical(html), title.pattern), 2, 1 << 30), section)
 
 
 def extract_facets(pages: DataFrame, page_col: str = "page_id", host: str = DEFAULT_HOST) -> DataFrame:
     """Facet sections -> (page, section_pos, category_name, item_pos, name, url, filter_key,
-    filter_value). Sections without values yield no rows; links without a value span are skipped."""
-    secs = pages.select(F.col(page_col).alias("page"),
-                        F.posexplode(F.slice(F.split("html", FACET_TITLE), 2, 1 << 30)).alias("section_pos", "chunk"))
-    secs = secs.select("page", "section_pos",
-                       strip_ws(unescape(F.regexp_extract("chunk", r"^([^<]*)<", 1))).alias("category_name"),
-                       F.regexp_extract("chunk", FACET_LIST, 1).alias("ul"))
-    items = secs.select("page", "section_pos", "category_name",
-                        F.posexplode(F.slice(F.split("ul", FACET_ITEM), 2, 1 << 30)).alias("item_pos", "item"))
-    link = _opt(F.col("item"), FACET_LINK)
-    after_link = F.regexp_extract("item", FACET_LINK + r"(.*)", 2)
-    val = _opt(after_link, FACET_VALUE)
-    rows = items.select("page", "section_pos", "category_name", "item_pos",
-                        strip_ws(unescape(val)).alias("name"),
-                        F.concat(F.lit(f"https://{host}"), unescape(link)).alias("url"))
-    rows = rows.filter(F.col("url").isNotNull() & F.col("name").isNotNull())
-    f = facet_filter(F.col("url"))
-    return rows.select("*", f["filter_key"].alias("filter_key"), f["filter_value"].alias("filter_value"))
+    filter_value). Sections without values yield no rows."""
+    secs = pages.select(F.col(page_col).alias("page"), F.posexplode(facet_sections("html", host)).alias("section_pos", "s"))
+    return (secs.select("page", "section_pos", "s.category_name", F.explode("s.items").alias("i"))
+            .select("page", "section_pos", "category_name", "i.*"))
+
+
+def facets_document(pages: DataFrame, category=None, page_col: str = "page_id", host: str = DEFAULT_HOST) -> DataFrame:
+    """(page, category, product_urls, filters): the facets document of each category page, made from the
+    page's own text without a shuffle. ``filters`` maps a section's title to its values; sections without
+    values are left out, a repeated title keeps its last section. ``product_urls`` is there to be filled
+    by a later job, and empty."""
+    secs = F.filter(facet_sections("html", host), lambda s: F.size(s["items"]) > 0)
+    cat = F.lit(None).cast("string") if category is None else as_col(category)
+    d = pages.select(F.col(page_col).alias("page"), cat.alias("category"), secs.alias("s"))
+    last = F.filter("s", lambda x, i: ~F.exists(F.slice("s", i + 2, F.size("s")), lambda y: y["category_name"] == x["category_name"]))
+    values = F.map_from_entries(F.transform(last, lambda x: F.struct(
+        x["category_name"], F.transform(x["items"], lambda v: v.dropFields("item_pos")))))
+    return d.select("page", "category", F.array().cast("array<string>").alias("product_urls"), values.alias("filters"))
 
 
 def facets_nested(flat: DataFrame) -> DataFrame:
@@ -296,97 +221,80 @@ def facets_flatten(nested: DataFrame) -> DataFrame:
 
 def extract_reviews(pages: DataFrame, asin=None, page_col: str = "page_id") -> DataFrame:
     """Review blocks (primary selector, else the fallback card selector) -> the nine
-    review fields with the reference's defaults, one row per block in page order.
-
-    Staged projections: each field's match is computed once per block and kept
-    as a column, so the later rules (defaults, date/location split) reuse it
-    instead of re-running the block regex inside every CASE branch. The
-    star-class fallback is only searched in blocks without a rating element.
-    """
+    review fields with the reference's defaults, one row per block in page order."""
     from ..functions.url import asin_from_url
     a = asin_from_url("url") if asin is None else as_col(asin)
-    h = F.col("html")
-    blk = F.when(h.rlike(REVIEW_BLOCK), block_bodies(h, REVIEW_BLOCK)).otherwise(
-        block_bodies(h, REVIEW_BLOCK_FALLBACK))
-    b = pages.select(F.col(page_col).alias("page"), a.alias("asin"), F.posexplode(blk).alias("pos", "body"))
+    p = pages.select(F.col(page_col).alias("page"), a.alias("asin"), canonical("html").alias("html"))
+    first, other = (selector(x)[0] for x in (REVIEW_BLOCK, REVIEW_BLOCK_FALLBACK))
+    found = let(elements(F.col("html"), first), lambda e: F.when(F.size(e) > 0, e).otherwise(elements(F.col("html"), other)))
+    b = p.select("page", "asin", F.posexplode(found).alias("pos", "blk")).select("page", "pos", "asin", F.col("blk.body").alias("body"))
     body = F.col("body")
-    m = b.select("page", "pos", "asin", "body",
-                 _match(body, REVIEW_PROFILE).alias("m_profile"), _match(body, REVIEW_STARS).alias("m_stars"),
-                 _match(body, REVIEW_TITLE).alias("m_title"), after(body, REVIEW_DATE).alias("a_date"),
-                 after(body, REVIEW_BODY).alias("a_body"), after(body, REVIEW_HELPFUL).alias("a_helpful"),
-                 body.contains(REVIEW_BADGE).alias("verified_purchase"))
-    profile_name = _content(F.col("m_profile"), "<")
-    fields = {"stars": _content(F.col("m_stars"), "</i>"), "title": _content(F.col("m_title"), "</a>"),
-              "date_text": element(F.col("a_date"), "span"), "comment": element(F.col("a_body"), "span"),
-              "helpful": element(F.col("a_helpful"), "span")}
-    # Staged text clean-up (content -> tags removed -> entities decoded, trimmed): each
-    # stage reads the previous one's columns, so no step is re-evaluated per reference.
-    c = m.select("page", "pos", "asin", "verified_purchase", "body", "m_stars",
-                 profile_name.alias("reviewer"),
-                 *[c.alias(name) for name, c in fields.items()])
-    c = c.select("page", "pos", "asin", "verified_purchase", "body", "m_stars", "reviewer",
-                 *[F.when(F.col(n).contains("<"), F.regexp_replace(F.col(n), TAG, "")).otherwise(F.col(n)).alias(n)
-                   for n in fields])
-    t = c.select("page", "pos", "asin", "verified_purchase",
-                 strip_ws(unescape("reviewer")).alias("reviewer"),
-                 *[strip_ws(unescape(n)).alias(n) for n in fields],
-                 F.when(F.col("m_stars").isNull(), _opt(F.col("body"), REVIEW_STAR_CLASS)).alias("star_class"))
+    t = with_texts(b, "body", {"reviewer": REVIEW_PROFILE, "stars": REVIEW_STARS, "title": REVIEW_TITLE, "date_text": REVIEW_DATE,
+                               "comment": REVIEW_BODY, "helpful": REVIEW_HELPFUL})
+    t = t.withColumns({"verified_purchase": body.rlike(selector(REVIEW_BADGE)[0].pattern), "dated": F.col("date_text").rlike(DATE_LOCATION)})
     return t.select(
         "page", "pos", "asin",
         F.coalesce("reviewer", F.lit(DEFAULT_REVIEWER)).alias("reviewer"),
-        parse_rating("stars", "star_class").alias("rating"),
+        # the class is only asked in blocks without a rating element
+        parse_rating("stars", F.when(F.col("stars").isNull(), first_tag(body, REVIEW_STAR_CLASS))).alias("rating"),
         F.coalesce("title", F.lit(DEFAULT_TITLE)).alias("title"),
-        review_date("date_text").alias("date"),
-        review_location("date_text").alias("location"),
+        F.when(F.col("dated"), F.regexp_extract("date_text", DATE_LOCATION, 2)).otherwise(F.coalesce("date_text", F.lit(DEFAULT_DATE))).alias("date"),
+        F.when(F.col("dated"), F.regexp_extract("date_text", DATE_LOCATION, 1)).otherwise(F.lit(DEFAULT_LOCATION)).alias("location"),
         "verified_purchase",
         F.coalesce("comment", F.lit(DEFAULT_COMMENT)).alias("comment"),
         helpful_votes("helpful").alias("helpful_count"))
 
 
 def page_fields(pages: DataFrame) -> DataFrame:
-    """Generic fields of any page: title, h1, number of links, visible text length (EXT-07)."""
-    h = F.col("html")
-    return pages.select("page_id", "url",
-                        inner_text(_opt(h, PAGE_TITLE)).alias("title"),
-                        inner_text(_opt(h, PAGE_H1)).alias("h1"),
-                        F.size(F.regexp_extract_all(h, F.lit(PAGE_LINK), F.lit(1))).alias("n_links"))
+    """Generic fields of any page: title, h1, number of links (EXT-07)."""
+    p = pages.select("page_id", "url", canonical("html").alias("html"))
+    return p.select("page_id", "url", first_text("html", PAGE_TITLE).alias("title"), first_text("html", PAGE_H1).alias("h1"),
+                    F.regexp_count("html", F.lit(selector(PAGE_LINK)[0].pattern)).alias("n_links"))
 
 
-def page_links(pages: DataFrame) -> DataFrame:
-    """One row per link: (page_id, pos, href)."""
-    return pages.select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(PAGE_LINK), F.lit(1)))
-                        .alias("pos", "href"))
+def page_links(pages: DataFrame, keep=("page_id",)) -> DataFrame:
+    """One row per link: (keep..., pos, href), entities decoded."""
+    tags = F.regexp_extract_all(canonical("html"), F.lit(selector(PAGE_LINK)[0].pattern), F.lit(0))
+    return pages.select(*keep, F.posexplode(tags).alias("pos", "tag")).select(*keep, "pos", attribute("tag", "href").alias("href"))
 
 
 def config_extract(pages: DataFrame, fields=PRODUCT_PAGE_FIELDS, keep=("page_id",)) -> DataFrame:
-    """Declarative extraction: each (name, pattern, type, regex, required) spec becomes one
-    column expression of a single projection, so every page is scanned once (EXT-06).
+    """Declarative extraction: each (name, selector, type, regex, required) of the configuration becomes one
+    column expression of a single projection (EXT-06). Types are ``text`` (first element) and ``list`` (all).
     ``missing_required`` lists the required fields that came out NULL."""
-    h = F.col("html")
+    p = pages.select(*keep, canonical("html").alias("__html"))
     cols, required = [], []
-    for name, pattern, kind, regex, req in fields:
+    for name, sel, kind, regex, req in fields:
         if kind == "list":
-            scope = F.regexp_extract(h, pattern, 1)
-            c = F.transform(F.regexp_extract_all(scope, F.lit(LIST_ITEM), F.lit(1)), lambda t: inner_text(t))
+            c = F.transform(all_elements("__html", sel), lambda e: inner_text(e["body"]))
         else:
-            c = nullif_empty(inner_text(_opt(h, pattern)))
+            c = nullif_empty(first_text("__html", sel))
             if regex:
                 c = nullif_empty(F.regexp_extract(c, regex, 1 if "(" in regex else 0))
         cols.append(c.alias(name))
         if req:
             required.append(F.when(F.col(name).isNull(), F.lit(name)))
-    out = pages.select(*keep, *cols)
+    out = p.select(*keep, *cols)
     return out.withColumn("missing_required", F.array_compact(F.array(*required)) if required
                           else F.array().cast("array<string>"))
 
 
-def config_extract_blocks(pages: DataFrame, attributes=CATEGORY_PAGE_ATTRIBUTES, block=LISTING_BLOCK,
+def config_extract_blocks(pages: DataFrame, attributes=CATEGORY_PAGE_ATTRIBUTES, block: str = CATEGORY_PAGE_BLOCK,
                           page_col: str = "page_id") -> DataFrame:
-    """Declarative block extraction: every block matching ``block`` becomes a row and
-    each configured attribute one column (empty or missing -> NULL)."""
-    b = pages.select(F.col(page_col).alias("page"), F.posexplode(blocks("html", block)).alias("pos", "blk"))
-    cols = []
-    for name, where, pattern in attributes:
-        src = F.col("blk.tag") if where == "tag" else F.col("blk.body")
-        cols.append(nullif_empty(inner_text(_opt(src, pattern))).alias(name))
-    return b.select("page", "pos", *cols)
+    """Declarative block extraction: every element matching the selector ``block`` becomes a row and
+    each configured attribute (``data-...`` of the block, else a selector inside it) one column;
+    empty or missing gives NULL."""
+    b = _blocks(pages, block, page_col)
+    return b.select("page", "pos", *[
+        nullif_empty(attribute("tag", where) if where.startswith("data-") else first_text("body", where)).alias(name)
+        for name, where in attributes])
+
+
+def next_pages(pages: DataFrame, sel: str = NEXT_PAGE, max_pages: int = MAX_PAGES, number=None, page_col: str = "page_id",
+               host: str = DEFAULT_HOST) -> DataFrame:
+    """(page, next_url): where the configuration's pagination goes on. No row for a page without
+    the link or, with the page's own ``number`` given, at the last page allowed."""
+    p = pages if number is None else pages.filter(as_col(number) < max_pages)
+    href = attribute(first_tag(canonical("html"), sel), "href")
+    url = let(href, lambda h: F.when(h.startswith("/"), F.concat(F.lit(f"https://{host}"), h)).otherwise(h))
+    return p.select(F.col(page_col).alias("page"), url.alias("next_url")).filter("next_url IS NOT NULL")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..fixtures import fx, table, with_fx
 from ..operators import extract as X
+from ..operators import markup as M
 from ..functions.text import LRM
 from ..operators.filters import is_blocked
 
@@ -26,9 +27,20 @@ def _k(spark=None):
 K_SQL = "lpad(CAST(p_partkey AS VARCHAR), 9, '0')"
 
 
+def _styled(html, key):
+    """The same page in one of four ways of writing it, by ``key``: plain; single quotes; a further class,
+    and a further attribute with a '>' before it; blanks around '=', comments with markup, a wrapper."""
+    k = F.pmod(key, F.lit(4))
+    return (F.when(k == 1, F.replace(html, F.lit('"'), F.lit("'")))
+            .when(k == 2, F.replace(html, F.lit('class="'), F.lit('title="1 > 0" class="x1 ')))
+            .when(k == 3, F.concat(F.lit("<main>"), F.replace(F.replace(html, F.lit('="'), F.lit(' = "')), F.lit("<span"), F.lit("<!-- <div> --><span")), F.lit("</main>")))
+            .otherwise(html))
+
+
 # ---------------------------------------------------------------- listing pages
 def listing_pages(spark, sf):
-    p = table(spark, sf, "part")
+    # one table file is one task's read: pages are dealt over all tasks, as files of a page corpus are
+    p = table(spark, sf, "part").repartition(spark.sparkContext.defaultParallelism * 2)
     k = _k()
     price = F.format_number(F.col("p_retailprice"), 2)
     stars = F.concat((F.col("p_partkey") % 5 + 1).cast("string"), F.lit("."), (F.col("p_partkey") % 10).cast("string"))
@@ -45,8 +57,11 @@ def listing_pages(spark, sf):
         F.lpad(F.col("p_partkey").cast("string"), 8, "0"), F.lit('X/"><span class="a-text-normal">'), F.col("p_brand"),
         F.lit('</span></a></div><div class="s-result-item" data-asin="" data-component-type="s-search-result"><span>sponsored</span></div>'),
         F.lit('<span class="s-pagination-item" aria-disabled="true">'), F.col("p_size").cast("string"),
-        F.lit('</span><span class="s-pagination-item" aria-disabled="true">Next</span></body></html>'))
-    return p.select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+        F.lit('</span><span class="s-pagination-item" aria-disabled="true">Next</span>'),
+        F.when(F.col("p_size") % 3 != 0, F.concat(F.lit('<ul><li class="a-last"><a href="/s?page='), (F.col("p_size") + 1).cast("string"),
+                                                  F.lit('&amp;k=x">Next</a></li></ul>'))).otherwise(F.lit("")),
+        F.lit("</body></html>"))
+    return p.select(F.col("p_partkey").alias("page_id"), _styled(html, F.col("p_partkey")).alias("html"), "p_size")
 
 
 def q_extract_listing(spark, sf):
@@ -85,6 +100,27 @@ O["config_extract_category"] = (
     "UNION ALL SELECT p_partkey, 1, NULL, NULL, NULL FROM part UNION ALL SELECT p_partkey, 2, NULL, NULL, NULL FROM part")
 
 
+def q_config_next_page(spark, sf):
+    """Where the configured pagination goes on: pages with the link, up to the tenth."""
+    return X.next_pages(listing_pages(spark, sf), number="p_size")
+
+
+O["config_next_page"] = ("SELECT p_partkey AS page, 'https://shop.example/s?page=' || CAST(p_size + 1 AS VARCHAR) || '&k=x' AS next_url "
+                         "FROM part WHERE p_size % 3 <> 0 AND p_size < 10")
+
+
+def q_detail_candidates(spark, sf):
+    """Listing rows that can be fetched for details: ASIN and URL present."""
+    from ..operators.filters import detail_candidates
+    return detail_candidates(X.extract_listing(listing_pages(spark, sf))).select("page", "pos", "asin", "url")
+
+
+O["detail_candidates"] = (
+    f"SELECT p_partkey AS page, 0 AS pos, 'B' || {K_SQL} AS asin, 'https://shop.example/dp/B' || {K_SQL} || '/ref=sr_1' AS url FROM part "
+    "UNION ALL SELECT p_partkey, 1, 'C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X', "
+    "'https://shop.example/dp/C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X/' FROM part")
+
+
 # ------------------------------------------------------------------------ specs
 def _spec_pages(spark, sf):
     fxp = fx(spark, sf, "fx_product_pages").select("page_id", "url", "html", F.lit("fx").alias("source"))
@@ -131,7 +167,7 @@ def q_clean_spec_cells(spark, sf):
     html = F.concat(F.lit('<table id="productDetails_techSpec_section_1"><tr><th>\n Model  name </th><td>'),
                     F.lit(LRM), F.col("p_type"), F.lit("\n</td></tr><tr><th>Colour</th></tr></table>"))
     pages = p.select(F.col("p_partkey").alias("page_id"),
-                     F.concat(F.lit("https://shop.example/dp/B"), _k(), F.lit("/")).alias("url"), html.alias("html"))
+                     F.concat(F.lit("https://shop.example/dp/B"), _k(), F.lit("/")).alias("url"), _styled(html, F.col("p_partkey")).alias("html"))
     return X.extract_specs(pages).select("asin", "pos", "spec_key", "spec_value")
 
 
@@ -168,7 +204,7 @@ def facet_pages(spark, sf):
         item(F.concat(F.lit("/s?rh=n%3A429886031%2Cp_n_size%3A"), F.col("p_size").cast("string")),
              F.concat(F.col("p_size").cast("string"), F.lit(" in"))), F.lit("</ul>"),
         title("Empty"))
-    return p.select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    return p.select(F.col("p_partkey").alias("page_id"), "p_brand", _styled(html, F.col("p_partkey")).alias("html"))
 
 
 FACETS_SQL = (
@@ -189,21 +225,20 @@ O["extract_facets"] = FACETS_SQL
 
 def q_facets_flat(spark, sf):
     """Flat rows -> nested document per page -> flat rows again (ARR-01 round trip)."""
-    nested = X.facets_nested(X.extract_facets(facet_pages(spark, sf)))
-    return X.facets_flatten(nested)
+    return X.facets_flatten(X.facets_document(facet_pages(spark, sf)))
 
 
 O["facets_flat"] = f"SELECT page, category_name, item_pos, name, url, filter_key, filter_value FROM ({FACETS_SQL}) f"
 
 
 def q_facets_nested(spark, sf):
-    nested = X.facets_nested(X.extract_facets(facet_pages(spark, sf)))
-    return nested.select("page", F.size("filters").alias("n_sections"),
+    nested = X.facets_document(facet_pages(spark, sf), category="p_brand")
+    return nested.select("page", "category", F.to_json("product_urls").alias("product_urls"), F.size("filters").alias("n_sections"),
                          F.aggregate(F.map_values("filters"), F.lit(0), lambda acc, v: acc + F.size(v)).alias("n_values"),
                          F.array_join(F.map_keys("filters"), "|").alias("sections"))
 
 
-O["facets_nested"] = "SELECT p_partkey AS page, 2 AS n_sections, 3 AS n_values, 'Brand|Size' AS sections FROM part"
+O["facets_nested"] = "SELECT p_partkey AS page, p_brand AS category, '[]' AS product_urls, 2 AS n_sections, 3 AS n_values, 'Brand|Size' AS sections FROM part"
 
 
 # ---------------------------------------------------------------------- reviews
@@ -228,8 +263,10 @@ def review_pages(spark, sf):
         F.lit('<span data-hook="helpful-vote-statement">'), F.col("helpful_text"), F.lit("</span></div>"))
     extra = F.when(ln == 1, F.lit('<div data-hook="review"><i class="a-icon a-star-2"></i><span data-hook="review-date">3 May</span></div>')) \
         .otherwise(F.lit(""))
+    # dealt over all tasks, as above
+    r = r.repartition(spark.sparkContext.defaultParallelism * 2)
     return r.select(key.alias("page_key"), F.concat(F.lit("https://shop.example/dp/"), F.col("asin"), F.lit("/reviews")).alias("url"),
-                    F.concat(F.lit("<html><body>"), main, extra, F.lit("</body></html>")).alias("html"))
+                    _styled(F.concat(F.lit("<html><body>"), main, extra, F.lit("</body></html>")), F.col("l_orderkey") + ln).alias("html"))
 
 
 def q_extract_reviews(spark, sf):
@@ -251,10 +288,10 @@ O["extract_reviews"] = with_fx(
 
 
 def q_review_ingest(spark, sf):
-    """New review pages -> drop pairs stored before 1996 -> first 50 per product."""
+    """New review pages -> pairs not stored before 1996, all of them."""
     from ..plans.ingest import review_ingest
     known = fx(spark, sf, "fx_reviews").filter(F.col("l_shipdate") < F.lit("1996-01-01").cast("timestamp_ntz"))
-    return review_ingest(review_pages(spark, sf), known, 50, page_col="page_key").select(
+    return review_ingest(review_pages(spark, sf), known, page_col="page_key").select(
         "page", "pos", "asin", "reviewer", "rating", "helpful_count")
 
 
@@ -267,21 +304,20 @@ O["review_ingest"] = with_fx(
     "UNION ALL SELECT page, 1, asin, 'Anonyme', 2.0, 0 FROM r WHERE l_linenumber = 1), "
     "fresh AS (SELECT * FROM ex e WHERE NOT EXISTS (SELECT 1 FROM fx_reviews o WHERE o.l_shipdate < TIMESTAMP '1996-01-01' "
     "AND o.asin = e.asin AND o.reviewer = e.reviewer)) "
-    "SELECT page, pos, asin, reviewer, rating, helpful_count FROM (SELECT *, row_number() OVER (PARTITION BY asin "
-    "ORDER BY page, pos) AS rn FROM fresh) t WHERE rn <= 50", "fx_reviews")
+    "SELECT page, pos, asin, reviewer, rating, helpful_count FROM fresh", "fx_reviews")
 
 
 def q_listing_ingest(spark, sf):
-    """Listing pages -> valid titles, ASINs not stored (pages <= 50 already scraped), first per ASIN."""
+    """Listing pages -> valid titles, ASINs not stored (products with a price are), first per ASIN."""
     from ..plans.ingest import listing_ingest
-    known = fx(spark, sf, "fx_product_info2").filter(F.col("page").cast("int") <= 50).select("asin")
+    known = fx(spark, sf, "fx_product_info2").filter(F.col("prix") != "Prix non disponible").select("asin")
     return listing_ingest(listing_pages(spark, sf), known).select("page", "pos", "asin", "titre", "prix")
 
 
 O["listing_ingest"] = with_fx(
     "SELECT p_partkey AS page, 0 AS pos, 'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') AS asin, "
     "CASE WHEN p_partkey % 7 = 0 THEN p_name || ' & co' ELSE p_name END AS titre, '£' || format('{:,.2f}', p_retailprice) AS prix "
-    "FROM part WHERE 'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') NOT IN (SELECT asin FROM fx_product_info2 WHERE CAST(page AS INTEGER) <= 50) "
+    "FROM part WHERE 'B' || lpad(CAST(p_partkey AS VARCHAR), 9, '0') NOT IN (SELECT asin FROM fx_product_info2 WHERE prix <> 'Prix non disponible') "
     "UNION ALL SELECT p_partkey, 1, 'C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X', p_brand, NULL FROM part",
     "fx_product_info2")
 
@@ -297,7 +333,7 @@ def product_pages(spark, sf):
         (F.col("p_partkey") % 5 + 1).cast("string"), F.lit(".5 out of 5 stars</span></i>"),
         F.lit('<div id="feature-bullets"><ul class="a-unordered-list"><li> '), F.col("p_type"), F.lit(" </li><li>Size "),
         F.col("p_size").cast("string"), F.lit("</li></ul></div>"))
-    return p.select(F.col("p_partkey").alias("page_id"), html.alias("html"))
+    return p.select(F.col("p_partkey").alias("page_id"), _styled(html, F.col("p_partkey")).alias("html"))
 
 
 def q_config_extract(spark, sf):
@@ -316,7 +352,7 @@ O["config_extract"] = (
 # ------------------------------------------------------------- generic corpus
 def _inner_sql(x: str) -> str:
     y = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
-    for a, b in X.ENTITIES:
+    for a, b in M.ENTITIES:
         y = f"replace({y}, '{a}', '{b.replace(chr(39), chr(39) * 2)}')"
     return f"regexp_replace({y}, '^\\s+|\\s+$', '', 'g')"
 
@@ -325,22 +361,35 @@ def _opt_sql(x: str, pattern: str) -> str:
     return f"CASE WHEN regexp_matches({x}, '{pattern}') THEN regexp_extract({x}, '{pattern}', 1) END"
 
 
+# Patterns of the oracles, written for the corpus's own markup.
+TITLE_SQL = r"(?s)<title[^>]*>(.*?)</title>"
+H1_SQL = r"(?s)<h1[^>]*>(.*?)</h1>"
+LINK_SQL = r'<a [^>]*href="([^"]*)"'
+
+
 def q_page_title(spark, sf):
     return X.page_fields(table(spark, sf, "pages"))
 
 
 O["page_title"] = (
-    f"SELECT page_id, url, {_inner_sql(_opt_sql('html', X.PAGE_TITLE))} AS title, {_inner_sql(_opt_sql('html', X.PAGE_H1))} AS h1, "
-    f"CAST(len(regexp_extract_all(html, '{X.PAGE_LINK}', 1)) AS INTEGER) AS n_links FROM pages")
+    f"SELECT page_id, url, {_inner_sql(_opt_sql('html', TITLE_SQL))} AS title, {_inner_sql(_opt_sql('html', H1_SQL))} AS h1, "
+    f"CAST(len(regexp_extract_all(html, '{LINK_SQL}', 1)) AS INTEGER) AS n_links FROM pages")
 
 
 def q_page_links(spark, sf):
-    return X.page_links(table(spark, sf, "pages"))
+    """Links of the web corpus and of generated listing pages (other quotes, entities in the address)."""
+    web = table(spark, sf, "pages").select("page_id", "html", F.lit("web").alias("source"))
+    made = listing_pages(spark, sf).select("page_id", "html", F.lit("listing").alias("source"))
+    both = web.unionByName(made)
+    return X.page_links(both, keep=("page_id", "source"))
 
 
 O["page_links"] = (
-    f"SELECT page_id, CAST(unnest(range(len(a))) AS INTEGER) AS pos, unnest(a) AS href FROM "
-    f"(SELECT page_id, regexp_extract_all(html, '{X.PAGE_LINK}', 1) AS a FROM pages) t")
+    f"SELECT page_id, 'web' AS source, CAST(unnest(range(len(a))) AS INTEGER) AS pos, unnest(a) AS href FROM "
+    f"(SELECT page_id, regexp_extract_all(html, '{LINK_SQL}', 1) AS a FROM pages) t "
+    f"UNION ALL SELECT p_partkey, 'listing', 0, '/dp/B' || {K_SQL} || '/ref=sr_1' FROM part UNION ALL SELECT p_partkey, 'listing', 1, '/r' FROM part "
+    "UNION ALL SELECT p_partkey, 'listing', 2, '/dp/C' || lpad(CAST(p_partkey AS VARCHAR), 8, '0') || 'X/' FROM part "
+    "UNION ALL SELECT p_partkey, 'listing', 3, '/s?page=' || CAST(p_size + 1 AS VARCHAR) || '&k=x' FROM part WHERE p_size % 3 <> 0")
 
 
 def q_scan_pages(spark, sf):

@@ -29,19 +29,26 @@ def test_top_n_limits_before_shuffle(spark):
 
 def test_class_counts_aggregate_reviews_before_join(spark):
     p = plan(spark, "price_segmentation")
-    # reviews are counted per asin (partial_count under an aggregate) before the product join
-    assert "partial_count" in p and "BroadcastNestedLoopJoin" in p
+    # reviews are counted per asin (partial_count under an aggregate) before the product join; bands need no join
+    assert "partial_count" in p and "NestedLoopJoin" not in p
 
 
-@pytest.mark.parametrize("name", ["extract_listing", "extract_reviews", "extract_specs", "page_title",
-                                  "config_extract", "asin_from_url"])
+@pytest.mark.parametrize("name", ["extract_specs", "page_title", "config_extract", "asin_from_url", "facets_nested"])
 def test_row_jobs_do_not_shuffle(spark, name):
     assert "Exchange" not in plan(spark, name)
 
 
+def test_page_jobs_do_not_shuffle(spark):
+    from comptoir.operators import extract as X
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    for df in (X.extract_listing(pages), X.extract_reviews(pages), X.extract_facets(pages), X.config_extract_blocks(pages), X.next_pages(pages)):
+        p = df._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in p and "Python" not in p
+
+
 def test_polarity_collapses_documents_map_side(spark):
     p = plan(spark, "polarity_score")
-    assert "partial_avg" in below_first_exchange(p)
+    assert "partial_collect_list" in below_first_exchange(p)
 
 
 def test_scan_reads_only_needed_columns(spark):

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import ranks
+
 
 def _w(weight) -> Column:
     return F.lit(1).cast("bigint") if weight is None else F.col(weight).cast("bigint")
@@ -96,12 +98,13 @@ def distinct_sorted(df: DataFrame, col: str) -> DataFrame:
 def numeric_stats(df: DataFrame, x: str, exact_median: bool = True) -> DataFrame:
     """count, min, max, mean, median of a numeric column (AGG-06).
 
-    ``median`` is exact (its buffer holds one entry per distinct value, merged
-    across partitions); ``exact_median=False`` uses percentile_approx.
+    The median is exact, by rank selection over ranges of the counted values (see
+    ``ranks.exact_median``); ``exact_median=False`` uses percentile_approx.
     """
-    med = F.median(x) if exact_median else F.percentile_approx(x, 0.5, 10000)
-    return df.agg(F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"),
-                  F.avg(x).alias("mean"), med.cast("double").alias("median"))
+    stats = [F.count(x).alias("count"), F.min(x).alias("min"), F.max(x).alias("max"), F.avg(x).alias("mean")]
+    if not exact_median:
+        return df.agg(*stats, F.percentile_approx(x, 0.5, 10000).cast("double").alias("median"))
+    return df.agg(*stats).withColumn("median", ranks.exact_median(df, x).scalar())
 
 
 def count_distinct_by(df: DataFrame, key: str, value: str, name: str) -> DataFrame:

@@ -24,12 +24,6 @@ def rename_cols(df: DataFrame, mapping: dict) -> DataFrame:
     return df.withColumnsRenamed(mapping)
 
 
-def negatives_to_null(df: DataFrame) -> DataFrame:
-    """Numeric columns: values < 0 -> NULL (FLT-06)."""
-    return df.select(*[F.when(F.col(f.name) >= 0, F.col(f.name)).alias(f.name)
-                       if isinstance(f.dataType, NUMERIC) else F.col(f.name) for f in df.schema.fields])
-
-
 def drop_null_subset(df: DataFrame, subset) -> DataFrame:
     return df.na.drop(how="any", subset=list(subset))
 

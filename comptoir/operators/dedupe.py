@@ -26,16 +26,25 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def tie_break(df: DataFrame, used, last: bool = True) -> list[Column]:
+    """One sort column that tells rows apart beyond the columns ``used``: a hash of the payload, so that
+    exact ties are broken the same way in every run without dragging all columns through the sort."""
+    rest = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name not in used and isinstance(f.dataType, _ORDERABLE)]
+    if not rest:
+        return []
+    h = F.xxhash64(*rest)
+    return [h.desc() if last else h.asc()]
+
+
 def pick_per_key(df: DataFrame, key, order: list[Column], last: bool = True) -> DataFrame:
-    """One row per key: the greatest (``last``) or least by ``order``; NULL ranks lowest.
+    """One row per key: the greatest (``last``) or least by ``order``; NULL ranks lowest. Exact ties in
+    ``order`` are broken by a hash of the other columns.
 
     NULL keys form one group (pandas ``drop_duplicates`` semantics).
     """
     keys = _keys(key)
-    ties = [F.col(f.name) for f in df.schema.fields
-            if f.name not in keys and isinstance(f.dataType, _ORDERABLE)]
-    sort = [(c.desc_nulls_last() if last else c.asc_nulls_first()) for c in list(order) + ties]
-    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*sort)
+    sort = [(c.desc_nulls_last() if last else c.asc_nulls_first()) for c in order]
+    w = Window.partitionBy(*[F.col(k) for k in keys]).orderBy(*sort, *tie_break(df, keys, last))
     return df.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == 1).drop("__rn")
 
 

@@ -3,9 +3,8 @@
 Equi-joins are left to Catalyst + AQE: the planner broadcasts a side only when
 its size estimate is under ``spark.sql.autoBroadcastJoinThreshold`` and AQE
 re-checks the real size at runtime; skewed keys (a product holding a third of
-all reviews) are split by AQE's skew-join rule. Range joins have no equi key,
-so the band side is broadcast only after its row count is checked, with a
-bucketed equi-join beyond that bound.
+all reviews) are split by AQE's skew-join rule. Range joins become equi-joins
+on the numbers that values have in their order.
 """
 
 from __future__ import annotations
@@ -26,72 +25,77 @@ def require_columns(df: DataFrame, cols, what: str = "input") -> None:
         raise ValueError(f"{what}: missing column(s) {missing}; has {df.columns}")
 
 
-def full_product_info(p1: DataFrame, p2: DataFrame, review: DataFrame) -> DataFrame:
-    """Three-way inner equi-join on asin (one output row per review).
-
-    The two product tables are joined first (same grain, one row per asin),
-    then the review fact is joined once on the product side.
-    """
+def product_info(p1: DataFrame, p2: DataFrame) -> DataFrame:
+    """Both product tables, one row per asin."""
     require_columns(p1, PRODUCT1_COLS, "product_info1")
     require_columns(p2, PRODUCT2_COLS, "product_info2")
-    require_columns(review, ("asin", "sentiment"), "review")
-    prod = (p1.select("asin", "manufacturer", "processor_type", "hard_drive_size",
+    return (p1.select("asin", "manufacturer", "processor_type", "hard_drive_size",
                       "hard_disk_description", "ram_size", F.col("url").alias("url_info1"))
             .join(p2.select("asin", "nombre_avis", "prix", "page", "note",
                             F.col("url").alias("url_info2"), "titre"), "asin"))
-    return prod.join(review.select("asin", "sentiment"), "asin")
 
 
-def _checked_small(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows+1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def full_product_info(p1: DataFrame, p2: DataFrame, review: DataFrame) -> DataFrame:
+    """Three-way inner equi-join on asin (one output row per review).
 
+    The two product tables are joined first (same grain, one row per asin),
+    then the review fact is joined once on the product side.
+    """
+    require_columns(review, ("asin", "sentiment"), "review")
+    return product_info(p1, p2).join(review.select("asin", "sentiment"), "asin")
 
-def range_join(df: DataFrame, value: Column, ranges: DataFrame, lo: str, hi: str,
-               how: str = "left", max_broadcast_rows: int = 10_000,
-               bucket_width: float | None = None, known_rows: int | None = None) -> DataFrame:
-    """``df LEFT JOIN ranges ON value BETWEEN lo AND hi``.
 
-    Small range tables (row count checked) are broadcast: a nested-loop join
-    against a handful of rows, no shuffle of ``df``. Larger ones go through a
-    bucketed equi-join: each range is expanded to the buckets it covers and
-    the residual BETWEEN is applied per bucket, so both sides shuffle on the
-    bucket id instead of building a cross product. ``known_rows`` states the
-    size of a constant range table so the count job can be skipped.
-    """
+def range_join(df: DataFrame, value: Column, ranges: DataFrame, lo: str, hi: str, how: str = "left") -> DataFrame:
+    """``df LEFT/INNER JOIN ranges ON value BETWEEN lo AND hi``, for ranges of any number, width and overlap.
+
+    The distinct values and the ends of the ranges are put in one order and the values counted through
+    (``ranks.running_sum``): a range holds the values numbered from the count at its lower end to the count at its
+    upper end. So ranges are matched to values by number, an equi-join whose size is that of the result per distinct
+    value, and the rows of ``df`` meet the matches of their value in a second one. Nothing is broadcast unless
+    Spark finds it small, and there is no width to choose. NULL and NaN values match nothing, nor do ranges with a
+    NULL end or a lower end above the upper one."""
     if how not in ("left", "inner"):
         raise ValueError("range_join supports 'left' and 'inner'")
-    v = "__rj_value"
-    left = df.withColumn(v, value)
-    cond_cols = [F.col(v) >= F.col(f"__r.{lo}"), F.col(v) <= F.col(f"__r.{hi}")]
-    small = (known_rows <= max_broadcast_rows) if known_rows is not None else None
-    if bucket_width is None and (small if small is not None else _checked_small(ranges, max_broadcast_rows)):
-        r = F.broadcast(ranges.alias("__r"))
-        out = left.alias("__l").join(r, cond_cols[0] & cond_cols[1], how)
-        return out.select("__l.*", *[F.col(f"__r.{c}") for c in ranges.columns
-                                     if c not in df.columns]).drop(v)
-    w = float(bucket_width or 1.0)
-    b = "__rj_bucket"
-    rr = ranges.withColumn(b, F.explode(F.sequence(F.floor(F.col(lo) / w).cast("long"),
-                                                   F.floor(F.col(hi) / w).cast("long"))))
-    ll = left.withColumn(b, F.floor(F.col(v) / w).cast("long"))
-    out = ll.alias("__l").join(rr.alias("__r"),
-                               (F.col(f"__l.{b}") == F.col(f"__r.{b}")) & cond_cols[0] & cond_cols[1],
-                               how)
-    return out.select("__l.*", *[F.col(f"__r.{c}") for c in ranges.columns
-                                 if c not in df.columns]).drop(v, b)
+    from .ranks import running_sum
+    extra = [c for c in ranges.columns if c not in df.columns]
+    left = df.withColumn("__v", value.cast("double"))
+    left = left.withColumn("__v", F.when(~F.isnan("__v"), F.col("__v") + F.lit(0.0)))  # -0.0 is 0.0
+    known = ranges.filter(F.col(lo) <= F.col(hi)).select(F.col(lo).cast("double").alias("__lo"), F.col(hi).cast("double").alias("__hi"),
+                                                         F.struct(*[F.col(c) for c in extra]).alias("__r"))
+    # at an equal value a lower end comes before it, an upper end after it
+    none = F.lit(None).cast(known.schema["__r"].dataType)
+    values = left.filter(F.col("__v").isNotNull()).select("__v").distinct().select(
+        F.col("__v").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("double").alias("__hi"), none.alias("__r"))
+    lows = known.select(F.col("__lo").alias("__at"), F.lit(0).alias("__kind"), "__hi", "__r")
+    numbered = running_sum(values.unionByName(lows), ["__at", "__kind"], weight=F.when(F.col("__kind") == 1, 1).otherwise(0), to="__n")
+    points = numbered.filter("__kind = 1").select(F.col("__at").alias("__v"), "__n")
+    begun = numbered.filter("__kind = 0").select(F.col("__hi").alias("__at"), F.lit(2).alias("__kind"), F.col("__n").alias("__from"), "__r")
+    ends = running_sum(points.select(F.col("__v").alias("__at"), F.lit(1).alias("__kind"), F.lit(None).cast("long").alias("__from"), none.alias("__r"))
+                       .unionByName(begun), ["__at", "__kind"], weight=F.when(F.col("__kind") == 1, 1).otherwise(0), to="__to")
+    spans = ends.filter((F.col("__kind") == 2) & (F.col("__to") > F.col("__from")))
+    covered = spans.select("__r", F.explode(F.sequence(F.col("__from"), F.col("__to") - 1)).alias("__n"))
+    matches = points.join(covered, "__n").select("__v", "__r")
+    out = left.join(matches, "__v", how)
+    return out.select(*df.columns, *[F.col(f"__r.{c}").alias(c) for c in extra])
+
+
+def price_class(number: Column) -> Column:
+    """Class of a price by the built-in bands; an expression of the row, since the bands are three constants."""
+    from ..functions.price import PRICE_BANDS
+    picked = [F.when(number.between(lo, hi), F.lit(name)) for name, lo, hi in PRICE_BANDS]
+    return F.coalesce(*picked)
 
 
 def price_class_join(full: DataFrame, bands: DataFrame | None = None, price_col: str = "prix",
                      strict: bool = False) -> DataFrame:
     """``f.*, c.classe`` with the band picked on the integer-rounded price.
-    ``bands=None`` uses the built-in three-row dimension (size known, no check)."""
-    from ..functions.price import PRICE_BANDS, parse_price_number, price_bands
-    known = len(PRICE_BANDS) if bands is None else None
-    bands = price_bands(full.sparkSession) if bands is None else bands
+    ``bands=None`` uses the built-in three bands, which need no join."""
+    from ..functions.price import parse_price_number
     value = parse_price_number(price_col, strict).cast("double")
+    if bands is None:
+        return full.withColumn("__value", value).withColumn("classe", price_class(F.col("__value"))).drop("__value")
     return range_join(full, value, bands.select("classe", "prix_min", "prix_max"),
-                      "prix_min", "prix_max", "left", known_rows=known).drop("prix_min", "prix_max")
+                      "prix_min", "prix_max", "left").drop("prix_min", "prix_max")
 
 
 def sentiment_left_join(products: DataFrame, sentiments: DataFrame, key: str = "asin",
@@ -126,11 +130,14 @@ def isin_filter(df: DataFrame, col, values) -> DataFrame:
 
 def first_per_key(df: DataFrame, key: str, order_cols) -> DataFrame:
     """In-batch first wins per non-null key; rows with NULL key are all kept (JN-07).
-    Same plan as keep-last: partial top-1 per map task before the shuffle."""
-    from .dedupe import pick_per_key
-    keyed = df.filter(F.col(key).isNotNull())
-    best = pick_per_key(keyed, key, [F.col(c) for c in order_cols], last=False)
-    return best.unionByName(df.filter(F.col(key).isNull()))
+    One pass: a row without a key is a group of its own. Partial top-1 per map task
+    before the shuffle, so a hot key ships one row a task."""
+    from .dedupe import tie_break
+    alone = F.when(F.col(key).isNull(), F.monotonically_increasing_id())
+    order = [F.col(c).asc_nulls_first() for c in order_cols] + tie_break(df, [key, *order_cols], last=False)
+    w = Window.partitionBy(key, "__alone").orderBy(*order)
+    return (df.withColumn("__alone", alone).withColumn("__rn", F.row_number().over(w))
+            .filter(F.col("__rn") == 1).drop("__rn", "__alone"))
 
 
 def new_listings(batch: DataFrame, known: DataFrame, order_cols=("page", "pos")) -> DataFrame:

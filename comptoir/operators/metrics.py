@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .ranks import running_sum
+
 # Size of the rolling sample buffer.
 HISTORY_SIZE = 100
 
@@ -73,34 +75,22 @@ def category_stats(log: DataFrame, n: int = HISTORY_SIZE) -> DataFrame:
     return _duration_stats(last_n_per_category(log, n), ["category"])
 
 
-def rolling_last_n(log: DataFrame, n: int = HISTORY_SIZE, kind: str = "duration",
-                   chunk: str = "minute") -> DataFrame:
+def rolling_last_n(log: DataFrame, n: int = HISTORY_SIZE, kind: str = "duration") -> DataFrame:
     """For every sample: avg/min/max/count of the last ``n`` samples of its category
     (itself included), i.e. ``rowsBetween(-(n-1), 0)`` ordered by (ts, event_id).
 
-    A plain window partitioned by category would put a whole category in one
-    task. Instead each sample gets its exact rank inside the category from
-    per-(category, time chunk) counts plus a rank inside its chunk; ranks are
-    cut into blocks of ``n`` and each block is evaluated together with a copy
-    of the previous block, so every window partition holds at most 2n rows.
+    A plain window partitioned by category would put a whole category in one task. Instead samples are
+    dealt by ranges of (category, ts, event_id), so that one category, or one minute of it, spreads over
+    tasks, and get their number in the category from prefix sums (``ranks.running_sum``). Numbers are cut into
+    blocks of ``n``; a sample goes to its own block and, as halo, to the next, and every window holds at
+    most 2n rows. The input is read once.
     """
-    d = log.filter(F.col("kind") == kind).withColumn("__chunk", F.date_trunc(chunk, F.col("ts").cast("timestamp")))
-    counts = d.groupBy("category", "__chunk").agg(F.count(F.lit(1)).alias("__cnt"))
-    before = (F.sum("__cnt").over(Window.partitionBy("category").orderBy("__chunk")
-                                  .rowsBetween(Window.unboundedPreceding, -1)))
-    offsets = counts.select(F.col("category").alias("__cat"), F.col("__chunk").alias("__chk"),
-                            F.coalesce(before, F.lit(0)).alias("__off"))
-    # null-safe: samples without a category or a time are ranked like any other
-    ranked = (d.join(offsets, F.col("category").eqNullSafe(F.col("__cat")) & F.col("__chunk").eqNullSafe(F.col("__chk")))
-              .drop("__cat", "__chk")
-              .withColumn("__rank", F.col("__off") + F.row_number().over(
-                  Window.partitionBy("category", "__chunk").orderBy("ts", "event_id")))
-              .withColumn("__block", F.floor((F.col("__rank") - 1) / n)))
-    own = ranked.withColumn("__own", F.lit(True))
-    halo = ranked.withColumn("__block", F.col("__block") + 1).withColumn("__own", F.lit(False))
-    both = own.unionByName(halo)
+    d = log.filter(F.col("kind") == kind).select("event_id", "ts", "category", "value")
+    ranked = running_sum(d, ["ts", "event_id"], by=["category"], to="__rank")
+    block = F.floor(F.col("__rank") / n)
+    both = ranked.withColumn("__block", F.explode(F.array(block, block + 1)))
     w = Window.partitionBy("category", "__block").orderBy("__rank").rowsBetween(-(n - 1), 0)
-    out = both.select("event_id", "ts", "category", "value", "__own",
+    out = both.select("event_id", "ts", "category", "value", (F.col("__block") == block).alias("__own"),
                       F.round(F.avg("value").over(w), 6).alias("rolling_avg"),
                       F.round(F.sum("value").over(w), 6).alias("rolling_sum"),
                       F.min("value").over(w).alias("rolling_min"),

@@ -4,15 +4,13 @@ Tokens are produced per row with ``regexp_extract_all(lower(text), '\\p{L}+')``
 and exploded in the same task, so a document never leaves its partition.
 Counting tokens aggregates with map-side combine (a very frequent token costs
 one row per map task). The stop-word list and the sentiment lexicon are
-input tables — small dimensions broadcast after a row-count check, with a
-shuffle join beyond the bound.
+input tables, equi-joined: Spark broadcasts them if it finds them small enough.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 TOKEN_PATTERN = r"\p{L}+"
 
@@ -38,6 +36,16 @@ DEFAULT_LEXICON = [
     ("gut", 0.7), ("schlecht", -0.7), ("bueno", 0.7), ("buena", 0.7), ("malo", -0.7), ("mala", -0.7),
 ]
 
+# Default modifiers. A negation turns the next valued word round and
+# halves it; a degree word multiplies it.
+DEFAULT_NEGATIONS = "not no never without hardly ne pas jamais sans nicht kein keine nie ohne nunca sin".split()
+DEFAULT_DEGREES = [
+    ("very", 1.3), ("really", 1.2), ("extremely", 1.5), ("so", 1.2), ("too", 1.1), ("slightly", 0.5), ("somewhat", 0.7),
+    ("très", 1.3), ("vraiment", 1.2), ("trop", 1.1), ("peu", 0.5), ("sehr", 1.3), ("etwas", 0.7), ("muy", 1.3), ("poco", 0.5),
+]
+NEGATED = -0.5
+REACH = 2  # other words that may stand between a modifier and what it modifies
+
 # Polarity thresholds (strict inequalities).
 POSITIVE_ABOVE = 0.1
 NEGATIVE_BELOW = -0.1
@@ -54,12 +62,16 @@ def stopword_table(spark: SparkSession, words=None) -> DataFrame:
     return spark.createDataFrame([(w,) for w in dict.fromkeys(words)], "token string")
 
 
-def lexicon_table(spark: SparkSession, entries=None) -> DataFrame:
-    entries = DEFAULT_LEXICON if entries is None else list(entries)
+def lexicon_table(spark: SparkSession, entries=None, negations=None, degrees=None) -> DataFrame:
+    """(token, kind, value): kind is 'word' (a valence), 'negation' or 'degree' (a factor). The first entry of
+    a token counts, words before negations before degrees."""
+    words = DEFAULT_LEXICON if entries is None else list(entries)
+    no = DEFAULT_NEGATIONS if negations is None else list(negations)
+    by = DEFAULT_DEGREES if degrees is None else list(degrees)
     seen = {}
-    for w, v in entries:
-        seen.setdefault(w, v)
-    return spark.createDataFrame(list(seen.items()), "token string, valence double")
+    for token, kind, value in ([(w, "word", v) for w, v in words] + [(w, "negation", NEGATED) for w in no] + [(w, "degree", v) for w, v in by]):
+        seen.setdefault(token, (token, kind, float(value)))
+    return spark.createDataFrame(list(seen.values()), "token string, kind string, value double")
 
 
 def tokens_of(text) -> Column:
@@ -98,20 +110,45 @@ def top_tokens(tokens: DataFrame, k: int = 200) -> DataFrame:
     return top.withColumn("weight", F.round(F.col("n") / F.max("n").over(Window.partitionBy()), 6))
 
 
+def _fold(hits: Column) -> Column:
+    """Mean value of the valued words of one text, from its lexicon hits in order of position. Modifiers
+    gather until a valued word takes them up; they lapse when more than REACH other words follow."""
+    start = F.struct(F.lit(0.0).alias("total"), F.lit(0).alias("n"), F.lit(1.0).alias("factor"), F.lit(1.0).alias("turn"), F.lit(-10).alias("at"))
+
+    def step(acc: Column, h: Column) -> Column:
+        near = h["pos"] - acc["at"] <= REACH + 1
+        factor, turn = F.when(near, acc["factor"]).otherwise(1.0), F.when(near, acc["turn"]).otherwise(1.0)
+        strength = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), h["value"] * factor))
+        is_word = h["kind"] == "word"
+        return F.struct(
+            F.when(is_word, acc["total"] + strength * turn).otherwise(acc["total"]).alias("total"),
+            F.when(is_word, acc["n"] + 1).otherwise(acc["n"]).alias("n"),
+            F.when(is_word, 1.0).when(h["kind"] == "degree", factor * h["value"]).otherwise(factor).alias("factor"),
+            F.when(is_word, 1.0).when(h["kind"] == "negation", F.lit(NEGATED)).otherwise(turn).alias("turn"),
+            F.when(is_word, -10).otherwise(h["pos"]).alias("at"))
+
+    return F.aggregate(hits, start, step, lambda s: F.when(s["n"] > 0, s["total"] / s["n"]).otherwise(0.0))
+
+
 def polarity(docs: DataFrame, text: str = "comment", keep=("doc_id",), lexicon: DataFrame | None = None) -> DataFrame:
-    """(keep..., polarity): mean valence of the lexicon words in the text, 0.0 without hits.
+    """(keep..., polarity): one row per row of ``docs``; the mean value of the lexicon words in the text, with
+    negations and degree words taken into account in reading order, 0.0 without hits.
 
-    Tokens of a document are exploded inside its own task and re-aggregated by
-    the document key; the partial aggregate already collapses each document to
-    one row before the shuffle, so no join back to the texts is needed.
-    NULL text scores like the text 'nan' (no hits): 0.0.
+    Tokens of a document are exploded inside its own task and gathered by the row's own number, so rows that
+    share ``keep`` stay apart; only hits are kept on the way, and the partial aggregate collapses each
+    document to one row before the shuffle. NULL text scores like the text 'nan' (no hits): 0.0. A
+    ``lexicon`` of (token, valence) holds valued words only.
     """
     _require(docs, [text, *keep])
-    spark = docs.sparkSession
-    lx = lexicon if lexicon is not None else lexicon_table(spark)
-    t = docs.select(*keep, F.explode_outer(tokens_of(F.coalesce(F.col(text), F.lit("nan")))).alias("token"))
-    scored = t.join(lx.select("token", "valence"), "token", "left")
-    return scored.groupBy(*keep).agg(F.coalesce(F.avg("valence"), F.lit(0.0)).alias("polarity"))
+    lx = lexicon if lexicon is not None else lexicon_table(docs.sparkSession)
+    if "kind" not in lx.columns:
+        lx = lx.select("token", F.lit("word").alias("kind"), F.col("valence").cast("double").alias("value"))
+    numbered = docs.select(*keep, tokens_of(F.coalesce(F.col(text), F.lit("nan"))).alias("__tokens"), F.monotonically_increasing_id().alias("__row"))
+    t = numbered.select("__row", *keep, F.posexplode_outer("__tokens").alias("__pos", "token"))
+    scored = t.join(lx.select("token", "kind", "value"), "token", "left")
+    hit = F.when(F.col("kind").isNotNull(), F.struct(F.col("__pos").alias("pos"), "kind", "value"))
+    per_row = scored.groupBy("__row", *keep).agg(F.sort_array(F.collect_list(hit)).alias("__hits"))
+    return per_row.select(*keep, _fold(F.col("__hits")).alias("polarity"))
 
 
 def classify(score) -> Column:
@@ -125,7 +162,3 @@ def classify_sentiment(docs: DataFrame, text: str = "comment", keep=("doc_id", "
                        lexicon: DataFrame | None = None) -> DataFrame:
     p = polarity(docs, text, keep, lexicon)
     return p.withColumn("polarity", F.round("polarity", 6)).withColumn("sentiment", classify("polarity"))
-
-
-def empty_tokens(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], T.StructType([T.StructField("token", T.StringType())]))

@@ -1,7 +1,7 @@
 """Incremental ingest flows of the collection DAG, as batch jobs over page corpora.
 
 ``review_ingest``: extract review blocks -> drop (asin, reviewer) pairs already
-stored -> keep the first ``max_reviews`` per product in page order. The cut
+stored -> on request, keep the first ``max_reviews`` per product in page order. The cut
 comes after the anti-join, as in the reference, and two reviews by the same
 reviewer on the new pages both pass (only stored reviews are excluded).
 
@@ -18,15 +18,12 @@ from pyspark.sql import functions as F
 from ..operators.extract import extract_listing, extract_reviews
 from ..operators.joins import anti_join, new_listings, top_n_per_group
 
-# Reviews kept per product and run.
-MAX_REVIEWS_PER_PRODUCT = 50
-
-
-def review_ingest(pages: DataFrame, known: DataFrame, max_reviews: int = MAX_REVIEWS_PER_PRODUCT,
+def review_ingest(pages: DataFrame, known: DataFrame, max_reviews: int | None = None,
                   page_col: str = "page_id", asin=None) -> DataFrame:
+    """All new reviews, or with ``max_reviews`` the first so many per product."""
     reviews = extract_reviews(pages, asin=asin, page_col=page_col)
     fresh = anti_join(reviews, known.select("asin", "reviewer"), ["asin", "reviewer"])
-    return top_n_per_group(fresh, "asin", [F.col("page"), F.col("pos")], max_reviews)
+    return fresh if max_reviews is None else top_n_per_group(fresh, "asin", [F.col("page"), F.col("pos")], max_reviews)
 
 
 def listing_ingest(pages: DataFrame, known: DataFrame, page_col: str = "page_id") -> DataFrame:

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from ..functions._util import number_text
 from ..functions.text import bullet_list
 from ..functions.text import run_id as run_id_of
+from ..operators.ranks import exact_median
 
 
-def _num(c) -> Column:
+def _num(c, digits: int | None = None) -> Column:
     col = F.col(c) if isinstance(c, str) else c
-    return number_text(col.cast("double"))
+    return number_text(col.cast("double"), digits)
 
 
 def _row(df: DataFrame, section: str, metric, value) -> DataFrame:
@@ -29,15 +30,17 @@ def _row(df: DataFrame, section: str, metric, value) -> DataFrame:
 
 
 def run_statistics(products: DataFrame, reviews: DataFrame, run_ts: Column | None = None,
-                   price: str = "price", category: str = "category", rating: str = "rating") -> DataFrame:
-    """Long-form statistics of one run.
+                   price: str = "price", category: str = "category", rating: str = "rating",
+                   digits: int | None = None) -> DataFrame:
+    """Long-form statistics of one run. Numbers are written in full, or with ``digits`` decimals.
 
     The review fact is aggregated once, by rating (map-side combined); the total,
     the average and the distribution all come from that small table. Product
     count and price statistics share one aggregate.
     """
     ps = products.agg(F.count(F.lit(1)).alias("n"), F.min(price).alias("min"), F.max(price).alias("max"),
-                      F.avg(price).alias("mean"), F.median(price).cast("double").alias("median"))
+                      F.avg(price).alias("mean"))
+    ps = ps.withColumn("median", exact_median(products, price).scalar())
     cats = products.filter(F.col(category).isNotNull()).groupBy(category).agg(F.count(F.lit(1)).alias("n"))
     by_rating = reviews.groupBy(rating).agg(F.count(F.lit(1)).alias("n"))
     rv = by_rating.agg(F.sum("n").alias("n"),
@@ -47,13 +50,13 @@ def run_statistics(products: DataFrame, reviews: DataFrame, run_ts: Column | Non
     parts = [
         _row(ps, "products", "total_products", F.col("n")),
         _row(cats, "products.categories", F.col(category), F.col("n")),
-        _row(ps, "products.price_stats", "min", _num("min")),
-        _row(ps, "products.price_stats", "max", _num("max")),
-        _row(ps, "products.price_stats", "mean", _num("mean")),
-        _row(ps, "products.price_stats", "median", _num("median")),
+        _row(ps, "products.price_stats", "min", _num("min", digits)),
+        _row(ps, "products.price_stats", "max", _num("max", digits)),
+        _row(ps, "products.price_stats", "mean", _num("mean", digits)),
+        _row(ps, "products.price_stats", "median", _num("median", digits)),
         _row(rv, "reviews", "total_reviews", F.col("n")),
-        _row(rv, "reviews", "average_rating", _num("avg")),
-        _row(dist, "reviews.rating_distribution", _num(rating), F.col("n")),
+        _row(rv, "reviews", "average_rating", _num("avg", digits)),
+        _row(dist, "reviews.rating_distribution", _num(rating, digits), F.col("n")),
     ]
     if run_ts is not None:
         one = ps.select(run_ts.alias("ts"))

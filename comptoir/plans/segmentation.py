@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.storage import storage_gb
-from ..operators.joins import full_product_info, price_class_join
+from ..operators.joins import price_class_join, product_info
 
 
 def fix_processor(c="processor_type"):
@@ -30,9 +30,11 @@ def normalise_products(full: DataFrame, strict: bool = False) -> DataFrame:
 
 def price_segmentation(p1: DataFrame, p2: DataFrame, review: DataFrame,
                        bands: DataFrame | None = None, strict: bool = False) -> DataFrame:
-    """full_product_info_classe: product x review rows with normalised columns and classe."""
-    full = normalise_products(full_product_info(p1, p2, review), strict)
-    return price_class_join(full, bands, "prix", strict)
+    """full_product_info_classe: product x review rows with normalised columns and classe.
+    Products are normalised and classed before they meet their reviews: once a product, not once a review."""
+    classed = price_class_join(normalise_products(product_info(p1, p2), strict), bands, "prix", strict)
+    columns = [c for c in classed.columns if c not in ("hard_drive_size", "classe")]
+    return classed.join(review.select("asin", "sentiment"), "asin").select(*columns, "sentiment", "hard_drive_size", "classe")
 
 
 def class_counts(seg: DataFrame) -> DataFrame:

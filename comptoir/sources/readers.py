@@ -25,6 +25,10 @@ CSV_OPTIONS = {"header": True, "encoding": "UTF-8", "quote": '"', "escape": '"',
                "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
+#: Column of the text of malformed JSON records.
+CORRUPT = "_corrupt_record"
+
+
 def scan_csv_schema(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """Fixed schema, positional columns, header skipped, optional '"' enclosure.
     ``multi_line`` reads values with line breaks; files are then not split."""
@@ -35,19 +39,33 @@ def scan_csv_schema(spark: SparkSession, path: str, schema: T.StructType, multi_
 def scan_csv_infer(spark: SparkSession, path: str, default_schema: T.StructType | None = None,
                    infer: bool = True, multi_line: bool = False) -> DataFrame:
     """Header + inferred types; a missing path, or files without even a header, give an
-    empty table of ``default_schema``. ``infer=False`` keeps strings and saves the inference pass."""
+    empty table of ``default_schema``. Inference reads all the data once more, since any row may widen a
+    type. To read large or recurring files once, infer from a part with :func:`infer_csv_schema` and scan with
+    that schema, or keep strings with ``infer=False``."""
     if not path_exists(spark, path):
         return empty(spark, default_schema or T.StructType([]))
     df = spark.read.options(**CSV_OPTIONS).option("inferSchema", infer).option("multiLine", multi_line).csv(path)
     return df if df.columns else empty(spark, default_schema or T.StructType([]))
 
 
+def infer_csv_schema(spark: SparkSession, path: str, share: float = 1.0, multi_line: bool = False) -> T.StructType:
+    """Inferred schema of a CSV folder, from the given share of its rows; to be kept and passed to :func:`scan_csv_schema`."""
+    return (spark.read.options(**CSV_OPTIONS).option("inferSchema", True).option("samplingRatio", share)
+            .option("multiLine", multi_line).csv(path).schema)
+
+
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | None = None,
-              multi_line: bool = False, default_schema: T.StructType | None = None) -> DataFrame:
-    """JSON records; malformed input lands in ``_corrupt_record`` instead of failing."""
+              multi_line: bool = False, default_schema: T.StructType | None = None, corrupt: str | None = CORRUPT) -> DataFrame:
+    """JSON records; a malformed one gives a row with its text in the column ``corrupt`` and NULL in the others.
+    With a schema the column is always there; ``corrupt=None`` leaves it out. (Spark refuses a query of that column
+    alone on the files themselves: select another one with it.)"""
+    if schema is not None and corrupt is not None and corrupt not in schema.fieldNames():
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
     if not path_exists(spark, path):
         return empty(spark, schema or default_schema or T.StructType([]))
     r = spark.read.option("mode", "PERMISSIVE").option("multiLine", multi_line)
+    if corrupt is not None:
+        r = r.option("columnNameOfCorruptRecord", corrupt)
     if schema is not None:
         r = r.schema(schema)
     return r.json(path)

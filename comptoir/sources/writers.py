@@ -40,17 +40,6 @@ def export_json_document(doc: DataFrame, path: str) -> str:
     return path
 
 
-def export_json_array(df: DataFrame, path: str, max_rows: int = 100_000) -> str:
-    """One JSON array document ``[{...}, ...]`` for a *bounded* result (top-k lists,
-    statistics): rows are gathered into one value, so the row count is checked
-    first and larger inputs are refused (write JSON Lines with :func:`export_json`)."""
-    if df.limit(max_rows + 1).count() > max_rows:
-        raise ValueError(f"export_json_array: more than {max_rows} rows; use export_json (JSON Lines)")
-    doc = df.agg(F.to_json(F.collect_list(F.struct(*df.columns))).alias("value"))
-    doc.write.mode("overwrite").text(path)
-    return path
-
-
 def export_partitioned(df: DataFrame, path: str, partition_by, fmt: str = "parquet") -> str:
     """Keyed export (object-store layout ``key=value/part-*``).
 
@@ -64,20 +53,45 @@ def export_partitioned(df: DataFrame, path: str, partition_by, fmt: str = "parqu
     return path
 
 
-def replace_table(df: DataFrame, name: str) -> DataFrame:
-    """CREATE OR REPLACE TABLE: write a new version under the shared folder and
-    read it back (the old version stays readable until the new one commits)."""
+def table_base(spark, name: str) -> str:
+    return f"{shared_dir(spark)}/tables/{name}"
+
+
+def replace_table(df: DataFrame, name: str, keep_versions: int = 2) -> DataFrame:
+    """CREATE OR REPLACE TABLE: the rows are written as the next version ``v=<n>`` of the table's folder below
+    the shared folder; once it is committed, ``name`` in the session catalog points at it. Until then, and for a
+    reader that has begun, the version before stays; older ones than ``keep_versions`` are removed."""
+    from ..streaming.jobs import next_version, prune_versions
     spark = df.sparkSession
-    path = new_subdir(spark, f"tables/{name}")
+    base = table_base(spark, name)
+    path = next_version(spark, base)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return _point(spark, name, path, prune=lambda: prune_versions(spark, base, keep_versions))
+
+
+def _point(spark, name: str, path: str, prune=None) -> DataFrame:
+    if spark.catalog.tableExists(name):
+        spark.sql(f"DROP TABLE `{name}`")  # an external table: its files stay
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if prune:
+        prune()
+    return spark.table(name)
+
+
+def named_table(spark, name: str) -> DataFrame:
+    """A table by name, in its newest committed version; from the folder if this catalog doesn't know it yet."""
+    from ..streaming.jobs import latest_version
+    path = latest_version(spark, table_base(spark, name))
+    if path is None:
+        raise ValueError(f"no table {name!r}")
+    return _point(spark, name, path)
 
 
 def write_report(report: DataFrame, path: str) -> str:
-    """Text report: one line per (section, metric, value) row."""
+    """Text report: one line per (section, metric, value) row, in one file (a few dozen rows)."""
     (report.select(F.concat_ws(": ", F.concat_ws(".", "section", "metric"),
                                F.coalesce(F.col("value").cast("string"), F.lit("N/A"))).alias("value"))
-     .coalesce(1).write.mode("overwrite").text(path))
+     .repartition(1).write.mode("overwrite").text(path))
     return path
 
 

@@ -60,12 +60,42 @@ O["scan_csv_infer"] = "SELECT * FROM customer"
 def q_scan_json(spark, sf):
     pages = fx(spark, sf, "fx_product_pages")
     path = W.export_json(pages, W.scratch_path(spark, "json/pages"))
-    return RD.scan_json(spark, path, schema=pages.schema)
+    return RD.scan_json(spark, path, schema=pages.schema, corrupt=None)
 
 
 O["scan_json"] = with_fx("SELECT * FROM fx_product_pages", "fx_product_pages")
 
 
+def q_scan_json_corrupt(spark, sf):
+    """JSON lines of which every seventh is cut short: its text is kept beside the good records."""
+    p = table(spark, sf, "part")
+    line = F.to_json(F.struct("p_partkey", "p_name"))
+    broken = F.when(F.col("p_partkey") % 7 == 0, F.substring(line, F.lit(1), F.length(line) - 1)).otherwise(line)
+    path = W.scratch_path(spark, "json/broken")
+    p.select(broken.alias("value")).write.text(path)
+    schema = T.StructType([p.schema["p_partkey"], p.schema["p_name"]])
+    return RD.scan_json(spark, path, schema=schema).select(
+        F.when(F.col(RD.CORRUPT).isNull(), F.col("p_partkey")).alias("p_partkey"),
+        F.when(F.col(RD.CORRUPT).isNull(), F.col("p_name")).alias("p_name"), F.col(RD.CORRUPT).alias("corrupt"))
+
+
+O["scan_json_corrupt"] = (
+    "SELECT CASE WHEN p_partkey % 7 <> 0 THEN p_partkey END AS p_partkey, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS p_name, "
+    "CASE WHEN p_partkey % 7 = 0 THEN '{\"p_partkey\":' || p_partkey || ',\"p_name\":\"' || p_name || '\"' END AS corrupt FROM part")
+
+
+def q_scan_csv_kept_schema(spark, sf):
+    """Types inferred once from a tenth of the rows, then the files read once with that schema."""
+    cust = table(spark, sf, "customer")
+    path = W.sink_csv(cust, W.scratch_path(spark, "csv/customer-kept"))
+    schema = RD.infer_csv_schema(spark, path, share=0.1)
+    df = RD.scan_csv_schema(spark, path, schema)
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in cust.schema.fields])
+
+
+O["scan_csv_kept_schema"] = "SELECT * FROM customer"
+
+
 def q_export_json(spark, sf):
     part = table(spark, sf, "part")
     path = W.export_json(part, W.scratch_path(spark, "json/part"))
@@ -146,7 +176,7 @@ O["discover_files"] = ("SELECT 'csv' AS ext, count(*) AS rows, true AS found FRO
 def q_export_facets_json(spark, sf):
     """Nested facets documents (one per page) written as JSON, read back with their
     schema and flattened: the rows must survive the trip."""
-    nested = X.facets_nested(X.extract_facets(facet_pages(spark, sf)))
+    nested = X.facets_document(facet_pages(spark, sf), category="p_brand")
     path = W.export_json_document(nested, W.scratch_path(spark, "json/facets"))
     back = RD.scan_json(spark, path, schema=nested.schema)
     return X.facets_flatten(back)
@@ -164,11 +194,11 @@ def q_export_statistics_json(spark, sf):
 
 
 def q_export_top_tokens_json(spark, sf):
-    """Word-cloud data (top 200 terms) exported as one JSON array document, read back."""
+    """Word-cloud data (top 200 terms) exported as JSON, read back."""
     from ..operators import text as TX
     top = TX.top_tokens(TX.tokens_clean(fx(spark, sf, "fx_comments")), 200)
-    path = W.export_json_array(top, W.scratch_path(spark, "json/top_tokens"))
-    return spark.read.schema(top.schema).option("multiLine", True).json(path)
+    path = W.export_json(top, W.scratch_path(spark, "json/top_tokens"))
+    return RD.scan_json(spark, path, schema=top.schema, corrupt=None)
 
 
 def q_scan_reviews(spark, sf):

@@ -134,7 +134,7 @@ O["price_stats"] = with_fx(
 def _stats(spark, sf):
     reviews = fx(spark, sf, "fx_reviews").select(parse_rating("rating_text").alias("rating"))
     run_ts = table(spark, sf, "events").agg(F.max("ts")).scalar().cast("timestamp")
-    return R.run_statistics(_products(spark, sf), reviews, run_ts)
+    return R.run_statistics(_products(spark, sf), reviews, run_ts, digits=6)
 
 
 def q_run_statistics(spark, sf):

@@ -175,6 +175,40 @@ O["new_reviews"] = with_fx(
     "fx_reviews")
 
 
+def q_known_pairs_ingest(spark, sf):
+    """Reviews in two yearly batches and a third that repeats the second, each against a store of known
+    (asin, reviewer) pairs kept in buckets: rows new to the store, with the number of their batch."""
+    from ..sources.known_keys import KnownKeys, ingest
+    import uuid
+    r = _reviews(spark, sf).select("asin", "reviewer", "l_shipdate", *KEYS_OUT)
+    cut = F.lit("1996-01-01").cast("timestamp_ntz")
+    store = KnownKeys(spark, f"known_pairs_{uuid.uuid4().hex[:8]}", ["asin", "reviewer"], buckets=8)
+    early, late = r.filter(F.col("l_shipdate") < cut), r.filter(F.col("l_shipdate") >= cut)
+    found = [ingest(b, store).withColumn("batch", F.lit(i)) for i, b in enumerate((early, late, late))]
+    out = found[0].unionByName(found[1]).unionByName(found[2])
+    return out.select("batch", "asin", "reviewer", *KEYS_OUT)
+
+
+O["known_pairs_ingest"] = with_fx(
+    f"SELECT 0 AS batch, asin, reviewer, {KEYS_OUT_SQL} FROM fx_reviews WHERE l_shipdate < TIMESTAMP '1996-01-01' "
+    f"UNION ALL SELECT 1, asin, reviewer, {KEYS_OUT_SQL} FROM fx_reviews n WHERE l_shipdate >= TIMESTAMP '1996-01-01' AND NOT EXISTS "
+    "(SELECT 1 FROM fx_reviews o WHERE o.l_shipdate < TIMESTAMP '1996-01-01' AND o.asin = n.asin AND o.reviewer = n.reviewer)", "fx_reviews")
+
+
+def q_range_join_overlaps(spark, sf):
+    """Suppliers' order values against overlapping bands of any width, some without an end in reach."""
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    bands = table(spark, sf, "nation").select(
+        F.col("n_name").alias("band"), (F.col("n_nationkey") * 10000.0).alias("lo"),
+        F.when(F.col("n_nationkey") % 5 == 0, F.lit(1e10)).otherwise(F.col("n_nationkey") * 10000.0 + 35000.0).alias("hi"))
+    return J.range_join(o, F.col("o_totalprice").cast("double"), bands, "lo", "hi").select("o_orderkey", "band")
+
+
+O["range_join_overlaps"] = (
+    "SELECT o_orderkey, n_name AS band FROM orders LEFT JOIN nation ON CAST(o_totalprice AS DOUBLE) BETWEEN n_nationkey * 10000.0 AND "
+    "CASE WHEN n_nationkey % 5 = 0 THEN 1e10 ELSE n_nationkey * 10000.0 + 35000.0 END")
+
+
 def q_unprocessed_products(spark, sf):
     """Products whose details are not in the processed set (JN-04)."""
     p2 = fx(spark, sf, "fx_product_info2")
@@ -214,13 +248,13 @@ O["listing_valid"] = with_fx(
 def q_new_listings(spark, sf):
     """Listing rows to append: valid title, ASIN unknown, first per ASIN; no-ASIN rows kept (JN-06/07)."""
     batch = _listing_batch(spark, sf).withColumn("titre", F.nullif("titre", F.lit("Titre non disponible")))
-    known = fx(spark, sf, "fx_product_info2").filter(F.col("page").cast("int") <= 50).select("asin")
+    known = fx(spark, sf, "fx_product_info2").filter(F.col("prix") != "Prix non disponible").select("asin")
     return J.new_listings(batch, known, LISTING_ORDER).select("asin", "titre", *KEYS_OUT)
 
 
 O["new_listings"] = with_fx(
     f"WITH b AS (SELECT * FROM {LISTING_SQL} x WHERE nullif(titre, 'Titre non disponible') IS NOT NULL), "
-    "f AS (SELECT * FROM b WHERE asin IS NULL OR asin NOT IN (SELECT asin FROM fx_product_info2 WHERE CAST(page AS INTEGER) <= 50)) "
+    "f AS (SELECT * FROM b WHERE asin IS NULL OR asin NOT IN (SELECT asin FROM fx_product_info2 WHERE prix <> 'Prix non disponible')) "
     f"SELECT asin, titre, {KEYS_OUT_SQL} FROM (SELECT *, row_number() OVER (PARTITION BY asin ORDER BY {', '.join(LISTING_ORDER)}) rn FROM f) t "
     f"WHERE asin IS NULL OR rn = 1", "fx_reviews", "fx_product_info2")
 

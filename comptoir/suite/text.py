@@ -18,16 +18,28 @@ def _comments(spark, sf):
 
 STOP_SQL = "(SELECT * FROM (VALUES " + ", ".join(f"('{w}')" for w in dict.fromkeys(TX.DEFAULT_STOPWORDS)) + ") s(token))"
 _lex = {}
-for _w, _v in TX.DEFAULT_LEXICON:
-    _lex.setdefault(_w, _v)
-LEX_SQL = "(SELECT * FROM (VALUES " + ", ".join(f"('{w}', CAST({v} AS DOUBLE))" for w, v in _lex.items()) + ") l(token, valence))"
+for _w, _k, _v in ([(w, "word", v) for w, v in TX.DEFAULT_LEXICON] + [(w, "negation", TX.NEGATED) for w in TX.DEFAULT_NEGATIONS]
+                   + [(w, "degree", v) for w, v in TX.DEFAULT_DEGREES]):
+    _lex.setdefault(_w, (_k, _v))
+LEX_SQL = ("(SELECT * FROM (VALUES " + ", ".join(f"('{w}', '{k}', CAST({v} AS DOUBLE))" for w, (k, v) in _lex.items())
+           + ") l(token, kind, value))")
 TOKENS_CTE = ("toks AS (SELECT doc_id, CAST(unnest(range(len(t))) AS INTEGER) AS pos, unnest(t) AS token FROM "
               "(SELECT doc_id, regexp_extract_all(lower(comment), '\\p{L}+') AS t FROM fx_comments WHERE comment IS NOT NULL) x), "
               f"clean AS (SELECT * FROM toks WHERE token NOT IN (SELECT token FROM {STOP_SQL} s))")
-POL_CTE = ("alltok AS (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(comment, 'nan')), '\\p{L}+')) AS token FROM fx_comments), "
-           f"sc AS (SELECT t.doc_id, avg(l.valence) AS p FROM alltok t JOIN {LEX_SQL} l ON t.token = l.token GROUP BY t.doc_id), "
-           "pol AS (SELECT d.doc_id, d.asin, round(coalesce(sc.p, 0.0), 6) AS polarity FROM fx_comments d LEFT JOIN sc ON d.doc_id = sc.doc_id), "
-           "cls AS (SELECT *, CASE WHEN polarity > 0.1 THEN 'Positive' WHEN polarity < -0.1 THEN 'Negative' ELSE 'Neutral' END AS sentiment FROM pol)")
+# Runs of modifiers, by windows over the hits: a run ends after a valued word or a gap of more than REACH words.
+POL_CTE = (
+    "hits AS (SELECT doc_id, pos, kind, value FROM (SELECT doc_id, unnest(range(len(t))) AS pos, unnest(t) AS token FROM "
+    "(SELECT doc_id, regexp_extract_all(lower(coalesce(comment, 'nan')), '\\p{L}+') AS t FROM fx_comments) x) y "
+    f"JOIN {LEX_SQL} l ON y.token = l.token), "
+    f"cut AS (SELECT *, CASE WHEN lag(kind) OVER w = 'word' OR pos - lag(pos) OVER w > {TX.REACH + 1} THEN 1 ELSE 0 END AS first "
+    "FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY pos)), "
+    "run AS (SELECT *, sum(first) OVER (PARTITION BY doc_id ORDER BY pos) AS nr FROM cut), "
+    "word AS (SELECT doc_id, nr, greatest(-1.0, least(1.0, max(CASE WHEN kind = 'word' THEN value END) "
+    "* coalesce(product(CASE WHEN kind = 'degree' THEN value END), 1.0))) "
+    f"* CASE WHEN bool_or(kind = 'negation') THEN {TX.NEGATED} ELSE 1.0 END AS v FROM run GROUP BY doc_id, nr HAVING bool_or(kind = 'word')), "
+    "sc AS (SELECT doc_id, avg(v) AS p FROM word GROUP BY doc_id), "
+    "pol AS (SELECT d.doc_id, d.asin, round(coalesce(sc.p, 0.0), 6) AS polarity FROM fx_comments d LEFT JOIN sc ON d.doc_id = sc.doc_id), "
+    "cls AS (SELECT *, CASE WHEN polarity > 0.1 THEN 'Positive' WHEN polarity < -0.1 THEN 'Negative' ELSE 'Neutral' END AS sentiment FROM pol)")
 
 
 def q_tokens_clean(spark, sf):
@@ -37,6 +49,16 @@ def q_tokens_clean(spark, sf):
 O["tokens_clean"] = with_fx(f"WITH {TOKENS_CTE} SELECT doc_id, pos, token FROM clean", "fx_comments")
 
 
+def q_tokens_lemma(spark, sf):
+    """Tokens mapped to lemmas; only nouns, adjectives and verbs of the lemma table are kept."""
+    return TX.tokens_clean(_comments(spark, sf), lemmas=fx(spark, sf, "fx_lemmas"))
+
+
+O["tokens_lemma"] = with_fx(
+    f"WITH {TOKENS_CTE} SELECT doc_id, clean.pos AS pos, lemma AS token FROM clean JOIN fx_lemmas m ON clean.token = m.form "
+    "WHERE m.pos IN ('NOUN', 'ADJ', 'VERB')", "fx_comments", "fx_lemmas")
+
+
 def q_token_counts(spark, sf):
     return TX.token_counts(TX.tokens_clean(_comments(spark, sf)))
 

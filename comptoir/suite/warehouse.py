@@ -46,9 +46,12 @@ O["price_class_join"] = with_fx(f"WITH {S.SEG_CTES} SELECT * FROM seg", *S.SEG_F
 
 
 def q_ctas_full_product(spark, sf):
-    """CREATE OR REPLACE TABLE: the segmented table written to the shared folder, read back."""
-    seg = price_segmentation(*load_inputs(spark, sf))
-    return writers.replace_table(seg, "full_product_info_classe")
+    """CREATE OR REPLACE TABLE, twice (first without reviews); another session finds the newest by its name."""
+    p1, p2, reviews = load_inputs(spark, sf)
+    name = "full_product_info_classe"
+    writers.replace_table(price_segmentation(p1, p2, reviews.limit(0)), name)
+    writers.replace_table(price_segmentation(p1, p2, reviews), name)
+    return spark.newSession().table(name)
 
 
 O["ctas_full_product"] = O["price_class_join"]

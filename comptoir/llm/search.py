@@ -43,10 +43,13 @@ from comptoir.llm._util import as_bytes, rows, stage
 _TERM = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c <= 64 or 91 <= c <= 96 or 123 <= c < 128 else c for c in range(256))
 HASHES = 4  # rows set for a term and level
 PER_ENTRY = 12  # rows of a signature for each term and level of its fullest document
-BLOCK = 2048  # documents of a block at most
-BLOCK_BITS = 1 << 25  # bits of a signature at most (wider ones hold fewer documents, one at least)
-BLOCK_TERMS = 1 << 20  # terms listed in a block at most (or one document's)
-KNOWN = 1 << 18  # terms whose places a task remembers
+BLOCK = 1024  # documents of a block at most
+BLOCK_BITS = 1 << 24  # bits of a signature at most (wider ones hold fewer documents, one at least)
+BLOCK_TERMS = 1 << 18  # terms listed in a block at most (or one document's)
+OPEN_TERMS = 1 << 20  # terms listed in all blocks that a task has open
+KNOWN = 1 << 16  # terms whose places a task remembers
+LEVELS = 31  # occurrences in a text are below 2^31
+SLACK = 1.0001  # bounds are sums of single-precision numbers
 QUERY_TERMS = 1 << 13  # distinct terms of the queries answered together
 FIRST = 32  # one block in so many is searched first
 
@@ -145,12 +148,14 @@ def _index(kinds: list[pa.DataType], names: list[str]):
                 c = Counter(terms(t.as_py()))
                 if not c:
                     continue  # no term: no score, and not counted
-                numbers = np.fromiter(c.values(), np.int64, len(c))
+                numbers = np.fromiter(c.values(), np.int32, len(c))
                 entries = int(np.frexp(numbers)[1].sum())  # a level for each binary digit
                 o = held.setdefault(entries.bit_length(), _Open())
                 o.add(i, c, numbers, entries)
                 if o.full():
                     yield give(held.pop(entries.bit_length()))
+                elif sum(x.listed for x in held.values()) > OPEN_TERMS:
+                    yield give(held.pop(max(held, key=lambda k: held[k].listed)))
         for o in held.values():
             yield give(o)
     return run
@@ -197,31 +202,25 @@ def _share(tf: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def _bounds(asked: _Asked, height: int, width: int, n_docs: int, bits: np.ndarray, m: np.ndarray) -> np.ndarray:
-    """(words, documents): upper bounds of each word's part of the score, from the slices."""
+    """(words, documents): upper bounds of each word's part of the score, from the
+    slices, up to rounding to single precision (see SLACK)."""
     matrix = bits.reshape(height, width)
-    often = np.zeros((len(asked.words), n_docs), np.int64)  # occurrences at most
+    level = np.zeros((len(asked.words), n_docs), np.uint8)  # binary digits of the occurrences, at most
     alive = np.arange(len(asked.words))
     may = None
-    level = 0
-    while len(alive):
-        r = _rows_of(asked.places[alive], np.full(len(alive), level), height)
-        here = np.bitwise_and.reduce(matrix[r], axis=1)
+    for at in range(LEVELS):
+        here = np.bitwise_and.reduce(matrix[_rows_of(asked.places[alive], np.full(len(alive), at), height)], axis=1)
         may = here if may is None else may & here
         some = may.any(axis=1)
         alive, may = alive[some], may[some]
         if not len(alive):
             break
-        flags = np.unpackbits(may, axis=1, bitorder="little", count=n_docs).astype(bool)
-        level += 1
-        if level >= 40:  # saturated rows would go on for ever: no bound on the occurrences
-            often[alive] = np.where(flags, 1 << 40, often[alive])
-            break
-        often[alive] = np.where(flags, (1 << level) - 1, often[alive])
-    out = np.zeros(often.shape, np.float64)
-    hit = often > 0
-    docs = np.nonzero(hit)[1]
-    out[hit] = _share(np.minimum(often[hit], 1 << 31), m[docs])
-    return out * asked.weight[:, None]
+        level[alive] += np.unpackbits(may, axis=1, bitorder="little", count=n_docs)
+    out = np.empty(level.shape, np.float32)
+    for lo in range(0, len(out), 256):
+        tf = (np.int64(1) << level[lo:lo + 256].astype(np.int64)) - 1
+        out[lo:lo + 256] = _share(tf, m) * asked.weight[lo:lo + 256, None]
+    return out
 
 
 def _search(asked: _Asked, top: int, docs: int, length: int, kind: pa.DataType):
@@ -242,7 +241,7 @@ def _search(asked: _Asked, top: int, docs: int, length: int, kind: pa.DataType):
             number = pc.fill_null(pc.index_in(b.column(8)[0].values, value_set=wanted), -1).to_numpy(zero_copy_only=False)
             exact: dict[int, tuple[np.ndarray, np.ndarray]] = {}  # by document: the query words in it, sorted, and their parts
             for q, (which, times) in enumerate(asked.items):
-                upper = times @ bound[which]
+                upper = SLACK * (times.astype(np.float32) @ bound[which]).astype(np.float64)
                 may = np.flatnonzero((upper >= max(1, floor[q])))
                 for d in may[np.argsort(-upper[may], kind="stable")].tolist():
                     if upper[d] < floor[q]:

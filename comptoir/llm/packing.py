@@ -5,10 +5,19 @@ The packing needs nothing but the histogram of piece lengths, which has at most
 ``capacity`` entries however many pieces there are. Per bin, the longest piece
 left is set, and a subset-sum dynamic programme over bit sets finds the fullest
 combination of the lengths left that completes it. The combination is removed
-as many times as the counts allow, so the plan stays short at any scale. Each
-piece then finds its sequence and offset from its rank among the pieces of its
-length. Ranks are counted in blocks of about ``RANK_BLOCK`` pieces, so a length
-that most pieces share is spread over many tasks.
+as many times as the counts allow, so the plan stays short at any scale.
+
+Each piece then finds its sequence and offset from its rank among the pieces of
+its length. The task that makes the pieces numbers those of each length as it
+goes; how many of a length the tasks before it made is one small vector for each
+task, from prefix sums of their counts. Pieces are written in buckets by task and
+read again as they lie, joined with their task's vector: neither ids nor
+lengths are ever shuffled, and a length that most pieces share is nothing special.
+
+Null texts are empty documents; null ids and repeated rows are packed as any
+other; documents of one length are interchangeable, so ties need no order; an
+empty table gives no row; a very long text is cut into many pieces in its task.
+Only the id and text columns are read, whatever others are called.
 """
 
 from __future__ import annotations
@@ -20,12 +29,14 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from comptoir.llm._util import rows, stage
+from comptoir.session import new_subdir
 
-RANK_BLOCK = 500_000
+LENGTHS_AT_ONCE = 1024  # tasks whose counts of a length are summed up in one window
 
 
 # -- tokens ---------------------------------------------------------------
@@ -71,7 +82,8 @@ def public_encoder() -> Encoder:
 def token_pieces(docs: DataFrame, capacity: int, end_id: int = 2, id_col: str = "doc_id", text: str = "text",
                  encoder: Callable[[], object] = public_encoder) -> DataFrame:
     """One row per piece: the id column, ``piece``, ``start`` (the document's ids
-    before it), ``length`` and ``ids`` (binary, little-endian unsigned 32-bit).
+    before it), ``length``, ``ids`` (binary, little-endian unsigned 32-bit), ``part``
+    (the task that made it) and ``nth`` (its number among the part's pieces of that length).
 
     A document is its ids and ``end_id``; null texts are empty. A longer one is
     cut into pieces of ``capacity``, of which the first may be shorter."""
@@ -79,9 +91,11 @@ def token_pieces(docs: DataFrame, capacity: int, end_id: int = 2, id_col: str =
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = encoder()
+        part = TaskContext.get().partitionId()
+        seen = np.zeros(capacity + 1, np.int64)
         end = np.array([end_id], "<u4").tobytes()
         for b in rows(batches, 512):
-            at, piece, start, ids = [], [], [], []
+            at, piece, start, ids, nth = [], [], [], [], []
             for i, t in enumerate(b.column(1)):
                 data = made.encode(t.as_py() or "") + end
                 n = len(data) // 4
@@ -91,13 +105,16 @@ def token_pieces(docs: DataFrame, capacity: int, end_id: int = 2, id_col: str =
                     piece.append(k)
                     start.append(lo)
                     ids.append(data[4 * lo:4 * hi])
+                    nth.append(int(seen[hi - lo]))
+                    seen[hi - lo] += 1
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
-                 pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
-                names=[id_col, "piece", "start", "length", "ids"])
+                 pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(ids, pa.binary()),
+                 pa.array([part] * len(ids), pa.int32()), pa.array(nth, pa.int64())],
+                names=[id_col, "piece", "start", "length", "ids", "part", "nth"])
 
     return docs.select(F.col(id_col), F.col(text).alias("text") if text != id_col else F.col(text)).mapInArrow(
-        run, f"`{id_col}` {kind}, piece int, start long, length long, ids binary")
+        run, f"`{id_col}` {kind}, piece int, start long, length long, ids binary, part int, nth long")
 
 
 # -- plan -----------------------------------------------------------------
@@ -148,11 +165,36 @@ def plan(histogram: dict[int, int], capacity: int) -> list[tuple[dict[int, int],
     return out
 
 
-def pack(pieces: DataFrame, capacity: int, order: list[str], length: str = "length") -> DataFrame:
-    """``pieces`` with ``sequence_id`` and ``offset`` (long). ``order`` names the
-    columns that rank pieces of one length; pieces equal in all of them are
-    interchangeable. ``pieces`` is read three times: pass a written table."""
-    hist = {int(r[0]): int(r[1]) for r in pieces.groupBy(length).count().collect()}  # at most `capacity` rows
+def _in_buckets(pieces: DataFrame) -> DataFrame:
+    """``pieces`` written in buckets by ``part`` (a task's rows are of one part, so nothing moves) and read again."""
+    spark = pieces.sparkSession
+    path = new_subdir(spark, "pieces")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    (pieces.write.format("parquet").option("path", path)
+     .bucketBy(max(1, pieces.rdd.getNumPartitions()), "part").saveAsTable(name))
+    return spark.table(name)
+
+
+def _earlier(counts: DataFrame, length: str) -> DataFrame:
+    """(part, before): for each part, how many pieces of each length the parts before it made. Sums go in
+    two levels, so that no window holds a length's counts of all parts."""
+    group = F.floor(F.col("part") / LENGTHS_AT_ONCE)
+    c = counts.withColumn("_g", group)
+    inner = Window.partitionBy(length, "_g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(length).orderBy("_g").rowsBetween(Window.unboundedPreceding, -1)
+    coarse = c.groupBy(length, "_g").agg(F.sum("n").alias("m")).withColumn("_base", F.coalesce(F.sum("m").over(outer), F.lit(0))).drop("m")
+    each = c.withColumn("_in", F.coalesce(F.sum("n").over(inner), F.lit(0))).join(coarse, [length, "_g"])
+    entry = F.struct(F.col(length).cast("int").alias("l"), (F.col("_base") + F.col("_in")).alias("b"))
+    # at most one entry a length
+    return each.groupBy("part").agg(F.map_from_entries(F.collect_list(entry)).alias("before"))
+
+
+def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
+    """``pieces`` with ``sequence_id`` and ``offset`` (long), without ``part`` and ``nth``
+    (see :func:`token_pieces`), which must number the pieces of each length in each part from 0."""
+    written = _in_buckets(pieces)
+    counts = stage(written.groupBy("part", length).agg(F.count("*").alias("n")), "piece-counts")
+    hist = {int(r[0]): int(r[1]) for r in counts.groupBy(length).agg(F.sum("n")).collect()}  # at most `capacity` rows
     made = plan(hist, capacity)
     keys, uses, base, offset = [], [], [], []
     used, sequence = dict.fromkeys(hist, 0), 0
@@ -169,14 +211,9 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], length: str = "leng
     order_ = np.argsort(np.array(keys, np.int64))
     lookup = [np.array(x, np.int64)[order_] for x in (keys, uses, base, offset)]
 
-    blocks = max(1, -(-max(hist.values(), default=0) // RANK_BLOCK))
-    salted = pieces.withColumn("_block", F.pmod(F.xxhash64(*order), F.lit(blocks)).cast("int"))
-    sizes = salted.groupBy(F.col(length).alias("_len"), F.col("_block").alias("_blk")).count()
-    before = sizes.withColumn("_before", F.sum("count").over(
-        Window.partitionBy("_len").orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))).select("_len", "_blk", F.coalesce("_before", F.lit(0)).alias("_before"))
-    ranked = salted.withColumn("_in", F.row_number().over(Window.partitionBy(length, "_block").orderBy(*order)))
-    ranked = ranked.join(before, (F.col(length) == F.col("_len")) & (F.col("_block") == F.col("_blk")))
-    ranked = ranked.select(*pieces.columns, (F.col("_before") + F.col("_in") - 1).alias("_rank"))
+    # The build side of the hash join is a vector for each part of the bucket.
+    ranked = written.join(_earlier(counts, length).hint("shuffle_hash"), "part")
+    ranked = ranked.withColumn("_rank", F.element_at("before", F.col(length).cast("int")) + F.col("nth"))
 
     # Only length and rank go to Python; the rest of a row stays where it is.
     @F.pandas_udf("sequence_id long, offset long")
@@ -187,7 +224,8 @@ def pack(pieces: DataFrame, capacity: int, order: list[str], length: str = "leng
         nth = rank - (key[k] & ((1 << 44) - 1))
         return pd.DataFrame({"sequence_id": first[k] + nth // use[k], "offset": off[k] + nth % use[k] * size})
 
-    return ranked.withColumn("_place", place(length, "_rank")).select(*pieces.columns, "_place.sequence_id", "_place.offset")
+    kept = [c for c in pieces.columns if c not in ("part", "nth")]
+    return ranked.withColumn("_place", place(length, "_rank")).select(*kept, "_place.sequence_id", "_place.offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_col: str = "doc_id", text: str = "text",
@@ -198,7 +236,7 @@ def pack_documents(docs: DataFrame, capacity: int = 1024, end_id: int = 2, id_co
     pieces = token_pieces(docs, capacity, end_id, id_col, text, encoder).withColumn("ids_crc32", F.crc32("ids"))
     if not keep_ids:
         pieces = pieces.drop("ids")
-    return pack(stage(pieces, "pieces"), capacity, [id_col, "piece", "ids_crc32", "start"])
+    return pack(pieces, capacity)
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -12,7 +12,10 @@ It is trained on a bounded sample: ``PER_LANGUAGE`` documents of each language
 likelihood. A task holds the words of one slice of texts at a time.
 
 Texts that are null or without a letter are ``und`` with score 0; so is every text
-when there is nothing to learn from.
+when there is nothing to learn from. Equal rows get equal predictions, and are
+drawn for training once; languages of equal marginals go by their order; null ids
+are predicted but never learned from; only the id, text and, to learn, language
+columns are read, whatever others are called. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -34,12 +37,15 @@ MIN_COUNT = 3
 SEQUENCE = 48
 STEPS = 40
 SLICE_CHARS = 4_000_000
+SEGMENT = 256  # words of a text that are gone through one after another
+KNOWN = 1 << 17  # words whose emissions a task remembers
+LANGUAGES = 256  # languages learned at most: those with most documents
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+").findall
 
 
 def words(text: str | None) -> list[str]:
-    return [w for w in _WORD((text or "").lower()) if any(map(str.isalpha, w))] if text else []
+    return [w for w in _WORD(text.lower()) if w.isascii() or any(map(str.isalpha, w))] if text else []
 
 
 def observed(word: str, lexicons: list[frozenset[str]]) -> list[str]:
@@ -148,49 +154,96 @@ class Field:
         end = np.cumsum(size)
         return whole[end] - whole[end - size]
 
-    def label(self, texts: list[str | None]) -> np.ndarray:
-        """Mean word marginals (texts x languages); zero without words."""
+    def _emission_of(self, found: list[str]) -> np.ndarray:
+        """Emissions (before scaling) of distinct words."""
+        get = self.number.get
+        return self._emissions(*_expand([[x for f in observed(w, self.lexicons) if (x := get(f)) is not None] for w in found]))
+
+    def label(self, texts: list[str | None], known: dict[str, np.ndarray] | None = None) -> np.ndarray:
+        """Mean word marginals (texts x languages); zero without words. ``known`` remembers scaled emissions of words.
+
+        Texts are cut into segments of SEGMENT words, and all segments are gone through side by side. The
+        product of a segment's k x k steps carries the forward message over it, and likewise the backward one, so the
+        marginals are those of the whole text."""
         k = len(self.languages)
         split = [words(t) for t in texts] if k else [[] for _ in texts]
         n = np.array([len(w) for w in split], np.int64)
         out = np.zeros((len(texts), k))
-        order = np.argsort(-n, kind="stable")
         if not len(n) or not n.max():
             return out
+        known = {} if known is None else known
         ids: dict[str, int] = {}
-        flat = np.array([ids.setdefault(w, len(ids)) for i in order.tolist() for w in split[i]], np.int64)
-        get = self.number.get
-        em = self._emissions(*_expand([[x for f in observed(w, self.lexicons) if (x := get(f)) is not None] for w in ids]))
-        E, T = np.exp(em - em.max(axis=1, keepdims=True)), np.exp(self.moves - self.moves.max())
-        size = n[order]
-        start = np.cumsum(size) - size
-        live = np.searchsorted(-size, -np.arange(int(size[0])), side="left")  # texts longer than t
+        flat = np.fromiter((ids.setdefault(w, len(ids)) for ws in split for w in ws), np.int64, int(n.sum()))
+        fresh = [w for w in ids if w not in known]
+        if fresh:
+            em = self._emission_of(fresh)
+            if len(known) + len(fresh) > KNOWN:
+                for w in [w for w in known if w not in ids]:
+                    del known[w]
+            known.update(zip(fresh, np.exp(em - em.max(axis=1, keepdims=True)), strict=True))
+        E, T = np.array([known[w] for w in ids]), np.exp(self.moves - self.moves.max())
+
+        per = -(-n // SEGMENT)  # segments of each text
+        first = np.cumsum(per) - per
+        owner = np.repeat(np.arange(len(n)), per)
+        nth = np.arange(len(owner)) - first[owner]
+        start = (np.cumsum(n) - n)[owner] + nth * SEGMENT
+        size = np.minimum(SEGMENT, n[owner] - nth * SEGMENT)
+        order = np.argsort(-size, kind="stable")  # segments longer than t come first
+        live = np.searchsorted(-size[order], -np.arange(int(size.max())), side="left")
+
+        # Products of the steps of segments that have a neighbour in their text.
+        chain = order[(per[owner] > 1)[order]]
+        product = np.zeros((len(owner), k, k))
+        product[chain] = np.eye(k)
+        for t in range(SEGMENT if len(chain) else 0):
+            at = chain[:np.searchsorted(-size[chain], -t, side="left")]
+            if not len(at):
+                break
+            p = product[at]
+            p = np.where(((nth[at] > 0) | (t > 0))[:, None, None], p @ T, p) * E[flat[start[at] + t]][:, None, :]
+            product[at] = p / p.sum(axis=(1, 2), keepdims=True)
+        enter, leave = np.full((len(owner), k), 1.0 / k), np.ones((len(owner), k))
+        for j in range(1, int(per.max())):
+            text = np.flatnonzero(per > j)
+            a = (enter[first[text] + j - 1][:, None, :] @ product[first[text] + j - 1])[:, 0]
+            enter[first[text] + j] = a / a.sum(axis=1, keepdims=True)
+            last = first[text] + per[text] - j  # from the end
+            b = (product[last] @ leave[last][:, :, None])[:, :, 0]
+            leave[last - 1] = b / b.sum(axis=1, keepdims=True)
+
         alpha = np.zeros((len(flat), k), np.float32)
-        a = np.full((len(size), k), 1.0 / k)
+        a, begins = enter[order], (nth == 0)[order]
         for t, m in enumerate(live.tolist()):
-            place = start[:m] + t
-            a = (a[:m] @ T if t else a[:m]) * E[flat[place]]
+            place = start[order[:m]] + t
+            a = a[:m]
+            a = np.where((begins[:m] & (t == 0))[:, None], a, a @ T) * E[flat[place]]
             a /= a.sum(axis=1, keepdims=True)
             alpha[place] = a
-        b, total = np.ones((len(size), k)), np.zeros((len(size), k))
-        for t in range(int(size[0]) - 1, -1, -1):
+        b, total = leave[order], np.zeros((len(order), k))
+        for t in range(len(live) - 1, -1, -1):
             m = int(live[t])
-            place = start[:m] + t
+            place = start[order[:m]] + t
             g = alpha[place] * b[:m]
             g /= g.sum(axis=1, keepdims=True)
             total[:m] += g
             nb = (E[flat[place]] * b[:m]) @ T.T
             b[:m] = nb / nb.sum(axis=1, keepdims=True)
-        out[order] = total / np.maximum(size, 1)[:, None]
-        return out
+        np.add.at(out, owner[order], total)
+        return out / np.maximum(n, 1)[:, None]
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE) -> Field:
     """Learn from the rows with a language and a text outside the held-out third."""
     d = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & F.col(id_col).isNotNull() & ~held_out(id_col))
     d = d.select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.xxhash64(F.col(id_col)).alias("h"))
-    top = d.distinct().withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("r") <= per_language)
-    # At most per_language ids a language: the broadcast has a bound.
+    most = d.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES)
+    d = d.join(F.broadcast(most.select("lang")), "lang")
+    # The least hashes in two levels: no task sees more than 64 * per_language rows of a language, beside its own.
+    some = d.distinct().withColumn("s", F.pmod("h", F.lit(64)))
+    some = some.withColumn("r", F.row_number().over(Window.partitionBy("lang", "s").orderBy("h", "id"))).where(F.col("r") <= per_language)
+    top = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))).where(F.col("r") <= per_language)
+    # At most per_language ids of at most LANGUAGES languages: the broadcast has a bound.
     chosen = docs.select(F.col(id_col).alias("id"), F.col(lang).alias("lang"), F.col(text).alias("text")).join(F.broadcast(top.select("id", "lang")), ["id", "lang"])
     got = chosen.groupBy("id", "lang").agg(F.max("text").alias("text")).collect()
     return Field([(r.lang, r.text) for r in sorted(got, key=lambda r: (r.lang, str(r.id)))])
@@ -203,6 +256,7 @@ def predict(docs: DataFrame, field: Field, id_col: str = "doc_id", text: str = "
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = field.languages
+        known: dict[str, np.ndarray] = {}
         for b in batches:
             texts = b.column(1).to_pylist()
             at = 0
@@ -211,7 +265,7 @@ def predict(docs: DataFrame, field: Field, id_col: str = "doc_id", text: str = "
                 while end < len(texts) and (end == at or chars < SLICE_CHARS):
                     chars += len(texts[end] or "")
                     end += 1
-                p = field.label(texts[at:end])
+                p = field.label(texts[at:end], known)
                 best = p.argmax(axis=1) if len(names) else np.zeros(end - at, np.int64)
                 top = p[np.arange(end - at), best] if len(names) else np.zeros(end - at)
                 shares = [[(names[j], float(r[j])) for j in np.flatnonzero(r >= 0.01).tolist()] for r in p]

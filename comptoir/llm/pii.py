@@ -8,18 +8,29 @@ pseudonyms in every document, and unequal ones unequal pseudonyms.
 
 A value is a pair (x, y) out of Z_a x Z_b. Rounds add to one half a keyed hash
 (SHA-256) of the other, modulo its size: a bijection for any a and b, with no
-cycle walking. The rounds are run, the first half is rotated by a keyed
-non-zero amount, and the rounds are undone; so no value is its own pseudonym.
+cycle walking. The rounds are run, the pair is counted on by one as a number of
+all a * b, and the rounds are undone. So no value is its own pseudonym, and who may
+ask for pseudonyms of pseudonyms comes back to a value only after going through
+all values of its form. Names are treated alike, as numbers written in letters
+and digits. The key comes from the session's settings or from a secret kept in the
+shared folder (``key_of``), never from the code.
 
 Everything is SQL expressions. Texts without a digit, ``@`` or the words before
 a credential are passed through after one scan; null texts stay null. Values that fail validation stay.
+Very long texts are gone through whole; an empty table gives no row; null and repeated ids and
+other columns pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import secrets
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from comptoir.session import shared_dir
+
 ROUNDS = 8
 
 # Countries by the length of their IBANs.
@@ -104,7 +115,7 @@ def _rounds(start: Column, forward, back, turn) -> Column:
 
 
 def permute(x: Column, y: Column, a: Column, b: Column, key: Column, tag: Column) -> Column:
-    """Struct (x, y): the pseudonym of (x, y) in Z_a x Z_b, never the pair itself (a >= 2)."""
+    """Struct (x, y): the pseudonym of (x, y) in Z_a x Z_b, never the pair itself (a * b >= 2)."""
     a, b = a.cast("long"), b.cast("long")
 
     def pair(px: Column, py: Column) -> Column:
@@ -115,7 +126,7 @@ def permute(x: Column, y: Column, a: Column, b: Column, key: Column, tag: Column
             .otherwise(pair(s["x"], F.pmod(s["y"] + sign * F.pmod(_number(_hash(key, tag, r, s["x"])), b), b)))
 
     return _rounds(pair(x, y), round_(1), round_(-1),
-                   lambda s: pair(F.pmod(s["x"] + 1 + F.pmod(_number(_hash(key, tag, F.lit("turn"))), a - 1), a), s["y"]))
+                   lambda s: pair(F.pmod(s["x"] + F.when(s["y"] == b - 1, 1).otherwise(0), a), F.pmod(s["y"] + 1, b)))
 
 
 def _shift(s: Column, by: Column, sign: int) -> Column:
@@ -140,9 +151,16 @@ def scramble(s: Column, key: Column, tag: str) -> Column:
         return lambda s, r: F.when(r % 2 == 0, pair(_shift(s["x"], _hash(key, F.lit(tag), r, s["y"]), sign), s["y"])) \
             .otherwise(pair(s["x"], _shift(s["y"], _hash(key, F.lit(tag), r, s["x"]), sign)))
 
-    turn = F.repeat(F.lpad(F.conv((1 + F.pmod(_number(_hash(key, F.lit(tag), F.lit("turn"))), F.lit(9))).cast("string"), 10, 16), 2, "0"), F.lit(32))
-    out = _rounds(pair(_sub(s, 1, half), F.substring(s, half + 1, F.length(s))), round_(1), round_(-1),
-                  lambda s: pair(_shift(s["x"], turn, 1), _shift(s["y"], turn, 1)))
+    def turn(s: Column) -> Column:
+        # counted on by one: the last digit or letter that is not the highest of its class goes up, those behind it start anew
+        def on(w: Column) -> Column:
+            tail = F.regexp_extract(w, "(?s)[^0-8A-Ya-y]*$", 0)
+            head = F.length(w) - F.length(tail)
+            up = F.when(head > 0, F.chr(F.ascii(_sub(w, head, 1)) + 1)).otherwise(F.lit(""))
+            return F.concat(_sub(w, 1, head - 1), up, F.translate(tail, "9zZ", "0aA"))
+        return _let(on(F.concat(s["x"], s["y"])), lambda w: pair(_sub(w, 1, half), F.substring(w, half + 1, F.length(w))))
+
+    out = _rounds(pair(_sub(s, 1, half), F.substring(s, half + 1, F.length(s))), round_(1), round_(-1), turn)
     return _let(out, lambda o: F.concat(o["x"], o["y"]))
 
 
@@ -303,6 +321,32 @@ def pseudonym(kind: Column, m: Column, key: Column) -> Column:
     return out
 
 
+KEY = "comptoir.pii.key"
+
+
+def key_of(spark: SparkSession) -> str:
+    """The key: the session's setting ``comptoir.pii.key``, else a random secret that is made once in the
+    shared folder and stays there, so that runs which share the folder share their pseudonyms."""
+    key = spark.conf.get(KEY, None)
+    if key:
+        return key
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/secrets/pii.key")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        try:
+            out = fs.create(path, False)
+            out.write(bytearray(secrets.token_hex(32).encode()))
+            out.close()
+        except Py4JJavaError:
+            if not fs.exists(path):  # else another run made it meanwhile
+                raise
+    lines = jvm.org.apache.commons.io.IOUtils.toString(fs.open(path), "UTF-8")
+    if len(lines) != 64:
+        raise ValueError(f"{path.toString()} holds no key")
+    return lines
+
+
 def pseudonymise(docs: DataFrame, key: str, text: str = "text", mark: str | None = "pii") -> DataFrame:
     """``docs`` with personal data in ``text`` replaced, and in the column ``mark`` (if
     any) an array of (kind, pseudonym) in order of appearance, empty if there is

@@ -15,7 +15,6 @@ from comptoir.llm._util import held_out, table
 
 CAPACITY = 1024
 SIMHASH = {"shingle": 3, "radius": 2}
-PII_KEY = "corpus-pseudonyms-1"
 WARC_SPLIT = 4 << 20
 SHARDS = 24
 
@@ -86,7 +85,7 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY).select("doc_id", "text", "pii")
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.key_of(spark)).select("doc_id", "text", "pii")
 
 
 def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,7 +197,7 @@ def py_permute(x, y, a, b, key, tag):
             x = (x + prf(tag, r, y) % a) % a
         else:
             y = (y + prf(tag, r, x) % b) % b
-    x = (x + 1 + prf(tag, "turn") % (a - 1)) % a
+    x, y = (x + (y == b - 1)) % a, (y + 1) % b
     for r in reversed(range(8)):
         if r % 2 == 0:
             x = (x - prf(tag, r, y) % a) % a
@@ -213,6 +213,31 @@ def test_permutation_matches_brute_force(spark):
     assert len({tuple(r.p) for r in out}) == 35 and all(tuple(r.p) != (r.x, r.y) for r in out)
 
 
+def test_pseudonyms_come_back_after_all_values_only(spark):
+    d = spark.range(35).select((F.col("id") % 5).alias("x"), F.floor(F.col("id") / 5).alias("y"))
+    to = {(r.x, r.y): tuple(r.p) for r in d.withColumn("p", pii.permute(F.col("x"), F.col("y"), F.lit(5), F.lit(7), F.lit("k"), F.lit("t"))).collect()}
+    at, n = to[0, 0], 1
+    while at != (0, 0):
+        at, n = to[at], n + 1
+    assert n == 35
+    names = spark.createDataFrame([(f"{a}-{b}",) for a in "abcdefghijklmnopqrstuvwxyz" for b in range(10)], "s string")
+    to = {r.s: r.p for r in names.withColumn("p", pii.scramble(F.col("s"), F.lit("k"), "t")).collect()}
+    at, n = to["a-0"], 1
+    while at != "a-0":
+        at, n = to[at], n + 1
+    assert n == 260
+
+
+def test_key_is_made_once_and_can_be_set(spark):
+    first = pii.key_of(spark)
+    assert len(first) == 64 and pii.key_of(spark) == first
+    spark.conf.set(pii.KEY, "mine")
+    try:
+        assert pii.key_of(spark) == "mine"
+    finally:
+        spark.conf.unset(pii.KEY)
+
+
 def luhn(s):
     d = [int(c) for c in s if c.isdigit()][::-1]
     return (sum(d[::2]) + sum(sum(divmod(2 * x, 10)) for x in d[1::2])) % 10 == 0

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from comptoir.llm import decontam, packing, pii, rules, simhash
 from comptoir.llm._util import stage, table
-from comptoir.llm.suite import CAPACITY, PII_KEY, SIMHASH
+from comptoir.llm.suite import CAPACITY, SIMHASH
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by pseudonyms."""
-    return pii.pseudonymise(docs, PII_KEY, mark=None)
+    return pii.pseudonymise(docs, pii.key_of(spark), mark=None)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

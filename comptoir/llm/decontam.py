@@ -6,10 +6,11 @@ in symbols (a word is repeated while the walk's coin for word and step says so;
 the first ``2n`` of them are sampled), which turns edit distance into Hamming distance. Each repetition has
 its own walk and samples a few positions; windows and items with the same
 sampled bits (hashes of the symbols) are candidates, and an exact edit
-distance over words decides. The repetitions suffice for items of fewer than
-``LONG`` words (a recall of 0.97 or more at the edit limit); insertions and
-deletions take the walks of longer items apart, so every window of those that is
-in reach (next paragraph) is verified. Exact passages are always found.
+distance over words decides. How many repetitions reach the target recall is
+found for each length on made-up passages at the edit limit (``repeats_for``).
+Insertions and deletions take the walks of long windows apart, so an item of more
+than ``PART`` words is searched by parts of even length: at the edit limit of
+the whole, at least one part is within its own limit. Exact passages are always found.
 
 Windows that cannot match are not embedded: an alignment with at most ``k``
 edits keeps at least ``n - 2 - 3k`` of the item's three-word runs, so a window
@@ -19,13 +20,14 @@ for that count embed every window.
 There is no shuffle: each document is searched where it is read. The items are
 a stated query set; they are dealt to blocks of bounded size, and every block
 is run against all documents. Null and empty texts match nothing, nor do null
-or wordless items.
+or wordless items. Very long texts are searched whole, a stretch of windows at a time; only the
+named columns are read, whatever others are called.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import reduce
+from functools import lru_cache, reduce
 from itertools import repeat
 
 import numpy as np
@@ -37,8 +39,10 @@ from comptoir.llm._util import rows
 
 BLOCK_BYTES = 8_000_000  # items sent to the tasks at a time
 EDIT_RATE = 0.15  # edits per word of the item, rounded down
-SAMPLED, REPEATS = 4, 40
-LONG = 60  # items of so many words are verified wherever they are in reach, without the walks
+SAMPLED = 4
+RECALL = 0.98  # of passages at the edit limit
+PART = 45  # words that an item or a part of one has at most
+TRIALS, MOST = 96, 160  # passages made up for each length; repetitions at most
 RUN = 3
 STRIDE = 4096  # windows embedded at a time
 
@@ -96,17 +100,54 @@ def fit_distance(item: np.ndarray, region: np.ndarray) -> tuple[int, int, int]:
     return int(d[end]), int(start[end]), end
 
 
+@lru_cache(maxsize=1024)
+def repeats_for(n: int, limit: int, recall: float = RECALL) -> int:
+    """Repetitions after which the target share of made-up passages of ``n`` words with ``limit`` edits (a third each of
+    insertions, deletions and a mixture with substitutions) has met the item's bits, in the windows around their start."""
+    if limit == 0:
+        return 1
+    r = np.random.default_rng([n, limit])
+    item = np.arange(1, n + 1)
+    windows = []
+    for trial in range(TRIALS):
+        v = item.tolist()
+        for _ in range(limit):
+            act = trial % 3 if trial % 3 < 2 else int(r.integers(3))
+            at = int(r.integers(len(v)))
+            v[at:at + (act != 0)] = [] if act == 1 else [int(r.integers(n + 1, 1 << 40))]
+        near = [-2 - x for x in r.integers(1, 1 << 40, 2 * (n + limit)).tolist()]
+        whole = np.array(near[:limit] + v + near[limit:])
+        windows.append(np.stack([whole[k:k + n] for k in range(2 * limit + 1)]))
+    met = np.zeros(TRIALS, bool)
+    for at in range(0, MOST, 8):
+        group = range(at, at + 8)
+        own = _sampled_keys(item[None, :], group)
+        keys = _sampled_keys(np.concatenate(windows), group).reshape(TRIALS, 2 * limit + 1, 8)
+        hit = (keys == own[0]).any(axis=1)
+        for k in range(8):
+            met |= hit[:, k]
+            if met.mean() >= recall:
+                return at + k + 1
+    return MOST
+
+
 class Index:
-    """The items of one block, ready for search."""
+    """The items of one block, ready for search. Items are cut into parts (``seqs``) that are
+    searched; ``items`` are verified."""
 
-    def __init__(self, items: list[tuple[object, str]], edit_rate: float = EDIT_RATE, repeats: int = REPEATS):
+    def __init__(self, items: list[tuple[object, str]], edit_rate: float = EDIT_RATE, recall: float = RECALL,
+                 repeats: dict[int, int] | None = None):
         split = [(i, w) for i, t in items if (w := words(t))]
         self.number: dict[bytes, int] = {}
         for _, w in split:
             for x in w:
                 self.number.setdefault(x, len(self.number) + 1)
         self.ids = [i for i, _ in split]
-        self.seqs = [np.array([self.number[x] for x in w], np.int64) for _, w in split]
+        self.items = [np.array([self.number[x] for x in w], np.int64) for _, w in split]
+        self.most = [int(edit_rate * len(s)) for s in self.items]
+        cuts = [np.linspace(0, len(s), -(-len(s) // PART) + 1).astype(int).tolist() for s in self.items]
+        self.part_of = [(k, lo) for k, c in enumerate(cuts) for lo in c[:-1]]
+        self.seqs = [s[lo:hi] for s, c in zip(self.items, cuts, strict=True) for lo, hi in zip(c, c[1:], strict=False)]
         self.limit = [int(edit_rate * len(s)) for s in self.seqs]
         # The least number of an item's runs that any window in reach holds.
         self.least = np.array([max(0, len(s) - (RUN - 1) - RUN * k) for s, k in zip(self.seqs, self.limit, strict=True)], np.int64)
@@ -117,14 +158,16 @@ class Index:
         self.codes, first = np.unique(both[:, 0], return_index=True)
         self.items_of, self.first = both[:, 1], np.append(first, len(both))
         # Repetitions in groups: later ones only where the earlier leave doubt.
-        cuts = sorted({0, min(1, repeats), min(8, repeats), repeats})
-        self.groups = [range(a, b) for a, b in zip(cuts, cuts[1:], strict=False)]
+        self.groups: dict[int, list[range]] = {}
         self.tables: dict[int, list[list[dict[int, list[int]]]]] = {}
         for n in {len(s) for s in self.seqs}:
             own = [k for k, s in enumerate(self.seqs) if len(s) == n]
             block = np.stack([self.seqs[k] for k in own])
             self.tables[n] = []
-            for g in self.groups:
+            r = (repeats or {}).get(n) or repeats_for(n, int(edit_rate * n), recall)
+            at = sorted({0, 1, min(8, r), r})
+            self.groups[n] = [range(a, b) for a, b in zip(at, at[1:], strict=False)]
+            for g in self.groups[n]:
                 tables: list[dict[int, list[int]]] = [{} for _ in g]
                 for k, keys in zip(own, _sampled_keys(block, g).tolist(), strict=True):
                     for table, key in zip(tables, keys, strict=True):
@@ -169,24 +212,22 @@ class Index:
             for k, starts in self._windows(seq):
                 # Unknown words differ from each other and from every item's.
                 seqs[t] = np.where(seq == 0, -2 - np.arange(len(seq)), seq)
-                if len(self.seqs[k]) >= LONG and self.least[k] > 0:
-                    self._verify(t, k, set(starts.tolist()), seqs[t], best, tried)
-                else:
-                    wanted.setdefault(len(self.seqs[k]), {}).setdefault(t, {})[k] = starts
+                wanted.setdefault(len(self.seqs[k]), {}).setdefault(t, {})[k] = starts
         for n, of_text in wanted.items():
             for g, tables in enumerate(self.tables[n]):
-                open_ = {t: [x for k, x in of.items() if best.get((t, k), (1,))[0] > 0 and (g == 0 or self.limit[k] > 0)] for t, of in of_text.items()}
+                open_ = {t: [x for k, x in of.items() if best.get((t, self.part_of[k][0]), (1,))[0] > 0 and (g == 0 or self.limit[k] > 0)]
+                         for t, of in of_text.items()}
                 places = [(t, np.unique(np.concatenate(x))) for t, x in open_.items() if x]
                 found: dict[tuple[int, int], set[int]] = {}
                 for block, owner, starts in self._blocks(places, seqs, n):
-                    keys = _sampled_keys(block, self.groups[g])
+                    keys = _sampled_keys(block, self.groups[n][g])
                     for r, table in enumerate(tables):
                         for w in np.flatnonzero(np.isin(keys[:, r], np.fromiter(table, np.uint64, len(table)))).tolist():
                             for k in table[int(keys[w, r])]:
                                 found.setdefault((int(owner[w]), k), set()).add(int(starts[w]))
                 for (t, k), at in found.items():
                     self._verify(t, k, at, seqs[t], best, tried)
-        return [(t, self.ids[k], e, len(self.seqs[k]), a, b) for (t, k), (e, a, b) in sorted(best.items())]
+        return [(t, self.ids[k], e, len(self.items[k]), a, b) for (t, k), (e, a, b) in sorted(best.items())]
 
     @staticmethod
     def _blocks(places: list[tuple[int, np.ndarray]], seqs: dict[int, np.ndarray], n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -205,24 +246,32 @@ class Index:
         if held:
             yield tuple(np.concatenate(x) for x in zip(*held, strict=True))
 
-    def _verify(self, t: int, k: int, at: set[int], seq: np.ndarray, best: dict, tried: dict) -> None:
-        s, limit = self.seqs[k], self.limit[k]
+    def _verify(self, t: int, part: int, at: set[int], seq: np.ndarray, best: dict, tried: dict) -> None:
+        """The whole item of ``part`` around the places ``at`` where the part may begin."""
+        k, offset = self.part_of[part]
+        s, limit = self.items[k], self.most[k]
+        # a place is off by the part's limit; the words before the part may have gained or lost as many as the item's
+        off = 2 * limit if len(self.seqs[part]) == len(s) else 3 * limit
         done = tried.setdefault((t, k), [])
         for x in sorted(at):
-            lo, hi = max(0, x - 2 * limit), min(len(seq), x + len(s) + 2 * limit)
+            x -= offset
+            lo, hi = max(0, x - off), min(len(seq), x + len(s) + off)
             if best.get((t, k), (1,))[0] == 0:
                 return
             if any(a <= lo and hi <= b for a, b in done):
                 continue
-            hi = min(len(seq), x + 2 * len(s) + 2 * limit)  # takes in the windows that follow
+            hi = min(len(seq), x + 2 * len(s) + off)  # takes in the windows that follow
             done.append((lo, hi))
             edits, a, b = fit_distance(s, seq[lo:hi])
             if edits <= limit and edits < best.get((t, k), (limit + 1,))[0]:
                 best[t, k] = (edits, lo + a, lo + b)
 
 
+_ONCE = dict.fromkeys(range(PART + 1), 1)
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text: str = "text", item_col: str = "item_id",
-                  item_text: str = "text", edit_rate: float = EDIT_RATE, repeats: int = REPEATS) -> DataFrame:
+                  item_text: str = "text", edit_rate: float = EDIT_RATE, recall: float = RECALL) -> DataFrame:
     """One row per document and item it holds: the id columns, ``edits``,
     ``item_words``, ``start_word``, ``end_word`` (of the normalised words, end
     excluded) and ``similarity`` = 1 - edits / item_words. Rows of ``docs`` that
@@ -237,11 +286,13 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
     def against(block: int) -> DataFrame:
         items = [(r.id, r.text) for r in b.where(F.pmod(F.xxhash64("id", "text"), F.lit(n)) == block).collect()]
+        lengths = {len(x) for x in Index(items, edit_rate, repeats=_ONCE).seqs}
+        repeats = {n: repeats_for(n, int(edit_rate * n), recall) for n in lengths}  # found once, here
         made: list[Index] = []
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not made:
-                made.append(Index(items, edit_rate, repeats))
+                made.append(Index(items, edit_rate, recall, repeats))
             for batch in rows(batches, 4096):
                 out = made[0].search(batch.column(1).to_pylist())
                 if out:

@@ -49,12 +49,18 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def listed_keys(pages: DataFrame) -> DataFrame:
+    """The block list as a table of keys: all pages of listed hosts."""
+    host, path = urlfilter.host_of(F.col("url")), urlfilter.path_of(F.col("url"))
+    return pages.select(F.coalesce(host, F.lit("")).alias("host"), F.coalesce(path, F.lit("")).alias("path")).where(
+        F.col("host").rlike(LISTED_HOST)).select(urlfilter.page_key(F.col("host"), F.col("path")).alias("key"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     host, path = urlfilter.host_of(F.col("url")), urlfilter.path_of(F.col("url"))
     keys = pages.select(urlfilter.page_key(F.coalesce(host, F.lit("")), F.coalesce(path, F.lit(""))).alias("key"))
-    listed = F.regexp_extract("key", "^([^/]*)", 1).rlike(LISTED_HOST)
-    return urlfilter.judge(pages, urlfilter.Cascade.build(keys, listed), URL_RULES).drop("url")
+    return urlfilter.judge(pages, urlfilter.Cascades.build(keys, listed_keys(pages)), URL_RULES).drop("url")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,7 +11,9 @@ keys, later levels let a tenth pass. The whole cascade then takes about
 ``1.44 * log2(universe / listed) + 5`` bits per listed key, whatever the
 number of rows; it travels as scalar subqueries, one array of 64-bit words a
 level. A list of 10 million keys in a universe of 10 billion takes 24 MB.
-Lists of more than ``MAX_LISTED`` keys are refused, so the size has a bound.
+Of more than ``MAX_LISTED`` listed keys, the universe is dealt by a hash of the key
+to as many cascades as keep within it, and the pages of each are judged by theirs alone: what a
+task holds has a bound, whatever the list.
 
 Building is a few aggregations per level over ever smaller key sets. Only
 counts and the finished levels reach the driver.
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,15 +117,14 @@ class Cascade:
         self.levels = levels
 
     @classmethod
-    def build(cls, universe: DataFrame, listed: Column) -> Cascade:
-        """``universe``: every key of the corpus in a column ``key``, repeats and
-        nulls allowed; ``listed``: whether a key is listed, a function of the key.
-        Null keys are members of neither side."""
-        keys = stage(universe.where(F.col("key").isNotNull()).select("key").distinct()
-                     .withColumn("listed", F.coalesce(listed, F.lit(False))), "url-keys")
+    def build(cls, universe: DataFrame, listed: Column | DataFrame) -> Cascade:
+        """One cascade over the whole universe (see ``Cascades.build``)."""
+        return cls._of(_marked(universe, listed))
+
+    @classmethod
+    def _of(cls, keys: DataFrame) -> Cascade:
+        """Of distinct keys with their mark ``listed``."""
         n_in, n_out = keys.agg(F.count_if("listed"), F.count_if(~F.col("listed"))).first()
-        if n_in > MAX_LISTED:
-            raise ValueError(f"{n_in} listed keys; a cascade holds at most {MAX_LISTED}")
         side, other = keys.where("listed").select("key"), keys.where("not listed").select("key")
         levels: list[Level] = []
         n, p = n_in, min(0.5, max(1e-9, math.sqrt(0.5) * n_in / max(n_out, 1)))
@@ -141,11 +143,50 @@ class Cascade:
         return F.when(key.isNull(), F.lit(False)).otherwise(out)
 
 
-def judge(pages: DataFrame, cascade: Cascade, rules: list[UrlRule], url: str = "url") -> DataFrame:
+def _marked(universe: DataFrame, listed: Column | DataFrame) -> DataFrame:
+    """(key, listed) of the distinct keys, written to the shared folder."""
+    keys = universe.where(F.col("key").isNotNull()).select("key").distinct()
+    if isinstance(listed, DataFrame):
+        on = listed.select(F.col("key").alias("_listed")).where("_listed IS NOT NULL").distinct()
+        keys = keys.join(on, F.col("key") == F.col("_listed"), "left").select("key", F.col("_listed").isNotNull().alias("listed"))
+    else:
+        keys = keys.withColumn("listed", F.coalesce(listed, F.lit(False)))
+    return stage(keys, "url-keys")
+
+
+@dataclass(frozen=True)
+class Cascades:
+    """A cascade for each part of the universe; a key's part is a hash of it."""
+
+    parts: list[Cascade]
+
+    @classmethod
+    def build(cls, universe: DataFrame, listed: Column | DataFrame, most: int = MAX_LISTED) -> Cascades:
+        """``universe``: every key of the corpus in a column ``key``, repeats and nulls allowed; ``listed``: a table of
+        listed keys (column ``key``; keys out of the universe don't matter), or a function of the key. Null keys are members
+        of neither side; an empty universe lists nothing. No part lists more than about ``most`` keys."""
+        keys = _marked(universe, listed)
+        n = max(1, -(-keys.where("listed").count() // most))
+        return cls([Cascade._of(keys.where(_part(F.col("key"), n) == i) if n > 1 else keys) for i in range(n)])
+
+
+def _part(key: Column, n: int) -> Column:
+    return F.coalesce(F.pmod(F.xxhash64(key, F.lit("part")), F.lit(n)), F.lit(0)).cast("int")
+
+
+def judge(pages: DataFrame, cascade: Cascade | Cascades, rules: list[UrlRule], url: str = "url") -> DataFrame:
     """``pages`` plus host, path, rule and verdict: the longest rule's, else block
     where the cascade holds the page's key (host and path), else allow. Null
     urls and urls without ``://`` have an empty host and path and are allowed
-    unless the empty key is listed. Clashing input columns are replaced."""
+    unless the empty key is listed. Of rules of equal length that fit, the later given counts. Clashing input
+    columns are replaced; repeated rows are judged alike; an empty table gives no row; very long urls
+    are read whole."""
+    if isinstance(cascade, Cascades):
+        n = len(cascade.parts)
+        if n == 1:
+            return judge(pages, cascade.parts[0], rules, url)
+        at = _part(page_key(F.coalesce(host_of(F.col(url)), F.lit("")), F.coalesce(path_of(F.col(url)), F.lit(""))), n)
+        return reduce(DataFrame.unionByName, [judge(pages.where(at == i), c, rules, url) for i, c in enumerate(cascade.parts)])
     new = ("host", "path", "rule", "verdict")
     d = pages.select(F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"),
                      F.coalesce(host_of(F.col(url)), F.lit("")).alias("host"),

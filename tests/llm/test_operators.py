@@ -412,6 +412,18 @@ def test_cascade_is_exact(spark):
     assert not urlfilter.Cascade.build(keys.limit(0), listed).levels
 
 
+def test_many_cascades_are_exact(spark):
+    pages = spark.createDataFrame([(i, f"h://site{i % 70}.org/p{i % 5}") for i in range(900)] + [(1000, None), (1001, "h://long.org/" + "x" * 50_000)], "page_id long, url string")
+    keys = pages.select(urlfilter.page_key(urlfilter.host_of(F.col("url")), urlfilter.path_of(F.col("url"))).alias("key"))
+    bad = {f"site{k}.org/p{j}" for k in range(0, 70, 3) for j in range(5)}
+    listed = spark.createDataFrame([(k,) for k in [*bad, "elsewhere.org/", None, *bad]], "key string")
+    c = urlfilter.Cascades.build(keys, listed, most=4)
+    assert len(c.parts) >= 5
+    got = {r.page_id: r.verdict for r in urlfilter.judge(pages, c, []).collect()}
+    assert got == {r.page_id: "block" if r.url and r.url.removeprefix("h://") in bad else "allow" for r in pages.collect()}
+    assert urlfilter.judge(pages.limit(0), urlfilter.Cascades.build(keys.limit(0), listed), []).count() == 0
+
+
 def test_url_rules_and_edges(spark):
     rules_ = [urlfilter.UrlRule("com", "/", "allow"), urlfilter.UrlRule("net", "/es/", "block")]
     rows = [(1, None), (2, "no scheme"), (3, "HTTP://A.COM/x?y"), (4, "http://a.com?x"), (5, "h://b.net/es/1#t://"), (6, "h://bad.org/p"), (7, "h://xcom/"), (7, "h://xcom/")]

@@ -1,19 +1,23 @@
 """Toxicity: distance-weighted votes of the nearest labelled examples.
 
 A bounded sample of labelled documents (``MAX_EXAMPLES``, the least hashes of
-the ids) is indexed. Terms are words and word beginnings of 4 to 6 bytes that
-are associated with the label in the sample (chi-square, and an odds ratio of 8
-or more); document frequencies are counted over all documents. Vectors are ``(1 + ln tf) * idf``, of length 1.
-
-The index is inverted and cut into blocks of examples, with the greatest
-weight of each term in each block. A query visits blocks in the order of their
-upper bounds and stops when no block left can hold a neighbour, so the nearest
+the ids) is indexed. Terms are words and word beginnings of 4 to 6 bytes, all
+that ``MIN_DOCS`` documents of the sample hold, whatever their label; document frequencies are counted
+over all documents. A term weighs ``(1 + ln tf) * idf`` times its correlation with the label in the sample (its
+size, of either sign): neutral terms stay in the vectors and weigh little. Vectors have length 1.
+
+The index is inverted. Lists of rarer terms are added up for all examples. Lists of
+common ones are kept in blocks of examples with the greatest weight of each term in each block; a
+query visits blocks in the order of their upper bounds (what the rarer terms gave, and the greatest
+weights of the common ones) and leaves out those that cannot hold a neighbour, so the nearest
 examples by cosine are exact. Their votes, weighted by cosine and shrunk
 to the sample's share, are calibrated by isotonic regression on leave-one-out
 votes of the sample; the neighbours are returned as evidence.
 
 Null and empty texts, and texts without any indexed term, have no neighbours and
-get the calibrated share of such examples. Without labels every score is 0.
+get the calibrated share of such examples. Without labels every score is 0. Equal texts get equal
+scores; of examples of equal cosine the first in the index is nearer; very long texts are read whole; an
+empty table gives no row; only the named columns are read, whatever others are called.
 """
 
 from __future__ import annotations
@@ -30,11 +34,13 @@ from pyspark.sql import functions as F
 from comptoir.llm._util import held_out, rows, stage
 
 MAX_EXAMPLES = 10_000
-MAX_TERMS = 4096
-MIN_CHI2, MIN_DOCS, MIN_ODDS = 20.0, 3, 8.0
+MIN_DOCS = 2
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 128
+TOGETHER = 64  # queries that visit the blocks together
+COMMON = 8  # terms in one of so many examples are kept in blocks
+KNOWN = 1 << 17  # words whose terms a task remembers
 THRESHOLD = 0.7
 
 _SEPARATE = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
@@ -50,56 +56,108 @@ def terms_of(word: bytes) -> list[bytes]:
 
 
 class Terms:
-    """Term numbers of a bounded vocabulary."""
+    """Term numbers of the vocabulary."""
 
     def __init__(self, terms: list[bytes]):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.heads = {t[:PREFIXES[0]] for t in terms if len(t) >= PREFIXES[0]}
-
-    def counts(self, text: str | None) -> dict[int, int]:
-        split, number, heads, short = words(text), self.number, self.heads, PREFIXES[0]
-        out: dict[int, int] = {}
-        hits = [w for w in set(split) if (w[:short] in heads if len(w) >= short else w in number)]
-        if hits:
-            n = Counter(split)
-            for w in hits:
-                for t in terms_of(w):
-                    if (k := number.get(t)) is not None:
-                        out[k] = out.get(k, 0) + n[w]
-        return out
+        self.known: dict[bytes, tuple[int, ...]] = {}
+
+    def __getstate__(self) -> dict:
+        return {"number": self.number, "known": {}}
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers of a text, ascending, and their occurrences."""
+        get, known = self.number.get, self.known
+        flat: list[int] = []
+        size: list[int] = []
+        n = Counter(words(text))
+        for w in n:
+            ids = known.get(w)
+            if ids is None:
+                ids = tuple(k for t in terms_of(w) if (k := get(t)) is not None)
+                if len(known) >= KNOWN:
+                    known.clear()
+                known[w] = ids
+            flat += ids
+            size.append(len(ids))
+        term, at = np.unique(np.array(flat, np.int64), return_inverse=True)
+        return term, np.bincount(at, weights=np.repeat(np.fromiter(n.values(), np.float64, len(n)), size), minlength=len(term))
 
 
 class BlockMax:
-    """Inverted index of unit vectors with the greatest weight per term and block."""
+    """Inverted index of unit vectors. Lists of common terms lie in blocks with the
+    greatest weight per term and block, those of the others are whole."""
 
-    def __init__(self, vectors: list[dict[int, float]], n_terms: int):
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
+        """``vectors``: (term numbers, weights) of each example."""
         self.n = len(vectors)
         self.blocks = max(1, -(-self.n // BLOCK))
-        self.best = np.zeros((n_terms, self.blocks), np.float64)
-        lists: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for i, v in enumerate(vectors):
-            for t, x in v.items():
-                lists.setdefault((t, i // BLOCK), []).append((i % BLOCK, x))
-                self.best[t, i // BLOCK] = max(self.best[t, i // BLOCK], x)
-        self.lists = {k: (np.array([a for a, _ in p]), np.array([x for _, x in p])) for k, p in lists.items()}
-
-    def nearest(self, q: dict[int, float], k: int, but: int = -1) -> list[tuple[float, int]]:
-        """The ``k`` examples of the greatest positive cosine (ties: the first), without ``but``."""
-        if not q or not self.n:
-            return []
-        terms, weights = np.fromiter(q, np.int64, len(q)), np.fromiter(q.values(), np.float64, len(q))
-        bound = weights @ self.best[terms]
-        top: list[tuple[float, int]] = []  # (-cosine, example), sorted
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or len(top) == k and bound[b] < -top[-1][0] - 1e-12:
-                break
-            score = np.zeros(BLOCK)
-            for t, x in zip(terms.tolist(), weights.tolist(), strict=True):
-                if p := self.lists.get((t, b)):
-                    score[p[0]] += x * p[1]
-            near = np.flatnonzero(score > (0 if len(top) < k else -top[-1][0] - 1e-12))
-            top = sorted([*top, *((-round(float(score[i]), 12), b * BLOCK + i) for i in near.tolist() if b * BLOCK + i != but)])[:k]
-        return [(-s, i) for s, i in top]
+        size = np.array([len(t) for t, _ in vectors], np.int64)
+        example = np.repeat(np.arange(self.n, dtype=np.int32), size)
+        term, weight = (np.concatenate([v[i] for v in vectors]) if vectors else np.zeros(0, kind) for i, kind in ((0, np.int64), (1, np.float64)))
+        found = np.bincount(term, minlength=n_terms)
+        common = np.flatnonzero((found * COMMON >= self.n) & (found > 1))
+        self.common = np.full(n_terms, -1, np.int32)
+        self.common[common] = np.arange(len(common))
+        held = self.common[term] >= 0
+        self.lists = np.zeros((self.blocks, len(common), BLOCK))
+        self.lists[example[held] // BLOCK, self.common[term[held]], example[held] % BLOCK] = weight[held]
+        self.best = self.lists.max(axis=2)
+        order = np.argsort(term[~held], kind="stable")
+        self.example, self.weight = example[~held][order], weight[~held][order]
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(term[~held], minlength=n_terms))])
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        """For each query the ``k`` examples of the greatest positive cosine (ties: the first), without its ``but``."""
+        out: list[list[tuple[float, int]]] = []
+        for at in range(0, len(queries), TOGETHER):
+            out += self._nearest(queries[at:at + TOGETHER], k, but[at:at + TOGETHER] if but else [-1] * TOGETHER)
+        return out
+
+    def _nearest(self, queries: list, k: int, but: list[int]) -> list[list[tuple[float, int]]]:
+        n = len(queries)
+        if not self.n:
+            return [[] for _ in queries]
+        terms, weights = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
+        owner = np.repeat(np.arange(n), [len(t) for t, _ in queries])
+        row = self.common[terms]
+        # what the rarer terms give, for all examples
+        rare, w, of = terms[row < 0], weights[row < 0], owner[row < 0]
+        many = self.first[rare + 1] - self.first[rare]
+        at = np.repeat(self.first[rare] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
+        width = self.blocks * BLOCK
+        score = np.bincount(np.repeat(of, many) * width + self.example[at], weights=self.weight[at] * np.repeat(w, many), minlength=n * width)
+        score = score.astype(np.float64, copy=False).reshape(n, self.blocks, BLOCK)  # of nothing, counts would be whole numbers
+        common = np.zeros((n, self.lists.shape[1]))
+        common[owner[row >= 0], row[row >= 0]] = weights[row >= 0]
+        bound = score.max(axis=2) + common @ self.best.T
+
+        def visit(chosen: np.ndarray) -> None:
+            for b in np.flatnonzero(chosen.any(axis=0)).tolist():
+                who = np.flatnonzero(chosen[:, b])
+                score[who, b] += common[who] @ self.lists[b]
+
+        least = np.zeros(n)
+        seen = np.zeros(bound.shape, bool)
+        np.put_along_axis(seen, np.argsort(-bound, axis=1, kind="stable")[:, :2], True, axis=1)  # the two most promising blocks
+        visit(seen)
+        for q in range(n):
+            s = np.delete(score[q].ravel(), but[q])[np.delete(np.repeat(seen[q], BLOCK), but[q])] if but[q] >= 0 else score[q][seen[q]].ravel()
+            if len(s) >= k:
+                least[q] = max(0.0, np.partition(s, len(s) - k)[len(s) - k])
+        rest = ~seen & (bound > 0) & (bound >= least[:, None] - 1e-12)  # all that may still hold a neighbour
+        visit(rest)
+        seen |= rest
+        out = []
+        for q in range(n):
+            s = np.where(seen[q][:, None], np.round(score[q], 12), 0).ravel()
+            if but[q] >= 0:
+                s[but[q]] = 0
+            near = np.flatnonzero(s > 0)
+            if len(near) > k:
+                near = near[s[near] >= np.partition(s[near], len(near) - k)[len(near) - k]]
+            out.append(sorted((-float(s[i]), i) for i in near.tolist())[:k])
+        return [[(-x, i) for x, i in top] for top in out]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -117,35 +175,47 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Everything a task needs to score texts."""
+    """Everything a task needs to score texts. Votes of examples are calibrated by ``calibrate``."""
 
-    def __init__(self, terms: list[bytes], df: dict[bytes, int], n_docs: int, examples: list[tuple[object, int, dict[int, int]]]):
+    def __init__(self, terms: list[bytes], weight: list[float], examples: list[tuple[object, int, tuple[np.ndarray, np.ndarray]]]):
         self.terms = Terms(terms)
-        self.idf = np.array([math.log((n_docs + 1) / (df.get(t, 0) + 1)) + 1 for t in terms])
+        self.weight = np.array(weight)
         self.share = sum(y for _, y, _ in examples) / len(examples) if examples else 0.0
-        ready = [(i, y, v) for i, y, c in examples if (v := self.vector(c))]
+        made = [(i, y, self.vector(c)) for i, y, c in examples]
+        ready = [x for x in made if len(x[2][0])]
         # Like examples side by side: the blocks' bounds are tighter.
-        ready.sort(key=lambda r: (max(r[2], key=r[2].get), str(r[0])))
+        ready.sort(key=lambda r: (int(r[2][0][r[2][1].argmax()]), str(r[0])))
         self.ids, self.toxic = [r[0] for r in ready], [r[1] for r in ready]
+        self.number = {i: k for k, i in enumerate(self.ids)}
         self.index = BlockMax([r[2] for r in ready], len(terms))
-        raw = [self.vote(self.index.nearest(v, NEIGHBOURS, but=k)) for k, (_, _, v) in enumerate(ready)]
-        bare = [y for _, y, c in examples if not self.vector(c)]
+        bare = [y for _, y, v in made if not len(v[0])]
         self.bare = (sum(bare) + 0.5 * self.share) / (len(bare) + 0.5) if bare else self.share
-        self.places, self.values = isotonic(np.array(raw), np.array(self.toxic, float)) if raw else (np.array([0.0]), np.array([self.share]))
+        self.places, self.values = np.array([0.0]), np.array([self.share])
 
-    def vector(self, counts: dict[int, int]) -> dict[int, float]:
-        w = {t: (1 + math.log(n)) * self.idf[t] for t, n in counts.items()}
-        norm = math.sqrt(sum(x * x for x in w.values()))
-        return {t: x / norm for t, x in w.items()} if norm else {}
+    def calibrate(self, votes: list[tuple[float, int]]) -> None:
+        """(leave-one-out vote, label) of the examples."""
+        if votes:
+            self.places, self.values = isotonic(np.array([v for v, _ in votes]), np.array([y for _, y in votes], float))
+
+    def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights, of length 1."""
+        t, n = counts
+        w = (1 + np.log(n)) * self.weight[t]
+        norm = math.sqrt(float(w @ w))
+        return (t[w > 0], w[w > 0] / norm) if norm else (t[:0], w[:0])
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         return (sum(s * self.toxic[i] for s, i in near) + self.share) / (sum(s for s, _ in near) + 1)
 
-    def score(self, text: str | None) -> tuple[float, list[tuple[float, int]]]:
-        near = self.index.nearest(self.vector(self.terms.counts(text)), NEIGHBOURS)
-        if not near:
-            return self.bare, near
-        return float(np.interp(self.vote(near), self.places, self.values)), near
+    def without_themselves(self, examples: list, texts: list[str | None]) -> list[float | None]:
+        """The votes of examples' neighbours, themselves left out; None for those that are not in the index."""
+        at = [self.number.get(i, -1) for i in examples]
+        near = self.index.nearest([self.vector(self.terms.counts(t)) for t in texts], NEIGHBOURS, at)
+        return [self.vote(x) if i >= 0 else None for i, x in zip(at, near, strict=True)]
+
+    def score(self, texts: list[str | None]) -> list[tuple[float, list[tuple[float, int]]]]:
+        near = self.index.nearest([self.vector(self.terms.counts(t)) for t in texts], NEIGHBOURS)
+        return [(float(np.interp(self.vote(x), self.places, self.values)) if x else self.bare, x) for x in near]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -173,28 +243,41 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     stats = sample.select("y", "text").mapInArrow(seen, "term binary, n long, pos long").groupBy("term").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"))
     n, k = F.col("n").cast("double"), F.col("pos").cast("double")
     off = k * (total - positive) - (n - k) * positive
-    chi2 = off * off * total / (n * (total - n) * F.lit(float(positive * (total - positive))))
-    chosen = [bytes(r.term) for r in stats.where((F.col("n") >= MIN_DOCS) & (F.col("n") < total)).withColumn("chi2", chi2)
-              .where((F.col("chi2") >= MIN_CHI2) & (k * (total - positive) >= MIN_ODDS * (n - k) * positive)).orderBy(F.desc("chi2"), "term").limit(MAX_TERMS).collect()] if 0 < positive < total else []
+    linked = F.abs(off) / F.sqrt(n * (total - n) * F.lit(float(positive * (total - positive))))
+    # terms of the sample, which is bounded
+    found = stats.where((F.col("n") >= MIN_DOCS) & (F.col("n") < total)).select("term", linked.alias("linked")).orderBy("term").collect() if 0 < positive < total else []
+    chosen = [bytes(r.term) for r in found]
     made = Terms(chosen)
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = Counter()
         for b in batches:
             for t in b.column(0):
-                n.update(made.counts(t.as_py()).keys())
+                n.update(made.counts(t.as_py())[0].tolist())
         yield pa.RecordBatch.from_pydict({"k": pa.array(list(n), pa.int32()), "n": pa.array(list(n.values()), pa.int64())})
 
     df = {chosen[r.k]: r.n for r in docs.select(text).mapInArrow(frequencies, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()} if chosen else {}
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            c = [list(made.counts(t.as_py()).items()) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(c, pa.map_(pa.int32(), pa.int32()))], names=["id", "y", "c"])
+            c = [made.counts(t.as_py()) for t in b.column(2)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t for t, _ in c], pa.list_(pa.int64())), pa.array([n for _, n in c], pa.list_(pa.float64()))],
+                                             names=["id", "y", "t", "n"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    examples = sample.select("id", "y", "text").mapInArrow(count, f"id {kind}, y int, c map<int,int>").collect()  # at most max_examples
-    return Model(chosen, df, docs.count(), sorted(((r.id, r.y, r.c) for r in examples), key=lambda r: str(r[0])))
+    examples = sample.select("id", "y", "text").mapInArrow(count, f"id {kind}, y int, t array<long>, n array<double>").collect()  # at most max_examples
+    n_docs = docs.count()
+    weight = [(math.log((n_docs + 1) / (df.get(t, 0) + 1)) + 1) * r.linked for t, r in zip(chosen, found, strict=True)]
+    model = Model(chosen, weight, sorted(((r.id, r.y, (np.array(r.t, np.int64), np.array(r.n, np.float64))) for r in examples), key=lambda r: str(r[0])))
+
+    def votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in rows(batches):
+            v = model.without_themselves(b.column(0).to_pylist(), b.column(2).to_pylist())
+            yield pa.RecordBatch.from_arrays([pa.array(v, pa.float64()), b.column(1)], names=["v", "y"])
+
+    made_votes = sample.repartition(sample.sparkSession.sparkContext.defaultParallelism).select("id", "y", "text").mapInArrow(votes, "v double, y int")
+    model.calibrate(sorted((r.v, r.y) for r in made_votes.collect() if r.v is not None))  # at most max_examples
+    return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -203,8 +286,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "te
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         near_type = pa.list_(pa.struct([("example", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())]))
-        for b in rows(batches, 2048):
-            made = [model.score(t.as_py()) for t in b.column(1)]
+        for b in rows(batches, 512):
+            made = model.score(b.column(1).to_pylist())
             near = [[{"example": str(model.ids[i]), "similarity": s, "label": model.toxic[i]} for s, i in n[:3]] for _, n in made]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s for s, _ in made], pa.float64()), pa.array(near, near_type)],
                                              names=[id_col, "score", "evidence"])

@@ -440,13 +440,15 @@ def test_block_max_search_is_exact():
     r = random.Random(8)
     vectors = []
     for _ in range(300):
-        v = {t: r.random() for t in r.sample(range(40), r.randint(1, 6))}
+        v = {t: r.random() for t in {*r.sample(range(40), r.randint(1, 5)), r.randint(0, 3)}}
         n = sum(x * x for x in v.values()) ** 0.5
         vectors.append({t: x / n for t, x in v.items()})
-    index = toxicity.BlockMax(vectors, 40)
-    for q in vectors[:60]:
-        want = sorted(((-round(sum(x * v.get(t, 0) for t, x in q.items()), 12), i) for i, v in enumerate(vectors)))[:9]
-        got = index.nearest(q, 9)
+    index = toxicity.BlockMax([(np.array(list(v)), np.array(list(v.values()))) for v in vectors], 40)
+    assert (index.common >= 0).any() and (index.common < 0).any()
+    found = index.nearest([(np.array(list(q)), np.array(list(q.values()))) for q in vectors[:150]], 9, [-1] * 100 + list(range(100, 150)))
+    for j, q in enumerate(vectors[:150]):
+        want = sorted(((-round(sum(x * v.get(t, 0) for t, x in q.items()), 12), i) for i, v in enumerate(vectors) if j < 100 or i != j))[:9]
+        got = found[j]
         assert [round(s, 9) for s, _ in got] == [round(-s, 9) for s, _ in want]
 
 

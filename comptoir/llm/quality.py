@@ -9,7 +9,9 @@ logistic scorer over hashed words, word shapes and coarse measures is trained.
 Every document is then scored from its text alone.
 
 Null and empty texts are scored as texts without a word. An empty table gives
-no rows.
+no rows. Repeated rows get equal scores and count as often as they come in the vote patterns; a score of
+the threshold itself is kept; very long texts are read whole; only the named columns are read, whatever others
+are called.
 """
 
 from __future__ import annotations

@@ -7,7 +7,9 @@ word and fail the length rule. A measure whose divisor is zero is zero.
 
 Work per document is linear in its length, but for the sort of the window
 hashes of documents that repeat a run of four words. Equal windows are equal
-64-bit hashes within one document.
+64-bit hashes within one document. An empty table gives no row; repeated rows and null ids are
+judged like others; very long texts are measured whole; input columns that clash with a measure's name are
+replaced by ``judge`` and left alone by ``keep``.
 """
 
 from __future__ import annotations

@@ -15,7 +15,9 @@ group. The forests are joined to components by alternating star steps, each
 written to the shared folder.
 
 Null and empty texts have fingerprint zero; null ids take part in a component
-but never name it (a component of null ids only has a null name).
+but never name it (a component of null ids only has a null name). Repeated rows are rows of
+one component; an empty table gives no row; very long texts are hashed whole; only the id and text columns
+are read, whatever others are called, and ``keep_one`` returns the input's columns as they are.
 """
 
 from __future__ import annotations

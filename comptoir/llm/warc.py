@@ -8,7 +8,9 @@ leaves no record twice: files of attempts that did not count are not listed.
 The reader deals byte ranges of the listed files to tasks. A task looks for
 gzip magic from the start of its range, takes a candidate for a member only
 if it decodes to a WARC header, and reads on past the range's end to complete
-the last record that starts inside it. Memory holds one record and one buffer.
+the last record that starts inside it. Memory holds one record and one buffer, so a
+very long payload is held whole, once. An empty table writes no file and reads back as no row;
+only the named columns are read, whatever others are called.
 """
 
 from __future__ import annotations

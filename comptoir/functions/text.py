@@ -22,13 +22,13 @@ LISTING_SENTINELS = {
 LRM = "‎"
 
 
-# The whitespace set stripped from both ends (Java's \s class).
-WHITESPACE = " \t\n\r\x0b\x0c"
+# The whitespace set stripped from both ends, that of Python's ``str.strip``.
+WHITESPACE = (" \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+              "\u2028\u2029\u202f\u205f\u3000")
 
 
 def strip_ws(c) -> Column:
-    """Trim leading/trailing whitespace (spaces, tabs, newlines, VT, FF), like
-    ``str.strip`` on ASCII text; a character-set trim, no regex."""
+    """Trim leading/trailing whitespace, as ``str.strip`` does; a character-set trim, no regex."""
     return F.trim(as_col(c), F.lit(WHITESPACE))
 
 

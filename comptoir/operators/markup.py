@@ -292,7 +292,9 @@ def with_texts(df: DataFrame, source: str, fields: dict[str, str]) -> DataFrame:
     d = d.withColumns({f"__{n}": F.when(F.col(f"__{n}").contains("<"), F.regexp_replace(f"__{n}", TAG, "")).otherwise(F.col(f"__{n}")) for n in fields})
     d = d.withColumns({f"__{n}": unescape(f"__{n}") for n in fields})
     # most texts have no blanks around them: a look at both ends is cheaper than the trim
-    blank = {n: (F.ascii(f"__{n}") <= 32) | (F.ascii(F.right(F.col(f"__{n}"), F.lit(1))) <= 32) for n in fields}
+    def edge(c: Column) -> Column:
+        return (F.ascii(c) <= 32) | (F.ascii(c) > 126)
+    blank = {n: edge(F.col(f"__{n}")) | edge(F.right(F.col(f"__{n}"), F.lit(1))) for n in fields}
     return d.select(*df.columns, *[F.when(blank[n], strip_ws(f"__{n}")).otherwise(F.col(f"__{n}")).alias(n) for n in fields])
 
 

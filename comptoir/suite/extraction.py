@@ -187,6 +187,18 @@ O["blocked_pages"] = with_fx(
     "fx_product_pages")
 
 
+def q_blocked_responses(spark, sf):
+    """The same predicate with the response's status and redirects."""
+    pages = _spec_pages(spark, sf).withColumns({"status": F.when(F.col("page_id") % 3 == 0, 503).otherwise(200), "n_redirects": (F.col("page_id") % 5).cast("int")})
+    return pages.select("page_id", "source", is_blocked("html", status="status", n_redirects="n_redirects").alias("blocked"))
+
+
+O["blocked_responses"] = with_fx(
+    "SELECT page_id, source, ((page_id % 3 <> 0 AND contains(lower(html), 'captcha')) OR contains(lower(html), 'robot check') OR "
+    "regexp_matches(html, 'To discuss automated access to \\w+ data') OR page_id % 5 > 2) AS blocked FROM "
+    "(SELECT page_id, html, 'fx' AS source FROM fx_product_pages UNION ALL SELECT page_id, html, 'web' FROM pages) p", "fx_product_pages")
+
+
 # ----------------------------------------------------------------------- facets
 def facet_pages(spark, sf):
     p = table(spark, sf, "part")

@@ -129,6 +129,14 @@ def test_probed_faults_are_gone(spark):
     assert [r.href for r in X.page_links(pages("<a href='/b?x=1&amp;y=2'>l</a><a name=z>n</a>")).collect()] == ["/b?x=1&y=2"]
 
 
+def test_blanks_beyond_ascii_are_stripped(spark):
+    from comptoir.functions.text import strip_ws
+    values = ["\u00a0 x \u3000", "\x1cy\u2029\n", "z", " \u2003 ", "", None]
+    d = spark.createDataFrame([(i, v, f"<p>{v or ''}</p>") for i, v in enumerate(values)], "i int, s string, html string")
+    assert [r.x for r in d.select("i", strip_ws("s").alias("x")).orderBy("i").collect()] == [v if v is None else v.strip() for v in values]
+    assert [r.x for r in M.with_texts(d, "html", {"x": "p"}).orderBy("i").collect()] == [(v or "").strip() for v in values]
+
+
 def test_pivot_takes_the_later_page(spark):
     html = "<table id='productDetails_techSpec_section_1'><tr><th>A</th><td>{}</td></tr></table>"
     pages = spark.createDataFrame([(1, "https://x/dp/B000000009/a", html.format("1")), (2, "https://x/dp/B000000009/b", html.format("2"))],

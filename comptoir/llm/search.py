@@ -44,9 +44,9 @@ _TERM = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 48 or 58 <= c <= 64 or 91 <
 HASHES = 4  # rows set for a term and level
 PER_ENTRY = 12  # rows of a signature for each term and level of its fullest document
 BLOCK = 1024  # documents of a block at most
-BLOCK_BITS = 1 << 24  # bits of a signature at most (wider ones hold fewer documents, one at least)
-BLOCK_TERMS = 1 << 18  # terms listed in a block at most (or one document's)
-OPEN_TERMS = 1 << 20  # terms listed in all blocks that a task has open
+BLOCK_BITS = 1 << 23  # bits of a signature at most (wider ones hold fewer documents, one at least)
+BLOCK_TERMS = 1 << 17  # terms listed in a block at most (or one document's)
+OPEN_TERMS = 1 << 19  # terms listed in all blocks that a task has open
 KNOWN = 1 << 16  # terms whose places a task remembers
 LEVELS = 31  # occurrences in a text are below 2^31
 SLACK = 1.0001  # bounds are sums of single-precision numbers

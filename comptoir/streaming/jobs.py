@@ -222,20 +222,3 @@ def run_available(query_writer, checkpoint: str):
     q = query_writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
     return q
-
-
-def complete_to_parquet(base: str, keep_versions: int = 2):
-    """foreachBatch function for complete-mode results: each batch writes the whole
-    result table as the next version ``base/v=<n>``; readers take
-    :func:`latest_version`, so a failed write never hides the previous result."""
-    def run(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(next_version(batch.sparkSession, base))
-        prune_versions(batch.sparkSession, base, keep_versions)
-    return run
-
-
-def read_latest(spark: SparkSession, base: str) -> DataFrame:
-    path = latest_version(spark, base)
-    if path is None:
-        raise FileNotFoundError(f"no committed version under {base}")
-    return spark.read.parquet(path)

@@ -23,6 +23,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -58,7 +59,15 @@ def observed(word: str, lexicons: list[frozenset[str]]) -> list[str]:
 
 def _expand(feature_lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     size = np.fromiter(map(len, feature_lists), np.int64, len(feature_lists))
-    return np.fromiter((x for f in feature_lists for x in f), np.int64, int(size.sum())), size
+    return np.fromiter(chain.from_iterable(feature_lists), np.int64, int(size.sum())), size
+
+
+class _Numbers(dict):
+    """Words numbered as they come."""
+
+    def __missing__(self, word: str) -> int:
+        n = self[word] = len(self)
+        return n
 
 
 class Field:
@@ -172,8 +181,8 @@ class Field:
         if not len(n) or not n.max():
             return out
         known = {} if known is None else known
-        ids: dict[str, int] = {}
-        flat = np.fromiter((ids.setdefault(w, len(ids)) for ws in split for w in ws), np.int64, int(n.sum()))
+        ids = _Numbers()
+        flat = np.fromiter(map(ids.__getitem__, chain.from_iterable(split)), np.int64, int(n.sum()))
         fresh = [w for w in ids if w not in known]
         if fresh:
             em = self._emission_of(fresh)
@@ -193,11 +202,11 @@ class Field:
         live = np.searchsorted(-size[order], -np.arange(int(size.max())), side="left")
 
         # Products of the steps of segments that have a neighbour in their text.
-        chain = order[(per[owner] > 1)[order]]
+        linked = order[(per[owner] > 1)[order]]
         product = np.zeros((len(owner), k, k))
-        product[chain] = np.eye(k)
-        for t in range(SEGMENT if len(chain) else 0):
-            at = chain[:np.searchsorted(-size[chain], -t, side="left")]
+        product[linked] = np.eye(k)
+        for t in range(SEGMENT if len(linked) else 0):
+            at = linked[:np.searchsorted(-size[linked], -t, side="left")]
             if not len(at):
                 break
             p = product[at]

@@ -94,7 +94,7 @@ class BlockMax:
         self.blocks = max(1, -(-self.n // BLOCK))
         size = np.array([len(t) for t, _ in vectors], np.int64)
         example = np.repeat(np.arange(self.n, dtype=np.int32), size)
-        term, weight = (np.concatenate([v[i] for v in vectors]) if vectors else np.zeros(0, kind) for i, kind in ((0, np.int64), (1, np.float64)))
+        term, weight = (np.concatenate([v[i] for v in vectors]) if vectors else np.zeros(0, kind) for i, kind in ((0, np.int32), (1, np.float64)))
         found = np.bincount(term, minlength=n_terms)
         common = np.flatnonzero((found * COMMON >= self.n) & (found > 1))
         self.common = np.full(n_terms, -1, np.int32)
@@ -200,7 +200,7 @@ class Model:
     def vector(self, counts: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers and weights, of length 1."""
         t, n = counts
-        w = (1 + np.log(n)) * self.weight[t]
+        w = (1 + np.log(n.astype(np.float64))) * self.weight[t]
         norm = math.sqrt(float(w @ w))
         return (t[w > 0], w[w > 0] / norm) if norm else (t[:0], w[:0])
 
@@ -261,14 +261,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             c = [made.counts(t.as_py()) for t in b.column(2)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t for t, _ in c], pa.list_(pa.int64())), pa.array([n for _, n in c], pa.list_(pa.float64()))],
-                                             names=["id", "y", "t", "n"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t.astype("<i4").tobytes() for t, _ in c], pa.binary()),
+                                              pa.array([n.astype("<f4").tobytes() for _, n in c], pa.binary())], names=["id", "y", "t", "n"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    examples = sample.select("id", "y", "text").mapInArrow(count, f"id {kind}, y int, t array<long>, n array<double>").collect()  # at most max_examples
+    examples = sample.select("id", "y", "text").mapInArrow(count, f"id {kind}, y int, t binary, n binary").collect()  # at most max_examples
     n_docs = docs.count()
     weight = [(math.log((n_docs + 1) / (df.get(t, 0) + 1)) + 1) * r.linked for t, r in zip(chosen, found, strict=True)]
-    model = Model(chosen, weight, sorted(((r.id, r.y, (np.array(r.t, np.int64), np.array(r.n, np.float64))) for r in examples), key=lambda r: str(r[0])))
+    model = Model(chosen, weight, sorted(((r.id, r.y, (np.frombuffer(r.t, "<i4"), np.frombuffer(r.n, "<f4"))) for r in examples), key=lambda r: str(r[0])))
 
     def votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches):

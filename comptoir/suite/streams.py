@@ -32,25 +32,24 @@ def _read(spark, path, schema, per_trigger: int = 2):
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
-def _by_time(spark, df, name, col: str = "ts", slices: int = 4):
-    """A source folder whose files come in the order of event time, one slice of time after another."""
-    path = W.scratch_path(spark, f"stream-src/{name}")
+def _by_time(spark, df, name, writer, col: str = "ts", slices: int = 4):
+    """Slices of event time come into a source folder one after another, each in as many files as tasks wrote it;
+    after each, the stream of ``writer`` (source -> stream writer) drains the folder and goes on from its checkpoint."""
+    path, checkpoint = W.scratch_path(spark, f"stream-src/{name}"), W.scratch_path(spark, f"stream-ckpt/{name}")
     lo, hi = df.agg(F.min(col).cast("long"), F.max(col).cast("long")).first()
     step = max(1, (hi - lo) // slices + 1)
     for i in range(slices):
         part = F.floor((F.col(col).cast("long") - lo) / step) == i
-        df.filter(part).repartition(1).write.mode("append").parquet(path)
-    return path, df.schema
+        df.filter(part).write.mode("append").parquet(path)
+        S.run_available(writer(spark.readStream.schema(df.schema).parquet(path)), checkpoint)
 
 
 def q_metrics_tumbling(spark, sf):
     """Five-minute windows in update mode: late state is dropped at the watermark, changed windows are merged."""
     log = fx(spark, sf, "fx_metric_samples").withColumn("ts", F.col("ts").cast("timestamp"))
-    src, schema = _by_time(spark, log, "metrics")
-    agg = S.tumbling_metrics(_read(spark, src, schema, 1), "5 minutes", "10 minutes")
     out = W.scratch_path(spark, "stream-out/metrics")
-    S.run_available(agg.writeStream.outputMode("update").foreachBatch(S.merge_windows(out)),
-                    W.scratch_path(spark, "stream-ckpt/metrics"))
+    _by_time(spark, log, "metrics", lambda s: S.tumbling_metrics(s, "5 minutes", "10 minutes")
+             .writeStream.outputMode("update").foreachBatch(S.merge_windows(out)))
     return (S.read_windows(spark, out)
             .select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "name", "n",
                     F.round("total", 6).alias("total")))
@@ -67,12 +66,10 @@ def q_stream_dedupe(spark, sf):
     r = fx(spark, sf, "fx_reviews").select("asin", "reviewer", "l_orderkey", "l_linenumber", "l_shipdate",
                                            F.col("l_shipdate").cast("timestamp").alias("ts"))
     again = r.filter(F.col("l_linenumber") % 3 == 0).withColumn("ts", F.col("ts") + F.make_dt_interval(F.pmod("l_orderkey", F.lit(3)).cast("int")))
-    src, schema = _by_time(spark, r.unionByName(again), "reviews")
     keys = ["asin", "reviewer", "l_orderkey", "l_linenumber", "l_shipdate"]
-    d = S.dedupe_stream(_read(spark, src, schema, 1), keys, "ts", "10 days")
     out = W.scratch_path(spark, "stream-out/reviews")
-    S.run_available(d.writeStream.outputMode("append").format("parquet").option("path", out),
-                    W.scratch_path(spark, "stream-ckpt/reviews"))
+    _by_time(spark, r.unionByName(again), "reviews", lambda s: S.dedupe_stream(s, keys, "ts", "10 days")
+             .writeStream.outputMode("append").format("parquet").option("path", out))
     return spark.read.parquet(out).select("asin", "reviewer", "l_orderkey", "l_linenumber")
 
 
@@ -102,11 +99,9 @@ O["stream_upsert"] = (
 def q_stream_alerts(spark, sf):
     """Hourly request/error windows kept by a stream in update mode; alerts are read off them."""
     log = fx(spark, sf, "fx_metric_samples").withColumn("ts", F.col("ts").cast("timestamp"))
-    src, schema = _by_time(spark, log, "alerts")
-    rates = S.window_rates(_read(spark, src, schema, 1))
     out = W.scratch_path(spark, "stream-out/alerts")
-    S.run_available(rates.writeStream.outputMode("update").foreachBatch(S.merge_windows(out, ["window_start"])),
-                    W.scratch_path(spark, "stream-ckpt/alerts"))
+    _by_time(spark, log, "alerts", lambda s: S.window_rates(s)
+             .writeStream.outputMode("update").foreachBatch(S.merge_windows(out, ["window_start"])))
     return M.alerts(S.read_windows(spark, out)).withColumn(
         "window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 

@@ -43,7 +43,7 @@ def test_values_used_twice_are_written_once(spark):
     slow = F.concat(F.col("t"), F.lit("")).alias("slow")
     assert optimized(df.select(clean_spec_text(slow).alias("x"))).count("concat(") <= 1
     got = df.select(clean_spec_text("t").alias("t"), facet_filter("u").alias("f")).collect()
-    assert [(r.t, tuple(r.f)) for r in got] == [("a  b", ("p_89", "Acme")), (None, (None, None))]
+    assert [(r.t, tuple(r.f)) for r in got] == [("a b", ("p_89", "Acme")), (None, (None, None))]
     assert optimized(df.select(facet_filter("u").alias("x"))).count("rh=") <= 3  # once in the test, twice in the cut
 
 

@@ -213,7 +213,11 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
 
     # The build side of the hash join is a vector for each part of the bucket.
     ranked = written.join(_earlier(counts, length).hint("shuffle_hash"), "part")
-    ranked = ranked.withColumn("_rank", F.element_at("before", F.col(length).cast("int")) + F.col("nth"))
+    kept = [c for c in pieces.columns if c not in ("part", "nth")]
+    # Generated, not projected: a projection would be merged into the one above, and the part's whole vector would wait
+    # with each of the rows that Python works on (16 KB a row).
+    rank = F.struct((F.element_at("before", F.col(length).cast("int")) + F.col("nth")).alias("_rank"))
+    ranked = ranked.select(*kept, F.inline_outer(F.array(rank)))
 
     # Only length and rank go to Python; the rest of a row stays where it is.
     @F.pandas_udf("sequence_id long, offset long")
@@ -224,7 +228,6 @@ def pack(pieces: DataFrame, capacity: int, length: str = "length") -> DataFrame:
         nth = rank - (key[k] & ((1 << 44) - 1))
         return pd.DataFrame({"sequence_id": first[k] + nth // use[k], "offset": off[k] + nth % use[k] * size})
 
-    kept = [c for c in pieces.columns if c not in ("part", "nth")]
     return ranked.withColumn("_place", place(length, "_rank")).select(*kept, "_place.sequence_id", "_place.offset")
 
 

@@ -362,6 +362,14 @@ def test_packing_edges(spark):
     assert packing.pack_documents(empty(spark)).count() == 0
 
 
+def test_packing_keeps_no_vector_with_the_rows_python_works_on(spark):
+    node = packing.pack_documents(docs(spark), keep_ids=False)._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "ArrowEvalPython":
+        node = node.children().head()
+    below = node.children().head().output()
+    assert "before" not in [below.apply(i).name() for i in range(below.size())]
+
+
 def test_added_tokens_are_matched_in_texts():
     import public_tokenizers
     from tokenizers import Tokenizer

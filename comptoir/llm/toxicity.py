@@ -25,6 +25,8 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +42,7 @@ NEIGHBOURS = 15
 BLOCK = 128
 TOGETHER = 64  # queries that visit the blocks together
 COMMON = 8  # terms in one of so many examples are kept in blocks
+SINGLE = 1e-4  # more than a cosine is off in single precision
 KNOWN = 1 << 17  # words whose terms a task remembers
 THRESHOLD = 0.7
 
@@ -65,47 +68,64 @@ class Terms:
     def __getstate__(self) -> dict:
         return {"number": self.number, "known": {}}
 
-    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers of a text, ascending, and their occurrences."""
+    def numbers(self, found: Iterable[bytes]) -> list[tuple[int, ...]]:
+        """The term numbers of each word."""
         get, known = self.number.get, self.known
-        flat: list[int] = []
-        size: list[int] = []
-        n = Counter(words(text))
-        for w in n:
+        out = []
+        for w in found:
             ids = known.get(w)
             if ids is None:
                 ids = tuple(k for t in terms_of(w) if (k := get(t)) is not None)
                 if len(known) >= KNOWN:
                     known.clear()
                 known[w] = ids
-            flat += ids
-            size.append(len(ids))
-        term, at = np.unique(np.array(flat, np.int64), return_inverse=True)
-        return term, np.bincount(at, weights=np.repeat(np.fromiter(n.values(), np.float64, len(n)), size), minlength=len(term))
+            out.append(ids)
+        return out
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers of a text, ascending, and their occurrences."""
+        n = Counter(words(text))
+        ids = self.numbers(n)
+        term, at = np.unique(np.array(list(chain.from_iterable(ids)), np.int64), return_inverse=True)
+        times = np.repeat(np.fromiter(n.values(), np.float64, len(n)), np.fromiter(map(len, ids), np.int64, len(ids)))
+        return term, np.bincount(at, weights=times, minlength=len(term))
+
+    def frequencies(self, texts: Iterable[str | None]) -> np.ndarray:
+        """In how many of the texts each term is found."""
+        n = np.zeros(len(self.number), np.int64)
+        for t in texts:
+            n[list(set(chain.from_iterable(self.numbers(set(words(t))))))] += 1
+        return n
 
 
 class BlockMax:
     """Inverted index of unit vectors. Lists of common terms lie in blocks with the
-    greatest weight per term and block, those of the others are whole."""
+    greatest weight per term and block, those of the others are whole. Lists are kept and added up in
+    single precision; the cosines of all that may be neighbours by it are taken from the vectors themselves."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], n_terms: int):
+    def __init__(self, vectors: Iterable[tuple[np.ndarray, np.ndarray]], n_terms: int):
         """``vectors``: (term numbers, weights) of each example."""
-        self.n = len(vectors)
+        vectors = list(vectors)
+        self.n, self.n_terms = len(vectors), n_terms
         self.blocks = max(1, -(-self.n // BLOCK))
         size = np.array([len(t) for t, _ in vectors], np.int64)
-        example = np.repeat(np.arange(self.n, dtype=np.int32), size)
-        term, weight = (np.concatenate([v[i] for v in vectors]) if vectors else np.zeros(0, kind) for i, kind in ((0, np.int32), (1, np.float64)))
-        found = np.bincount(term, minlength=n_terms)
+        self.begin = np.concatenate([[0], np.cumsum(size)])
+        self.term = np.concatenate([t for t, _ in vectors], dtype=np.int32, casting="same_kind") if vectors else np.zeros(0, np.int32)
+        self.weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
+        del vectors  # not beside what is made of them
+        found = np.bincount(self.term, minlength=n_terms)
         common = np.flatnonzero((found * COMMON >= self.n) & (found > 1))
         self.common = np.full(n_terms, -1, np.int32)
         self.common[common] = np.arange(len(common))
-        held = self.common[term] >= 0
-        self.lists = np.zeros((self.blocks, len(common), BLOCK))
-        self.lists[example[held] // BLOCK, self.common[term[held]], example[held] % BLOCK] = weight[held]
+        example = np.repeat(np.arange(self.n, dtype=np.int32), size)
+        held = self.common[self.term] >= 0
+        self.lists = np.zeros((self.blocks, len(common), BLOCK), np.float32)
+        self.lists[example[held] // BLOCK, self.common[self.term[held]], example[held] % BLOCK] = self.weight[held]
         self.best = self.lists.max(axis=2)
-        order = np.argsort(term[~held], kind="stable")
-        self.example, self.weight = example[~held][order], weight[~held][order]
-        self.first = np.concatenate([[0], np.cumsum(np.bincount(term[~held], minlength=n_terms))])
+        many = np.where(self.common >= 0, 0, found)
+        self.first = np.concatenate([[0], np.cumsum(many)])
+        order = np.argsort(np.where(held, n_terms, self.term).astype(np.int32), kind="stable")[:self.first[-1]]
+        self.example, self.rare = example[order], self.weight[order].astype(np.float32)
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """For each query the ``k`` examples of the greatest positive cosine (ties: the first), without its ``but``."""
@@ -114,22 +134,32 @@ class BlockMax:
             out += self._nearest(queries[at:at + TOGETHER], k, but[at:at + TOGETHER] if but else [-1] * TOGETHER)
         return out
 
+    def _rarer(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What the rarer terms of a query give, for all examples."""
+        first, last = self.first[term], self.first[term + 1]
+        spans = list(map(slice, first.tolist(), last.tolist()))
+        if not spans:
+            return np.zeros(self.blocks * BLOCK)
+        given = np.concatenate([self.rare[x] for x in spans])
+        given *= np.repeat(weight.astype(np.float32), last - first)
+        return np.bincount(np.concatenate([self.example[x] for x in spans]), weights=given, minlength=self.blocks * BLOCK)
+
+    def _cosines(self, query: tuple[np.ndarray, np.ndarray], examples: np.ndarray) -> np.ndarray:
+        dense = np.zeros(self.n_terms)
+        dense[query[0]] = query[1]
+        out = [dense[self.term[x]] @ self.weight[x] for x in map(slice, self.begin[examples].tolist(), self.begin[examples + 1].tolist())]
+        return np.round(np.array(out), 12)
+
     def _nearest(self, queries: list, k: int, but: list[int]) -> list[list[tuple[float, int]]]:
         n = len(queries)
         if not self.n:
             return [[] for _ in queries]
-        terms, weights = (np.concatenate([q[i] for q in queries]) for i in (0, 1))
-        owner = np.repeat(np.arange(n), [len(t) for t, _ in queries])
-        row = self.common[terms]
-        # what the rarer terms give, for all examples
-        rare, w, of = terms[row < 0], weights[row < 0], owner[row < 0]
-        many = self.first[rare + 1] - self.first[rare]
-        at = np.repeat(self.first[rare] - np.cumsum(many) + many, many) + np.arange(int(many.sum()))
-        width = self.blocks * BLOCK
-        score = np.bincount(np.repeat(of, many) * width + self.example[at], weights=self.weight[at] * np.repeat(w, many), minlength=n * width)
-        score = score.astype(np.float64, copy=False).reshape(n, self.blocks, BLOCK)  # of nothing, counts would be whole numbers
-        common = np.zeros((n, self.lists.shape[1]))
-        common[owner[row >= 0], row[row >= 0]] = weights[row >= 0]
+        score = np.zeros((n, self.blocks, BLOCK), np.float32)
+        common = np.zeros((n, self.lists.shape[1]), np.float32)
+        for q, (term, weight) in enumerate(queries):
+            row = self.common[term]
+            common[q, row[row >= 0]] = weight[row >= 0]
+            score[q] = self._rarer(term[row < 0], weight[row < 0]).reshape(self.blocks, BLOCK)
         bound = score.max(axis=2) + common @ self.best.T
 
         def visit(chosen: np.ndarray) -> None:
@@ -137,27 +167,29 @@ class BlockMax:
                 who = np.flatnonzero(chosen[:, b])
                 score[who, b] += common[who] @ self.lists[b]
 
+        def kth(q: int, among: np.ndarray) -> float:
+            """Least that a neighbour has, as far as these blocks tell."""
+            s = score[q][among].ravel()
+            more = k + (but[q] >= 0)  # one of them may be the one to leave out
+            return float(np.partition(s, len(s) - more)[len(s) - more]) if len(s) >= more else 0.0
+
         least = np.zeros(n)
         seen = np.zeros(bound.shape, bool)
         np.put_along_axis(seen, np.argsort(-bound, axis=1, kind="stable")[:, :2], True, axis=1)  # the two most promising blocks
         visit(seen)
         for q in range(n):
-            s = np.delete(score[q].ravel(), but[q])[np.delete(np.repeat(seen[q], BLOCK), but[q])] if but[q] >= 0 else score[q][seen[q]].ravel()
-            if len(s) >= k:
-                least[q] = max(0.0, np.partition(s, len(s) - k)[len(s) - k])
-        rest = ~seen & (bound > 0) & (bound >= least[:, None] - 1e-12)  # all that may still hold a neighbour
+            least[q] = kth(q, seen[q]) - SINGLE
+        rest = ~seen & (bound > 0) & (bound >= least[:, None])  # all that may still hold a neighbour
         visit(rest)
         seen |= rest
         out = []
         for q in range(n):
-            s = np.where(seen[q][:, None], np.round(score[q], 12), 0).ravel()
-            if but[q] >= 0:
-                s[but[q]] = 0
-            near = np.flatnonzero(s > 0)
-            if len(near) > k:
-                near = near[s[near] >= np.partition(s[near], len(near) - k)[len(near) - k]]
-            out.append(sorted((-float(s[i]), i) for i in near.tolist())[:k])
-        return [[(-x, i) for x, i in top] for top in out]
+            s = np.where(seen[q][:, None], score[q], 0).ravel()
+            near = np.flatnonzero((s > 0) & (s >= kth(q, seen[q]) - SINGLE))
+            near = near[near != but[q]]
+            top = sorted((-x, i) for x, i in zip(self._cosines(queries[q], near).tolist(), near.tolist(), strict=True) if x > 0)
+            out.append([(-x, i) for x, i in top[:k]])
+        return out
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -175,23 +207,49 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Model:
-    """Everything a task needs to score texts. Votes of examples are calibrated by ``calibrate``."""
+    """Everything a task needs to score texts. Votes of examples are calibrated by ``calibrate``. Examples are
+    kept as counts, the smallest form; the index is made of them where it is used."""
 
-    def __init__(self, terms: list[bytes], weight: list[float], examples: list[tuple[object, int, tuple[np.ndarray, np.ndarray]]]):
+    def __init__(self, terms: list[bytes], weight: list[float], examples: Iterable[tuple[object, int, tuple[np.ndarray, np.ndarray]]]):
         self.terms = Terms(terms)
         self.weight = np.array(weight)
-        self.share = sum(y for _, y, _ in examples) / len(examples) if examples else 0.0
-        made = [(i, y, self.vector(c)) for i, y, c in examples]
-        ready = [x for x in made if len(x[2][0])]
+        ready, bare, labels = [], [], []
+        for i, y, c in examples:
+            t, w = self.vector(c)
+            labels.append(y)
+            if len(t):
+                ready.append((int(t[w.argmax()]), str(i), i, y, c))
+            else:
+                bare.append(y)
+        self.share = sum(labels) / len(labels) if labels else 0.0
         # Like examples side by side: the blocks' bounds are tighter.
-        ready.sort(key=lambda r: (int(r[2][0][r[2][1].argmax()]), str(r[0])))
-        self.ids, self.toxic = [r[0] for r in ready], [r[1] for r in ready]
-        self.number = {i: k for k, i in enumerate(self.ids)}
-        self.index = BlockMax([r[2] for r in ready], len(terms))
-        bare = [y for _, y, v in made if not len(v[0])]
+        ready.sort(key=lambda r: r[:2])
+        self.ids, self.toxic = [r[2] for r in ready], [r[3] for r in ready]
+        self.sizes = [len(r[4][0]) for r in ready]
+        self.held = [np.concatenate([r[4][k] for r in ready]) if ready else np.zeros(0, np.int32) for k in (0, 1)]
         self.bare = (sum(bare) + 0.5 * self.share) / (len(bare) + 0.5) if bare else self.share
         self.places, self.values = np.array([0.0]), np.array([self.share])
 
+    @cached_property
+    def number(self) -> dict:
+        return {i: k for k, i in enumerate(self.ids)}
+
+    @cached_property
+    def index(self) -> BlockMax:
+        cut = np.cumsum([0, *self.sizes]).tolist()
+        return BlockMax((self.vector((self.held[0][a:b], self.held[1][a:b])) for a, b in zip(cut, cut[1:], strict=False)), len(self.weight))
+
+    def __getstate__(self) -> dict:
+        """Without what is made of the rest; counts as steps between term numbers, compressed: every executor keeps a copy."""
+        term, n = self.held
+        packed = [(x.dtype.str, x.nbytes, pa.compress(x.tobytes(), "zstd", asbytes=True)) for x in (np.diff(term, prepend=term.dtype.type(0)), n)]
+        return {k: v for k, v in vars(self).items() if k not in ("index", "number")} | {"held": packed}
+
+    def __setstate__(self, state: dict) -> None:
+        vars(self).update(state)
+        steps, n = (np.frombuffer(pa.decompress(x, size, "zstd"), kind) for kind, size, x in state["held"])
+        self.held = [np.cumsum(steps, dtype=steps.dtype), n]
+
     def calibrate(self, votes: list[tuple[float, int]]) -> None:
         """(leave-one-out vote, label) of the examples."""
         if votes:
@@ -244,47 +302,55 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
     n, k = F.col("n").cast("double"), F.col("pos").cast("double")
     off = k * (total - positive) - (n - k) * positive
     linked = F.abs(off) / F.sqrt(n * (total - n) * F.lit(float(positive * (total - positive))))
-    # terms of the sample, which is bounded
-    found = stats.where((F.col("n") >= MIN_DOCS) & (F.col("n") < total)).select("term", linked.alias("linked")).orderBy("term").collect() if 0 < positive < total else []
-    chosen = [bytes(r.term) for r in found]
-    made = Terms(chosen)
+    # Terms of the sample, which is bounded. The driver takes columns, not rows.
+    ask = stats.where((F.col("n") >= MIN_DOCS) & (F.col("n") < total)).select("term", linked.alias("linked")).orderBy("term")
+    found = ask.toArrow() if 0 < positive < total else pa.table({"term": pa.array([], pa.binary()), "linked": pa.array([], pa.float64())})
+    chosen, linked_to = found.column("term").to_pylist(), found.column("linked").to_pylist()
+    made = docs.sparkSession.sparkContext.broadcast(Terms(chosen))
 
     def frequencies(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = Counter()
-        for b in batches:
-            for t in b.column(0):
-                n.update(made.counts(t.as_py())[0].tolist())
-        yield pa.RecordBatch.from_pydict({"k": pa.array(list(n), pa.int32()), "n": pa.array(list(n.values()), pa.int64())})
+        n = made.value.frequencies(t.as_py() for b in batches for t in b.column(0))
+        k = np.flatnonzero(n)
+        yield pa.RecordBatch.from_pydict({"k": pa.array(k, pa.int32()), "n": pa.array(n[k], pa.int64())})
 
-    df = {chosen[r.k]: r.n for r in docs.select(text).mapInArrow(frequencies, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).collect()} if chosen else {}
+    df = np.zeros(len(chosen), np.int64)
+    if chosen:
+        counted = docs.select(text).mapInArrow(frequencies, "k int, n long").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+        df[counted.column("k").to_numpy()] = counted.column("n").to_numpy()
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            c = [made.counts(t.as_py()) for t in b.column(2)]
+            c = [made.value.counts(t.as_py()) for t in b.column(2)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([t.astype("<i4").tobytes() for t, _ in c], pa.binary()),
                                               pa.array([n.astype("<f4").tobytes() for _, n in c], pa.binary())], names=["id", "y", "t", "n"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    examples = sample.select("id", "y", "text").mapInArrow(count, f"id {kind}, y int, t binary, n binary").collect()  # at most max_examples
+    examples = stage(sample.select("id", "y", "text").mapInArrow(count, f"id {kind}, y int, t binary, n binary"), "labelled-counts")
+    made.destroy()
     n_docs = docs.count()
-    weight = [(math.log((n_docs + 1) / (df.get(t, 0) + 1)) + 1) * r.linked for t, r in zip(chosen, found, strict=True)]
-    model = Model(chosen, weight, sorted(((r.id, r.y, (np.frombuffer(r.t, "<i4"), np.frombuffer(r.n, "<f4"))) for r in examples), key=lambda r: str(r[0])))
+    weight = [(math.log((n_docs + 1) / (x + 1)) + 1) * r for x, r in zip(df.tolist(), linked_to, strict=True)]
+    # at most max_examples, one task's at a time
+    model = Model(chosen, weight, ((r.id, r.y, (np.frombuffer(r.t, "<i4"), np.frombuffer(r.n, "<f4"))) for r in examples.toLocalIterator()))
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def votes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in rows(batches):
-            v = model.without_themselves(b.column(0).to_pylist(), b.column(2).to_pylist())
+            v = shared.value.without_themselves(b.column(0).to_pylist(), b.column(2).to_pylist())
             yield pa.RecordBatch.from_arrays([pa.array(v, pa.float64()), b.column(1)], names=["v", "y"])
 
     made_votes = sample.repartition(sample.sparkSession.sparkContext.defaultParallelism).select("id", "y", "text").mapInArrow(votes, "v double, y int")
     model.calibrate(sorted((r.v, r.y) for r in made_votes.collect() if r.v is not None))  # at most max_examples
+    shared.destroy()
     return model
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: id, ``score``, ``predicted`` and ``evidence``, the nearest three examples."""
     kind = docs.schema[id_col].dataType.simpleString()
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # unpacked, and its index made, once a Python worker
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
         near_type = pa.list_(pa.struct([("example", pa.string()), ("similarity", pa.float64()), ("label", pa.int32())]))
         for b in rows(batches, 512):
             made = model.score(b.column(1).to_pylist())

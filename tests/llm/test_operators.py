@@ -2,6 +2,7 @@
 
 import hashlib
 import io
+import pickle
 import random
 import re
 import zlib
@@ -460,6 +461,22 @@ def test_block_max_search_is_exact():
         assert [round(s, 9) for s, _ in got] == [round(-s, 9) for s, _ in want]
 
 
+def test_toxicity_index_is_made_where_it_is_used(spark):
+    d = spark.createDataFrame([(i, " ".join(f"word{j % 7} {'bad' if i % 4 == 0 else 'good'}ly{j * i % 11}" for j in range(60))) for i in range(120)], "doc_id long, text string")
+    model = toxicity.fit(d, d.selectExpr("doc_id", "cast(doc_id % 4 = 0 as int) AS toxic"))
+    held = sum(map(len, model.held)) // 2
+    assert model.ids and held and not any(isinstance(x, toxicity.BlockMax) for x in vars(model).values())
+    texts = [r.text for r in d.orderBy("doc_id").collect()]
+    made = model.score(texts)
+    # what is sent: some bytes for a term of an example, and no index after it was made here
+    sent = pickle.dumps(model)
+    bare = pickle.dumps({k: v for k, v in vars(model).items() if k not in ("held", "index", "number")})
+    small = pickle.loads(sent)
+    assert len(sent) - len(bare) <= 4 * held and all((a == b).all() for a, b in zip(small.held, model.held, strict=True)) and not any(isinstance(x, toxicity.BlockMax) for x in vars(small).values())
+    assert small.score(texts) == made
+    assert [r.score for r in toxicity.score(d, model).orderBy("doc_id").collect()] == [s for s, _ in made]
+
+
 def test_toxicity_edges(spark):
     r = random.Random(9)
     plain = [f"w{i}" for i in range(200)]

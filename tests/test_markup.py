@@ -148,3 +148,24 @@ def test_next_page_stops_at_the_limit(spark):
     pages = spark.createDataFrame([(1, 3, '<li class="x a-last"><a href="/s?page=4">n</a></li>'), (2, 10, '<li class="a-last"><a href="/s?page=11">n</a></li>'),
                                    (3, 4, '<li class="a-last">end</li>')], "page_id int, n int, html string")
     assert [tuple(r) for r in X.next_pages(pages, number="n").collect()] == [(1, "https://shop.example/s?page=4")]
+
+
+def test_fields_are_cut_out_in_one_pass(spark):
+    pages = ["<span class='x'>a</span>", "<p>x</p><span class='x'></span>", "<span class='x'><span>a</span> b</span> c", "<span class='x'>a<span>b<span>c</span></span>d</span>e",
+             "<span class='x'>open <span>b</span>", "<span class='x'>open", "<p title='x'>no</p>", "<b title='1 > 0' class='x'>q</b>", "<img class='x'>t</img>", "x", "", None,
+             "<span title='x'>1</span><span class='xx'>2</span><span class='y x z'>3</span>", "<spanner class='x'>s</spanner><span class='x'>a<spanner>n</spanner></span>",
+             "<p title='a <span' class='x'>in</p>", "<span\n  class\n=\n'x'>lines</span>", "<span class='x' title='<b'>v</span>"]
+    d = spark.createDataFrame(list(enumerate(pages)), "i int, html string").select("i", M.canonical("html").alias("html"))
+    fields = {"a": "span.x", "b": ".x", "c": "[class='x']", "e": "p .x", "f": "span span", "g": "span"}
+    got = M.with_texts(d, "html", fields)
+    want = d.select("i", *[M.first_text("html", s).alias(n) for n, s in fields.items()])
+    assert [tuple(r) for r in got.orderBy("i").select("i", *fields).collect()] == [tuple(r) for r in want.orderBy("i").collect()]
+    text = spark.createDataFrame([("<p>",)], "html string")
+    plan = M.with_texts(text, "html", {"a": "span.x"})._jdf.queryExecution().optimizedPlan().toString()
+    assert "instr(" not in plan and "Contains(html" in plan  # no second search for the tag, none without what it holds
+
+
+@pytest.mark.parametrize(("sel", "holds"), [("span", "<span"), ("div#k.a", 'id="k"'), ("a[href]", "href"), ("[data-x^='u > v']", 'data-x="u &gt; v'),
+                                            ("div[id$='-card']", '-card"'), ("[class*='a-star-']", "a-star-"), (".a", "a"), ("i[data-hook='r']", 'data-hook="r"')])
+def test_what_a_tag_must_hold(sel, holds):
+    assert M.selector(sel)[0].holds == holds

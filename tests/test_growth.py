@@ -63,6 +63,11 @@ def test_large_tables_are_dealt_over_all_tasks(spark):
     assert out.agg(F.sum("p_partkey"), F.count("*")).first() == many.agg(F.sum("p_partkey"), F.count("*")).first()
 
 
+def test_tasks_become_more_with_the_table(spark, monkeypatch):
+    monkeypatch.setattr(fixtures, "TASK_ROWS", 500)
+    assert fixtures.dealt(spark.range(0, fixtures.DEAL_FROM, 1, 1)).rdd.getNumPartitions() == 20
+
+
 def test_tasks_read_bounded_splits(spark, tmp_path):
     prepare(spark)
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "16m"

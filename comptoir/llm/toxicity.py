@@ -6,10 +6,10 @@ that ``MIN_DOCS`` documents of the sample hold, whatever their label; document f
 over all documents. A term weighs ``(1 + ln tf) * idf`` times its correlation with the label in the sample (its
 size, of either sign): neutral terms stay in the vectors and weigh little. Vectors have length 1.
 
-The index is inverted. Lists of rarer terms are added up for all examples. Lists of
-common ones are kept in blocks of examples with the greatest weight of each term in each block; a
-query visits blocks in the order of their upper bounds (what the rarer terms gave, and the greatest
-weights of the common ones) and leaves out those that cannot hold a neighbour, so the nearest
+The index is inverted. Like examples lie in one block. Terms that many examples of a block hold
+are a dense matrix there, with the greatest weight of each; lists of the others are added up for all examples. A
+query visits blocks in the order of their upper bounds (what the lists gave, and the greatest
+weights of the matrix) and leaves out those that cannot hold a neighbour, so the nearest
 examples by cosine are exact. Their votes, weighted by cosine and shrunk
 to the sample's share, are calibrated by isotonic regression on leave-one-out
 votes of the sample; the neighbours are returned as evidence.
@@ -26,7 +26,7 @@ import math
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import cached_property
-from itertools import chain
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -40,10 +40,12 @@ MIN_DOCS = 2
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
 BLOCK = 128
-TOGETHER = 64  # queries that visit the blocks together
-COMMON = 8  # terms in one of so many examples are kept in blocks
+TOGETHER = 128  # queries that visit the blocks together
+FIRST = 4  # blocks that each query visits first
+COMMON = 8  # terms in one of so many examples of a block are kept in its matrix
+ARRANGED = 512  # terms by which like examples are found
 SINGLE = 1e-4  # more than a cosine is off in single precision
-KNOWN = 1 << 17  # words whose terms a task remembers
+KNOWN = 1 << 18  # words whose terms a task remembers
 THRESHOLD = 0.7
 
 _SEPARATE = bytes(c if chr(c).isalpha() or c >= 128 else 32 for c in range(256))
@@ -63,69 +65,149 @@ class Terms:
 
     def __init__(self, terms: list[bytes]):
         self.number = {t: i for i, t in enumerate(terms)}
-        self.known: dict[bytes, tuple[int, ...]] = {}
+        self.forget()
 
     def __getstate__(self) -> dict:
-        return {"number": self.number, "known": {}}
+        return {"number": self.number}
 
-    def numbers(self, found: Iterable[bytes]) -> list[tuple[int, ...]]:
-        """The term numbers of each word."""
-        get, known = self.number.get, self.known
-        out = []
-        for w in found:
-            ids = known.get(w)
-            if ids is None:
-                ids = tuple(k for t in terms_of(w) if (k := get(t)) is not None)
-                if len(known) >= KNOWN:
-                    known.clear()
-                known[w] = ids
-            out.append(ids)
-        return out
+    def __setstate__(self, state: dict) -> None:
+        self.number = state["number"]
+        self.forget()
+
+    def forget(self) -> None:
+        """``known``: places of words in ``held``, their term numbers (``none``: no more of them)."""
+        self.none = len(self.number)
+        self.known: dict[bytes, int] = {}
+        self.held = np.zeros((0, 1 + len(PREFIXES)), np.int32)
+        self.times = np.zeros(self.none + 1)
+
+    def numbers(self, found: Iterable[bytes]) -> np.ndarray:
+        """The term numbers of each word, a row each, filled up with ``none``."""
+        at = list(map(self.known.get, found))
+        if None in at:
+            if len(self.known) + len(at) > KNOWN:
+                self.known, self.held = {}, self.held[:0]
+                at = [None] * len(at)
+            get, none, known = self.number.get, self.none, self.known
+            made = []
+            for k, w in enumerate(found):
+                if at[k] is None:
+                    at[k] = known[w] = len(known)
+                    made += [get(w, none)] + [get(w[:n] + b"-", none) if len(w) >= n else none for n in PREFIXES]
+            made = np.array(made, np.int32).reshape(-1, self.held.shape[1])
+            begin = len(known) - len(made)
+            if len(self.known) > len(self.held):
+                grown = np.zeros((max(len(self.known), 2 * len(self.held), 1024), self.held.shape[1]), np.int32)
+                grown[:begin] = self.held[:begin]
+                self.held = grown
+            self.held[begin:begin + len(made)] = made
+        return self.held[at]
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Term numbers of a text, ascending, and their occurrences."""
         n = Counter(words(text))
-        ids = self.numbers(n)
-        term, at = np.unique(np.array(list(chain.from_iterable(ids)), np.int64), return_inverse=True)
-        times = np.repeat(np.fromiter(n.values(), np.float64, len(n)), np.fromiter(map(len, ids), np.int64, len(ids)))
-        return term, np.bincount(at, weights=times, minlength=len(term))
+        if not n:
+            return np.zeros(0, np.int64), np.zeros(0)
+        ids = self.numbers(n).ravel()
+        np.add.at(self.times, ids, np.repeat(np.fromiter(n.values(), np.float64, len(n)), self.held.shape[1]))
+        ids.sort()
+        term = ids[np.flatnonzero(np.diff(ids, prepend=-1))]
+        times = self.times[term]
+        self.times[term] = 0
+        last = len(term) - int(term[-1] == self.none)
+        return term[:last].astype(np.int64), times[:last]
 
     def frequencies(self, texts: Iterable[str | None]) -> np.ndarray:
         """In how many of the texts each term is found."""
-        n = np.zeros(len(self.number), np.int64)
+        n = np.zeros(self.none + 1, np.int64)
         for t in texts:
-            n[list(set(chain.from_iterable(self.numbers(set(words(t))))))] += 1
-        return n
+            if found := set(words(t)):
+                n[self.numbers(found).ravel()] += 1  # once, however often it is among them
+        return n[:-1]
+
+
+def alike(vectors: np.ndarray, step: int) -> np.ndarray:
+    """An order of the rows in which each ``step`` of them are alike: halves along the
+    first principal axis, again and again."""
+    def halve(rows: np.ndarray) -> list[np.ndarray]:
+        steps = -(-len(rows) // step)
+        if steps < 2:
+            return [rows]
+        x = vectors[rows]
+        x = x - x.mean(axis=0)
+        axis = np.random.default_rng(0).standard_normal(x.shape[1]).astype(x.dtype)
+        for _ in range(8):
+            axis = (x @ axis) @ x
+            axis /= max(float(np.linalg.norm(axis)), 1e-30)
+        rows = rows[np.argsort(x @ axis, kind="stable")]
+        del x
+        half = steps // 2 * step
+        return halve(rows[:half]) + halve(rows[half:])
+
+    return np.concatenate(halve(np.arange(len(vectors))))
 
 
 class BlockMax:
-    """Inverted index of unit vectors. Lists of common terms lie in blocks with the
-    greatest weight per term and block, those of the others are whole. Lists are kept and added up in
-    single precision; the cosines of all that may be neighbours by it are taken from the vectors themselves."""
+    """Inverted index of unit vectors. Like vectors lie in one block. Terms that many vectors of a block hold are
+    kept there in a dense matrix, with their greatest weights; the other entries lie in a list for each term. Blocks are
+    multiplied in single precision; the cosines of all that may be neighbours by it are taken from the vectors themselves."""
 
     def __init__(self, vectors: Iterable[tuple[np.ndarray, np.ndarray]], n_terms: int):
         """``vectors``: (term numbers, weights) of each example."""
-        vectors = list(vectors)
-        self.n, self.n_terms = len(vectors), n_terms
+        size, terms, weights = [], [np.zeros(0, np.int32)], [np.zeros(0)]
+        for some in batched(vectors, BLOCK):  # not all small arrays at once
+            size += [len(t) for t, _ in some]
+            terms.append(np.concatenate([t for t, _ in some]).astype(np.int32))
+            weights.append(np.concatenate([w for _, w in some]))
+        self.n, self.n_terms = len(size), n_terms
         self.blocks = max(1, -(-self.n // BLOCK))
-        size = np.array([len(t) for t, _ in vectors], np.int64)
-        self.begin = np.concatenate([[0], np.cumsum(size)])
-        self.term = np.concatenate([t for t, _ in vectors], dtype=np.int32, casting="same_kind") if vectors else np.zeros(0, np.int32)
-        self.weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
-        del vectors  # not beside what is made of them
-        found = np.bincount(self.term, minlength=n_terms)
-        common = np.flatnonzero((found * COMMON >= self.n) & (found > 1))
+        self.begin = np.cumsum([0, *size])
+        self.term = np.concatenate(terms)
+        del terms
+        self.weight = np.concatenate(weights)
+        del weights  # not beside what is made of them
+        self._arrange()
         self.common = np.full(n_terms, -1, np.int32)
-        self.common[common] = np.arange(len(common))
-        example = np.repeat(np.arange(self.n, dtype=np.int32), size)
-        held = self.common[self.term] >= 0
-        self.lists = np.zeros((self.blocks, len(common), BLOCK), np.float32)
-        self.lists[example[held] // BLOCK, self.common[self.term[held]], example[held] % BLOCK] = self.weight[held]
-        self.best = self.lists.max(axis=2)
-        many = np.where(self.common >= 0, 0, found)
-        self.first = np.concatenate([[0], np.cumsum(many)])
-        order = np.argsort(np.where(held, n_terms, self.term).astype(np.int32), kind="stable")[:self.first[-1]]
-        self.example, self.rare = example[order], self.weight[order].astype(np.float32)
+        self.dense = []  # (places in common, the block's matrix, greatest weights)
+        parts = []
+        for b in range(self.blocks):
+            mine = self.order[b * BLOCK:(b + 1) * BLOCK]
+            spans = list(map(slice, self.begin[mine].tolist(), self.begin[mine + 1].tolist()))
+            term = np.concatenate([self.term[x] for x in spans]) if spans else self.term
+            weight = np.concatenate([self.weight[x] for x in spans]) if spans else self.weight
+            row = np.repeat(np.arange(len(mine)), [x.stop - x.start for x in spans])
+            found = np.bincount(term, minlength=n_terms)
+            many = np.flatnonzero((found * COMMON >= BLOCK) & (found > 1))
+            place = np.full(n_terms, -1, np.int32)
+            place[many] = np.arange(len(many))
+            at = place[term]
+            matrix = np.zeros((BLOCK, len(many)), np.float32)
+            matrix[row[at >= 0], at[at >= 0]] = weight[at >= 0]
+            self.dense.append((many, matrix, matrix.max(axis=0)))
+            self.common[many] = 0
+            parts.append((term[at < 0], (row[at < 0] + b * BLOCK).astype(np.int32), weight[at < 0].astype(np.float32)))
+        of = np.flatnonzero(self.common >= 0)
+        self.common[of] = np.arange(len(of))
+        self.dense = [(self.common[many], matrix, best) for many, matrix, best in self.dense]
+        term, example, rare = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
+        self.first = np.concatenate([[0], np.cumsum(np.bincount(term, minlength=n_terms))])
+        order = np.argsort(term, kind="stable")
+        del term
+        self.example, self.rare = example[order], rare[order]
+
+    def _arrange(self) -> None:
+        """``order``: the examples as they lie in blocks, like ones (by the terms most of them hold) side by side."""
+        found = np.bincount(self.term, minlength=self.n_terms)
+        most = np.argsort(-found, kind="stable")[:ARRANGED]
+        place = np.full(self.n_terms, -1, np.int32)
+        place[most] = np.arange(len(most))
+        at = place[self.term]
+        held = np.zeros((self.n, len(most)), np.float32)
+        held[np.repeat(np.arange(self.n, dtype=np.int32), np.diff(self.begin))[at >= 0], at[at >= 0]] = 1
+        self.order = alike(held, BLOCK)
+        self.place = np.empty(self.n, np.int64)
+        self.place[self.order] = np.arange(self.n)
 
     def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int, but: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """For each query the ``k`` examples of the greatest positive cosine (ties: the first), without its ``but``."""
@@ -135,19 +217,23 @@ class BlockMax:
         return out
 
     def _rarer(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
-        """What the rarer terms of a query give, for all examples."""
-        first, last = self.first[term], self.first[term + 1]
-        spans = list(map(slice, first.tolist(), last.tolist()))
-        if not spans:
+        """What the lists of a query's terms give, for all places."""
+        first = self.first[term]
+        size = self.first[term + 1] - first
+        end = np.cumsum(size)
+        if not len(end) or not end[-1]:
             return np.zeros(self.blocks * BLOCK)
-        given = np.concatenate([self.rare[x] for x in spans])
-        given *= np.repeat(weight.astype(np.float32), last - first)
-        return np.bincount(np.concatenate([self.example[x] for x in spans]), weights=given, minlength=self.blocks * BLOCK)
-
-    def _cosines(self, query: tuple[np.ndarray, np.ndarray], examples: np.ndarray) -> np.ndarray:
-        dense = np.zeros(self.n_terms)
+        at = np.repeat(first - end + size, size)
+        at += np.arange(end[-1])
+        given = self.rare.take(at)
+        given *= np.repeat(weight.astype(np.float32), size)
+        return np.bincount(self.example.take(at), weights=given, minlength=self.blocks * BLOCK)
+
+    def _cosines(self, dense: np.ndarray, query: tuple[np.ndarray, np.ndarray], examples: np.ndarray) -> np.ndarray:
+        """``dense`` holds zeros, before and after."""
         dense[query[0]] = query[1]
         out = [dense[self.term[x]] @ self.weight[x] for x in map(slice, self.begin[examples].tolist(), self.begin[examples + 1].tolist())]
+        dense[query[0]] = 0
         return np.round(np.array(out), 12)
 
     def _nearest(self, queries: list, k: int, but: list[int]) -> list[list[tuple[float, int]]]:
@@ -155,17 +241,21 @@ class BlockMax:
         if not self.n:
             return [[] for _ in queries]
         score = np.zeros((n, self.blocks, BLOCK), np.float32)
-        common = np.zeros((n, self.lists.shape[1]), np.float32)
+        common = np.zeros((int(self.common.max(initial=-1)) + 1, n), np.float32)
         for q, (term, weight) in enumerate(queries):
             row = self.common[term]
-            common[q, row[row >= 0]] = weight[row >= 0]
-            score[q] = self._rarer(term[row < 0], weight[row < 0]).reshape(self.blocks, BLOCK)
-        bound = score.max(axis=2) + common @ self.best.T
+            common[row[row >= 0], q] = weight[row >= 0]
+            score[q] = self._rarer(term, weight).reshape(self.blocks, BLOCK)
+        bound = score.max(axis=2)
+        for b, (of, _, best) in enumerate(self.dense):
+            bound[:, b] += best @ common[of]
 
         def visit(chosen: np.ndarray) -> None:
             for b in np.flatnonzero(chosen.any(axis=0)).tolist():
                 who = np.flatnonzero(chosen[:, b])
-                score[who, b] += common[who] @ self.lists[b]
+                of, matrix, _ = self.dense[b]
+                given = common[of]
+                score[who, b] += (matrix @ (given if len(who) == n else given[:, who])).T
 
         def kth(q: int, among: np.ndarray) -> float:
             """Least that a neighbour has, as far as these blocks tell."""
@@ -175,7 +265,7 @@ class BlockMax:
 
         least = np.zeros(n)
         seen = np.zeros(bound.shape, bool)
-        np.put_along_axis(seen, np.argsort(-bound, axis=1, kind="stable")[:, :2], True, axis=1)  # the two most promising blocks
+        np.put_along_axis(seen, np.argsort(-bound, axis=1, kind="stable")[:, :FIRST], True, axis=1)  # the most promising blocks
         visit(seen)
         for q in range(n):
             least[q] = kth(q, seen[q]) - SINGLE
@@ -183,11 +273,12 @@ class BlockMax:
         visit(rest)
         seen |= rest
         out = []
+        dense = np.zeros(self.n_terms)
         for q in range(n):
             s = np.where(seen[q][:, None], score[q], 0).ravel()
-            near = np.flatnonzero((s > 0) & (s >= kth(q, seen[q]) - SINGLE))
+            near = self.order[np.flatnonzero((s[:self.n] > 0) & (s[:self.n] >= kth(q, seen[q]) - SINGLE))]
             near = near[near != but[q]]
-            top = sorted((-x, i) for x, i in zip(self._cosines(queries[q], near).tolist(), near.tolist(), strict=True) if x > 0)
+            top = sorted((-x, i) for x, i in zip(self._cosines(dense, queries[q], near).tolist(), near.tolist(), strict=True) if x > 0)
             out.append([(-x, i) for x, i in top[:k]])
         return out
 

@@ -6,6 +6,7 @@ import pickle
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -461,6 +462,40 @@ def test_block_max_search_is_exact():
         assert [round(s, 9) for s, _ in got] == [round(-s, 9) for s, _ in want]
 
 
+def test_like_examples_lie_in_one_block():
+    r = random.Random(18)
+    kinds = [range(60), range(60, 120)]
+    vectors = []
+    for i in range(4 * toxicity.BLOCK):  # of either kind by turns
+        t = np.array(sorted(r.sample(kinds[i % 2], 20)))
+        vectors.append((t, np.array([r.random() for _ in t])))
+    vectors = [(t, w / np.sqrt(w @ w)) for t, w in vectors]
+    index = toxicity.BlockMax(vectors, 120)
+    assert sorted(index.order) == list(range(len(vectors)))
+    for b, (_, matrix, best) in enumerate(index.dense):
+        assert len({i % 2 for i in index.order[b * toxicity.BLOCK:(b + 1) * toxicity.BLOCK]}) == 1
+        assert matrix.shape[1] <= 60 and (best > 0).all()  # not a column for terms that no example of the block holds
+    dense = np.zeros((len(vectors), 120))
+    for i, (t, w) in enumerate(vectors):
+        dense[i, t] = w
+    for (t, w), near in zip(vectors[:40], index.nearest(vectors[:40], 7), strict=True):
+        cosine = np.round(dense[:, t] @ w, 12)
+        assert [i for _, i in near] == sorted(range(len(vectors)), key=lambda i: (-cosine[i], i))[:7]
+
+
+def test_terms_are_counted_as_by_a_plain_version(monkeypatch):
+    monkeypatch.setattr(toxicity, "KNOWN", 40)  # forgets words between and within texts
+    r = random.Random(19)
+    texts = [" ".join(r.choice("abcd") * r.randint(1, 4) + r.choice(["", "xyz", "xyzw", "é", "9b"]) for _ in range(r.randint(0, 90))) for _ in range(60)] + [None, "", "9 9"]
+    found = [Counter(t for w in toxicity.words(x) for t in toxicity.terms_of(w)) for x in texts]
+    terms = toxicity.Terms(sorted({t for f in found for t in f})[::2])
+    for x, f in zip(texts, found, strict=True):
+        term, n = terms.counts(x)
+        assert dict(zip(term.tolist(), n.tolist(), strict=True)) == {k: f[t] for t, k in terms.number.items() if f[t]} and sorted(term) == term.tolist()
+    assert terms.frequencies(texts).tolist() == [sum(t in f for f in found) for t in terms.number]
+    assert pickle.loads(pickle.dumps(terms)).counts(texts[0])[0].tolist() == terms.counts(texts[0])[0].tolist()
+
+
 def test_toxicity_index_is_made_where_it_is_used(spark):
     d = spark.createDataFrame([(i, " ".join(f"word{j % 7} {'bad' if i % 4 == 0 else 'good'}ly{j * i % 11}" for j in range(60))) for i in range(120)], "doc_id long, text string")
     model = toxicity.fit(d, d.selectExpr("doc_id", "cast(doc_id % 4 = 0 as int) AS toxic"))

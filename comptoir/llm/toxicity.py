@@ -39,9 +39,9 @@ MAX_EXAMPLES = 10_000
 MIN_DOCS = 2
 PREFIXES = (4, 5, 6)
 NEIGHBOURS = 15
-BLOCK = 128
-TOGETHER = 128  # queries that visit the blocks together
-FIRST = 4  # blocks that each query visits first
+BLOCK = 256
+TOGETHER = 256  # queries that visit the blocks together
+FIRST = 3  # blocks that each query visits first
 COMMON = 8  # terms in one of so many examples of a block are kept in its matrix
 ARRANGED = 512  # terms by which like examples are found
 SINGLE = 1e-4  # more than a cosine is off in single precision
@@ -111,7 +111,9 @@ class Terms:
         ids = self.numbers(n).ravel()
         np.add.at(self.times, ids, np.repeat(np.fromiter(n.values(), np.float64, len(n)), self.held.shape[1]))
         ids.sort()
-        term = ids[np.flatnonzero(np.diff(ids, prepend=-1))]
+        new = np.ones(len(ids), bool)
+        np.not_equal(ids[1:], ids[:-1], out=new[1:])
+        term = ids[new]
         times = self.times[term]
         self.times[term] = 0
         last = len(term) - int(term[-1] == self.none)
@@ -185,7 +187,7 @@ class BlockMax:
             matrix[row[at >= 0], at[at >= 0]] = weight[at >= 0]
             self.dense.append((many, matrix, matrix.max(axis=0)))
             self.common[many] = 0
-            parts.append((term[at < 0], (row[at < 0] + b * BLOCK).astype(np.int32), weight[at < 0].astype(np.float32)))
+            parts.append((term[at < 0], (row[at < 0] + b * BLOCK).astype(np.min_scalar_type(self.blocks * BLOCK)), weight[at < 0].astype(np.float32)))
         of = np.flatnonzero(self.common >= 0)
         self.common[of] = np.arange(len(of))
         self.dense = [(self.common[many], matrix, best) for many, matrix, best in self.dense]
@@ -218,21 +220,19 @@ class BlockMax:
 
     def _rarer(self, term: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """What the lists of a query's terms give, for all places."""
-        first = self.first[term]
-        size = self.first[term + 1] - first
-        end = np.cumsum(size)
-        if not len(end) or not end[-1]:
-            return np.zeros(self.blocks * BLOCK)
-        at = np.repeat(first - end + size, size)
-        at += np.arange(end[-1])
+        size = self.first[term + 1] - self.first[term]
+        some = np.flatnonzero(size)
+        size, first, weight = size[some], self.first[term[some]], weight[some].astype(np.float32)
+        at = np.repeat(first - np.cumsum(size) + size, size)
+        at += np.arange(len(at))
         given = self.rare.take(at)
-        given *= np.repeat(weight.astype(np.float32), size)
+        given *= np.repeat(weight, size)
         return np.bincount(self.example.take(at), weights=given, minlength=self.blocks * BLOCK)
 
     def _cosines(self, dense: np.ndarray, query: tuple[np.ndarray, np.ndarray], examples: np.ndarray) -> np.ndarray:
         """``dense`` holds zeros, before and after."""
         dense[query[0]] = query[1]
-        out = [dense[self.term[x]] @ self.weight[x] for x in map(slice, self.begin[examples].tolist(), self.begin[examples + 1].tolist())]
+        out = [dense.take(self.term[x]) @ self.weight[x] for x in map(slice, self.begin[examples].tolist(), self.begin[examples + 1].tolist())]
         dense[query[0]] = 0
         return np.round(np.array(out), 12)
 
@@ -275,8 +275,9 @@ class BlockMax:
         out = []
         dense = np.zeros(self.n_terms)
         for q in range(n):
-            s = np.where(seen[q][:, None], score[q], 0).ravel()
-            near = self.order[np.flatnonzero((s[:self.n] > 0) & (s[:self.n] >= kth(q, seen[q]) - SINGLE))]
+            s = score[q].ravel()
+            near = np.flatnonzero(s >= max(kth(q, seen[q]) - SINGLE, 1e-30))
+            near = self.order[near[seen[q][near // BLOCK]]]
             near = near[near != but[q]]
             top = sorted((-x, i) for x, i in zip(self._cosines(dense, queries[q], near).tolist(), near.tolist(), strict=True) if x > 0)
             out.append([(-x, i) for x, i in top[:k]])

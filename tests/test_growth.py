@@ -31,6 +31,18 @@ def test_pages_are_made_canonical_once(spark, name):
     assert made == (2 if name == "spec_map" else 1)  # its projection is made on both sides of a union
 
 
+def test_keys_of_extracted_reviews_are_not_written_out(spark):
+    # Spark's rules look for a scan below the keys of a join: each projection passed writes their expressions out once more
+    df = E.queries()["review_ingest"](spark, SF)
+    qe = df._jdf.queryExecution()
+    qe.optimizedPlan()
+    spent = {}
+    for name in ("dynamicpruning.PartitionPruning", "dynamicpruning.CleanupDynamicPruningFilters"):
+        rule = qe.tracker().rules().get(f"org.apache.spark.sql.execution.{name}")
+        spent[name] = rule.get().totalTimeNs() / 1e9 if rule.isDefined() else 0
+    assert max(spent.values()) < 2, spent
+
+
 def test_titles_are_found_once_under_a_filter(spark):
     pattern = M.selector(X.LISTING_TITLE)[0].pattern
     pages = spark.createDataFrame([(1, "<p>")], "page_id int, html string")

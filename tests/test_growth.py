@@ -1,6 +1,7 @@
 """Work and memory that must not grow faster than the input: expressions written out once, tasks of bounded size."""
 
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -43,6 +44,19 @@ def test_keys_of_extracted_reviews_are_not_written_out(spark):
     assert max(spent.values()) < 2, spent
 
 
+def test_methods_of_extract_reviews_can_be_compiled(spark):
+    # the JVM never compiles a method of more than 8,000 bytes; its rows would be worked on by the interpreter
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        df = E.queries()["extract_reviews"](spark, SF)
+        spark.conf.set("spark.sql.adaptive.enabled", "false")  # the query turned it on
+        text = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "codegen")
+    finally:
+        prepare(spark)
+    sizes = [int(x) for x in re.findall(r"maxMethodCodeSize:(\d+)", text)]
+    assert len(sizes) > 2 and max(sizes) < 8000, sizes
+
+
 def test_titles_are_found_once_under_a_filter(spark):
     pattern = M.selector(X.LISTING_TITLE)[0].pattern
     pages = spark.createDataFrame([(1, "<p>")], "page_id int, html string")

@@ -165,6 +165,23 @@ def test_fields_are_cut_out_in_one_pass(spark):
     assert "instr(" not in plan and "Contains(html" in plan  # no second search for the tag, none without what it holds
 
 
+def test_pages_in_canonical_form_are_left_alone(spark):
+    pages = ['<a href="/s?k=">x</a>', '<!DOCTYPE html>\n<p a="b c" d\te="">it\'s = \'x\' "y"</p><br/>', '<b title="f=\'x\'">u  =v</b>']
+    assert run(spark, pages, lambda h: h) == pages
+
+
+def test_contents_are_those_of_the_elements(spark):
+    r = random.Random(11)
+    deep = ["".join("<div class='a'>" * n + "t" + "</div>" * n) for n in range(1, M.NESTED_LEVELS + 4)]
+    pages = [page(r) for _ in range(100)] + deep + ["<div class='a'>open<div>", "<div class='a'></div>", "<div class='a'>x<divan></div>y", "<p>x</p>", "", None]
+    for sel in ("div", "div.a", ".a", "span.b", "img"):
+        part = M.selector(sel)[0]
+        got = run(spark, pages, lambda h, p=part: M.contents(h, p))
+        assert got == run(spark, pages, lambda h, p=part: F.transform(M.elements(h, p), lambda e: e["body"])), sel
+    d = spark.createDataFrame(list(enumerate(deep)), "i int, html string").select("i", M.canonical("html").alias("html"))
+    assert [x.t for x in M.with_texts(d, "html", {"t": "div.a"}).collect()] == ["t"] * len(deep)
+
+
 @pytest.mark.parametrize(("sel", "holds"), [("span", "<span"), ("div#k.a", 'id="k"'), ("a[href]", "href"), ("[data-x^='u > v']", 'data-x="u &gt; v'),
                                             ("div[id$='-card']", '-card"'), ("[class*='a-star-']", "a-star-"), (".a", "a"), ("i[data-hook='r']", 'data-hook="r"')])
 def test_what_a_tag_must_hold(sel, holds):
